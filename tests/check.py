@@ -50,8 +50,7 @@ def differences(spark, con, sf_dir: str, name: str) -> str | None:
     a, b = canonical(got), canonical(want)
     if a == b:
         return None
-    only_a = [r for r in a if r not in set(b)][:2]
-    only_b = [r for r in b if r not in set(a)][:2]
+    only_a, only_b = sorted(set(a) - set(b), key=str)[:2], sorted(set(b) - set(a), key=str)[:2]
     return f"rows {len(a)} vs {len(b)}; only here {only_a}; only there {only_b}"
 
 

@@ -98,8 +98,8 @@ def first_failure_time(predictions: DataFrame) -> DataFrame:
 
 
 def state_before_first_failure(
-    silver_log: DataFrame, keys: list[str], predictions: DataFrame
+    silver_log: DataFrame, keys: list[str], predictions: DataFrame, null_keys: bool = True
 ) -> DataFrame:
     """Silver as it stood when a failure was first predicted."""
-    state = as_of_query(silver_log, keys, first_failure_time(predictions))
+    state = as_of_query(silver_log, keys, first_failure_time(predictions), null_keys)
     return state.filter(F.col("product_id").isNotNull())

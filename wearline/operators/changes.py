@@ -29,18 +29,11 @@ def _image(change: str, row: Column) -> Column:
     return F.struct(F.lit(change).alias("change"), row.alias("row"))
 
 
-def _spread(df: DataFrame, images: Column, columns: Sequence[str], *extra: Column) -> DataFrame:
+def _spread(df: DataFrame, images: Column, *extra: Column) -> DataFrame:
     """One output row per image in the array column ``images``."""
     one = df.select(F.explode(images).alias("_i"), *extra)
-    return one.select(
-        *[F.col("_i.row")[c].alias(c) for c in columns],
-        F.col("_i.change").alias(CHANGE),
-        *[c for c in one.columns if c != "_i"],
-    )
-
-
-def stamp(df: DataFrame, version: int, ts: Column) -> DataFrame:
-    return df.withColumns({VERSION: F.lit(version).cast("bigint"), COMMIT_TS: ts})
+    rest = [c for c in one.columns if c != "_i"]
+    return one.select("_i.row.*", F.col("_i.change").alias(CHANGE), *rest)
 
 
 def change_rows(
@@ -51,6 +44,7 @@ def change_rows(
     skip_unchanged: bool = False,
     stamp_cols: Sequence[str] = (),
     assume_unique: bool = False,
+    null_keys: bool = True,
 ) -> DataFrame:
     """Changes that an upsert of ``source`` makes: an insert, or a pre- and a postimage.
 
@@ -60,17 +54,19 @@ def change_rows(
     rows whose values, ``stamp_cols`` aside, stay the same.
     """
     columns = before.columns
-    tgt, _ = split_null_keys(before, keys)
-    src, src_null = split_null_keys(source.select(*columns), keys)
+    tgt, _ = split_null_keys(before, keys, null_keys)
+    src, src_null = split_null_keys(source.select(*columns), keys, null_keys)
     touched = tgt.join(src.select(*keys), list(keys), "left_semi")
     single = src if assume_unique else refuse_duplicates(src, keys)
     row = F.struct(*columns)
     pair = single.select(*keys, row.alias("_new")).join(
         touched.select(*keys, row.alias("_old")), list(keys), "left"
     )
-    taken = columns if update_cols is None else [*keys, *update_cols]
     old, new = F.col("_old"), F.col("_new")
-    after = F.struct(*[(new if c in taken else old)[c].alias(c) for c in columns])
+    after = new
+    if update_cols is not None:
+        taken = [*keys, *update_cols]
+        after = F.struct(*[(new if c in taken else old)[c].alias(c) for c in columns])
     images = F.when(old.isNull(), F.array(_image(INSERT, new)))
     if skip_unchanged:
         watched = [c for c in columns if c not in stamp_cols]
@@ -80,7 +76,7 @@ def change_rows(
         images = images.when(same, F.array().cast(_images_type(before)))
     images = images.otherwise(F.array(_image(BEFORE, old), _image(AFTER, after)))
     inserted = None if src_null is None else src_null.withColumn(CHANGE, F.lit(INSERT))
-    return _union(_spread(pair, images, columns), inserted)
+    return _union(_spread(pair, images), inserted)
 
 
 def _images_type(df: DataFrame) -> str:
@@ -90,13 +86,16 @@ def _images_type(df: DataFrame) -> str:
 
 def deletions(before: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Delete images of the rows of ``before`` whose key is in ``gone``."""
-    tgt, _ = split_null_keys(before, keys)
-    doomed = tgt.join(gone.select(*keys), list(keys), "left_semi").select(*before.columns)
+    doomed = before.join(gone.select(*keys), list(keys), "left_semi").select(*before.columns)
     return doomed.withColumn(CHANGE, F.lit(DELETE))
 
 
 def log_of_versions(
-    rows: DataFrame, keys: Sequence[str], version_col: str, commit_ts: Column
+    rows: DataFrame,
+    keys: Sequence[str],
+    version_col: str,
+    commit_ts: Column,
+    null_keys: bool = True,
 ) -> DataFrame:
     """Log of upserting ``rows`` version by version, computed in one pass.
 
@@ -104,7 +103,7 @@ def log_of_versions(
     there are versions. ``commit_ts`` is an expression over the version column.
     """
     columns = [c for c in rows.columns if c != version_col]
-    whole, without = split_null_keys(rows, keys)
+    whole, without = split_null_keys(rows, keys, null_keys)
     order = Window.partitionBy(*keys).orderBy(version_col)
     new = F.struct(*columns)
     pair = whole.withColumns({"_new": new, "_old": F.lag(new).over(order)})
@@ -112,7 +111,7 @@ def log_of_versions(
         F.col("_old").isNull(), F.array(_image(INSERT, F.col("_new")))
     ).otherwise(F.array(_image(BEFORE, F.col("_old")), _image(AFTER, F.col("_new"))))
     version = F.col(version_col).cast("bigint").alias(VERSION)
-    log = _spread(pair, images, columns, version, commit_ts.alias(COMMIT_TS))
+    log = _spread(pair, images, version, commit_ts.alias(COMMIT_TS))
     if without is None:
         return log
     return log.unionByName(
@@ -134,34 +133,43 @@ def new_images(log: DataFrame) -> DataFrame:
     return log.filter(F.col(CHANGE).isin(NEW_IMAGES))
 
 
-def _state(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _state(log: DataFrame, keys: Sequence[str], null_keys: bool) -> DataFrame:
     images = log.filter(F.col(CHANGE).isin(INSERT, AFTER, DELETE))
-    last = latest_per_key(images, keys, [VERSION])
+    last = latest_per_key(images, keys, [VERSION], null_keys)
     return last.filter(F.col(CHANGE) != DELETE).drop(*META)
 
 
-def as_of_version(log: DataFrame, keys: Sequence[str], version: int) -> DataFrame:
+def as_of_version(
+    log: DataFrame, keys: Sequence[str], version: int, null_keys: bool = True
+) -> DataFrame:
     """Table as it stood after commit ``version``."""
-    return _state(log.filter(F.col(VERSION) <= version), keys)
+    return _state(log.filter(F.col(VERSION) <= version), keys, null_keys)
 
 
-def as_of_timestamp(log: DataFrame, keys: Sequence[str], ts: Column) -> DataFrame:
+def as_of_timestamp(
+    log: DataFrame, keys: Sequence[str], ts: Column, null_keys: bool = True
+) -> DataFrame:
     """Table as it stood at ``ts``; the column may be a constant or a scalar subquery."""
-    return _state(log.filter(F.col(COMMIT_TS) <= ts), keys)
+    return _state(log.filter(F.col(COMMIT_TS) <= ts), keys, null_keys)
 
 
-def as_of_query(log: DataFrame, keys: Sequence[str], moment: DataFrame) -> DataFrame:
+def as_of_query(
+    log: DataFrame, keys: Sequence[str], moment: DataFrame, null_keys: bool = True
+) -> DataFrame:
     """Table at the time held by the one-row, one-column frame ``moment``."""
-    return as_of_timestamp(log, keys, moment.scalar())
+    return as_of_timestamp(log, keys, moment.scalar(), null_keys)
 
 
-def apply_changes(state: DataFrame, log: DataFrame, keys: Sequence[str]) -> DataFrame:
+def apply_changes(
+    state: DataFrame, log: DataFrame, keys: Sequence[str], null_keys: bool = True
+) -> DataFrame:
     """``state`` after the changes of ``log``, which all come later than it."""
     images = log.filter(F.col(CHANGE).isin(INSERT, AFTER, DELETE))
-    whole, without = split_null_keys(images, keys)
-    tgt, tgt_null = split_null_keys(state, keys)
+    whole, without = split_null_keys(images, keys, null_keys)
+    tgt, tgt_null = split_null_keys(state, keys, null_keys)
     kept = tgt.join(whole.select(*keys), list(keys), "left_anti").select(*state.columns)
-    last = latest_per_key(whole, keys, [VERSION]).filter(F.col(CHANGE) != DELETE)
+    last = latest_per_key(whole, keys, [VERSION], null_keys=False)
+    last = last.filter(F.col(CHANGE) != DELETE)
     fresh = None if without is None else without.select(*state.columns)
     return _union(kept, last.select(*state.columns), tgt_null, fresh)
 

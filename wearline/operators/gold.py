@@ -63,7 +63,8 @@ def refresh_groups(
 
     A bounded set of groups is broadcast and the features are cut down before they are
     aggregated. A larger one is applied to the finished aggregates instead: those hold one
-    row per group, so a group with most of the rows still moves as partial sums.
+    row per group, so a group with most of the rows still moves as partial sums. ``groups``
+    is pinned by the caller.
     """
     small = broadcast_within(groups, broadcast_rows)
     if small is not None:

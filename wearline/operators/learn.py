@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wearline.schemas import FAILURES, MEASURES
-from wearline.session import broadcast_within, shared_dir
+from wearline.session import broadcast_within, pin, shared_dir
 
 LABELS = [f"{f}_label" for f in FAILURES]
 # Training settings.
@@ -52,6 +52,7 @@ def stratified_split(
     last = sums.groupBy(stratum).agg(
         F.min_by("_bucket", F.struct(distance, F.col("_bucket"))).alias("_last")
     )
+    last = pin(last, "strata")
     few = broadcast_within(last, MAX_STRATA)
     placed = hashed.join(last if few is None else few, stratum)
     test = F.col("_bucket") <= F.col("_last")
@@ -82,19 +83,19 @@ def fit(
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
 
     def one(label: str):
-        return GBTClassifier(
+        trees = GBTClassifier(
             featuresCol="_features",
             labelCol=label,
             predictionCol=f"_class_{label}",
-            probabilityCol=f"_prob_{label}",
-            rawPredictionCol=f"_raw_{label}",
             maxIter=rounds,
             maxDepth=depth,
             stepSize=rate,
             subsamplingRate=sample,
             featureSubsetStrategy=str(sample),
             seed=seed,
-        ).fit(data)
+        )
+        trees.setProbabilityCol(f"_prob_{label}").setRawPredictionCol(f"_raw_{label}")
+        return trees.fit(data)
 
     try:
         with ThreadPool(parallel) as pool:

@@ -42,15 +42,19 @@ def split_valid(
     required: Sequence[str] = REQUIRED,
     schema: T.StructType = SILVER_INPUT,
     ignore_null_fields: bool = True,
+    also: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """Valid rows cast to ``schema``, and the rest as (raw_payload, error_reason).
 
     A row is valid when every required field is there and every value fits its type.
+    ``also`` names further columns that valid rows keep.
     """
     require_columns(df, schema.names)
     missing, unreadable = has_null(required), _bad_cast(df, schema)
     typed = try_casts(df, schema)
-    valid = df.filter(~missing & ~unreadable).select(*[c.alias(n) for n, c in typed.items()])
+    valid = df.filter(~missing & ~unreadable).select(
+        *[c.alias(n) for n, c in typed.items()], *also
+    )
     payload = F.to_json(
         F.struct(*schema.names), {"ignoreNullFields": str(ignore_null_fields).lower()}
     )
@@ -67,7 +71,8 @@ def with_event_time(df: DataFrame) -> DataFrame:
 
 
 def silver_rows(valid: DataFrame, run_ts: Column) -> DataFrame:
-    return conform(with_event_time(valid).withColumn("_silver_loaded_ts", run_ts), SILVER)
+    rows = with_event_time(valid).withColumn("_silver_loaded_ts", run_ts)
+    return conform(rows.select(*SILVER.names), SILVER)
 
 
 def quarantine_rows(rejected: DataFrame, run_ts: Column) -> DataFrame:

@@ -16,12 +16,16 @@ def has_null(keys: Sequence[str]) -> Column:
     return test
 
 
-def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame | None]:
-    """Rows with a whole key, and rows without one (``None`` when the schema rules them out).
+def split_null_keys(
+    df: DataFrame, keys: Sequence[str], null_keys: bool = True
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows with a whole key, and rows without one.
 
     NULL keys all hash to one partition, so they are kept away from every keyed shuffle.
+    A caller whose keys are never NULL passes ``null_keys=False``; the second part is then
+    ``None`` and the input is read once.
     """
-    if not any(df.schema[k].nullable for k in keys):
+    if not null_keys:
         return df, None
     return df.filter(~has_null(keys)), df.filter(has_null(keys))
 
@@ -33,13 +37,15 @@ def _union(first: DataFrame, *rest: DataFrame | None) -> DataFrame:
     return first
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def latest_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], null_keys: bool = True
+) -> DataFrame:
     """One row per key: largest ``order``, ties settled by the remaining columns.
 
     A rank filtered to 1 is limited in each task before the shuffle too, so a key that
     holds a large share of the rows sends one row per task. Rows with a NULL key stay.
     """
-    whole, without = split_null_keys(df, keys)
+    whole, without = split_null_keys(df, keys, null_keys)
     rest = [c for c in df.columns if c not in keys and c not in order]
     newest_first = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in [*order, *rest]])
     ranked = whole.withColumn("_rank", F.row_number().over(newest_first))
@@ -65,6 +71,7 @@ def upsert(
     keys: Sequence[str],
     update_cols: Sequence[str] | None = None,
     assume_unique: bool = False,
+    null_keys: bool = True,
 ) -> DataFrame:
     """State after merging ``source`` into ``target``.
 
@@ -73,8 +80,8 @@ def upsert(
     ``assume_unique`` when the source was already reduced. NULL keys never match.
     """
     columns = target.columns
-    tgt, tgt_null = split_null_keys(target, keys)
-    src, src_null = split_null_keys(source.select(*columns), keys)
+    tgt, tgt_null = split_null_keys(target, keys, null_keys)
+    src, src_null = split_null_keys(source.select(*columns), keys, null_keys)
     changed = src if assume_unique else refuse_duplicates(src, keys)
     if update_cols is None:
         kept = tgt.join(src.select(*keys), list(keys), "left_anti").select(*columns)
@@ -96,8 +103,10 @@ def insertable(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     return source.join(target.select(*keys), list(keys), "left_anti").select(*source.columns)
 
 
-def insert_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def insert_absent(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], null_keys: bool = True
+) -> DataFrame:
     """Target plus the source rows whose key it lacks; matched rows are left alone."""
-    tgt, _ = split_null_keys(target, keys)
-    src, src_null = split_null_keys(source.select(*target.columns), keys)
+    tgt, _ = split_null_keys(target, keys, null_keys)
+    src, src_null = split_null_keys(source.select(*target.columns), keys, null_keys)
     return _union(target, insertable(tgt, src, keys), src_null)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from wearline.functions.rules import QUALITY_RULES
 from wearline.operators import gold
-from wearline.operators.changes import NEW_IMAGES, CHANGE, VERSION
+from wearline.operators.changes import CHANGE, NEW_IMAGES, VERSION
 from wearline.operators.control import GOLD_FLOW, advance_mark, first_mark, mark_of
 from wearline.operators.layout import clustered
 from wearline.operators.quality import (
@@ -33,6 +33,7 @@ from wearline.schemas import (
     QUARANTINE,
     SILVER,
 )
+from wearline.session import pin
 from wearline.sources.files import append_bronze, read_bronze, read_raw
 from wearline.sources.tables import VersionedTable
 
@@ -72,14 +73,15 @@ class Lakehouse:
         root, every = config.root.rstrip("/"), config.snapshot_every
         self.root = root
 
-        def keyed(name, schema, keys, partition_by=()):
-            return VersionedTable(spark, f"{root}/{name}", schema, keys, every, partition_by)
+        def keyed(name, schema, keys, partition_by=(), null_keys=False):
+            path = f"{root}/{name}"
+            return VersionedTable(spark, path, schema, keys, every, partition_by, null_keys)
 
         self.bronze = f"{root}/bronze"
         self.audits = f"{root}/quality_audit"
-        self.silver = keyed("silver", SILVER, ["udi"])
+        self.silver = keyed("silver", SILVER, ["udi"], null_keys=True)
         self.quarantine = keyed("quarantine", QUARANTINE, ["raw_payload", "error_reason"])
-        self.features = keyed("features", FEATURES, ["udi"], ["event_date"])
+        self.features = keyed("features", FEATURES, ["udi"], ["event_date"], null_keys=True)
         self.daily = keyed("daily", DAILY, GROUP_KEYS)
         self.predictions = keyed("predictions", PREDICTIONS, PREDICTION_KEYS)
         self.control = keyed("control", CONTROL, ["pipeline_name"])
@@ -89,19 +91,12 @@ class Lakehouse:
     def mark(self, name: str) -> int:
         return mark_of(self.control.read(), name).first()[0]
 
-    def start_flow(self, name: str, run_ts: Column) -> None:
-        """Give a flow its first mark; one that has a mark keeps it."""
-        control = self.control.read()
-        first = first_mark(self.spark, name, run_ts)
-        new = insert_absent(control, first, ["pipeline_name"]).join(
-            control.select("pipeline_name"), "pipeline_name", "left_anti"
-        )
-        if not new.isEmpty():
-            self.control.commit(new, run_ts)
-
     def advance(self, name: str, processed: DataFrame, run_ts: Column) -> None:
-        moved = advance_mark(self.control.read(), name, processed, run_ts)
-        self.control.commit(moved.filter(F.col("pipeline_name") == name), run_ts)
+        """Move a flow's mark; a flow without one is given its first mark before."""
+        first = first_mark(self.spark, name, run_ts)
+        control = insert_absent(self.control.read(), first, ["pipeline_name"], null_keys=False)
+        mine = control.filter(F.col("pipeline_name") == name)
+        self.control.commit(advance_mark(mine, name, processed, run_ts), run_ts)
 
     # -- steps -----------------------------------------------------------------
 
@@ -129,7 +124,6 @@ class Lakehouse:
     def to_silver(self, run_ts: Column) -> None:
         """Merge new Bronze rows into Silver; rows that are not valid go to quarantine."""
         config = self.config
-        self.start_flow(SILVER_FLOW, run_ts)
         rows, done = self.new_bronze()
         valid, rejected = split_valid(rows)
         if config.quality == "enforce":
@@ -159,7 +153,6 @@ class Lakehouse:
         The range of versions is fixed at the start, so a Silver commit made meanwhile is
         neither half processed nor marked as done.
         """
-        self.start_flow(GOLD_FLOW, run_ts)
         low, high = self.mark(GOLD_FLOW), self.silver.last_version()
         if high <= low:
             return
@@ -176,7 +169,7 @@ class Lakehouse:
         self.advance(GOLD_FLOW, feed.filter(F.col(CHANGE).isin(NEW_IMAGES)), run_ts)
 
     def _refresh_daily(self, feed: DataFrame, run_ts: Column) -> None:
-        groups = gold.affected_groups(feed, self.config.stale)
+        groups = pin(gold.affected_groups(feed, self.config.stale), "groups")
         first, last = groups.agg(F.min("event_date"), F.max("event_date")).first()
         if first is None:
             return

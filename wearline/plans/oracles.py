@@ -58,9 +58,8 @@ def _log(rows: str, key: str, version: str, ts: str, columns: str) -> str:
 
 
 _CV_DAY = "TIMESTAMP '2024-01-01 00:00:00' + CAST(cv AS INT) * INTERVAL 1 DAY"
-_MLOG = f"{_MACHINES}, log AS " + _log(
-    "versions", "udi", "batch_no", _CV_DAY, f"udi, reading, {_REST}"
-).replace(", batch_no", "")
+_STATE = f"udi, reading, {_REST}".replace(", batch_no", "")
+_MLOG = f"{_MACHINES}, log AS " + _log("versions", "udi", "batch_no", _CV_DAY, _STATE)
 _PLOG = (
     f"{_MACHINES}, made AS (SELECT udi, product_id, batch_no, {DAY} AS prediction_ts, {PREDICTED}, "
     f"{IDENTITY}, CAST(0.5 AS DOUBLE) AS prediction_score FROM versions), plog AS "
@@ -103,7 +102,6 @@ def _newest(rows: str, key: str, order: str, columns: str, where: str = "TRUE")
 
 
 _IMAGES = "_change_type IN ('insert', 'update_postimage')"
-_STATE = f"udi, reading, {_REST}".replace(", batch_no", "")
 
 
 def _machine_state(where: str) -> str:
@@ -230,7 +228,23 @@ _PAIRS = (
     + ", g.model_name, g.model_version"
 )
 
-ORACLES = {
+def _dates_as_text(sql: str, *columns: str) -> str:
+    texts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in columns)
+    return f"SELECT * REPLACE ({texts}) FROM ({sql}) dated"
+
+
+_DATED = {
+    "event_date": [
+        *["q_truncate_reload", "q_silver_projection", "q_daily_agg", "q_features_of_feed"],
+        *["q_affected_groups", "q_daily_incremental", "q_daily_recompute_moved"],
+        *["q_changed_machines", "q_latest_per_key", "q_upsert_1key", "q_change_feed"],
+        *["q_changes_from", "q_changes_between", "q_changes_above_mark", "q_as_of_version"],
+        *["q_as_of_timestamp", "q_failed_as_of_version", "q_state_before_first_failure"],
+        *["q_flow_daily", "q_flow_daily_moved"],
+    ],
+    "ingestion_date": ["q_bronze_append"],
+}
+_RESULTS = {
     "q_raw_scan": f"WITH {_SENSORS} SELECT {RAW} FROM sensors",
     "q_raw_scan_sniffed": f"WITH {_SENSORS} SELECT {RAW} FROM sensors",
     "q_bronze_append": f"WITH {_SENSORS} SELECT d.day AS ingestion_date, COUNT(udi) AS n_rows, "
@@ -404,3 +418,8 @@ ORACLES = {
     + _audit("(SELECT *, event_date AS log_ts FROM final) x")
     + ") a) SELECT runs.*, q.quarantined FROM runs, q",
 }
+
+# Engines hand dates to a comparison in different forms, so they are compared as text.
+ORACLES = _RESULTS | {
+    name: _dates_as_text(_RESULTS[name], column) for column, names in _DATED.items() for name in names
+}

@@ -25,7 +25,7 @@ from wearline.schemas import (
     failure_columns,
     with_labels,
 )
-from wearline.session import as_ts, scratch
+from wearline.session import as_ts, pin, scratch
 from wearline.sources.driver_tables import (
     LINE_KEY,
     MACHINE_KEY,
@@ -269,17 +269,17 @@ def affected_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _refreshed(spark: SparkSession, sf_dir: str, stale: str) -> DataFrame:
     """Daily aggregates of the early versions, then refreshed by the late ones."""
-    log = machine_log(spark, sf_dir)
-    feed = changes.changes_between(log, HALF - 1, 29)
+    feed = changes.changes_between(machine_log(spark, sf_dir), HALF - 1, 29)
     before = machine_features(spark, sf_dir, -1, HALF - 1)
-    after = upsert(before, machine_features(spark, sf_dir, HALF - 1, 29), ["udi"], assume_unique=True)
-    groups = gold.affected_groups(feed, stale)
-    fresh = gold.refresh_groups(after, groups)
+    newer = machine_features(spark, sf_dir, HALF - 1, 29)
+    after = upsert(before, newer, ["udi"], assume_unique=True, null_keys=False)
+    groups = pin(gold.affected_groups(feed, stale), "groups")
+    fresh = pin(gold.refresh_groups(after, groups), "refreshed")
     state = gold.daily(before)
     if stale == "recompute":
         gone = gold.emptied_groups(groups, fresh)
         state = state.join(gone, GROUP_KEYS, "left_anti")
-    return rounded(upsert(state, fresh, GROUP_KEYS, assume_unique=True))
+    return rounded(upsert(state, fresh, GROUP_KEYS, assume_unique=True, null_keys=False))
 
 
 def daily_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -391,43 +391,45 @@ def newest_per_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def newest_per_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_per_key(table(spark, sf_dir, "lineitem"), LINE_KEY, ["l_shipdate"])
+    return latest_per_key(table(spark, sf_dir, "lineitem"), LINE_KEY, ["l_shipdate"], null_keys=False)
 
 
 def upsert_1key(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = machine_versions(spark, sf_dir)
     target, source = (
-        latest_per_key(part, MACHINE_KEY, ["batch_no"]) for part in (early(rows), late(rows))
+        latest_per_key(part, MACHINE_KEY, ["batch_no"], null_keys=False) for part in (early(rows), late(rows))
     )
-    return upsert(target, source, MACHINE_KEY)
+    return upsert(target, source, MACHINE_KEY, null_keys=False)
 
 
 def upsert_2key(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_versions(spark, sf_dir)
     new = F.col("version") >= 4
     target, source = (
-        latest_per_key(rows.filter(part), LINE_KEY, ["version"]) for part in (~new, new)
+        latest_per_key(rows.filter(part), LINE_KEY, ["version"], null_keys=False) for part in (~new, new)
     )
-    return upsert(target, source, LINE_KEY)
+    return upsert(target, source, LINE_KEY, null_keys=False)
 
 
 def upsert_3key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions of the late rows merged into those of the early rows."""
     rows = machine_versions(spark, sf_dir)
     target, source = (
-        predicted(latest_per_key(part, MACHINE_KEY, ["batch_no"])).drop(
+        predicted(latest_per_key(part, MACHINE_KEY, ["batch_no"], null_keys=False)).drop(
             "prediction_ts", "_pred_loaded_ts"
         )
         for part in (early(rows), late(rows))
     )
-    return upsert(target, source, PREDICTION_KEYS)
+    return upsert(target, source, PREDICTION_KEYS, null_keys=False)
 
 
 def insert_absent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_versions(spark, sf_dir)
     target = rows.filter(F.col("version") == 0)
-    source = latest_per_key(rows.filter(F.col("version") > 0), LINE_KEY, ["version"])
-    return insert_absent(target, source, LINE_KEY)
+    source = latest_per_key(
+        rows.filter(F.col("version") > 0), LINE_KEY, ["version"], null_keys=False
+    )
+    return insert_absent(target, source, LINE_KEY, null_keys=False)
 
 
 def touch_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -478,12 +480,12 @@ def changes_above(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def as_of_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changes.as_of_version(machine_log(spark, sf_dir), MACHINE_KEY, 9)
+    return changes.as_of_version(machine_log(spark, sf_dir), MACHINE_KEY, 9, null_keys=False)
 
 
 def as_of_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     moment = F.lit("2024-01-20 12:00:00").cast("timestamp_ntz")
-    return changes.as_of_timestamp(machine_log(spark, sf_dir), MACHINE_KEY, moment)
+    return changes.as_of_timestamp(machine_log(spark, sf_dir), MACHINE_KEY, moment, null_keys=False)
 
 
 def failed_as_of_version(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -495,20 +497,22 @@ def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = machine_versions(spark, sf_dir)
     made = gold.rule_predictions(rows, day_ts("batch_no"), also=["batch_no"])
     return changes.log_of_versions(
-        made.drop("_pred_loaded_ts"), PREDICTION_KEYS, "batch_no", day_ts("batch_no")
+        made.drop("_pred_loaded_ts"), PREDICTION_KEYS, "batch_no", day_ts("batch_no"), null_keys=False
     )
 
 
 def failures_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     moment = F.lit("2024-01-11 00:00:00").cast("timestamp_ntz")
-    state = changes.as_of_timestamp(prediction_log(spark, sf_dir), PREDICTION_KEYS, moment)
+    state = changes.as_of_timestamp(prediction_log(spark, sf_dir), PREDICTION_KEYS, moment, null_keys=False)
     return state.filter(audit.any_failure())
 
 
 def state_before_first_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Machines as they stood when the baseline first flagged a speed failure."""
     made = changes.new_images(prediction_log(spark, sf_dir)).filter(F.col("pred_osf") == 1)
-    return audit.state_before_first_failure(machine_log(spark, sf_dir), MACHINE_KEY, made)
+    return audit.state_before_first_failure(
+        machine_log(spark, sf_dir), MACHINE_KEY, made, null_keys=False
+    )
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -520,7 +524,7 @@ def line_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changes.as_of_version(line_log(spark, sf_dir), LINE_KEY, 4)
+    return changes.as_of_version(line_log(spark, sf_dir), LINE_KEY, 4, null_keys=False)
 
 
 def _committed_lines(spark: SparkSession, sf_dir: str) -> VersionedTable:
@@ -528,7 +532,7 @@ def _committed_lines(spark: SparkSession, sf_dir: str) -> VersionedTable:
     rows = line_versions(spark, sf_dir)
     path = scratch(spark, "lines")
     schema = rows.drop("version").schema
-    lines = VersionedTable(spark, path, schema, LINE_KEY, snapshot_every=3)
+    lines = VersionedTable(spark, path, schema, LINE_KEY, snapshot_every=3, null_keys=False)
     for version in range(7):
         part = rows.filter(F.col("version") == version).drop("version")
         lines.commit(part, as_ts(f"2024-01-0{version + 1} 00:00:00"))
@@ -596,7 +600,7 @@ def model_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = features(spark, sf_dir)
     ts = as_ts(DAY1)
     scored = learn.score(_fitted(rows, rounds=1), rows, ts)
-    both = upsert(gold.rule_predictions(rows, ts), scored, PREDICTION_KEYS, assume_unique=True)
+    both = upsert(gold.rule_predictions(rows, ts), scored, PREDICTION_KEYS, assume_unique=True, null_keys=False)
     return both.groupBy("model_name", "model_version").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("udi").alias("n_machines"),

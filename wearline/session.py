@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def local_session(cpus: int | str = 8, **conf: str) -> SparkSession:
@@ -19,6 +20,7 @@ def local_session(cpus: int | str = 8, **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in conf.items():
@@ -56,13 +58,22 @@ def as_ts(value: Column | datetime | str | None) -> Column:
     return F.lit(value).cast("timestamp")
 
 
-def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """``df`` marked for broadcast when it has at most ``max_rows`` rows, else ``None``.
+def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    """Empty frame that the optimizer knows to be empty."""
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(1).select(*nulls).filter(F.lit(False))
+
+
+def pin(df: DataFrame, label: str = "pinned") -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
 
-    Cut by ``checkpoint`` first, so the counted rows are the ones that are broadcast.
+    Cuts the lineage, survives lost executors, and tells the planner the true size.
     """
-    shared_dir(df.sparkSession)
-    fixed = df.checkpoint()
-    if fixed.limit(max_rows + 1).count() > max_rows:
-        return None
-    return F.broadcast(fixed)
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame | None:
+    """A pinned ``df`` marked for broadcast if it has at most ``max_rows`` rows, else ``None``."""
+    return None if df.limit(max_rows + 1).count() > max_rows else F.broadcast(df)

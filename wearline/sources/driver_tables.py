@@ -65,7 +65,7 @@ def machine_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = valid_sensors(spark, sf_dir).withColumn("reading", F.col("udi"))
     machine = F.substring("product_id", 2, 20).cast("int")
     return latest_per_key(
-        rows.withColumn("udi", machine), ["udi", "batch_no"], ["log_ts", "reading"]
+        rows.withColumn("udi", machine), ["udi", "batch_no"], ["log_ts", "reading"], null_keys=False
     )
 
 
@@ -77,7 +77,9 @@ def day_ts(version: str) -> F.Column:
 def machine_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change log of the machine table, one version per day."""
     rows = machine_versions(spark, sf_dir)
-    return log_of_versions(rows, MACHINE_KEY, "batch_no", day_ts("batch_no"))
+    return log_of_versions(
+        rows, MACHINE_KEY, "batch_no", day_ts("batch_no"), null_keys=False
+    )
 
 
 def line_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,8 +87,9 @@ def line_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").withColumn(
         "version", F.year("l_shipdate") - FIRST_YEAR
     )
-    return latest_per_key(rows, [*LINE_KEY, "version"], ["l_shipdate"])
+    return latest_per_key(rows, [*LINE_KEY, "version"], ["l_shipdate"], null_keys=False)
 
 
 def line_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return log_of_versions(line_versions(spark, sf_dir), LINE_KEY, "version", day_ts("version"))
+    rows = line_versions(spark, sf_dir)
+    return log_of_versions(rows, LINE_KEY, "version", day_ts("version"), null_keys=False)

@@ -26,6 +26,7 @@ from wearline.operators.changes import (
     deletions,
 )
 from wearline.schemas import conform
+from wearline.session import no_rows
 
 COMMITS = T.StructType(
     [
@@ -42,7 +43,10 @@ COMMITS = T.StructType(
 
 
 class VersionedTable:
-    """A table with upserts, a change feed and reads of past versions."""
+    """A table with upserts, a change feed and reads of past versions.
+
+    ``null_keys=False`` promises that no row lacks a key.
+    """
 
     def __init__(
         self,
@@ -52,10 +56,11 @@ class VersionedTable:
         keys: Sequence[str],
         snapshot_every: int = 8,
         partition_by: Sequence[str] = (),
+        null_keys: bool = True,
     ) -> None:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.keys, self.snapshot_every = list(keys), snapshot_every
-        self.partition_by = list(partition_by)
+        self.partition_by, self.null_keys = list(partition_by), null_keys
         self._log_schema = T.StructType(
             [
                 *schema.fields,
@@ -64,7 +69,7 @@ class VersionedTable:
                 T.StructField(VERSION, T.LongType()),
             ]
         )
-        spark.createDataFrame([], COMMITS).write.mode("ignore").parquet(f"{self.path}/commits")
+        no_rows(spark, COMMITS).write.mode("ignore").parquet(f"{self.path}/commits")
 
     # -- reading ---------------------------------------------------------------
 
@@ -74,7 +79,15 @@ class VersionedTable:
 
     def last_version(self) -> int:
         """Newest version, -1 before the first commit."""
-        return self.history().agg(F.coalesce(F.max(VERSION), F.lit(-1))).first()[0]
+        return self._heads()[0]
+
+    def _heads(self, version: int | None = None) -> tuple[int, int]:
+        """Newest version, and the newest snapshot at or below ``version``; -1 for none."""
+        with_state = F.col("has_state")
+        if version is not None:
+            with_state = with_state & (F.col(VERSION) <= version)
+        row = self.history().agg(F.max(VERSION), F.max(F.when(with_state, F.col(VERSION)))).first()
+        return tuple(-1 if v is None else v for v in row)
 
     def version_at(self, ts: Column) -> int:
         """Newest version committed at or before ``ts``; an earlier time is an error."""
@@ -86,10 +99,12 @@ class VersionedTable:
     def changes(self, start: int = 0, end: int | None = None) -> DataFrame:
         """Feed of versions ``start`` to ``end``; only the folders of these are read."""
         last = self.last_version()
-        stop = last if end is None else min(end, last)
-        folders = [f"{self.path}/changes/{VERSION}={v}" for v in range(max(start, 0), stop + 1)]
+        return self._changes(start, last if end is None else min(end, last))
+
+    def _changes(self, start: int, end: int) -> DataFrame:
+        folders = [f"{self.path}/changes/{VERSION}={v}" for v in range(max(start, 0), end + 1)]
         if not folders:
-            return self.spark.createDataFrame([], self._log_schema)
+            return no_rows(self.spark, self._log_schema)
         reader = self.spark.read.schema(self._log_schema)
         return reader.option("basePath", f"{self.path}/changes").parquet(*folders)
 
@@ -98,21 +113,19 @@ class VersionedTable:
 
         The closest snapshot at or below it, with the commits in between applied.
         """
-        last = self.last_version()
-        wanted = last if version is None else version
+        last, base = self._heads(version)
         if version is not None and not 0 <= version <= last:
             raise ValueError(f"version {version} is not in 0..{last}")
-        usable = self.history().filter(F.col("has_state") & (F.col(VERSION) <= wanted))
-        base = usable.agg(F.coalesce(F.max(VERSION), F.lit(-1))).first()[0]
-        state = (
-            self._read_state(base)
-            if base >= 0
-            else self.spark.createDataFrame([], self.schema)
-        )
-        if base == wanted:
+        return self._read(base, last if version is None else version)
+
+    def _read(self, base: int, version: int) -> DataFrame:
+        if base < 0:
+            state = no_rows(self.spark, self.schema)
+        else:
+            state = self._read_state(base)
+        if base == version:
             return state
-        later = self.changes(base + 1, wanted)
-        return apply_changes(state, later, self.keys)
+        return apply_changes(state, self._changes(base + 1, version), self.keys, self.null_keys)
 
     def read_at(self, ts: Column) -> DataFrame:
         """Table as it stood at ``ts``."""
@@ -147,14 +160,22 @@ class VersionedTable:
         """
         if writer is not None and self._has_batch(writer, batch):
             return self.last_version()
-        version = self.last_version() + 1
-        before, incoming = self.read(), conform(source, self.schema)
+        last, base = self._heads()
+        version = last + 1
+        before, incoming = self._read(base, last), conform(source, self.schema)
         near = before
         if version > 0:
             incoming = self._stage(incoming)
             near = before.filter(self._key_range(incoming))
         rows = change_rows(
-            near, incoming, self.keys, update_cols, skip_unchanged, stamp_cols, assume_unique
+            near,
+            incoming,
+            self.keys,
+            update_cols,
+            skip_unchanged,
+            stamp_cols,
+            assume_unique,
+            self.null_keys,
         )
         if gone is not None:
             rows = rows.unionByName(deletions(before, gone, self.keys))
@@ -208,9 +229,7 @@ class VersionedTable:
 
         Keys are unique but for NULL ones; a row hash spreads those over several files.
         """
-        path = f"{self.path}/changes/{VERSION}={version}"
-        reader = self.spark.read.schema(self._log_schema).option("basePath", f"{self.path}/changes")
-        state = apply_changes(before, reader.parquet(path), self.keys)
+        state = apply_changes(before, self._changes(version, version), self.keys, self.null_keys)
         if self.partition_by:
             state = state.hint("rebalance", *self.partition_by)
         else:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from wearline.operators.quality import silver_rows, split_valid
 from wearline.operators.upsert import latest_per_key
-from wearline.schemas import snake_case
+from wearline.schemas import SILVER_INPUT, snake_case
 from wearline.sources.files import text_schema, with_arrival
 from wearline.sources.tables import VersionedTable
 
@@ -102,5 +102,6 @@ def drain_to_table(
 
 def newest_silver(batch: DataFrame, run_ts: Column, order: Sequence[str] = ("log_ts",)) -> DataFrame:
     """Valid rows of a raw micro-batch, the newest per machine, as Silver rows."""
-    valid, _ = split_valid(batch)
+    also = [c for c in order if c not in SILVER_INPUT.names]
+    valid, _ = split_valid(batch, also=also)
     return silver_rows(latest_per_key(valid, ["udi"], list(order)), run_ts)
