@@ -33,8 +33,14 @@ PREDICTION_HISTORY = [
 
 
 def change_history(log: DataFrame, columns: list[str], start: int = 0) -> DataFrame:
-    """Feed by version and key. The change type splits rows of one key and commit."""
-    return changes(log, start).select(*columns).orderBy(VERSION, "udi", CHANGE)
+    """Feed by version and key.
+
+    The other columns are sorted on last: rows of one commit without a key would else be
+    equal, and equal sort keys cannot be split over range partitions.
+    """
+    lead = [VERSION, "udi", CHANGE]
+    rest = [c for c in columns if c not in lead]
+    return changes(log, start).select(*columns).orderBy(*lead, *rest)
 
 
 def any_failure() -> Column:

@@ -1,7 +1,7 @@
 """Change feed: rows a commit adds to the log, and tables read back from that log.
 
 A log holds the table's columns plus ``_change_type``, ``_commit_version`` and
-``_commit_timestamp``.
+``_commit_timestamp``. A commit holds at most one new image per key.
 """
 
 from __future__ import annotations
@@ -135,7 +135,7 @@ def new_images(log: DataFrame) -> DataFrame:
 
 def _state(log: DataFrame, keys: Sequence[str], null_keys: bool) -> DataFrame:
     images = log.filter(F.col(CHANGE).isin(INSERT, AFTER, DELETE))
-    last = latest_per_key(images, keys, [VERSION], null_keys)
+    last = latest_per_key(images, keys, [VERSION], null_keys, ties=False)
     return last.filter(F.col(CHANGE) != DELETE).drop(*META)
 
 
@@ -168,7 +168,7 @@ def apply_changes(
     whole, without = split_null_keys(images, keys, null_keys)
     tgt, tgt_null = split_null_keys(state, keys, null_keys)
     kept = tgt.join(whole.select(*keys), list(keys), "left_anti").select(*state.columns)
-    last = latest_per_key(whole, keys, [VERSION], null_keys=False)
+    last = latest_per_key(whole, keys, [VERSION], null_keys=False, ties=False)
     last = last.filter(F.col(CHANGE) != DELETE)
     fresh = None if without is None else without.select(*state.columns)
     return _union(kept, last.select(*state.columns), tgt_null, fresh)

@@ -38,15 +38,21 @@ def _union(first: DataFrame, *rest: DataFrame | None) -> DataFrame:
 
 
 def latest_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], null_keys: bool = True
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    null_keys: bool = True,
+    ties: bool = True,
 ) -> DataFrame:
     """One row per key: largest ``order``, ties settled by the remaining columns.
 
+    ``ties=False`` leaves these out, for an ``order`` that has no ties within a key.
+
     A rank filtered to 1 is limited in each task before the shuffle too, so a key that
     holds a large share of the rows sends one row per task. Rows with a NULL key stay.
     """
     whole, without = split_null_keys(df, keys, null_keys)
-    rest = [c for c in df.columns if c not in keys and c not in order]
+    rest = [c for c in df.columns if ties and c not in keys and c not in order]
     newest_first = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in [*order, *rest]])
     ranked = whole.withColumn("_rank", F.row_number().over(newest_first))
     return _union(ranked.filter(F.col("_rank") == 1).drop("_rank"), without)

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wearline.functions.rules import QUALITY_RULES
-from wearline.operators import gold
-from wearline.operators.changes import CHANGE, NEW_IMAGES, VERSION
+from wearline.operators import gold, learn
+from wearline.operators.changes import VERSION, new_images
 from wearline.operators.control import GOLD_FLOW, advance_mark, first_mark, mark_of
 from wearline.operators.layout import clustered
 from wearline.operators.quality import (
@@ -157,16 +157,13 @@ class Lakehouse:
         if high <= low:
             return
         feed = self.silver.changes(low + 1, high)
-        fresh = gold.feature_rows(feed, run_ts)
-        self.features.commit(fresh, run_ts, assume_unique=True)
+        version = self.features.commit(gold.feature_rows(feed, run_ts), run_ts, assume_unique=True)
         self._refresh_daily(feed, run_ts)
-        # The features of the changed machines are the rows just merged, so the feature
+        # The features of the changed machines are the images just committed, so the feature
         # table is not read again to find them. Rows without a machine are not predicted.
-        changed = fresh.filter(F.col("udi").isNotNull())
-        self.predictions.commit(
-            gold.rule_predictions(changed, run_ts), run_ts, assume_unique=True
-        )
-        self.advance(GOLD_FLOW, feed.filter(F.col(CHANGE).isin(NEW_IMAGES)), run_ts)
+        changed = new_images(self.features.changes(version, version)).filter(F.col("udi").isNotNull())
+        self.predictions.commit(gold.rule_predictions(changed, run_ts), run_ts, assume_unique=True)
+        self.advance(GOLD_FLOW, new_images(feed), run_ts)
 
     def _refresh_daily(self, feed: DataFrame, run_ts: Column) -> None:
         groups = pin(gold.affected_groups(feed, self.config.stale), "groups")
@@ -180,6 +177,33 @@ class Lakehouse:
             gone = gold.emptied_groups(groups, refreshed)
         self.daily.commit(gold.daily_rows(refreshed, run_ts), run_ts, assume_unique=True, gone=gone)
 
+    def train(self, model_path: str, **settings) -> DataFrame:
+        """Fit the five models on the feature table, save them, and return F1 per label."""
+        rows = self.features.read()
+        train, test = learn.stratified_split(rows, "machine_failure", "udi")
+        model = learn.fit(train, **settings)
+        learn.save(model, model_path)
+        scores = pin(learn.evaluate(model, test), "f1")
+        scores.write.mode("overwrite").parquet(f"{model_path.rstrip('/')}_metrics")
+        return scores
+
+    def score(self, model_path: str, run_ts: Column) -> int:
+        """Merge predictions of the saved models for every feature row."""
+        rows = self.features.read().filter(F.col("udi").isNotNull())
+        scored = learn.score(learn.load(model_path), rows, run_ts)
+        return self.predictions.commit(scored, run_ts, assume_unique=True)
+
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Temporary views for SQL: each table, and ``<table>_changes`` for its feed."""
+        tables = ["silver", "quarantine", "features", "daily", "predictions", "control"]
+        names = []
+        for name in tables:
+            table: VersionedTable = getattr(self, name)
+            for view, rows in ((name, table.read()), (f"{name}_changes", table.changes())):
+                rows.createOrReplaceTempView(prefix + view)
+                names.append(prefix + view)
+        return names
+
     def cluster(self, name: str, files: int | None = None) -> str:
         """Write a clustered copy of a table's newest state for readers; no new version."""
         table: VersionedTable = getattr(self, name)
