@@ -7,7 +7,6 @@ import argparse
 from pyspark.sql import SparkSession
 
 from wearline.plans.medallion import Config, Lakehouse
-from wearline.session import as_ts
 from wearline.streaming import ingest
 
 
@@ -43,13 +42,13 @@ def main() -> None:
         ingest.drain_to_bronze(rows, f"{args.root}/bronze_stream", args.checkpoint)
         return
     options = {"quality": args.quality, "stale": args.stale} if args.step == "run" else {}
-    lake, now = Lakehouse(spark, Config(args.root, **options)), as_ts(None)
+    lake = Lakehouse(spark, Config(args.root, **options))
     if args.step == "run":
-        lake.run(args.source, now)
+        lake.run(args.source)
     elif args.step == "train":
         lake.train(args.model).show()
     else:
-        lake.score(args.model, now)
+        lake.score(args.model)
 
 
 if __name__ == "__main__":

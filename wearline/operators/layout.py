@@ -77,7 +77,11 @@ def clustered(
         relativeError=1 / 2 ** (bits + 1),
         handleInvalid="keep",
     ).fit(numbered.select(*names))
-    placed = buckets.transform(numbered).withColumn("_z", z_value([F.col(i) for i in ids], bits))
+    # Few distinct values give few buckets; spread them so that both columns fill all bits.
+    # NULLs get a bucket of their own behind the others.
+    counts = [len(splits) for splits in buckets.getSplitsArray()]
+    spread = [F.floor(F.col(i) * 2**bits / n) for i, n in zip(ids, counts)]
+    placed = buckets.transform(numbered).withColumn("_z", z_value(spread, bits))
     order = ["_z", *columns, F.xxhash64(*df.columns)]
     ranged = (
         placed.repartitionByRange(*order) if files is None else placed.repartitionByRange(files, *order)

@@ -33,7 +33,7 @@ from wearline.schemas import (
     QUARANTINE,
     SILVER,
 )
-from wearline.session import pin
+from wearline.session import Moment, as_ts, pin
 from wearline.sources.files import append_bronze, read_bronze, read_raw
 from wearline.sources.tables import VersionedTable
 
@@ -100,7 +100,7 @@ class Lakehouse:
 
     # -- steps -----------------------------------------------------------------
 
-    def ingest(self, source: str, run_ts: Column) -> None:
+    def ingest(self, source: str, run_ts: Moment = None) -> None:
         append_bronze(read_raw(self.spark, source, run_ts, self.config.separator), self.bronze)
 
     def new_bronze(self) -> tuple[DataFrame, DataFrame]:
@@ -121,9 +121,9 @@ class Lakehouse:
         rows = bronze.filter(arrived <= high) if high is not None else bronze.limit(0)
         return rows.drop("ingestion_date"), done
 
-    def to_silver(self, run_ts: Column) -> None:
+    def to_silver(self, run_ts: Moment = None) -> None:
         """Merge new Bronze rows into Silver; rows that are not valid go to quarantine."""
-        config = self.config
+        config, run_ts = self.config, as_ts(run_ts)
         rows, done = self.new_bronze()
         valid, rejected = split_valid(rows)
         if config.quality == "enforce":
@@ -141,18 +141,19 @@ class Lakehouse:
         )
         self.advance(SILVER_FLOW, done, run_ts)
 
-    def check_quality(self, run_ts: Column) -> None:
-        audit_rows(self.silver.read(), run_ts).write.mode("append").parquet(self.audits)
+    def check_quality(self, run_ts: Moment = None) -> None:
+        audit_rows(self.silver.read(), as_ts(run_ts)).write.mode("append").parquet(self.audits)
 
     def quality_audit(self) -> DataFrame:
         return self.spark.read.schema(AUDIT).parquet(self.audits)
 
-    def to_gold(self, run_ts: Column) -> None:
+    def to_gold(self, run_ts: Moment = None) -> None:
         """Bring features, daily aggregates and rule predictions up to the newest Silver.
 
         The range of versions is fixed at the start, so a Silver commit made meanwhile is
         neither half processed nor marked as done.
         """
+        run_ts = as_ts(run_ts)
         low, high = self.mark(GOLD_FLOW), self.silver.last_version()
         if high <= low:
             return
@@ -187,8 +188,9 @@ class Lakehouse:
         scores.write.mode("overwrite").parquet(f"{model_path.rstrip('/')}_metrics")
         return scores
 
-    def score(self, model_path: str, run_ts: Column) -> int:
+    def score(self, model_path: str, run_ts: Moment = None) -> int:
         """Merge predictions of the saved models for every feature row."""
+        run_ts = as_ts(run_ts)
         rows = self.features.read().filter(F.col("udi").isNotNull())
         scored = learn.score(learn.load(model_path), rows, run_ts)
         return self.predictions.commit(scored, run_ts, assume_unique=True)
@@ -211,8 +213,9 @@ class Lakehouse:
         clustered(table.read(), CLUSTERING[name], files).write.mode("overwrite").parquet(path)
         return path
 
-    def run(self, source: str, run_ts: Column) -> None:
+    def run(self, source: str, run_ts: Moment = None) -> None:
         """One whole run over the raw files below ``source``."""
+        run_ts = as_ts(run_ts)
         self.ingest(source, run_ts)
         self.to_silver(run_ts)
         self.check_quality(run_ts)

@@ -49,7 +49,10 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/wearline-{label}-{uuid.uuid4().hex}"
 
 
-def as_ts(value: Column | datetime | str | None) -> Column:
+Moment = Column | datetime | str | None
+
+
+def as_ts(value: Moment = None) -> Column:
     """Run time as a column; ``None`` means now, fixed here so that all uses agree."""
     if value is None:
         return F.lit(datetime.now(timezone.utc))

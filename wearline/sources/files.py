@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wearline.schemas import BRONZE, HEADERS, RAW_FILE, conform, snake_case
+from wearline.session import Moment, as_ts
 
 SEPARATORS = [",", ";", "\t", "|"]
 
@@ -39,7 +40,9 @@ def separator_of(spark: SparkSession, path: str) -> str:
     raise ValueError(f"cannot read {path}: " + " | ".join(tried))
 
 
-def read_raw(spark: SparkSession, path: str, run_ts: Column, sep: str | None = ",") -> DataFrame:
+def read_raw(
+    spark: SparkSession, path: str, run_ts: Moment = None, sep: str | None = ","
+) -> DataFrame:
     """Typed Bronze rows of the raw CSV files below ``path``.
 
     The header is checked against the schema and a value of the wrong type fails the job.
@@ -52,7 +55,7 @@ def read_raw(spark: SparkSession, path: str, run_ts: Column, sep: str | None = "
         .csv(path)
         .withColumn("source_file", F.col("_metadata.file_path"))
     )
-    return conform(with_arrival(snake_case(rows), run_ts), BRONZE)
+    return conform(with_arrival(snake_case(rows), as_ts(run_ts)), BRONZE)
 
 
 def append_bronze(df: DataFrame, path: str) -> None:

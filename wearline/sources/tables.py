@@ -26,7 +26,7 @@ from wearline.operators.changes import (
     deletions,
 )
 from wearline.schemas import conform
-from wearline.session import no_rows
+from wearline.session import Moment, as_ts, no_rows
 
 COMMITS = T.StructType(
     [
@@ -89,9 +89,9 @@ class VersionedTable:
         row = self.history().agg(F.max(VERSION), F.max(F.when(with_state, F.col(VERSION)))).first()
         return tuple(-1 if v is None else v for v in row)
 
-    def version_at(self, ts: Column) -> int:
+    def version_at(self, ts: Moment) -> int:
         """Newest version committed at or before ``ts``; an earlier time is an error."""
-        found = self.history().filter(F.col(COMMIT_TS) <= ts).agg(F.max(VERSION)).first()[0]
+        found = self.history().filter(F.col(COMMIT_TS) <= as_ts(ts)).agg(F.max(VERSION)).first()[0]
         if found is None:
             raise ValueError("the table has no version as old as the given time")
         return found
@@ -127,7 +127,7 @@ class VersionedTable:
             return state
         return apply_changes(state, self._changes(base + 1, version), self.keys, self.null_keys)
 
-    def read_at(self, ts: Column) -> DataFrame:
+    def read_at(self, ts: Moment) -> DataFrame:
         """Table as it stood at ``ts``."""
         return self.read(self.version_at(ts))
 
@@ -144,7 +144,7 @@ class VersionedTable:
     def commit(
         self,
         source: DataFrame,
-        ts: Column,
+        ts: Moment = None,
         update_cols: Sequence[str] | None = None,
         skip_unchanged: bool = False,
         stamp_cols: Sequence[str] = (),
@@ -160,6 +160,7 @@ class VersionedTable:
         """
         if writer is not None and self._has_batch(writer, batch):
             return self.last_version()
+        ts = as_ts(ts)
         last, base = self._heads()
         version = last + 1
         before, incoming = self._read(base, last), conform(source, self.schema)
