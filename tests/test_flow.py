@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from wearline.operators import serving
-from wearline.operators.quality import audit
+from wearline.operators.quality import CAST_REASON, audit
 from wearline.plans.medallion import Config, Lakehouse
-from wearline.schemas import BRONZE, FAILURES, HEADERS, RAW_COLUMNS, with_labels
+from wearline.schemas import BRONZE, FAILURES, HEADERS, RAW_COLUMNS, TEXT_BRONZE, with_labels
 from wearline.session import as_ts, scratch
 from wearline.sources.files import read_bronze, read_raw, separator_of
 from wearline.streaming import ingest
@@ -121,6 +121,23 @@ def test_run_without_new_silver_changes_nothing(lake):
     assert (lake.features.last_version(), lake.daily.last_version()) == before
 
 
+def test_clustered_copy_with_later_changes_is_the_table(lake):
+    for name in ("silver", "features", "predictions"):
+        table = getattr(lake, name).read()
+        copy = lake.read_clustered(name)
+        assert copy.columns == table.columns
+        assert sorted(map(str, copy.collect())) == sorted(map(str, table.collect()))
+
+
+def test_streamed_text_goes_through_the_gate(spark, tmp_path):
+    house = Lakehouse(spark, Config(scratch(spark, "lake"), TEXT_BRONZE, cluster=False))
+    landing = write_files(tmp_path, "a.csv", line(1), line(2, torque="n/a"), bom=False)
+    house.ingest_stream(landing, scratch(spark, "checkpoint"))
+    house.process(DAY1)
+    assert [r.udi for r in house.features.read().collect()] == [1]
+    assert house.quarantine.read().first().error_reason == CAST_REASON
+
+
 def test_views_serve_sql(lake, spark):
     assert "lk_silver_changes" in lake.register_views("lk_")
     row = spark.sql(

@@ -8,7 +8,10 @@ import __spark_entry__ as entry
 from tests.check import differences, duck
 
 # Whole flows and repeated commits take long; test_flow and test_tables cover them.
-SLOW = {"q_flow_daily_moved", "q_flow_audit", "q_committed_state", "q_committed_history"}
+SLOW = {
+    *["q_flow_daily_moved", "q_flow_audit", "q_flow_quality"],
+    *["q_committed_state", "q_committed_history"],
+}
 
 
 @pytest.fixture(scope="module")

@@ -1,4 +1,4 @@
-"""Command line: ``python -m wearline {run,stream,train,score} ...``."""
+"""Command line: ``python -m wearline {run,stream,process,train,score} ...``."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from wearline.plans.medallion import Config, Lakehouse
-from wearline.streaming import ingest
+from wearline.schemas import TEXT_BRONZE
 
 
 def arguments() -> argparse.Namespace:
@@ -17,13 +17,15 @@ def arguments() -> argparse.Namespace:
 
     run = steps.add_parser("run", help="raw files to Gold")
     run.add_argument("--source", required=True)
-    run.add_argument("--quality", choices=["audit", "enforce"], default="audit")
-    run.add_argument("--stale", choices=["keep", "recompute"], default="keep")
+    process = steps.add_parser("process", help="Bronze to Gold")
+    process.add_argument("--text", action="store_true", help="Bronze was filled by 'stream'")
+    for step in (run, process):
+        step.add_argument("--quality", choices=["audit", "enforce"], default="audit")
+        step.add_argument("--stale", choices=["keep", "recompute"], default="keep")
 
     stream = steps.add_parser("stream", help="drain arrived CSV files into Bronze")
     stream.add_argument("--landing", required=True)
     stream.add_argument("--checkpoint", required=True)
-    stream.add_argument("--schema", required=True, help="folder that keeps the stream schema")
     stream.add_argument("--extra", nargs="*", default=[], help="columns added to the files")
 
     for name, text in (("train", "fit the models"), ("score", "merge model predictions")):
@@ -36,15 +38,18 @@ def arguments() -> argparse.Namespace:
 def main() -> None:
     args = arguments()
     spark = SparkSession.builder.appName("wearline").getOrCreate()
-    if args.step == "stream":
-        schema = ingest.stored_schema(spark, args.schema, args.extra)
-        rows = ingest.stream_raw(spark, args.landing, schema)
-        ingest.drain_to_bronze(rows, f"{args.root}/bronze_stream", args.checkpoint)
-        return
-    options = {"quality": args.quality, "stale": args.stale} if args.step == "run" else {}
+    options = {}
+    if args.step in ("run", "process"):
+        options = {"quality": args.quality, "stale": args.stale}
+    if args.step == "process" and args.text:
+        options["bronze_schema"] = TEXT_BRONZE
     lake = Lakehouse(spark, Config(args.root, **options))
     if args.step == "run":
         lake.run(args.source)
+    elif args.step == "process":
+        lake.process()
+    elif args.step == "stream":
+        lake.ingest_stream(args.landing, args.checkpoint, args.extra)
     elif args.step == "train":
         lake.train(args.model).show()
     else:

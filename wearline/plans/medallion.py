@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 
 from wearline.functions.rules import QUALITY_RULES
 from wearline.operators import gold, learn
-from wearline.operators.changes import VERSION, new_images
+from wearline.operators.changes import VERSION, apply_changes, new_images
 from wearline.operators.control import GOLD_FLOW, advance_mark, first_mark, mark_of
 from wearline.operators.layout import clustered
 from wearline.operators.quality import (
@@ -33,9 +34,10 @@ from wearline.schemas import (
     QUARANTINE,
     SILVER,
 )
-from wearline.session import Moment, as_ts, pin
+from wearline.session import Moment, as_ts, no_rows, pin
 from wearline.sources.files import append_bronze, read_bronze, read_raw
 from wearline.sources.tables import VersionedTable
+from wearline.streaming import ingest
 
 # Name of the flow that reads Bronze, and the clustering columns per table.
 SILVER_FLOW = "silver_from_bronze"
@@ -45,6 +47,8 @@ CLUSTERING = {
     "predictions": ["product_id", "prediction_ts"],
 }
 
+_COPIES = T.StructType([T.StructField("version", T.LongType())])
+
 
 @dataclass(frozen=True)
 class Config:
@@ -52,7 +56,8 @@ class Config:
 
     ``quality`` is "audit" (count violations) or "enforce" (fail the load on one).
     ``silver_source`` is "new" (Bronze rows above the mark) or "all" (merge Bronze whole).
-    ``stale`` is "keep" or "recompute", for groups that rows have left.
+    ``stale`` is "keep" or "recompute", for groups that rows have left. Streamed files make
+    a Bronze of text columns, for which ``bronze_schema`` is ``TEXT_BRONZE``.
     """
 
     root: str
@@ -61,7 +66,8 @@ class Config:
     silver_source: str = "new"
     stale: str = "keep"
     skip_unchanged: bool = False
-    snapshot_every: int = 8
+    snapshot_every: int = 64
+    cluster: bool = True
     separator: str | None = ","
 
 
@@ -75,7 +81,9 @@ class Lakehouse:
 
         def keyed(name, schema, keys, partition_by=(), null_keys=False):
             path = f"{root}/{name}"
-            return VersionedTable(spark, path, schema, keys, every, partition_by, null_keys)
+            return VersionedTable(
+                spark, path, schema, keys, every, partition_by=partition_by, null_keys=null_keys
+            )
 
         self.bronze = f"{root}/bronze"
         self.audits = f"{root}/quality_audit"
@@ -206,20 +214,60 @@ class Lakehouse:
                 names.append(prefix + view)
         return names
 
-    def cluster(self, name: str, files: int | None = None) -> str:
-        """Write a clustered copy of a table's newest state for readers; no new version."""
+    def cluster(self, name: str, files: int | None = None, force: bool = False) -> bool:
+        """Write a clustered copy of a table for readers; the table gets no new version.
+
+        A copy is made when the table has a snapshot newer than the last copy, so it is
+        rewritten as seldom as the snapshots are; ``force`` makes one of the newest state.
+        """
         table: VersionedTable = getattr(self, name)
-        path = f"{self.root}/clustered/{name}/version={table.last_version()}"
-        clustered(table.read(), CLUSTERING[name], files).write.mode("overwrite").parquet(path)
-        return path
+        version = table.last_version() if force else table.snapshot_version()
+        if version <= self._clustered_version(name):
+            return False
+        rows = clustered(table.read(version), CLUSTERING[name], files)
+        rows.write.mode("overwrite").parquet(f"{self.root}/clustered/{name}/version={version}")
+        done = self.spark.range(1).select(F.lit(version).cast("bigint").alias("version"))
+        done.write.mode("append").parquet(f"{self.root}/clustered/{name}_copies")
+        return True
+
+    def _clustered_version(self, name: str) -> int:
+        path = f"{self.root}/clustered/{name}_copies"
+        no_rows(self.spark, _COPIES).write.mode("ignore").parquet(path)
+        copies = self.spark.read.schema(_COPIES).parquet(path)
+        return copies.agg(F.coalesce(F.max("version"), F.lit(-1))).first()[0]
+
+    def read_clustered(self, name: str) -> DataFrame:
+        """Newest state of a table: its clustered copy with the later changes applied."""
+        table: VersionedTable = getattr(self, name)
+        version = self._clustered_version(name)
+        if version < 0:
+            return table.read()
+        path = f"{self.root}/clustered/{name}/version={version}"
+        copy = self.spark.read.schema(table.schema).parquet(path)
+        if version == table.last_version():
+            return copy
+        return apply_changes(copy, table.changes(version + 1), table.keys, table.null_keys)
+
+    def ingest_stream(self, landing: str, checkpoint: str, extra: Sequence[str] = ()) -> None:
+        """Append the CSV files that have arrived in ``landing`` to Bronze, as text."""
+        schema = ingest.stored_schema(self.spark, f"{self.root}/stream_schema", extra)
+        stream = ingest.stream_raw(self.spark, landing, schema)
+        ingest.drain_to_bronze(stream, self.bronze, checkpoint)
+
+    def process(self, run_ts: Moment = None) -> None:
+        """Everything behind Bronze."""
+        run_ts = as_ts(run_ts)
+        self.to_silver(run_ts)
+        self.check_quality(run_ts)
+        if self.config.cluster:
+            self.cluster("silver")
+        self.to_gold(run_ts)
+        if self.config.cluster:
+            self.cluster("features")
+            self.cluster("predictions")
 
     def run(self, source: str, run_ts: Moment = None) -> None:
         """One whole run over the raw files below ``source``."""
         run_ts = as_ts(run_ts)
         self.ingest(source, run_ts)
-        self.to_silver(run_ts)
-        self.check_quality(run_ts)
-        self.cluster("silver")
-        self.to_gold(run_ts)
-        self.cluster("features")
-        self.cluster("predictions")
+        self.process(run_ts)

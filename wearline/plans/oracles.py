@@ -240,7 +240,7 @@ _DATED = {
         *["q_changed_machines", "q_latest_per_key", "q_upsert_1key", "q_change_feed"],
         *["q_changes_from", "q_changes_between", "q_changes_above_mark", "q_as_of_version"],
         *["q_as_of_timestamp", "q_failed_as_of_version", "q_state_before_first_failure"],
-        *["q_flow_daily", "q_flow_daily_moved"],
+        *["q_flow_daily", "q_flow_daily_moved", "q_flow_clustered"],
     ],
     "ingestion_date": ["q_bronze_append"],
 }
@@ -409,6 +409,8 @@ _RESULTS = {
     f"SELECT CAST(1 AS BIGINT), * FROM second_run), g AS (SELECT v, udi, product_id, {PREDICTED}, "
     f"{IDENTITY} FROM s) SELECT s.v AS silver_version, g.v AS gold_version, {_PAIRS} FROM s JOIN g "
     "ON s.udi = g.udi AND s.product_id = g.product_id",
+    "q_flow_clustered": f"WITH {_FLOW} SELECT udi, product_id, machine_type, event_date, "
+    f"{MEASURE_LIST}, machine_failure, {LABELS} FROM final",
     "q_flow_quality": f"WITH {_FLOW}, q AS (SELECT COUNT(*) AS quarantined FROM (SELECT DISTINCT "
     f"{RAW}, batch_no < 15 AS half FROM (SELECT CASE WHEN product_id IS NULL THEN NULL ELSE "
     f"CAST(substr(product_id, 2) AS INT) END AS udi, {_REST} FROM sensors WHERE NOT ({VALID})) z) y), "

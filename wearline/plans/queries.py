@@ -529,10 +529,9 @@ def line_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _committed_lines(spark: SparkSession, sf_dir: str) -> VersionedTable:
     """Order lines committed year by year to a stored table."""
-    rows = line_versions(spark, sf_dir)
-    path = scratch(spark, "lines")
+    rows = pin(line_versions(spark, sf_dir), "versions")
     schema = rows.drop("version").schema
-    lines = VersionedTable(spark, path, schema, LINE_KEY, snapshot_every=3, null_keys=False)
+    lines = VersionedTable(spark, scratch(spark, "lines"), schema, LINE_KEY, snapshot_every=3, null_keys=False)
     for version in range(7):
         part = rows.filter(F.col("version") == version).drop("version")
         lines.commit(part, as_ts(f"2024-01-0{version + 1} 00:00:00"))
@@ -618,9 +617,11 @@ def layout_same_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _flow(spark: SparkSession, sf_dir: str, stale: str = "keep") -> Lakehouse:
+def _flow(
+    spark: SparkSession, sf_dir: str, stale: str = "keep", cluster: bool = False
+) -> Lakehouse:
     """Two runs over the readings by machine: the early ones, then the late ones."""
-    lake = Lakehouse(spark, Config(scratch(spark, "lake"), stale=stale))
+    lake = Lakehouse(spark, Config(scratch(spark, "lake"), stale=stale, cluster=cluster))
     rows = by_machine(sensors(spark, sf_dir))
     for portion, day in ((early(rows), DAY1), (late(rows), DAY2)):
         landing = scratch(spark, "landing")
@@ -643,6 +644,12 @@ def flow_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.drop("silver_commit_ts", "gold_commit_ts")
 
 
+def flow_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features read from their clustered copy."""
+    rows = _flow(spark, sf_dir, cluster=True).read_clustered("features")
+    return rows.drop("_gold_loaded_ts", "event_hour")
+
+
 def flow_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit rows of both runs beside the size of the quarantine."""
     lake = _flow(spark, sf_dir)
@@ -724,5 +731,6 @@ QUERIES = {
     "q_flow_daily": flow_daily,
     "q_flow_daily_moved": flow_daily_moved,
     "q_flow_audit": flow_audit,
+    "q_flow_clustered": flow_clustered,
     "q_flow_quality": flow_quality,
 }

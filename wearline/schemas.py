@@ -49,6 +49,9 @@ RAW = _schema(*[(name, kind) for _, name, kind in RAW_FIELDS])
 
 _ARRIVAL = [("ingestion_ts", TS), ("source_file", STRING), ("log_ts", TS)]
 BRONZE = _schema(*[(name, kind) for _, name, kind in RAW_FIELDS], *_ARRIVAL, ("ingestion_date", DATE))
+TEXT_BRONZE = _schema(
+    *[(name, STRING) for _, name, _ in RAW_FIELDS], *_ARRIVAL, ("ingestion_date", DATE)
+)
 SILVER_INPUT = _schema(*[(name, kind) for _, name, kind in RAW_FIELDS], *_ARRIVAL)
 SILVER = T.StructType(
     SILVER_INPUT.fields

@@ -45,7 +45,9 @@ COMMITS = T.StructType(
 class VersionedTable:
     """A table with upserts, a change feed and reads of past versions.
 
-    ``null_keys=False`` promises that no row lacks a key.
+    ``null_keys=False`` promises that no row lacks a key. A snapshot is written once the
+    changes since the last one reach ``snapshot_share`` of the table's rows, so rewriting the
+    table costs a fixed multiple of the rows changed, or after ``snapshot_every`` commits.
     """
 
     def __init__(
@@ -54,12 +56,14 @@ class VersionedTable:
         path: str,
         schema: T.StructType,
         keys: Sequence[str],
-        snapshot_every: int = 8,
+        snapshot_every: int = 64,
+        snapshot_share: float = 0.2,
         partition_by: Sequence[str] = (),
         null_keys: bool = True,
     ) -> None:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.keys, self.snapshot_every = list(keys), snapshot_every
+        self.keys = list(keys)
+        self.snapshot_every, self.snapshot_share = snapshot_every, snapshot_share
         self.partition_by, self.null_keys = list(partition_by), null_keys
         self._log_schema = T.StructType(
             [
@@ -77,6 +81,10 @@ class VersionedTable:
         """One row per commit."""
         return self.spark.read.schema(COMMITS).parquet(f"{self.path}/commits")
 
+    def snapshot_version(self) -> int:
+        """Version of the newest snapshot, -1 when there is none."""
+        return self._heads()[1]
+
     def last_version(self) -> int:
         """Newest version, -1 before the first commit."""
         return self._heads()[0]
@@ -193,7 +201,7 @@ class VersionedTable:
             .parquet(f"{self.path}/changes/{VERSION}={version}")
         )
         n = counts.get
-        snapshot = version % self.snapshot_every == 0
+        snapshot = self._snapshot_is_due(version, base, n)
         if snapshot:
             self._snapshot(before, version)
         row = self.spark.range(1).select(
@@ -225,6 +233,18 @@ class VersionedTable:
             return F.lit(False)
         return F.col(key).between(F.lit(lo), F.lit(hi))
 
+    def _snapshot_is_due(self, version: int, base: int, counts: dict[str, int]) -> bool:
+        if version - base >= self.snapshot_every:
+            return True
+        since = F.when(F.col(VERSION) > base, F.col("rows_inserted") + F.col("rows_updated"))
+        row = self.history().agg(
+            F.coalesce(F.sum(since), F.lit(0)),
+            F.coalesce(F.sum(F.col("rows_inserted") - F.col("rows_deleted")), F.lit(0)),
+        ).first()
+        changed = row[0] + counts["inserted"] + counts["updated"]
+        held = row[1] + counts["inserted"] - counts["deleted"]
+        return changed > self.snapshot_share * held
+
     def _snapshot(self, before: DataFrame, version: int) -> None:
         """Write the state after ``version``, sorted by key.
 
