@@ -186,3 +186,32 @@ def test_small_source_is_broadcast_and_target_not_shuffled(spark):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
     assert "GreaterThanOrEqual(k,0)" in plan and "LessThanOrEqual(k,9)" in plan
+
+
+def test_many_rows_without_a_key_are_spread_over_files(spark):
+    """A third of the rows lacks the key; no file of the snapshot holds them all."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(30_000, numPartitions=4).selectExpr(
+            "IF(id % 3 = 0, NULL, CAST(id AS INT)) k", "concat('a', id) a", "CAST(id AS INT) b"
+        )
+        table = VersionedTable(spark, scratch(spark, "t"), SCHEMA, ["k"])
+        table.commit(rows, as_ts("2024-01-01"))
+        table.commit(rows, as_ts("2024-01-02"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    counts = table.read().groupBy(F.col("k").isNull().alias("lacks")).count().collect()
+    assert {r.lacks: r["count"] for r in counts} == {True: 20_000, False: 20_000}
+    state = spark.read.parquet(f"{table.path}/state/version=1").filter("k IS NULL")
+    per_file = [r.n for r in state.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert sum(per_file) == 20_000 and max(per_file) < 15_000
+
+
+def test_snapshots_follow_the_rows_changed(spark):
+    table = VersionedTable(spark, scratch(spark, "t"), SCHEMA, ["k"], snapshot_share=0.2)
+    table.commit(frame(spark, [(k, "x", 0) for k in range(20)]), as_ts("2024-01-01"))
+    for k in range(5):
+        table.commit(frame(spark, [(k, "y", 1)]), as_ts("2024-01-02"))
+    states = {r[C.VERSION] for r in table.history().filter("has_state").collect()}
+    assert states == {0, 5}
+    assert table.read().filter("b = 1").count() == 5

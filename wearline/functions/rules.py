@@ -48,8 +48,6 @@ def flags(rules: Sequence[Rule], prefix: str = "") -> list[Column]:
     return [F.when(r.predicate, 1).otherwise(0).alias(prefix + r.name) for r in rules]
 
 
-def violation(rules: Sequence[Rule], null_violates: bool = False) -> Column:
+def violation(rules: Sequence[Rule]) -> Column:
     """Name of the first rule a row breaks, NULL when it breaks none."""
-    return F.coalesce(
-        *[F.when(F.coalesce(r.predicate, F.lit(null_violates)), r.name) for r in rules]
-    )
+    return F.coalesce(*[F.when(r.predicate, r.name) for r in rules])

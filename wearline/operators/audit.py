@@ -57,7 +57,8 @@ def audit_pairs(
     """Every new Silver image beside every new prediction image of the same machine.
 
     Both feeds are cut to the columns of the report and to their start versions before the
-    join; a machine with very many versions is left to the adaptive skew join.
+    join. A commit holds one new image per machine, so no machine has more rows on either
+    side than there are commits; rows without a machine match nothing.
     """
     silver = new_images(changes(silver_log, silver_start)).select(
         F.col(VERSION).alias("silver_version"),

@@ -82,7 +82,11 @@ def daily_rows(refreshed: DataFrame, run_ts: Column) -> DataFrame:
 
 
 def of_changed_keys(features: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Feature rows whose key occurs in the feed. NULL keys match nothing."""
+    """Rows whose key occurs in the feed. NULL keys match nothing.
+
+    A feed that is small on disk is broadcast by the planner; with a larger one a hot key of
+    ``features`` is split by the adaptive join.
+    """
     return features.join(feed.select(*keys), list(keys), "left_semi").select(*features.columns)
 
 

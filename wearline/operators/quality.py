@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wearline.functions.rules import QUALITY_RULES, Rule, violation
+from wearline.functions.rules import QUALITY_RULES, Rule
 from wearline.operators.upsert import has_null
 from wearline.schemas import AUDIT, QUARANTINE, SILVER, SILVER_INPUT, conform, require_columns
 
@@ -111,9 +111,15 @@ def audit_rows(df: DataFrame, run_ts: Column) -> DataFrame:
 def enforce(
     df: DataFrame, rules: Sequence[Rule] = QUALITY_RULES, null_violates: bool = False
 ) -> DataFrame:
-    """The same rows; the job that reads them fails on the first row that breaks a rule."""
-    broken = violation(rules, null_violates)
-    message = F.concat(F.lit("row breaks rule "), broken)
-    return df.filter(
-        F.when(broken.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    )
+    """The same rows; the job that reads them fails on the first row that breaks a rule.
+
+    ``null_violates`` makes a rule that cannot be decided count as broken.
+    """
+    checks = [
+        F.when(
+            F.coalesce(rule.predicate, F.lit(null_violates)),
+            F.raise_error(F.lit(f"row breaks rule {rule.name}")).cast("boolean"),
+        )
+        for rule in rules
+    ]
+    return df.filter(F.coalesce(*checks, F.lit(True)))

@@ -20,6 +20,7 @@ from wearline.operators.quality import (
     quarantine_rows,
     silver_rows,
     split_valid,
+    with_event_time,
 )
 from wearline.operators.upsert import insert_absent, latest_per_key
 from wearline.schemas import (
@@ -33,9 +34,10 @@ from wearline.schemas import (
     PREDICTIONS,
     QUARANTINE,
     SILVER,
+    with_labels,
 )
 from wearline.session import Moment, as_ts, no_rows, pin
-from wearline.sources.files import append_bronze, read_bronze, read_raw
+from wearline.sources.files import append_bronze, read_bronze, read_raw, replace
 from wearline.sources.tables import VersionedTable
 from wearline.streaming import ingest
 
@@ -175,7 +177,9 @@ class Lakehouse:
         self.advance(GOLD_FLOW, new_images(feed), run_ts)
 
     def _refresh_daily(self, feed: DataFrame, run_ts: Column) -> None:
-        groups = pin(gold.affected_groups(feed, self.config.stale), "groups")
+        groups = pin(
+            gold.affected_groups(feed, self.config.stale), path=f"{self.root}/work/groups"
+        )
         first, last = groups.agg(F.min("event_date"), F.max("event_date")).first()
         if first is None:
             return
@@ -192,9 +196,7 @@ class Lakehouse:
         train, test = learn.stratified_split(rows, "machine_failure", "udi")
         model = learn.fit(train, **settings)
         learn.save(model, model_path)
-        scores = pin(learn.evaluate(model, test), "f1")
-        scores.write.mode("overwrite").parquet(f"{model_path.rstrip('/')}_metrics")
-        return scores
+        return pin(learn.evaluate(model, test), path=f"{model_path.rstrip('/')}_metrics")
 
     def score(self, model_path: str, run_ts: Moment = None) -> int:
         """Merge predictions of the saved models for every feature row."""
@@ -254,6 +256,12 @@ class Lakehouse:
         stream = ingest.stream_raw(self.spark, landing, schema)
         ingest.drain_to_bronze(stream, self.bronze, checkpoint)
 
+    def load_features(self, source: str, path: str, run_ts: Moment = None) -> None:
+        """Reload a plain feature table straight from raw files, dated by the run time."""
+        rows = read_raw(self.spark, source, run_ts, self.config.separator)
+        columns = [c for c in FEATURES.names if c != "_gold_loaded_ts"]
+        replace(with_labels(with_event_time(rows)).select(*columns), path)
+
     def process(self, run_ts: Moment = None) -> None:
         """Everything behind Bronze."""
         run_ts = as_ts(run_ts)

@@ -235,7 +235,8 @@ def _dates_as_text(sql: str, *columns: str) -> str:
 
 _DATED = {
     "event_date": [
-        *["q_truncate_reload", "q_silver_projection", "q_daily_agg", "q_features_of_feed"],
+        *["q_truncate_reload", "q_loaded_features", "q_silver_projection"],
+        *["q_daily_agg", "q_features_of_feed"],
         *["q_affected_groups", "q_daily_incremental", "q_daily_recompute_moved"],
         *["q_changed_machines", "q_latest_per_key", "q_upsert_1key", "q_change_feed"],
         *["q_changes_from", "q_changes_between", "q_changes_above_mark", "q_as_of_version"],
@@ -256,6 +257,8 @@ _RESULTS = {
     "q_stream_upsert": f"WITH {_MACHINES} SELECT {RAW} FROM "
     + _newest("machines", "udi", "CASE WHEN batch_no < 15 THEN 1 ELSE 0 END, reading DESC", RAW),
     "q_truncate_reload": f"WITH {_VALID} SELECT {FEATURES} FROM valid",
+    "q_loaded_features": f"WITH {_SENSORS} SELECT udi, product_id, machine_type, DATE '2026-04-02' AS "
+    f"event_date, 8 AS event_hour, {MEASURE_LIST}, machine_failure, {LABELS} FROM sensors",
     "q_silver_projection": f"WITH {_VALID} SELECT {RAW}, TIMESTAMP '2026-04-02 08:00:00' AS "
     "ingestion_ts, 'events' AS source_file, log_ts, event_date, event_hour FROM valid",
     "q_quarantine": f"WITH {_SENSORS} SELECT CAST({_JSON} AS VARCHAR) AS raw_payload, "

@@ -171,6 +171,16 @@ def truncate_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- projection and quality gate ---------------------------------------------------
 
 
+def loaded_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feature table reloaded from raw files; the second load replaces the first."""
+    lake, path = Lakehouse(spark, Config(scratch(spark, "lake"))), scratch(spark, "plain")
+    for rows in (early(sensors(spark, sf_dir)), sensors(spark, sf_dir)):
+        landing = scratch(spark, "landing")
+        land_csv(rows, landing)
+        lake.load_features(landing, path, DAY1)
+    return spark.read.parquet(path)
+
+
 def silver_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sensors(spark, sf_dir).select(
         *RAW_COLUMNS, F.lit(DAY1).alias("ingestion_ts"), F.lit("events").alias("source_file"), "log_ts"
@@ -666,6 +676,7 @@ QUERIES = {
     "q_stream_evolved": stream_evolved,
     "q_stream_upsert": stream_upsert,
     "q_truncate_reload": truncate_reload,
+    "q_loaded_features": loaded_features,
     "q_silver_projection": silver_projection,
     "q_quarantine": quarantine,
     "q_quarantine_bad_cast": quarantine_bad_cast,

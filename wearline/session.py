@@ -67,13 +67,13 @@ def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.range(1).select(*nulls).filter(F.lit(False))
 
 
-def pin(df: DataFrame, label: str = "pinned") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def pin(df: DataFrame, label: str = "pinned", path: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder, or over ``path``, and read it back.
 
     Cuts the lineage, survives lost executors, and tells the planner the true size.
     """
-    path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
+    path = path or scratch(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -65,7 +65,11 @@ def machine_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = valid_sensors(spark, sf_dir).withColumn("reading", F.col("udi"))
     machine = F.substring("product_id", 2, 20).cast("int")
     return latest_per_key(
-        rows.withColumn("udi", machine), ["udi", "batch_no"], ["log_ts", "reading"], null_keys=False
+        rows.withColumn("udi", machine),
+        ["udi", "batch_no"],
+        ["log_ts", "reading"],
+        null_keys=False,
+        ties=False,
     )
 
 
