@@ -448,9 +448,9 @@ def touch_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.to_json(F.struct("product_id", "machine_type"), {"ignoreNullFields": "false"})
 
     def rejects(part: DataFrame, note: str, day: str) -> DataFrame:
-        return part.select(payload.alias("raw_payload"), F.lit("missing").alias("error_reason")).distinct().select(
-            "*", F.lit(note).alias("note"), F.lit(day).cast("timestamp_ntz").alias("_quarantine_ts")
-        )
+        reason, seen = F.lit("missing").alias("error_reason"), F.lit(day).cast("timestamp_ntz")
+        once = part.select(payload.alias("raw_payload"), reason).distinct()
+        return once.withColumns({"note": F.lit(note), "_quarantine_ts": seen})
 
     target = rejects(bad.filter("batch_no < 20"), "first", DAY1)
     source = rejects(bad.filter("batch_no >= 10"), "second", DAY2)
@@ -541,7 +541,9 @@ def _committed_lines(spark: SparkSession, sf_dir: str) -> VersionedTable:
     """Order lines committed year by year to a stored table."""
     rows = pin(line_versions(spark, sf_dir), "versions")
     schema = rows.drop("version").schema
-    lines = VersionedTable(spark, scratch(spark, "lines"), schema, LINE_KEY, snapshot_every=3, null_keys=False)
+    lines = VersionedTable(
+        spark, scratch(spark, "lines"), schema, LINE_KEY, snapshot_every=3, null_keys=False
+    )
     for version in range(7):
         part = rows.filter(F.col("version") == version).drop("version")
         lines.commit(part, as_ts(f"2024-01-0{version + 1} 00:00:00"))
@@ -583,8 +585,11 @@ def audit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split_stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = learn.stratified_split(features(spark, sf_dir), "machine_failure", "udi")
-    parts = [p.select("udi", "machine_failure", F.lit(n).alias("part")) for p, n in ((train, "train"), (test, "test"))]
-    return parts[0].unionByName(parts[1])
+    named = [
+        rows.select("udi", "machine_failure", F.lit(name).alias("part"))
+        for rows, name in ((train, "train"), (test, "test"))
+    ]
+    return named[0].unionByName(named[1])
 
 
 def f1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -609,7 +614,8 @@ def model_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = features(spark, sf_dir)
     ts = as_ts(DAY1)
     scored = learn.score(_fitted(rows, rounds=1), rows, ts)
-    both = upsert(gold.rule_predictions(rows, ts), scored, PREDICTION_KEYS, assume_unique=True, null_keys=False)
+    rules = gold.rule_predictions(rows, ts)
+    both = upsert(rules, scored, PREDICTION_KEYS, assume_unique=True, null_keys=False)
     return both.groupBy("model_name", "model_version").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("udi").alias("n_machines"),
