@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import preference, secrets, sentencepiece_table, simhash
+from . import archives, files, kdtree, preference, repair, secrets, sentencepiece_table, simhash
 from .common import table
 
 
@@ -16,6 +16,19 @@ def op2_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.score(docs, strength)
 
 
+def _scaled(x):
+    """floor(64 x); kept as a double, so that infinite components stay what they are."""
+    y = x.cast("double") * 64
+    return F.when(F.abs(y) < 2.0**62, F.floor(y).cast("double")).otherwise(y)
+
+
+def op3_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.transform("embedding", _scaled).alias("vector")
+    )
+    return kdtree.top_k(vectors, vectors.filter("vec_id % 20 = 0"), 20)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
@@ -25,6 +38,23 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_table.encode(table(spark, sf_dir, "documents"), model)
 
 
+def op6_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = repair.write_shards(
+        table(spark, sf_dir, "documents"),
+        files.folder(spark, "ids"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        special={"<|endoftext|>": 50256},
+        end_id=2,
+    )
+    return repair.read_shards(manifest)
+
+
+def op8_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = archives.write_archives(table(spark, sf_dir, "pages"), files.folder(spark, "archives"))
+    return archives.read_archives(manifest).drop("payload", "url")
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     kinds = [r.kind for r in secrets.BASE]
@@ -45,8 +75,11 @@ def _of_kind(kind: str):
 
 QUERIES = {
     "op2_preference": op2_preference,
+    "op3_kdtree": op3_kdtree,
     "op4_simhash": op4_simhash,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_repair": op6_repair,
+    "op8_archives": op8_archives,
     "op9_secrets": op9_secrets,
 }
 ORACLES: dict[str, str] = {}
