@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, files, kdtree, preference, repair, secrets, sentencepiece_table, simhash
+from . import archives, files, kdtree, preference, repair, secrets, sentencepiece_table, simhash, suffixes
 from .common import table
 
 
@@ -50,6 +50,16 @@ def op6_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read_shards(manifest)
 
 
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeated_bytes(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = archives.write_archives(table(spark, sf_dir, "pages"), files.folder(spark, "archives"))
     return archives.read_archives(manifest).drop("payload", "url")
@@ -79,6 +89,7 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_repair": op6_repair,
+    "op7_suffixes": op7_suffixes,
     "op8_archives": op8_archives,
     "op9_secrets": op9_secrets,
 }
