@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, files, kdtree, preference, repair, secrets, sentencepiece_table, simhash, suffixes
+from . import archives, files, kdtree, latent, phrases, preference, repair, secrets, sentencepiece_table, simhash, suffixes
 from .common import table
 
 
+def op1_latent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latent.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     strength = preference.learn(docs, table(spark, sf_dir, "labels"))
@@ -79,11 +83,18 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_fmindex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.remove_repeated_phrases(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def _of_kind(kind: str):
     return F.filter("spans", lambda s: s["kind"] == kind)
 
 
 QUERIES = {
+    "op1_latent": op1_latent,
     "op2_preference": op2_preference,
     "op3_kdtree": op3_kdtree,
     "op4_simhash": op4_simhash,
@@ -92,5 +103,6 @@ QUERIES = {
     "op7_suffixes": op7_suffixes,
     "op8_archives": op8_archives,
     "op9_secrets": op9_secrets,
+    "op10_fmindex": op10_fmindex,
 }
 ORACLES: dict[str, str] = {}
