@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm import preference, secrets, sentencepiece_table, simhash
+from wearline.llm import latent, preference, secrets, sentencepiece_table, simhash
 from wearline.llm.common import table
 from wearline.session import pin
 
@@ -20,11 +20,44 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The strengths are learned from the stage's own documents and ``labels``.
     """
     strength = preference.learn(docs, table(spark, sf_dir, "labels"))
-    kept = preference.score(docs, strength).filter("predicted = 1").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return preference.score(docs, strength, carry=True).filter("predicted = 1").select("row.*")
 
 
-STAGES = [("quality", quality)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group of near copies (shingles of five
+    words, similarity 0.8 or more); rows without an id stay. Of rows that share the id and the
+    text one stays."""
+    classes = simhash.similar_copies(docs)
+    stay = classes.filter("doc_id = component_id").select("doc_id").distinct()
+    known = docs.filter("doc_id IS NOT NULL").join(stay, "doc_id", "left_semi")
+    known = known.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
+    return known.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item is found."""
+    found = latent.find_items(docs, table(spark, sf_dir, "benchmark"))
+    found = found.select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+
+
+def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with every secret replaced by its kind in brackets."""
+    return secrets.redact(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document with the number of its ids and digests of ids and decoded text."""
+    return sentencepiece_table.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+STAGES = [
+    ("quality", quality),
+    ("near_copies", near_copies),
+    ("decontamination", decontamination),
+    ("secrets", redaction),
+    ("tokens", tokens),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

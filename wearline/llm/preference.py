@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from .common import pieces, raw_bytes, texts
 
@@ -174,17 +175,27 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     return fit(x[order], good[order])
 
 
-def score(docs: DataFrame, strength: Strength, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, ``held_out``, ``score``, ``predicted`` of every row of ``docs``."""
-    source = texts(docs, key, text).withColumn("held_out", F.coalesce(held_out(key), F.lit(False)))
-    kind = source.schema[key].dataType.simpleString()
+def score(docs: DataFrame, strength: Strength, key: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
+    """``key``, ``held_out``, ``score``, ``predicted`` of every row of ``docs``.
+
+    ``carry`` adds ``row``, the whole row, so that rows can be kept without a join.
+    """
+    source = docs.select(
+        F.col(key),
+        F.coalesce(F.col(text), F.lit("")).alias(text),
+        F.coalesce(held_out(key), F.lit(False)).alias("held_out"),
+        *([F.struct("*").alias("row")] if carry else []),
+    )
+    names = [key, "held_out", *(["row"] if carry else [])]
+    schema = StructType([StructField(n, source.schema[n].dataType) for n in names])
+    schema = schema.add("score", "double").add("predicted", "integer")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, text):
             found = strength.score(features(piece, text))
             yield pa.RecordBatch.from_arrays(
-                [piece.column(key), piece.column("held_out"), pa.array(found), pa.array((found >= CUT).astype(np.int32))],
-                [key, "held_out", "score", "predicted"],
+                [*(piece.column(n) for n in names), pa.array(found), pa.array((found >= CUT).astype(np.int32))],
+                [*names, "score", "predicted"],
             )
 
-    return source.mapInArrow(run, f"{key} {kind}, held_out boolean, score double, predicted int")
+    return source.mapInArrow(run, schema)

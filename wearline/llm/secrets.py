@@ -20,6 +20,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import automaton as fa
 from .common import pieces, raw_bytes, texts
@@ -162,3 +163,44 @@ def find_secrets(docs: DataFrame, rules: list[Rule] = RULES, key: str = "doc_id"
 
     schema = f"{key} {kind}, spans array<struct<kind:string,start:bigint,end:bigint>>"
     return source.mapInArrow(run, schema)
+
+
+def redact(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text") -> DataFrame:
+    """``docs`` with every span of every rule replaced by the kinds in it, as in ``[hex]``;
+    spans that touch or overlap are replaced together. A NULL text stays NULL."""
+    names = docs.columns
+    source = docs.select("*", F.coalesce(F.col(text), F.lit("")).alias("_scanned"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = Scanner(rules)
+        for piece in pieces(batches, "_scanned"):
+            data, offsets = raw_bytes(piece.column("_scanned"))
+            found: dict[int, list] = {}
+            for row, k, start, end in scanner.spans(data, offsets):
+                found.setdefault(row, []).append((start, end, rules[k].kind))
+            column = piece.column(text)
+            if found:
+                changed = column.to_pylist()
+                for row, spans in found.items():
+                    changed[row] = _without(data[offsets[row] : offsets[row + 1]].tobytes(), spans)
+                column = pa.array(changed, column.type)
+            yield pa.RecordBatch.from_arrays(
+                [column if n == text else piece.column(n) for n in names], names
+            )
+
+    return source.mapInArrow(run, docs.schema)
+
+
+def _without(text: bytes, spans: list[tuple[int, int, str]]) -> str:
+    merged: list[list] = []
+    for start, end, kind in sorted(spans):
+        if merged and start <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], end)
+            merged[-1][2].append(kind)
+        else:
+            merged.append([start, end, [kind]])
+    out, at = [], 0
+    for start, end, kinds in merged:
+        out += [text[at:start], f"[{'+'.join(dict.fromkeys(kinds))}]".encode()]
+        at = end
+    return b"".join([*out, text[at:]]).decode()
