@@ -34,13 +34,14 @@ from pyspark.sql import functions as F
 
 from wearline.session import pin
 
-from .common import components, pieces, texts
+from .common import components, pieces, raw_bytes, texts
 
 # Wide fingerprints: at a Jaccard similarity of 0.8 the angle of two texts is 27.3 degrees, so
 # 15.2 % of the bits differ, 78 +- 8 of 512; at 0.7 they are 98 +- 9.
 WIDE, WIDE_RADIUS, WIDE_WIDTH = 8, 88, 5
 BANDS, BAND_ROWS = 16, 4
 BLOCK = 4096
+FEW = 48
 RADIUS = 2
 WIDTH = 3
 SEED = 42
@@ -192,7 +193,7 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come sorted by unit: units are gathered until they fill a block.
-        for values, cuts in _units(batches):
+        for (values,), cuts in _units(batches, {"print": lambda c: c.to_numpy()}):
             a, b = _compare(values, cuts, radius)
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
@@ -201,20 +202,24 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return parts.mapInArrow(run, "a long, b long").distinct()
 
 
-def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Whole units in arrival order: their values, and their starts followed by the end."""
-    held_v, held_u = np.empty(0, np.int64), np.empty(0, np.int64)
+def _units(batches: Iterator[pa.RecordBatch], columns: dict) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """Whole units in arrival order: their values by column, and their starts with the end.
+
+    ``columns`` maps names to functions from an Arrow column to an array with a row each.
+    """
+    held, units = [], np.empty(0, np.int64)
     for batch in batches:
-        held_v = np.concatenate([held_v, batch.column("print").to_numpy()])
-        held_u = np.concatenate([held_u, batch.column("unit").to_numpy()])
-        if not len(held_u):
+        if not batch.num_rows:
             continue
-        done = int(np.searchsorted(held_u, held_u[-1], side="left"))
+        new = [read(batch.column(name)) for name, read in columns.items()]
+        held = [np.concatenate([h, n]) for h, n in zip(held, new)] if held else new
+        units = np.concatenate([units, batch.column("unit").to_numpy()])
+        done = int(np.searchsorted(units, units[-1], side="left"))
         if done >= BLOCK:
-            yield held_v[:done], _starts(held_u[:done])
-            held_v, held_u = held_v[done:], held_u[done:]
-    if len(held_u):
-        yield held_v, _starts(held_u)
+            yield [h[:done] for h in held], _starts(units[:done])
+            held, units = [h[done:] for h in held], units[done:]
+    if len(units):
+        yield held, _starts(units)
 
 
 def _starts(units: np.ndarray) -> np.ndarray:
@@ -322,13 +327,28 @@ def similar_copies(docs: DataFrame, radius: int = WIDE_RADIUS, key: str = "doc_i
         .select("node", "wide", F.xxhash64("k", F.least("own", "other"), F.greatest("own", "other")).alias("unit"))
     )
 
-    def run(table: pa.Table) -> pa.Table:
-        nodes = table["node"].to_numpy()
-        wide = np.frombuffer(b"".join(table["wide"].to_pylist()), np.uint64).reshape(-1, WIDE)
-        a, b = _forest(wide, radius)
-        return pa.table({"a": nodes[a], "b": nodes[b]})
+    columns = {
+        "node": lambda c: c.to_numpy(),
+        "wide": lambda c: raw_bytes(c)[0].view("<u8").reshape(-1, WIDE),
+    }
 
-    edges = units.groupBy("unit").applyInArrow(run, "a long, b long").filter("a <> b").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (nodes, wide), cuts in _units(batches, columns):
+            sizes = np.diff(cuts)
+            # Two texts on a key need no planes.
+            two = cuts[:-1][sizes == 2]
+            near = np.bitwise_count(wide[two] ^ wide[two + 1]).sum(axis=1) <= radius
+            a, b = [nodes[two[near]]], [nodes[two[near] + 1]]
+            for start, size in zip(cuts[:-1][sizes > 2], sizes[sizes > 2]):
+                i, j = _forest(wide[start : start + size], radius)
+                a.append(nodes[start + i])
+                b.append(nodes[start + j])
+            a, b = np.concatenate(a), np.concatenate(b)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    parts = units.repartition("unit").sortWithinPartitions("unit")
+    edges = parts.mapInArrow(run, "a long, b long").filter("a <> b").distinct()
     linked = components(edges).withColumnRenamed("node", "n")
     classes = distinct.select("node", "same", "least").join(linked, F.col("node") == F.col("n"), "left")
     classes = classes.withColumn("component", F.coalesce("component", "node"))
@@ -337,6 +357,12 @@ def similar_copies(docs: DataFrame, radius: int = WIDE_RADIUS, key: str = "doc_i
     return _spread_join(sketches.select(F.col("id").alias(key), "same"), classes, "same").select(key, "component_id")
 
 
+def _compared(queries: np.ndarray, values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """What ``within`` gives, for few rows: a word of planes would be mostly empty."""
+    apart = np.bitwise_count(queries[:, None, :] ^ values[None, :, :]).sum(axis=2, dtype=np.int64)
+    return np.nonzero(apart <= radius)
+
+
 def _forest(wide: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what all links within the radius connect, one less than rows at most."""
     root = np.arange(len(wide))
@@ -351,7 +377,8 @@ def _forest(wide: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     for part in range(0, len(wide), BLOCK):
         block = wide[part : part + BLOCK]
         for first in range(0, part + len(block), 512):
-            q, v = within(wide[first : min(first + 512, part + len(block))], block, radius)
+            own = wide[first : min(first + 512, part + len(block))]
+            q, v = within(own, block, radius) if len(block) > FEW else _compared(own, block, radius)
             q, v = q + first, v + part
             fresh = root[q] != root[v]
             for i, j in zip(q[fresh].tolist(), v[fresh].tolist()):
