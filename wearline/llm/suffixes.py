@@ -1,13 +1,14 @@
 """Removal of byte strings that occur in an earlier document, with suffix sorting by buckets.
 
 The windows that may be shared meet by their anchors (see ``windows``); a task then sorts the
-suffixes that begin at these windows. Sorting goes bucket by bucket of leading bytes, so that
-only one bucket's sort keys are held at a time. Suffixes that agree in ``PERIOD`` bytes are told
-apart by the precomputed order of a difference cover's sample: for every residue there is a
-distance of less than ``PERIOD`` to a sampled place, and contexts are laid out at multiples of
-the period with their anchors at one place, so that windows that can be equal have equal
-residues and compare by one sampled rank each. Neighbours that agree in a whole window are the
-occurrences of one string, of which the least key is the first document.
+suffixes that begin at these windows. First the
+suffixes at the places of a difference cover are ranked, by doubling the compared length. A
+window is at most 7 bytes before a sampled place; contexts are laid out at multiples of the
+period with their anchors at one place, so that windows that can be equal have equal residues.
+So the order of a residue's windows is that of the sampled suffixes behind them, sorted stably
+by the few bytes before: bucket by bucket of leading bytes, with one bucket's keys held at a
+time, and long ties are settled by the ranks. Neighbours that agree in a whole window are
+occurrences of one string, and the least key among them is the first document.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import raw_bytes
-from .windows import Anchors, Finder, grams, remove_repeats
+from .windows import Anchors, Finder, remove_repeats
 
 WINDOW, GRAM = 50, 16
 PERIOD = 16
@@ -59,72 +60,109 @@ def unpack(body: bytes) -> np.ndarray:
     return np.pad(found, ((0, 0), (0, SLOT - WIDTH)))
 
 
-def _words(text: np.ndarray, at: np.ndarray, count: int) -> list[np.ndarray]:
-    """``count`` big-endian words of eight bytes from each place on."""
-    taken = text[at[:, None] + np.arange(8 * count)]
-    return [w.astype(np.uint64) for w in np.ascontiguousarray(taken).view(">u8").T]
+def _words(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one number in byte order."""
+    out = np.zeros(len(text) - 7, np.uint64)
+    for i in range(8):
+        out = out << np.uint64(8) | text[i : len(text) - 7 + i]
+    return out
 
 
-def _names(keys: list[np.ndarray]) -> np.ndarray:
-    """Ranks of rows under lexicographic order of their keys, equal rows sharing one."""
-    order = np.lexsort(keys[::-1])
+def _ranked(order: np.ndarray, keys: list[np.ndarray]) -> np.ndarray:
+    """Ranks from 1 of rows whose sorted order is given; equal rows share one."""
     new = np.zeros(len(order), bool)
     for k in keys:
-        new[1:] |= k[order][1:] != k[order][:-1]
+        in_order = k[order]
+        new[1:] |= in_order[1:] != in_order[:-1]
     rank = np.empty(len(order), np.int64)
-    rank[order] = np.cumsum(new)
+    rank[order] = np.cumsum(new) + 1
     return rank
 
 
-def cover_ranks(text: np.ndarray, depth: int) -> np.ndarray:
-    """For sampled places the rank of the suffix there (to ``depth`` bytes at least), else 0.
+def cover_order(words: np.ndarray, slots: int, slot: int, last: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sampled places up to ``last`` of each slot in the order of their suffixes, and ranks.
 
-    ``text`` ends with ``2 * depth`` zero bytes. Ranks double their depth each round.
+    Suffixes are compared to ``depth`` bytes at least. Ranks start from ``PERIOD`` bytes and
+    double their depth each round; a round ranks the places that the next ones still need.
     """
-    n = len(text) - 2 * depth
-    sample = np.flatnonzero(np.isin(np.arange(PERIOD), COVER))
-    at = (np.arange(0, n, PERIOD)[:, None] + sample).ravel()
-    at = at[at < n]
-    rank = np.zeros(len(text), np.int64)
-    known = PERIOD
-    names = _names(_words(text, at, PERIOD // 8))
-    while True:
-        rank[at] = names + 1
-        if known >= depth or names.max(initial=0) + 1 == len(at):
-            return rank
-        names = _names([rank[at], rank[at + known]])
-        known *= 2
+    rounds = [PERIOD]
+    while rounds[-1] < depth:
+        rounds.append(rounds[-1] * 2)
+    reaches = [last]
+    for known in reversed(rounds[:-1]):
+        reaches.append(reaches[-1] + known)
+    rank = np.zeros(slots * slot + rounds[-1] + slot, np.int64)
+    for known, reach in zip(rounds, reversed(reaches)):
+        inside = np.arange(min(reach + 1, slot))
+        inside = inside[np.isin(inside % PERIOD, COVER)]
+        at = (np.arange(slots)[:, None] * slot + inside).ravel()
+        if known == PERIOD:
+            keys = [words[at], words[at + 8]]
+            order = np.lexsort(keys[::-1])
+        else:
+            half = known // 2
+            keys = [rank[at] * (len(rank) + 1) + rank[at + half]]
+            order = np.argsort(keys[0], kind="stable")
+        rank[at] = _ranked(order, keys)
+    return at[order], rank
 
 
 def first(rows: np.ndarray, low: np.ndarray, high: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, offset, least key that has this window) of all windows of all rows."""
-    depth = -(-WINDOW // PERIOD) * PERIOD
-    text = np.concatenate([rows.ravel(), np.zeros(2 * depth, np.uint8)])
-    ranks = cover_ranks(text, depth)
-    size = high - low + 1
-    row = np.repeat(np.arange(len(rows)), size)
-    offset = np.repeat(low, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    at = row * SLOT + REACH - 1 - offset
-    # Suffixes by their leading two bytes; whole buckets are taken until a block is full.
-    lead = text[at].astype(np.uint16) << 8 | text[at + 1]
-    by_lead = np.argsort(lead, kind="stable")
-    edges = np.append(np.flatnonzero(np.append(True, np.diff(lead[by_lead].astype(np.int32)) != 0)), len(at))
-    least = np.empty(len(at), np.int64)
+    slots = len(rows)
+    # Suffixes that leave their slot read into the next one; no window does.
+    text = np.concatenate([rows.ravel(), np.zeros(SLOT + 8, np.uint8)])
+    words = _words(text)
+    sample, _ = cover_order(words, slots, SLOT, REACH - 1 + PERIOD // 2, WINDOW)
+    sample_row, sample_place = sample // SLOT, sample % SLOT
+    out_row, out_offset, out_least = [], [], []
+    for residue in range(PERIOD):
+        # The windows of a residue in the order of the sampled suffix behind them, ...
+        ahead = int(_TO_SAMPLE[residue])
+        taken = (sample_place - ahead) % PERIOD == residue
+        row, place = sample_row[taken], sample_place[taken] - ahead
+        offset = REACH - 1 - place
+        inside = (place >= 0) & (offset >= low[row]) & (offset <= high[row])
+        row, place, offset = row[inside], place[inside], offset[inside]
+        at = row * SLOT + place
+        if not len(at):
+            continue
+        # ... then bucket by bucket of leading bytes by the bytes before it.
+        if ahead:
+            front = words[at] >> np.uint64(64 - 8 * ahead)
+            order = _bucket_sorted(front, ahead)
+            row, offset, at = row[order], offset[order], at[order]
+        new = np.zeros(len(at), bool)
+        new[0] = True
+        for skip in (*range(0, WINDOW - 8, 8), WINDOW - 8):
+            w = words[at + skip]
+            new[1:] |= w[1:] != w[:-1]
+        cuts = np.flatnonzero(new)
+        found = np.minimum.reduceat(keys[row], cuts)
+        out_row.append(row)
+        out_offset.append(offset)
+        out_least.append(np.repeat(found, np.diff(np.append(cuts, len(at)))))
+    return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in (out_row, out_offset, out_least))
+
+
+def _bucket_sorted(front: np.ndarray, size: int) -> np.ndarray:
+    """The stable order of ``size`` leading bytes: buckets by the first two, then each bucket
+    on its own, so that only one bucket's keys are held."""
+    if size <= 2:
+        return np.argsort(front.astype(np.uint16), kind="stable")
+    lead = (front >> np.uint64(8 * (size - 2))).astype(np.uint16)
+    order = np.argsort(lead, kind="stable")
+    lead = lead[order]
+    edges = np.append(np.flatnonzero(np.append(True, lead[1:] != lead[:-1])), len(lead))
     start = 0
-    while start < len(at):
-        stop = edges[max(np.searchsorted(edges, start + BUCKET, side="right") - 1, np.searchsorted(edges, start, side="right"))]
-        part = by_lead[start:stop]
-        place = at[part]
-        residue = place % PERIOD
-        order = np.lexsort([ranks[place + _TO_SAMPLE[residue]], residue, *_words(text, place, 2)[::-1]])
-        part, place = part[order], place[order]
-        differs = np.ones(len(part), bool)
-        differs[1:] = (text[place[1:, None] + np.arange(WINDOW)] != text[place[:-1, None] + np.arange(WINDOW)]).any(axis=1)
-        cuts = np.flatnonzero(differs)
-        found = np.minimum.reduceat(keys[row[part]], cuts)
-        least[part] = np.repeat(found, np.diff(np.append(cuts, len(part))))
+    while start < len(order):
+        # Whole buckets, as many as fit; a larger one stands alone.
+        fit = np.searchsorted(edges, start + BUCKET, side="right") - 1
+        stop = int(edges[max(fit, np.searchsorted(edges, start, side="right"))])
+        part = order[start:stop]
+        order[start:stop] = part[np.argsort(front[part], kind="stable")]
         start = stop
-    return row, offset, least
+    return order
 
 
 def kept(data: np.ndarray, starts: np.ndarray, covered: np.ndarray) -> dict[str, pa.Array]:
@@ -163,6 +201,3 @@ def remove_repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "tex
     """``key``, ``n_bytes``, ``spans`` (the removed runs of bytes) and ``kept`` (the rest) of
     every row: bytes go that a string of 50 bytes covers which also starts in a smaller key."""
     return remove_repeats(docs, FINDER, key, text)
-
-
-__all__ = ["FINDER", "cover_ranks", "first", "grams", "remove_repeated_bytes"]

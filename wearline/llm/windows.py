@@ -41,6 +41,7 @@ from .common import partitions_for, pieces, texts
 
 BLOCK_BYTES = 6 << 20
 CHUNK_BYTES = 12 << 20
+PIECE = 1 << 19
 NO_KEY = -(1 << 63)
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -248,7 +249,7 @@ def _send_grams(batches: Iterator[pa.RecordBatch], finder: Finder, text: str, bl
     for chunk in _chunks(batches, text):
         ids, of_block = chunk["id"].to_numpy(), chunk["block"].to_numpy()
         gram, row, base = [], [], 0
-        for piece in pieces(chunk.to_batches(), text):
+        for piece in pieces(chunk.to_batches(), text, PIECE):
             symbols, starts, _ = finder.symbols(piece.column(text))
             a = anchors(symbols, starts, finder.window, finder.gram)
             gram.append(_ident(a.hash, blocks))
@@ -328,7 +329,7 @@ def _read_block(docs: pa.Table, replies: pa.Table, finder: Finder, text: str, bl
     known = np.unique(np.concatenate(known)) if known else np.empty(0, np.uint64)
     found = Block([], [], [], [], *[np.empty(0)] * 7)
     parts = []
-    for piece in pieces(docs.to_batches(), text):
+    for piece in pieces(docs.to_batches(), text, PIECE):
         symbols, starts, own = finder.symbols(piece.column(text))
         ids = piece.column("id").to_numpy()
         copy = np.zeros(len(ids), bool)
