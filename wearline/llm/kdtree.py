@@ -103,7 +103,8 @@ class Tree:
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "vector", shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """``query_id``, ``rank``, ``key``, ``score``: the ``k`` rows of ``vectors`` with the largest
-    inner product with each row of ``queries``; ties go to the smaller key.
+    inner product with each row of ``queries``; ties go to the smaller key. Scores are whole
+    numbers of up to 38 digits.
 
     Both have ``key`` (long, distinct) and ``vector``, an array of whole numbers as doubles.
     """
@@ -148,7 +149,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", v
     return (
         found.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
-        .select("query_id", "rank", F.col("id").alias(key), F.col("exact_score").cast("long").alias("score"))
+        .select("query_id", "rank", F.col("id").alias(key), F.col("exact_score").alias("score"))
     )
 
 

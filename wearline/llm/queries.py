@@ -30,7 +30,8 @@ def op3_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select(
         "vec_id", F.transform("embedding", _scaled).alias("vector")
     )
-    return kdtree.top_k(vectors, vectors.filter("vec_id % 20 = 0"), 20)
+    found = kdtree.top_k(vectors, vectors.filter("vec_id % 20 = 0"), 20)
+    return found.withColumn("score", F.col("score").try_cast("long"))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
