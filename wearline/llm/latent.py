@@ -1,8 +1,9 @@
 """Benchmark passages in documents: latent retrieval, then word-order and answer checks.
 
-Texts are words in lower case without the punctuation around them. The vocabulary is that of
-the benchmark (of a block of at most ``ITEMS`` items, so that its tables have a fixed bound),
-without terms that occur in more than ``COMMON`` of the documents. Passages are windows of
+Texts are words in lower case, cut at blanks and punctuation. The vocabulary is that of
+the benchmark (of a block of about ``ITEMS`` items, so that its tables have a fixed bound),
+without terms that occur in more than ``COMMON`` of the documents and in more than ``FEW_ITEMS``
+items; a term of few items stays, however many documents have copied it. Passages are windows of
 ``PASSAGE`` words that begin every ``STRIDE`` words; each is a TF-IDF vector.
 
 1. One pass counts the documents of each term.
@@ -24,8 +25,9 @@ order with every passage, since they have no direction in the space.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,34 +40,23 @@ from .common import pieces, texts
 
 ITEMS = 2_000
 PASSAGE, STRIDE = 64, 32
-RANK, POWER = 96, 2
-COMMON = 0.05
-COSINE = 0.5
+RANK, POWER = 64, 1
+COMMON, FEW_ITEMS = 0.05, 2
+COSINE = 0.6
+CHUNK = 4096
 LCS, LCS_ALONE = 0.6, 0.8
 ANSWER = 8
 MARKS = b".,;:!?\"'()[]{}|*#$%&"
+_PLAIN = bytes.maketrans(MARKS, b" " * len(MARKS))
 
 
 def words_of(text: bytes) -> list[bytes]:
-    return [w.strip(MARKS) for w in text.lower().split()]
+    return text.lower().translate(_PLAIN).split()
 
 
-class Terms(dict):
-    """Term numbers of raw words, -1 for words outside the vocabulary; bounded."""
-
-    LIMIT = 400_000
-
-    def __init__(self, vocabulary: dict[bytes, int]):
-        self.vocabulary = vocabulary
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        found = self[word] = self.vocabulary.get(word.strip(MARKS), -1)
-        return found
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+def terms_of(vocabulary: dict[bytes, int], words: Sequence[bytes]) -> np.ndarray:
+    """Numbers of words, -1 for those outside the vocabulary."""
+    return np.fromiter(map(vocabulary.get, words, repeat(-1)), np.int32, len(words))
 
 
 @dataclass(frozen=True)
@@ -81,12 +72,12 @@ class Items:
     def of(cls, rows: list[tuple]) -> Items:
         keys, words, answers = [], [], []
         for key, text in rows:
-            found = [w for w in words_of((text or "").encode()) if w]
+            found = words_of((text or "").encode())
             if found:
                 keys.append(key)
                 words.append(found)
                 parts = [p for p in (text or "").encode().replace(b"\n", b" ").split(b".") if p.strip()]
-                last = [w for w in words_of(parts[-1]) if w] if parts else []
+                last = words_of(parts[-1]) if parts else []
                 answers.append((last or found)[-ANSWER:])
         vocabulary = {w: i for i, w in enumerate(sorted({w for x in words for w in x}))}
         return cls(keys, words, answers, vocabulary)
@@ -115,7 +106,7 @@ def tree_sum(parts: DataFrame, width: int) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"v": pa.array([total.tobytes()], pa.binary())})
 
     tasks = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    while tasks > 8:
+    while tasks > 1:
         tasks = -(-tasks // 8)
         parts = parts.repartition(tasks).mapInArrow(add, "v binary")
     return sum((np.frombuffer(r.v, np.float64) for r in parts.collect()), np.zeros(width))
@@ -125,12 +116,12 @@ def _documents_of_terms(docs: DataFrame, items: Items, text: str) -> tuple[np.nd
     width = len(items.vocabulary) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, total = Terms(items.vocabulary), np.zeros(width)
+        total = np.zeros(width)
         for piece in pieces(batches, text):
             column = piece.column(text).cast(pa.large_binary()).to_pylist()
             total[-1] += len(column)
             for t in column:
-                found = np.unique(terms.of(list(set(t.lower().split()))))
+                found = terms_of(items.vocabulary, set(words_of(t)))
                 total[found[found >= 0]] += 1
         yield pa.RecordBatch.from_pydict({"v": pa.array([total.tobytes()], pa.binary())})
 
@@ -143,11 +134,10 @@ def _occurrences(docs: DataFrame, items: Items, weight: np.ndarray, text: str) -
     used = weight > 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms(items.vocabulary)
         for piece in pieces(batches, text):
             found, passage, base = [], [], 0
             for t in piece.column(text).cast(pa.large_binary()).to_pylist():
-                own = terms.of(t.lower().split())
+                own = terms_of(items.vocabulary, words_of(t))
                 at = np.flatnonzero(own >= 0)
                 at = at[used[own[at]]]
                 found.append(own[at])
@@ -170,6 +160,25 @@ def _passage_rows(term: np.ndarray, passage: np.ndarray, weight: np.ndarray) ->
     return passage, term, (value / size[passage]).astype(np.float32)
 
 
+def _add_products(total: np.ndarray, base: np.ndarray, passage: np.ndarray, term: np.ndarray, value: np.ndarray) -> int:
+    """Add the rows' transpose times the rows times ``base``; chunks of whole rows fit a cache."""
+    edges = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
+    bounds = np.append(edges, len(passage))
+    row = 0
+    while row < len(edges):
+        stop = max(row + 1, int(np.searchsorted(edges, edges[row] + CHUNK)))
+        part = slice(bounds[row], bounds[stop])
+        t, v, inner = term[part], value[part], edges[row:stop] - bounds[row]
+        image = np.add.reduceat(base[t] * v[:, None], inner, axis=0)
+        of = np.repeat(np.arange(stop - row), np.diff(bounds[row : stop + 1]))
+        order = np.argsort(t, kind="stable")
+        back = image[of[order]] * v[order, None]
+        cuts = np.flatnonzero(np.append(True, np.diff(t[order]) != 0))
+        total[t[order][cuts]] += np.add.reduceat(back, cuts, axis=0)
+        row = stop
+    return len(edges)
+
+
 def _multiplied(occurrences: DataFrame, base: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
     """The passages' transpose times the passages times ``base``, and the passages' number."""
     terms, rank = base.shape
@@ -181,13 +190,7 @@ def _multiplied(occurrences: DataFrame, base: np.ndarray, weight: np.ndarray) ->
                 passage, term, value = _passage_rows(
                     np.frombuffer(t.as_buffer(), np.int32), np.frombuffer(p.as_buffer(), np.int32), weight
                 )
-                edges = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
-                image = np.add.reduceat(base[term] * value[:, None], edges, axis=0)
-                rows += len(edges)
-                order = np.argsort(term, kind="stable")
-                back = image[passage[order]] * value[order, None]
-                edges = np.flatnonzero(np.append(True, np.diff(term[order]) != 0))
-                total[term[order][edges]] += np.add.reduceat(back, edges, axis=0)
+                rows += _add_products(total, base, passage, term, value)
         out = np.append(total.ravel(), rows)
         yield pa.RecordBatch.from_pydict({"v": pa.array([out.tobytes()], pa.binary())})
 
@@ -233,27 +236,26 @@ class Search:
     weight: np.ndarray
     space: np.ndarray
 
-    def matches(self, text: bytes, terms: Terms) -> Iterator[tuple[int, float, float, float, int]]:
-        """(item, cosine, share of the item, share of the answer, first word) of a text."""
-        raw = text.lower().split()
-        own = terms.of(raw)
-        best: dict[int, tuple] = {}
-        for passage, item, cosine in self._candidates(own):
+    def matches(self, texts: list[bytes]) -> Iterator[tuple[int, int, float, float, float, int]]:
+        """(text, item, cosine, share of the item, share of the answer, first word)."""
+        words = [words_of(t) for t in texts]
+        best: dict[tuple[int, int], tuple] = {}
+        for text, passage, item, cosine in self._candidates(words):
             start = max(0, passage * STRIDE - STRIDE // 2)
-            words = [w.strip(MARKS) for w in raw[start : passage * STRIDE + PASSAGE + STRIDE // 2]]
+            around = words[text][start : passage * STRIDE + PASSAGE + STRIDE // 2]
             masks, answer = self.masks[item]
             size = len(self.items.words[item])
-            share = common_subsequence(masks, size, words) / size
+            share = common_subsequence(masks, size, around) / size
             if share < LCS:
                 continue
-            there = set(words)
+            there = set(around)
             answered = sum(w in there for w in answer) / len(answer)
             if share >= LCS_ALONE or answered >= 0.5:
                 found = (share, answered, cosine, -start)
-                if item not in best or found > best[item]:
-                    best[item] = found
-        for item, (share, answered, cosine, start) in sorted(best.items()):
-            yield item, cosine, share, answered, -start
+                if (text, item) not in best or found > best[text, item]:
+                    best[text, item] = found
+        for (text, item), (share, answered, cosine, start) in sorted(best.items()):
+            yield text, item, cosine, share, answered, -start
 
     @property
     def masks(self) -> list:
@@ -277,27 +279,47 @@ class Search:
             )
         return self._latent
 
-    def _candidates(self, own: np.ndarray) -> Iterator[tuple[int, int, float]]:
+    def _candidates(self, words: list[list[bytes]]) -> Iterator[tuple[int, int, int, float]]:
+        """(text, passage, item, cosine) of all texts' passages that come near an item."""
         latent, plain, space = self.latent
-        passages = max(1, -(-(len(own) - (PASSAGE - STRIDE)) // STRIDE))
-        for passage in range(passages) if len(plain) else ():
-            for item in plain:
-                yield passage, int(item), 0.0
-        at = np.flatnonzero(own >= 0)
-        at = at[self.weight[own[at]] > 0]
+        per_stride = PASSAGE // STRIDE
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        passages = np.maximum(1, -(-(sizes - (PASSAGE - STRIDE)) // STRIDE))
+        for text, count in enumerate(passages.tolist()) if len(plain) else ():
+            for passage in range(count):
+                for item in plain.tolist():
+                    yield text, passage, item, 0.0
+        # Strides of all texts in one row of numbers, with room for the last passages' ends.
+        base = np.cumsum(passages + per_stride) - (passages + per_stride)
+        terms = terms_of(self.items.vocabulary, [w for x in words for w in x])
+        at = np.flatnonzero(terms >= 0)
+        at = at[self.weight[terms[at]] > 0]
         if not len(at):
             return
-        # Sums over strides, then over the strides of a passage.
-        stride = at // STRIDE
+        starts = np.cumsum(sizes) - sizes
+        text = np.searchsorted(starts, at, side="right") - 1
+        stride = (at - starts[text]) // STRIDE + base[text]
         edges = np.flatnonzero(np.append(True, stride[1:] != stride[:-1]))
-        sums = np.zeros((passages + PASSAGE // STRIDE, space.shape[1]), np.float32)
-        sums[stride[edges]] = np.add.reduceat(space[own[at]], edges, axis=0)
-        rows = sums[:passages].copy()
-        for k in range(1, PASSAGE // STRIDE):
-            rows += sums[k : k + passages]
-        cosines = _unit(rows) @ latent.T
-        for passage, item in zip(*np.nonzero(cosines >= COSINE)):
-            yield int(passage), int(item), float(cosines[passage, item])
+        sums = np.add.reduceat(space[terms[at]], edges, axis=0)
+        filled = stride[edges]
+        # Passages that hold a filled stride: the stride's own and those that began before it.
+        slot = np.unique((filled[:, None] - np.arange(per_stride)).ravel())
+        of_text = np.searchsorted(base, slot, side="right") - 1
+        inside = (slot >= 0) & (slot - base[of_text] < passages[of_text])
+        slot, of_text = slot[inside], of_text[inside]
+        place = np.full(int(base[-1] + passages[-1]) + 2 * per_stride, len(filled))
+        place[filled] = np.arange(len(filled))
+        sums = np.concatenate([sums, np.zeros((1, sums.shape[1]), sums.dtype)])
+        for part in range(0, len(slot), 4096):
+            own, texts_of = slot[part : part + 4096], of_text[part : part + 4096]
+            rows = sums[place[own]]
+            for k in range(1, per_stride):
+                rows = rows + sums[place[own + k]]
+            cosines = _unit(rows) @ latent.T
+            hit, item = np.nonzero(cosines >= COSINE)
+            yield from zip(
+                texts_of[hit].tolist(), (own - base[texts_of])[hit].tolist(), item.tolist(), cosines[hit, item].tolist()
+            )
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -317,8 +339,12 @@ def find_items(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
 
 def _find_block(docs: DataFrame, items: Items, key: str, text: str, item: str, item_kind: str) -> DataFrame:
     counts, total = _documents_of_terms(docs, items, text)
-    weight = np.where(counts <= max(COMMON * total, 2), np.log((1 + total) / (1 + counts)), 0.0)
-    weight = np.maximum(weight, 0)
+    in_items = np.zeros(len(counts))
+    for words in items.words:
+        in_items[[items.vocabulary[w] for w in set(words)]] += 1
+    common = (counts > COMMON * total) & (in_items > FEW_ITEMS)
+    # Positive even for a term of all documents.
+    weight = np.where(common, 0.0, np.log((2 + total) / (1 + counts)))
     if weight.any():
         space = directions(_occurrences(docs, items, weight, text), items, weight)
     else:
@@ -326,11 +352,10 @@ def _find_block(docs: DataFrame, items: Items, key: str, text: str, item: str, i
     search = Search(items, weight, space)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms(items.vocabulary)
         for piece in pieces(batches, text):
-            out = []
-            for k, t in zip(piece.column(key).to_pylist(), piece.column(text).cast(pa.large_binary()).to_pylist()):
-                out += [(k, items.keys[i], c, s, a, f) for i, c, s, a, f in search.matches(t, terms)]
+            keys = piece.column(key).to_pylist()
+            column = piece.column(text).cast(pa.large_binary()).to_pylist()
+            out = [(keys[t], items.keys[i], c, s, a, f) for t, i, c, s, a, f in search.matches(column)]
             if out:
                 columns = list(zip(*out))
                 kinds = [piece.schema.field(key).type, None, *[pa.float64()] * 3, pa.int64()]
