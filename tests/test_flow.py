@@ -10,9 +10,19 @@ from pyspark.sql import functions as F
 from wearline.operators import serving
 from wearline.operators.quality import CAST_REASON, audit
 from wearline.plans.medallion import Config, Lakehouse
-from wearline.schemas import BRONZE, FAILURES, HEADERS, RAW_COLUMNS, TEXT_BRONZE, with_labels
+from wearline.schemas import (
+    BRONZE,
+    FAILURES,
+    HEADERS,
+    QUARANTINE,
+    RAW_COLUMNS,
+    SILVER,
+    TEXT_BRONZE,
+    with_labels,
+)
 from wearline.session import as_ts, scratch
-from wearline.sources.files import read_bronze, read_raw, separator_of
+from wearline.sources.files import append_bronze, read_bronze, read_raw, separator_of
+from wearline.sources.tables import VersionedTable
 from wearline.streaming import ingest
 
 DAY1, DAY2 = "2026-04-02 08:00:00", "2026-04-03 08:00:00"
@@ -23,7 +33,7 @@ HEADER = ",".join(HEADERS)
 
 def write_files(tmp_path, name, *lines, header=HEADER, bom=True):
     folder = tmp_path / "landing"
-    folder.mkdir(exist_ok=True)
+    folder.mkdir(parents=True, exist_ok=True)
     text = "\r\n".join([header, *lines]) + "\r\n"
     (folder / name).write_bytes(("\ufeff" if bom else "").encode() + text.encode())
     return str(folder)
@@ -62,22 +72,71 @@ def test_stream_equals_batch_and_sees_files_once(spark, tmp_path):
     paths = {n: scratch(spark, n) for n in ("bronze", "checkpoint", "schema")}
     folder = write_files(tmp_path, "a.csv", line(1), line(2, torque="n/a"), bom=False)
 
-    def drain(extra=()):
-        schema = ingest.stored_schema(spark, paths["schema"], extra)
-        stream = ingest.stream_raw(spark, folder, schema, as_ts(DAY1), files_per_batch=1)
-        ingest.drain_to_bronze(stream, paths["bronze"], paths["checkpoint"])
+    def drain():
+        stream = ingest.stream_files(spark, folder, files_per_batch=1)
+        ingest.drain_to_bronze(stream, paths["bronze"], paths["checkpoint"], as_ts(DAY1), paths["schema"])
         return read_bronze(spark, paths["bronze"], schema=None, merge=True)
 
     assert drain().count() == 2
     assert drain().count() == 2
     write_files(tmp_path, "b.csv", line(3), bom=False)
     write_files(tmp_path, "c.csv", line(4) + ",north", header=HEADER + ",site", bom=False)
-    rows = {r.udi: r for r in drain(["site"]).collect()}
+    rows = {r.udi: r for r in drain().collect()}
     assert sorted(rows) == ["1", "2", "3", "4"] and rows["2"].torque_nm == "n/a"
     assert (rows["4"].site, rows["3"].site, rows["1"].site) == ("north", None, None)
     assert len(ingest.stored_schema(spark, paths["schema"])) == len(RAW_COLUMNS) + 1
 
 
+def test_stream_reads_each_file_by_its_header(spark, tmp_path):
+    names = HEADER.split(",")
+    values = line(1).split(",")
+    turned = ",".join(["site", *names[::-1]]), ",".join(["north", *values[::-1]])
+    write_files(tmp_path, "a.csv", turned[1], header=turned[0], bom=False)
+    short = ",".join(names[1:]), ",".join(values[1:])
+    folder = write_files(tmp_path, "b.csv", short[1], header=short[0])
+    bronze = scratch(spark, "bronze")
+    ingest.drain_to_bronze(ingest.stream_files(spark, folder), bronze, scratch(spark, "checkpoint"))
+    rows = {r.udi: r for r in read_bronze(spark, bronze, merge=True).collect()}
+    assert set(rows) == {"1", None} and rows["1"].site == "north"
+    assert {r.product_id for r in rows.values()} == {"P1"} and {r.torque_nm for r in rows.values()} == {"40.5"}
+    bad = write_files(tmp_path / "bad", "c.csv", "1,2", header="a,b", bom=False)
+    with pytest.raises(Exception, match="cannot read"):
+        ingest.drain_to_bronze(ingest.stream_files(spark, bad), bronze, scratch(spark, "checkpoint"))
+
+
+def test_late_and_equal_run_times_lose_nothing(spark, tmp_path):
+    house = Lakehouse(spark, Config(scratch(spark, "lake"), cluster=False))
+    for n, day in enumerate((DAY2, DAY2, DAY1), 1):
+        house.ingest(write_files(tmp_path / str(n), "a.csv", line(n)), day)
+        house.to_silver(day)
+    assert sorted(r.udi for r in house.silver.read().collect()) == [1, 2, 3]
+    times = [r._commit_timestamp for r in house.silver.history().orderBy("_commit_version").collect()]
+    assert times == sorted(times)
+
+
+def test_an_unfinished_ingest_is_not_seen_and_is_replaced(spark):
+    path = scratch(spark, "bronze")
+    rows = spark.range(2).selectExpr("id", "DATE'2024-01-01' ingestion_date")
+    assert append_bronze(rows, path, "w", 7) == 0
+    rows.write.parquet(f"{path}/ingest_no=1/ingestion_date=2024-01-01")
+    assert read_bronze(spark, path, schema=None).count() == 2
+    assert append_bronze(rows, path, "w", 7) == 0 and append_bronze(rows.limit(1), path, "w", 8) == 1
+    assert read_bronze(spark, path, schema=None).count() == 3
+
+
+def test_streamed_rejects_go_to_quarantine(spark, tmp_path):
+    silver = VersionedTable(spark, scratch(spark, "silver"), SILVER, ["udi"])
+    refused = VersionedTable(spark, scratch(spark, "refused"), QUARANTINE, ["raw_payload", "error_reason"])
+    landing = write_files(tmp_path, "a.csv", line(1), line(2, torque="n/a"), bom=False)
+    ts = as_ts(DAY1)
+    ingest.drain_to_table(
+        ingest.stream_files(spark, landing), silver, lambda b: ingest.newest_silver(b, ts), ts,
+        scratch(spark, "checkpoint"), "silver", refused,
+    )
+    assert [r.udi for r in silver.read().collect()] == [1]
+    assert refused.read().first().error_reason == CAST_REASON
+
+
 @pytest.fixture(scope="module")
 def lake(spark, tmp_path_factory):
     """Two runs: machines 1-3 and one reject, then machine 2 again and machine 4."""

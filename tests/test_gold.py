@@ -22,18 +22,19 @@ def rows_of(df):
     return sorted(map(str, rounded(df).collect()))
 
 
-def test_both_ways_of_refreshing_agree(spark, small, feats):
+def test_refreshing_cuts_before_it_aggregates(spark, small, feats):
     feed = machine_log(spark, small).filter(F.col(VERSION) > 20)
     groups = pin(gold.affected_groups(feed))
-    broadcast = gold.refresh_groups(feats, groups)
-    joined = gold.refresh_groups(feats, groups, broadcast_rows=0)
-    assert rows_of(broadcast) == rows_of(joined) != []
-    assert "hashpartitioning" in joined._jdf.queryExecution().executedPlan().toString()
+    refreshed = gold.refresh_groups(feats, groups)
+    whole = gold.daily(feats).join(groups, GROUP_KEYS, "left_semi")
+    assert rows_of(refreshed) == rows_of(whole) != []
+    plan = refreshed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")
 
 
 def test_incremental_with_moved_groups_equals_recompute(spark, small):
     before = pin(machine_features(spark, small, -1, 10))
-    after = pin(upsert(before, machine_features(spark, small, 10, 29), ["udi"]))
+    after = pin(upsert(before, machine_features(spark, small, 10), ["udi"]))
     feed = pin(machine_log(spark, small).filter(F.col(VERSION) > 10))
     groups = pin(gold.affected_groups(feed, "recompute"))
     fresh = pin(gold.refresh_groups(after, groups))
@@ -93,12 +94,18 @@ def test_clustered_keeps_rows_and_narrows_files(spark, feats):
     clustered(feats, ["product_id", "event_date"], files=4).write.parquet(path)
     back = spark.read.parquet(path)
     assert sorted(map(str, back.collect())) == sorted(map(str, feats.collect()))
-    spans = back.groupBy(F.input_file_name().alias("f")).agg(
-        F.count_distinct("product_id").alias("p"), F.count_distinct("event_date").alias("d")
+    spans = back.groupBy(F.input_file_name().alias("f")).agg(F.count_distinct("product_id").alias("p"))
+    products = feats.agg(F.count_distinct("product_id")).first()[0]
+    assert spans.count() == 4 and spans.filter(F.col("p") <= products / 3).count() == 4
+
+
+def test_every_row_is_in_one_part_of_a_split(spark):
+    rows = spark.range(200).selectExpr(
+        "IF(id % 4 = 0, NULL, id) k", "IF(id % 5 = 0, NULL, IF(id = 1, 9, id % 2)) s", "id"
     )
-    whole = feats.agg(F.count_distinct("product_id"), F.count_distinct("event_date")).first()
-    narrow = spans.filter((F.col("p") < whole[0] * 0.8) & (F.col("d") < whole[1] * 0.8))
-    assert spans.count() == 4 and narrow.count() >= 2
+    train, test = learn.stratified_split(rows, "s", "k")
+    assert sorted(r.id for r in train.unionByName(test).collect()) == list(range(200))
+    assert test.filter("s IS NULL").count() > 0 and test.filter("s = 9").count() == 0
 
 
 def test_clustered_splits_a_hot_value(spark):
@@ -136,7 +143,7 @@ def test_models_learn_and_survive_saving(spark):
         "300.0D + id % 7 air_temperature_k",
         "310.0D + id % 11 process_temperature_k",
         "CAST(1200 + id % 13 AS INT) rotational_speed_rpm",
-        "CAST(id % 50 AS DOUBLE) torque_nm",
+        "IF(id % 10 = 9, NULL, CAST(id % 50 AS DOUBLE)) torque_nm",
         "CAST(id % 100 AS INT) tool_wear_min",
         *[f"IF(id % 50 > {10 * i + 5}, 1, 0) {f}_label" for i, f in enumerate(FAILURES)],
     )
@@ -149,7 +156,8 @@ def test_models_learn_and_survive_saving(spark):
     scored = learn.score(loaded, data, as_ts("2024-01-01"))
     ones = scored.agg(F.min("prediction_score"), F.max("prediction_score")).first()
     assert 0 <= ones[0] < ones[1] <= 1
-    assert scored.filter("pred_twf <> IF(udi % 50 > 5, 1, 0)").count() == 0
+    assert scored.count() == 400
+    assert scored.filter("udi % 10 <> 9 AND pred_twf <> IF(udi % 50 > 5, 1, 0)").count() == 0
 
 
 def test_line_log_versions(spark, small):

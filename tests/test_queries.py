@@ -7,19 +7,12 @@ import pytest
 import __spark_entry__ as entry
 from tests.check import differences, duck
 
-# Whole flows and repeated commits take long; test_flow and test_tables cover them.
-SLOW = {
-    *["q_flow_daily_moved", "q_flow_audit", "q_flow_quality"],
-    *["q_committed_state", "q_committed_history"],
-}
-
-
 @pytest.fixture(scope="module")
 def con(small):
     return duck(small)
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in entry.queries() if n.startswith("q_")])
 def test_query_agrees_with_sql(spark, con, small, name):
     assert differences(spark, con, small, name) is None
 

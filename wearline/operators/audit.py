@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wearline.operators.changes import (
@@ -90,6 +90,50 @@ def audit_pairs(
     )
 
 
+def current_predictions(
+    silver_log: DataFrame, prediction_log: DataFrame, silver_start: int = 0, gold_start: int = 0
+) -> DataFrame:
+    """Each new Silver image with the prediction that was current for it: the first one
+    committed at its time or later, before the machine's next image. NULL where none was.
+
+    One row per Silver image, whatever the number of commits; both feeds are brought together
+    by one shuffle on the machine. Of predictions by several models at one time the first by
+    name counts.
+    """
+    kinds = {"silver": MEASURES, "gold": [*PREDICTED, "model_name", "model_version"]}
+    logs = {"silver": (silver_log, silver_start), "gold": (prediction_log, gold_start)}
+    sides = [
+        new_images(changes(*logs[kind])).select(
+            "udi",
+            "product_id",
+            F.col(COMMIT_TS).alias("at"),
+            F.lit(order).alias("side"),
+            F.struct(F.col(VERSION).alias("version"), F.col(COMMIT_TS).alias("ts"), *columns).alias(kind),
+        )
+        for order, (kind, columns) in enumerate(kinds.items())
+    ]
+    events = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    machine = Window.partitionBy("udi", "product_id").orderBy("at", "side", "gold.model_name", "gold.model_version")
+    later = machine.rowsBetween(1, Window.unboundedFollowing)
+    found = events.withColumns(
+        {
+            "_gold": F.first("gold", ignorenulls=True).over(later),
+            "_next": F.first("silver.ts", ignorenulls=True).over(later),
+        }
+    ).filter("side = 0")
+    current = F.when(F.col("_next").isNull() | (F.col("_gold.ts") < F.col("_next")), F.col("_gold"))
+    return found.withColumn("_gold", current).select(
+        F.col("silver.version").alias("silver_version"),
+        F.col("silver.ts").alias("silver_commit_ts"),
+        F.col("_gold.version").alias("gold_version"),
+        F.col("_gold.ts").alias("gold_commit_ts"),
+        "udi",
+        "product_id",
+        *[F.col(f"silver.{c}").alias(c) for c in kinds["silver"]],
+        *[F.col(f"_gold.{c}").alias(c) for c in kinds["gold"]],
+    )
+
+
 def newest_first(pairs: DataFrame) -> DataFrame:
     """Pairs by commit time, newest first.
 

@@ -19,11 +19,13 @@ from wearline.schemas import (
     conform,
     with_labels,
 )
-from wearline.session import broadcast_within
 
-BROADCAST_KEYS = 200_000
 _FEATURE_INPUT = [
-    *["udi", "product_id", "machine_type", "event_date", "event_hour"],
+    "udi",
+    "product_id",
+    "machine_type",
+    "event_date",
+    "event_hour",
     *MEASURES,
     "machine_failure",
     *FAILURES,
@@ -56,20 +58,14 @@ def affected_groups(feed: DataFrame, stale: str = "keep") -> DataFrame:
     return feed.filter(F.col(CHANGE).isin(kinds)).select(*GROUP_KEYS).distinct()
 
 
-def refresh_groups(
-    features: DataFrame, groups: DataFrame, broadcast_rows: int = BROADCAST_KEYS
-) -> DataFrame:
+def refresh_groups(features: DataFrame, groups: DataFrame) -> DataFrame:
     """Aggregates of the given groups only, over all their feature rows.
 
-    A bounded set of groups is broadcast and the features are cut down before they are
-    aggregated. A larger one is applied to the finished aggregates instead: those hold one
-    row per group, so a group with most of the rows still moves as partial sums. ``groups``
-    is pinned by the caller.
+    The features are cut down to the groups before they are aggregated. ``groups`` is pinned
+    by the caller, so the planner knows its size: a small one is broadcast, and with a larger
+    one the adaptive join splits a group that holds most of the rows.
     """
-    small = broadcast_within(groups, broadcast_rows)
-    if small is not None:
-        return daily(features.join(small, GROUP_KEYS, "left_semi"))
-    return daily(features).join(groups, GROUP_KEYS, "left_semi")
+    return daily(features.join(groups, GROUP_KEYS, "left_semi"))
 
 
 def emptied_groups(groups: DataFrame, refreshed: DataFrame) -> DataFrame:

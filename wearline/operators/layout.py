@@ -1,89 +1,20 @@
-"""Clustered layout: rows close in several columns end up in the same files."""
+"""Clustered layout: rows close in the given columns end up in the same files."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import QuantileDiscretizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_PREFIX_BYTES = 6
 
+def clustered(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
+    """The same rows, ranged over files by whole values of ``columns`` and sorted by them.
 
-def _common_prefix(lo: str | None, hi: str | None) -> int:
-    n = 0
-    for a, b in zip(lo or "", hi or ""):
-        if a != b:
-            break
-        n += 1
-    return n
-
-
-def _numbers(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
-    """Order-keeping number for each column.
-
-    Text gives the bytes that follow the prefix shared by its smallest and largest value.
-    """
-    text = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
-    ends = {}
-    if text:
-        row = df.agg(*[f(c).alias(f"{n}_{c}") for c in text for n, f in (("lo", F.min), ("hi", F.max))])
-        ends = row.first().asDict()
-    numbers = {}
-    for c in columns:
-        kind = df.schema[c].dataType
-        if c in text:
-            start = _common_prefix(ends[f"lo_{c}"], ends[f"hi_{c}"]) + 1
-            digits = F.substring(F.hex(F.substring(c, start, _PREFIX_BYTES)), 1, 2 * _PREFIX_BYTES)
-            numbers[c] = F.conv(F.rpad(digits, 2 * _PREFIX_BYTES, "0"), 16, 10).cast("double")
-        elif isinstance(kind, T.DateType):
-            numbers[c] = F.unix_date(c).cast("double")
-        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            numbers[c] = F.unix_micros(F.col(c).cast("timestamp")).cast("double")
-        else:
-            numbers[c] = F.col(c).cast("double")
-    return numbers
-
-
-def z_value(buckets: Sequence[Column], bits: int) -> Column:
-    """Bits of the bucket numbers, interleaved from the highest down."""
-    z = F.lit(0).cast("bigint")
-    for bit in range(bits):
-        for place, bucket in enumerate(buckets):
-            one = F.shiftright(bucket.cast("bigint"), bit).bitwiseAND(F.lit(1))
-            z = z.bitwiseOR(F.shiftleft(one, bit * len(buckets) + place))
-    return z
-
-
-def clustered(
-    df: DataFrame, columns: Sequence[str], files: int | None = None, bits: int = 8
-) -> DataFrame:
-    """The same rows, ranged over files by a z-curve through ``columns``.
-
-    Buckets are quantiles, so each holds about as many rows as the next. Rows of one
-    curve cell are ranged further by the columns and a row hash, so that a value held by a
-    large share of the rows is spread over several files.
+    The ranges end on a row hash, so that a value held by a large share of the rows is spread
+    over several files. Files and row groups then hold narrow ranges of the first column and,
+    within one value of it, of the next, which a filter on both can skip.
     """
-    names = [f"_n{i}" for i in range(len(columns))]
-    ids = [f"_b{i}" for i in range(len(columns))]
-    numbers = _numbers(df, columns)
-    numbered = df.withColumns({n: numbers[c] for n, c in zip(names, columns)})
-    buckets = QuantileDiscretizer(
-        inputCols=names,
-        outputCols=ids,
-        numBuckets=2**bits - 1,
-        relativeError=1 / 2 ** (bits + 1),
-        handleInvalid="keep",
-    ).fit(numbered.select(*names))
-    # Few distinct values give few buckets; spread them so that both columns fill all bits.
-    # NULLs get a bucket of their own behind the others.
-    counts = [len(splits) for splits in buckets.getSplitsArray()]
-    spread = [F.floor(F.col(i) * 2**bits / n) for i, n in zip(ids, counts)]
-    placed = buckets.transform(numbered).withColumn("_z", z_value(spread, bits))
-    order = ["_z", *columns, F.xxhash64(*df.columns)]
-    ranged = (
-        placed.repartitionByRange(*order) if files is None else placed.repartitionByRange(files, *order)
-    )
-    return ranged.sortWithinPartitions("_z", *columns).select(*df.columns)
+    order = [*columns, F.xxhash64(*df.columns)]
+    ranged = df.repartitionByRange(*order) if files is None else df.repartitionByRange(files, *order)
+    return ranged.sortWithinPartitions(*columns)

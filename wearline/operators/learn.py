@@ -8,25 +8,27 @@ from multiprocessing.pool import ThreadPool
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wearline.schemas import FAILURES, MEASURES
-from wearline.session import broadcast_within, pin, shared_dir
+from wearline.session import pin, shared_dir
 
 LABELS = [f"{f}_label" for f in FAILURES]
 # Training settings.
 ROUNDS, DEPTH, RATE, SAMPLE, SEED, TEST_PERCENT = 150, 5, 0.08, 0.9, 42, 20
 MODEL = ("gbt_multioutput", "v1")
 SPLIT_BUCKETS = 1000
-MAX_STRATA = 1000
 
 
-def split_bucket(key: str, seed: int = SEED, buckets: int = SPLIT_BUCKETS) -> Column:
-    """Bucket of a row, fixed by its key and the seed alone."""
-    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+def split_bucket(key: str, seed: int = SEED, buckets: int = SPLIT_BUCKETS, row: Column | None = None) -> Column:
+    """Bucket of a row, fixed by its key and the seed alone; by ``row`` where the key is NULL."""
+    text = F.col(key).cast("string")
+    if row is not None:
+        text = F.coalesce(text, row.cast("string"))
+    digest = F.md5(F.concat(text, F.lit(f":{seed}")))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % buckets
 
 
@@ -36,10 +38,12 @@ def stratified_split(
     """Train and test rows with the same share of test rows in every stratum.
 
     Rows are hashed to buckets; per stratum the buckets up to a threshold become test
-    rows, the threshold being the one whose row count is closest to the share. Only the
-    bucket counts are shuffled, and copies of a key stay on one side.
+    rows, the threshold (or none at all) being the one whose row count is closest to the
+    share. Only the bucket counts are shuffled, and copies of a key stay on one side. Every
+    row is in one of the two: NULL is a stratum like any other, and rows without a key are
+    hashed whole.
     """
-    hashed = df.withColumn("_bucket", split_bucket(key, seed))
+    hashed = df.withColumn("_bucket", split_bucket(key, seed, row=F.xxhash64(*df.columns)))
     counts = hashed.groupBy(stratum, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     part = Window.partitionBy(stratum)
     sums = counts.withColumns(
@@ -49,21 +53,34 @@ def stratified_split(
         }
     )
     distance = F.abs(F.col("_upto") * 100 - F.col("_all") * test_percent)
-    last = sums.groupBy(stratum).agg(
-        F.min_by("_bucket", F.struct(distance, F.col("_bucket"))).alias("_last")
+    last = sums.groupBy(F.col(stratum).alias("_stratum")).agg(
+        F.min_by(F.struct(distance.alias("off"), "_bucket"), F.struct(distance, F.col("_bucket"))).alias("_best"),
+        (F.max("_all") * test_percent).alias("_off_without"),
     )
-    last = pin(last, "strata")
-    few = broadcast_within(last, MAX_STRATA)
-    placed = hashed.join(last if few is None else few, stratum)
-    test = F.col("_bucket") <= F.col("_last")
+    last = last.select(
+        "_stratum", F.when(F.col("_best.off") < F.col("_off_without"), F.col("_best._bucket")).otherwise(-1).alias("_last")
+    )
+    placed = hashed.join(pin(last, "strata"), F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
+    test = F.coalesce(F.col("_bucket") <= F.col("_last"), F.lit(False))
     return (
         placed.filter(~test).select(*df.columns),
         placed.filter(test).select(*df.columns),
     )
 
 
+def missing_as_values(measures: Sequence[str] = MEASURES) -> SQLTransformer:
+    """Measures for trees: a missing one is -1, below all readings, with a flag of its own."""
+    columns = ", ".join(
+        f"coalesce(nanvl(CAST({m} AS DOUBLE), CAST(NULL AS DOUBLE)), -1D) AS _known_{m}, "
+        f"CAST({m} IS NULL OR isnan({m}) AS DOUBLE) AS _missing_{m}"
+        for m in measures
+    )
+    return SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__")
+
+
 def assembler(measures: Sequence[str] = MEASURES) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(measures), outputCol="_features", handleInvalid="skip")
+    columns = [f"_{kind}_{m}" for kind in ("known", "missing") for m in measures]
+    return VectorAssembler(inputCols=columns, outputCol="_features", handleInvalid="error")
 
 
 def fit(
@@ -78,8 +95,8 @@ def fit(
 ) -> PipelineModel:
     """One boosted-tree model per label, fitted side by side on one cached feature table."""
     shared_dir(train.sparkSession)
-    vectors = assembler()
-    data = vectors.transform(train.dropna(subset=[*labels])).select("_features", *labels)
+    vectors = [missing_as_values(), assembler()]
+    data = PipelineModel(stages=vectors).transform(train.dropna(subset=[*labels])).select("_features", *labels)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
 
     def one(label: str):
@@ -102,7 +119,7 @@ def fit(
             models = pool.map(one, labels)
     finally:
         data.unpersist()
-    return PipelineModel(stages=[vectors, *models])
+    return PipelineModel(stages=[*vectors, *models])
 
 
 def score(
@@ -112,7 +129,8 @@ def score(
     name: tuple[str, str] = MODEL,
     labels: Sequence[str] = LABELS,
 ) -> DataFrame:
-    """Predictions per feature row; the score is the largest class-1 probability."""
+    """One prediction per feature row, missing measures or not; the score is the largest
+    class-1 probability."""
     scored = model.transform(features)
     chances = [vector_to_array(f"_prob_{label}")[1] for label in labels]
     classes = [

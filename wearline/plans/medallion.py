@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,10 +33,18 @@ from wearline.schemas import (
     PREDICTIONS,
     QUARANTINE,
     SILVER,
+    conform,
     with_labels,
 )
 from wearline.session import Moment, as_ts, no_rows, pin
-from wearline.sources.files import append_bronze, read_bronze, read_raw, replace
+from wearline.sources.files import (
+    INGEST_NO,
+    append_bronze,
+    ingests,
+    read_bronze,
+    read_raw,
+    replace,
+)
 from wearline.sources.tables import VersionedTable
 from wearline.streaming import ingest
 
@@ -58,8 +65,9 @@ class Config:
 
     ``quality`` is "audit" (count violations) or "enforce" (fail the load on one).
     ``silver_source`` is "new" (Bronze rows above the mark) or "all" (merge Bronze whole).
-    ``stale`` is "keep" or "recompute", for groups that rows have left. Streamed files make
-    a Bronze of text columns, for which ``bronze_schema`` is ``TEXT_BRONZE``.
+    ``stale`` is "keep" or "recompute", for groups that rows have left. ``bronze_schema`` holds
+    for batch loads and streams alike: with ``BRONZE`` a value of the wrong type fails the
+    load, with ``TEXT_BRONZE`` it is kept as text and goes to the quarantine later.
     """
 
     root: str
@@ -111,25 +119,24 @@ class Lakehouse:
     # -- steps -----------------------------------------------------------------
 
     def ingest(self, source: str, run_ts: Moment = None) -> None:
-        append_bronze(read_raw(self.spark, source, run_ts, self.config.separator), self.bronze)
+        rows = read_raw(self.spark, source, run_ts, self.config.separator)
+        append_bronze(conform(rows, self.config.bronze_schema), self.bronze)
 
     def new_bronze(self) -> tuple[DataFrame, DataFrame]:
-        """Bronze rows to merge, and the mark that covers them, in microseconds.
+        """Bronze rows to merge, and the mark that covers them.
 
-        Bronze arrives in time order, so the mark is an ingestion time; the newest one is
-        fixed first, so rows that come in meanwhile are left to the next run. The day
-        bounds let the scan skip the day folders outside them.
+        The mark is the number of the last ingest merged. Numbers only grow, whatever the run
+        times, so nothing that is added later lies below it; ingests that finish meanwhile are
+        left to the next run. Only the folders above the mark are read.
         """
-        bronze = read_bronze(self.spark, self.bronze, self.config.bronze_schema)
-        arrived = F.unix_micros("ingestion_ts")
         low = self.mark(SILVER_FLOW) if self.config.silver_source == "new" else -1
-        if low >= 0:
-            day = F.to_date(F.timestamp_micros(F.lit(low)))
-            bronze = bronze.filter((F.col("ingestion_date") >= day) & (arrived > low))
-        high = bronze.agg(F.max(arrived).alias(VERSION)).first()[0]
+        high = ingests(self.spark, self.bronze).agg(F.max(INGEST_NO)).first()[0]
         done = self.spark.range(1).select(F.lit(high).cast("bigint").alias(VERSION))
-        rows = bronze.filter(arrived <= high) if high is not None else bronze.limit(0)
-        return rows.drop("ingestion_date"), done
+        if high is None:
+            return no_rows(self.spark, self.config.bronze_schema).drop("ingestion_date"), done
+        bronze = read_bronze(self.spark, self.bronze, self.config.bronze_schema)
+        rows = bronze.filter((F.col(INGEST_NO) > low) & (F.col(INGEST_NO) <= high))
+        return rows.drop("ingestion_date", INGEST_NO), done
 
     def to_silver(self, run_ts: Moment = None) -> None:
         """Merge new Bronze rows into Silver; rows that are not valid go to quarantine."""
@@ -250,11 +257,25 @@ class Lakehouse:
             return copy
         return apply_changes(copy, table.changes(version + 1), table.keys, table.null_keys)
 
-    def ingest_stream(self, landing: str, checkpoint: str, extra: Sequence[str] = ()) -> None:
-        """Append the CSV files that have arrived in ``landing`` to Bronze, as text."""
-        schema = ingest.stored_schema(self.spark, f"{self.root}/stream_schema", extra)
-        stream = ingest.stream_raw(self.spark, landing, schema)
-        ingest.drain_to_bronze(stream, self.bronze, checkpoint)
+    def ingest_stream(self, landing: str, checkpoint: str, run_ts: Moment = None) -> None:
+        """Append the CSV files that have arrived in ``landing`` to Bronze, by their headers.
+
+        They go to the same numbered folders as batch loads, as the same column types; further
+        columns are kept beside the declared ones.
+        """
+        kinds = {f.name: f.dataType for f in self.config.bronze_schema}
+
+        def prepare(rows: DataFrame) -> DataFrame:
+            return rows.select(*[F.col(c).cast(kinds.get(c, "string")).alias(c) for c in rows.columns])
+
+        ingest.drain_to_bronze(
+            ingest.stream_files(self.spark, landing),
+            self.bronze,
+            checkpoint,
+            None if run_ts is None else as_ts(run_ts),
+            f"{self.root}/stream_schema",
+            prepare,
+        )
 
     def load_features(self, source: str, path: str, run_ts: Moment = None) -> None:
         """Reload a plain feature table straight from raw files, dated by the run time."""

@@ -190,7 +190,7 @@ _PICK = "product_id = 'P7' AND machine_type = 'L'"
 # Machine states after the early and after all versions, and the refreshed aggregates.
 _FEAT = (
     f"{_MLOG}, early AS {_machine_state('_commit_version <= 14')}, "
-    f"late AS {_machine_state('_commit_version <= 29')}"
+    f"late AS {_machine_state('TRUE')}"
 )
 _GROUPS = (
     "SELECT DISTINCT product_id, machine_type, event_date FROM log WHERE _commit_version > 14"
@@ -252,6 +252,10 @@ _RESULTS = {
     "COUNT(*) AS n_sources, CAST(SUM(tool_wear_min) AS BIGINT) AS sum_wear FROM sensors, "
     "(VALUES (DATE '2026-04-02'), (DATE '2026-04-03')) d(day) GROUP BY d.day",
     "q_stream_bronze": f"WITH {_SENSORS} SELECT {RAW} FROM sensors",
+    "q_bronze_mixed": f"WITH {_SENSORS} SELECT CAST(batch_no % 3 AS INT) AS part, COUNT(*) AS n_rows, "
+    "CAST(SUM(udi) AS BIGINT) AS sum_udi, CAST(SUM(tool_wear_min) AS BIGINT) AS sum_wear FROM sensors "
+    "GROUP BY 1",
+    "q_flow_late_ingest": f"WITH {_VALID} SELECT {RAW} FROM valid",
     "q_stream_evolved": f"WITH {_SENSORS} SELECT CASE WHEN batch_no < 15 THEN NULL ELSE batch_no END "
     "AS batch_no, COUNT(*) AS n_rows, CAST(SUM(udi) AS BIGINT) AS sum_udi FROM sensors GROUP BY 1",
     "q_stream_upsert": f"WITH {_MACHINES} SELECT {RAW} FROM "
@@ -286,7 +290,7 @@ _RESULTS = {
     "q_daily_incremental": _refreshed(_IMAGES),
     "q_daily_recompute_moved": f"WITH {_FEAT} SELECT {DAILY} FROM late {BY_GROUP}",
     "q_changed_machines": f"WITH {_MLOG} SELECT reading, {FEATURES} FROM machines WHERE udi IN "
-    f"(SELECT udi FROM log WHERE _commit_version IN (28, 29) AND {_IMAGES})",
+    f"(SELECT udi FROM log WHERE _commit_version > (SELECT MAX(_commit_version) FROM log) - 2 AND {_IMAGES})",
     "q_changed_order_lines": "SELECT l_returnflag, COUNT(*) AS n_lines, ROUND(SUM(l_quantity), 2) AS "
     "sum_qty FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus "
     "= 'O') GROUP BY l_returnflag",
@@ -386,6 +390,18 @@ _RESULTS = {
     f"g._commit_timestamp AS gold_commit_ts, {_PAIRS} FROM log s JOIN plog g ON s.udi = g.udi AND "
     "s.product_id = g.product_id WHERE s._change_type IN ('insert', 'update_postimage') AND "
     "g._change_type IN ('insert', 'update_postimage')",
+    "q_audit_current": f"WITH {_PLOG}, log AS {_MLOG.split('log AS ', 1)[1]}, s AS (SELECT *, "
+    "LEAD(_commit_timestamp) OVER (PARTITION BY udi, product_id ORDER BY _commit_timestamp) AS nx FROM "
+    f"log WHERE {_IMAGES}), j AS (SELECT s._commit_version AS silver_version, s._commit_timestamp AS "
+    "silver_commit_ts, g._commit_version AS gold_version, g._commit_timestamp AS gold_commit_ts, "
+    f"s.udi, s.product_id, {', '.join(f's.{m}' for m in MEASURES)}, {PRED_LIST}, model_name, "
+    "model_version, ROW_NUMBER() OVER (PARTITION BY s.udi, s.product_id, s._commit_version ORDER BY "
+    "g._commit_timestamp, model_name) AS rn FROM s LEFT JOIN (SELECT * FROM plog WHERE "
+    f"{_IMAGES}) g ON s.udi = g.udi AND s.product_id = g.product_id AND g._commit_timestamp >= "
+    "s._commit_timestamp AND (s.nx IS NULL OR g._commit_timestamp < s.nx)) SELECT * EXCLUDE (rn) "
+    "FROM j WHERE rn = 1",
+    "q_split_missing": f"WITH {_SENSORS} SELECT machine_type, COUNT(*) AS n_before, COUNT(*) AS n_after "
+    "FROM sensors GROUP BY 1",
     "q_split_stratified": f"WITH {_VALID}, h AS (SELECT udi, machine_failure, {_BUCKET} AS b FROM "
     "valid), c AS (SELECT machine_failure, b, COUNT(*) AS n FROM h GROUP BY 1, 2), s AS (SELECT *, "
     "SUM(n) OVER (PARTITION BY machine_failure ORDER BY b) AS u, SUM(n) OVER (PARTITION BY "
@@ -403,6 +419,12 @@ _RESULTS = {
     "('gbt_multioutput', 'v1')) t(model_name, model_version)) SELECT model_name, model_version, "
     "COUNT(*) AS n_rows, COUNT(DISTINCT udi) AS n_machines, CAST(0 AS BIGINT) AS bad_scores FROM "
     "valid, m GROUP BY 1, 2",
+    "q_gbt_scores": f"WITH {_VALID} SELECT udi, product_id, TRUE AS flags_ok, TRUE AS score_ok, TRUE AS "
+    "agrees, 'gbt_multioutput' AS model_name, 'v1' AS model_version FROM valid",
+    "q_model_f1": "SELECT * FROM (VALUES " + ", ".join(f"('{f}', TRUE)" for f in FAILURES)
+    + ") t(target, learned)",
+    "q_model_reloaded": f"WITH {_VALID} SELECT udi, TRUE AS same FROM valid",
+    "q_layout_skips_files": "SELECT TRUE AS found, TRUE AS in_few_files",
     "q_layout_same_rows": f"WITH {_VALID} SELECT {RAW}, log_ts FROM valid",
     "q_flow_daily": f"WITH {_FLOW} SELECT {DAILY} FROM first_run WHERE (product_id, machine_type, "
     "event_date) NOT IN (SELECT (product_id, machine_type, event_date) FROM second_run) "

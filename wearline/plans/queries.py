@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.functions.rules import QUALITY_RULES, violation
+from wearline.functions.rules import FAILURE_RULES, QUALITY_RULES, flags, violation
 from wearline.operators import audit, changes, gold, learn, serving
 from wearline.operators.control import GOLD_FLOW, advance_mark, changes_above_mark, first_mark
 from wearline.operators.layout import clustered
@@ -22,6 +23,7 @@ from wearline.schemas import (
     RAW,
     RAW_COLUMNS,
     SILVER,
+    TEXT_BRONZE,
     failure_columns,
     with_labels,
 )
@@ -116,31 +118,69 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     for portion in (early(rows), late(rows), None):
         if portion is not None:
             land_csv(portion, landing)
-        ingest.drain_to_bronze(ingest.stream_raw(spark, landing), bronze, state)
+        ingest.drain_to_bronze(ingest.stream_files(spark, landing), bronze, state)
     text = read_bronze(spark, bronze, schema=None)
     return text.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW])
 
 
+def land_mixed_up(df: DataFrame, path: str, extra: str | None = None) -> None:
+    """Raw files whose columns come in another order, ``extra`` in the middle of them."""
+    headers = [F.col(name).alias(header) for header, name in HEADERS.items()][::-1]
+    if extra is not None:
+        headers.insert(len(headers) // 2, F.col(extra))
+    df.select(*headers).write.mode("append").options(header=True).csv(path)
+
+
 def stream_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A column that only later files have."""
+    """Files with their columns in other orders, and a column that only later files have."""
     landing, bronze, state = (scratch(spark, n) for n in ("landing", "bronze", "checkpoint"))
     kept = scratch(spark, "schema")
     rows = sensors(spark, sf_dir)
-    for portion, extra in ((early(rows), ()), (late(rows), ("batch_no",))):
-        land_csv(portion, landing, extra)
-        schema = ingest.stored_schema(spark, kept, extra)
-        ingest.drain_to_bronze(ingest.stream_raw(spark, landing, schema), bronze, state)
+    for portion, extra in ((early(rows), None), (late(rows), "batch_no")):
+        land_mixed_up(portion, landing, extra)
+        ingest.drain_to_bronze(ingest.stream_files(spark, landing), bronze, state, kept=kept)
     merged = read_bronze(spark, bronze, merge=True)
     return merged.groupBy(F.col("batch_no").cast("int").alias("batch_no")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("udi").cast("bigint")).alias("sum_udi")
     )
 
 
+def bronze_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One Bronze filled by a stream, a batch load and the stream again."""
+    lake = Lakehouse(spark, Config(scratch(spark, "lake"), TEXT_BRONZE, cluster=False))
+    landing, state = scratch(spark, "landing"), scratch(spark, "checkpoint")
+    rows = sensors(spark, sf_dir)
+    third = F.col("batch_no") % 3
+    land_csv(rows.filter(third == 0), landing)
+    lake.ingest_stream(landing, state, DAY1)
+    files = scratch(spark, "files")
+    land_csv(rows.filter(third == 1), files)
+    lake.ingest(files, DAY1)
+    land_mixed_up(rows.filter(third == 2), landing)
+    lake.ingest_stream(landing, state, DAY1)
+    bronze = read_bronze(spark, lake.bronze, TEXT_BRONZE)
+    return bronze.groupBy(F.col("ingest_no").cast("int").alias("part")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.col("udi").cast("bigint")).alias("sum_udi"),
+        F.sum(F.col("tool_wear_min").cast("bigint")).alias("sum_wear"),
+    )
+
+
+def flow_late_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after two ingests at one time and one dated the day before."""
+    lake = Lakehouse(spark, Config(scratch(spark, "lake"), cluster=False))
+    for third, day in enumerate((DAY2, DAY2, DAY1)):
+        landing = scratch(spark, "landing")
+        land_csv(sensors(spark, sf_dir).filter(F.col("batch_no") % 3 == third), landing)
+        lake.ingest(landing, day)
+        lake.to_silver(day)
+    return lake.silver.read().select(*RAW_COLUMNS)
+
+
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two micro-batches merged into a Silver table keyed by machine."""
     landing, state = scratch(spark, "landing"), scratch(spark, "checkpoint")
     silver = VersionedTable(spark, scratch(spark, "silver"), SILVER, MACHINE_KEY)
-    schema = ingest.stored_schema(spark, scratch(spark, "schema"), ["reading"])
     rows = by_machine(sensors(spark, sf_dir))
     run_ts = as_ts(DAY1)
 
@@ -150,7 +190,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     for portion in (early(rows), late(rows)):
         land_csv(portion, landing, ("reading",))
-        stream = ingest.stream_raw(spark, landing, schema, run_ts)
+        stream = ingest.stream_files(spark, landing)
         ingest.drain_to_table(stream, silver, prepare, run_ts, state, "silver")
     return silver.read().select(*RAW_COLUMNS)
 
@@ -262,26 +302,32 @@ def rule_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def machine_features(spark: SparkSession, sf_dir: str, low: int, high: int) -> DataFrame:
-    """Feature rows from the machine log's versions in (low, high]."""
-    feed = changes.changes_between(machine_log(spark, sf_dir), low, high)
+def machine_feed(spark: SparkSession, sf_dir: str, low: int, high: int | None = None) -> DataFrame:
+    """The machine log's versions above ``low``, up to ``high`` if it is given."""
+    log = machine_log(spark, sf_dir)
+    return changes.changes(log, low + 1) if high is None else changes.changes_between(log, low, high)
+
+
+def machine_features(spark: SparkSession, sf_dir: str, low: int, high: int | None = None) -> DataFrame:
+    """Feature rows from the machine log's versions above ``low``."""
+    feed = machine_feed(spark, sf_dir, low, high)
     return gold.feature_rows(feed, as_ts(DAY1)).select(*FEATURE_COLUMNS)
 
 
 def features_of_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return machine_features(spark, sf_dir, -1, 29)
+    return machine_features(spark, sf_dir, -1)
 
 
 def affected_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = changes.changes_between(machine_log(spark, sf_dir), HALF - 1, 29)
+    feed = machine_feed(spark, sf_dir, HALF - 1)
     return gold.affected_groups(feed, "recompute")
 
 
 def _refreshed(spark: SparkSession, sf_dir: str, stale: str) -> DataFrame:
     """Daily aggregates of the early versions, then refreshed by the late ones."""
-    feed = changes.changes_between(machine_log(spark, sf_dir), HALF - 1, 29)
+    feed = machine_feed(spark, sf_dir, HALF - 1)
     before = machine_features(spark, sf_dir, -1, HALF - 1)
-    newer = machine_features(spark, sf_dir, HALF - 1, 29)
+    newer = machine_features(spark, sf_dir, HALF - 1)
     after = upsert(before, newer, ["udi"], assume_unique=True, null_keys=False)
     groups = pin(gold.affected_groups(feed, stale), "groups")
     fresh = pin(gold.refresh_groups(after, groups), "refreshed")
@@ -301,7 +347,9 @@ def daily_recompute_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def changed_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = changes.changes_between(machine_log(spark, sf_dir), 27, 29)
+    log = machine_log(spark, sf_dir)
+    last = machine_versions(spark, sf_dir).agg(F.max("batch_no")).scalar()
+    feed = log.filter(F.col(changes.VERSION) > last - 2)
     rows = by_machine(valid_sensors(spark, sf_dir))
     return gold.of_changed_keys(with_labels(rows), changes.new_images(feed), ["udi"]).select(
         "reading", *FEATURE_COLUMNS
@@ -544,9 +592,10 @@ def _committed_lines(spark: SparkSession, sf_dir: str) -> VersionedTable:
     lines = VersionedTable(
         spark, scratch(spark, "lines"), schema, LINE_KEY, snapshot_every=3, null_keys=False
     )
-    for version in range(7):
+    versions = rows.agg(F.max("version")).first()[0]
+    for version in range(0 if versions is None else versions + 1):
         part = rows.filter(F.col("version") == version).drop("version")
-        lines.commit(part, as_ts(f"2024-01-0{version + 1} 00:00:00"))
+        lines.commit(part, as_ts(F.expr(f"TIMESTAMP '2024-01-01 00:00:00' + INTERVAL {version} DAY")))
     return lines
 
 
@@ -592,6 +641,21 @@ def split_stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named[0].unionByName(named[1])
 
 
+def split_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each stratum before and after a split, with keys and strata missing."""
+    rows = sensors(spark, sf_dir).withColumn("udi", F.expr("IF(udi % 13 = 0, NULL, udi)"))
+    parts = learn.stratified_split(rows, "machine_type", "udi")
+    count = F.count(F.lit(1))
+    after = parts[0].unionByName(parts[1]).groupBy("machine_type").agg(count.alias("n_after"))
+    before = rows.groupBy(F.col("machine_type").alias("_type")).agg(count.alias("n_before"))
+    joined = before.join(after, F.col("_type").eqNullSafe(F.col("machine_type")))
+    return joined.select(F.col("_type").alias("machine_type"), "n_before", "n_after")
+
+
+def audit_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.current_predictions(machine_log(spark, sf_dir), prediction_log(spark, sf_dir))
+
+
 def f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = features(spark, sf_dir)
     made = predicted(rows).select("udi", *audit.PREDICTED)
@@ -599,21 +663,71 @@ def f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(learn.f1_scores(rows.join(made, "udi"), pairs), ["f1"])
 
 
-def _fitted(rows: DataFrame, rounds: int = 3):
-    train, _ = learn.stratified_split(rows, "machine_failure", "udi")
-    return learn.fit(train, rounds=rounds, depth=3)
+# The given flags follow no measure, so the trees of the queries are taught those of the rules,
+# which they can learn. One fit serves all queries of a session over one directory.
+_MODELS: dict[tuple[str, str], str] = {}
 
 
-def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+def taught(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature rows labelled by the rules, a seventeenth of the torques missing."""
     rows = features(spark, sf_dir)
-    return learn.score(_fitted(rows), rows, as_ts(DAY1)).drop("prediction_ts", "_pred_loaded_ts")
+    labelled = rows.withColumns(dict(zip(learn.LABELS, flags(FAILURE_RULES))))
+    return labelled.withColumn("torque_nm", F.expr("IF(udi % 17 = 0, NULL, torque_nm)"))
+
+
+def _model(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    """The five models at full size, from the train rows of ``taught``, saved and loaded."""
+    place = spark.sparkContext.applicationId, sf_dir
+    if place not in _MODELS:
+        train, _ = learn.stratified_split(taught(spark, sf_dir), "machine_failure", "udi")
+        path = scratch(spark, "model")
+        learn.save(learn.fit(train), path)
+        _MODELS[place] = path
+    return learn.load(_MODELS[place])
+
+
+def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold for every feature row's prediction, missing measures or not."""
+    made = learn.score(_model(spark, sf_dir), taught(spark, sf_dir), as_ts(DAY1))
+    score, classes = F.col("prediction_score"), [F.col(c) for c in audit.PREDICTED]
+    fits = F.when(F.greatest(*classes) == 1, score >= 0.5).otherwise(score <= 0.5)
+    return made.select(
+        "udi",
+        "product_id",
+        F.forall(F.array(*classes), lambda c: c.isin(0, 1)).alias("flags_ok"),
+        score.between(0, 1).alias("score_ok"),
+        fits.alias("agrees"),
+        "model_name",
+        "model_version",
+    )
+
+
+def model_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 of the held-out rows per label; a label with few positives has none to speak of, and
+    that of the machine type's rule cannot be high, as the trees see measures only."""
+    _, test = learn.stratified_split(taught(spark, sf_dir), "machine_failure", "udi")
+    found = learn.evaluate(_model(spark, sf_dir), test)
+    seen = test.agg(*[F.sum(label).alias(label.removesuffix("_label")) for label in learn.LABELS])
+    positives = seen.select(F.inline(F.array(*[F.struct(F.lit(c).alias("label"), F.col(c).alias("n")) for c in FAILURES])))
+    joined = found.join(positives, F.col("target") == F.col("label"))
+    return joined.select("target", ((F.col("f1") >= 0.5) | (F.col("n") < 30)).alias("learned"))
+
+
+def model_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of a model and of its copy after saving and loading, row by row."""
+    rows, model, path = taught(spark, sf_dir), _model(spark, sf_dir), scratch(spark, "copy")
+    learn.save(model, path)
+    made = [learn.score(m, rows, as_ts(DAY1)) for m in (model, learn.load(path))]
+    pairs = made[0].alias("a").join(made[1].alias("b"), "udi")
+    same = F.col("a.prediction_score").eqNullSafe(F.col("b.prediction_score"))
+    return pairs.select("udi", same.alias("same"))
 
 
 def model_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learned scores beside the baseline in one table, counted per model."""
     rows = features(spark, sf_dir)
     ts = as_ts(DAY1)
-    scored = learn.score(_fitted(rows, rounds=1), rows, ts)
+    scored = learn.score(_model(spark, sf_dir), rows, ts)
     rules = gold.rule_predictions(rows, ts)
     both = upsert(rules, scored, PREDICTION_KEYS, assume_unique=True, null_keys=False)
     return both.groupBy("model_name", "model_version").agg(
@@ -633,6 +747,20 @@ def layout_same_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def layout_skips_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a product and a day are found in a few of the files of a clustered table."""
+    path = scratch(spark, "clustered")
+    rows = valid_sensors(spark, sf_dir).select("product_id", "log_ts")
+    clustered(rows, ["product_id", "log_ts"], files=8).write.parquet(path)
+    stored = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_name"))
+    one = stored.agg(F.min_by("product_id", "log_ts").alias("p"), F.to_date(F.min("log_ts")).alias("d"))
+    day = F.to_date("log_ts") == one.select("d").scalar()
+    found = stored.filter((F.col("product_id") == one.select("p").scalar()) & day)
+    return found.agg(
+        (F.count(F.lit(1)) > 0).alias("found"), (F.count_distinct("file") <= 2).alias("in_few_files")
+    )
+
+
 def _flow(
     spark: SparkSession, sf_dir: str, stale: str = "keep", cluster: bool = False
 ) -> Lakehouse:
@@ -680,6 +808,8 @@ QUERIES = {
     "q_bronze_append": bronze_append,
     "q_stream_bronze": stream_bronze,
     "q_stream_evolved": stream_evolved,
+    "q_bronze_mixed": bronze_mixed,
+    "q_flow_late_ingest": flow_late_ingest,
     "q_stream_upsert": stream_upsert,
     "q_truncate_reload": truncate_reload,
     "q_loaded_features": loaded_features,
@@ -740,11 +870,16 @@ QUERIES = {
     "q_silver_history": silver_history,
     "q_prediction_history": prediction_history,
     "q_audit_join": audit_join,
+    "q_audit_current": audit_current,
     "q_split_stratified": split_stratified,
+    "q_split_missing": split_missing,
     "q_f1": f1,
     "q_gbt_scores": gbt_scores,
     "q_model_upsert": model_upsert,
+    "q_model_f1": model_f1,
+    "q_model_reloaded": model_reloaded,
     "q_layout_same_rows": layout_same_rows,
+    "q_layout_skips_files": layout_skips_files,
     "q_flow_daily": flow_daily,
     "q_flow_daily_moved": flow_daily_moved,
     "q_flow_audit": flow_audit,

@@ -30,16 +30,22 @@ def local_session(cpus: int | str = 8, **conf: str) -> SparkSession:
     return spark
 
 
+def is_one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's checkpoint folder.
 
-    Only where the session names none (tests, one machine) is a temporary one set.
+    Only on a ``local`` master, where all tasks share one machine, may it be a temporary one.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not is_one_machine(context.master):
+            raise ValueError(f"set spark.checkpoint.dir: executors of {context.master} share no local folder")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="wearline-"))
     return context.getCheckpointDir()
 
@@ -75,8 +81,3 @@ def pin(df: DataFrame, label: str = "pinned", path: str | None = None) -> DataFr
     path = path or scratch(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """A pinned ``df`` marked for broadcast if it has at most ``max_rows`` rows, else ``None``."""
-    return None if df.limit(max_rows + 1).count() > max_rows else F.broadcast(df)

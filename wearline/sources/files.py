@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wearline.schemas import BRONZE, HEADERS, RAW_FILE, conform, snake_case
-from wearline.session import Moment, as_ts
+from wearline.session import Moment, as_ts, no_rows
 
 SEPARATORS = [",", ";", "\t", "|"]
 
@@ -27,10 +28,36 @@ def with_arrival(df: DataFrame, run_ts: Column) -> DataFrame:
     )
 
 
+def header_lines(lines: DataFrame) -> DataFrame:
+    """(``source_file``, ``header``): the first line of every file of a text scan.
+
+    ``lines`` holds ``value``, the file's path and the start of the split a line is from; only
+    the splits at a file's start count, in which a task sees the lines in their order.
+    """
+    first = lines.filter("block_start = 0").withColumn("n", F.monotonically_increasing_id())
+    return first.groupBy("source_file").agg(F.min_by("value", "n").alias("header"))
+
+
+def text_lines(reader) -> DataFrame:
+    """A text scan (batch or stream) as ``header_lines`` takes it."""
+    return reader.select(
+        "value",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+    )
+
+
 def separator_of(spark: SparkSession, path: str) -> str:
-    """The separator that splits the first line into the raw header."""
-    line = spark.read.text(path).first()
-    header = "" if line is None else line[0].lstrip("\ufeff").rstrip("\r")
+    """The separator that splits the first line of all files into the raw header."""
+    heads = header_lines(text_lines(spark.read.text(path))).select("header").distinct().collect()
+    found = {_separator(row.header, path) for row in heads}
+    if len(found) != 1:
+        raise ValueError(f"cannot read {path}: its files have {len(found)} different separators")
+    return found.pop()
+
+
+def _separator(line: str | None, path: str) -> str:
+    header = (line or "").lstrip("\ufeff").rstrip("\r")
     tried = []
     for sep in SEPARATORS:
         lacking = sorted(set(HEADERS) - {h.strip('"') for h in header.split(sep)})
@@ -58,19 +85,66 @@ def read_raw(
     return conform(with_arrival(snake_case(rows), as_ts(run_ts)), BRONZE)
 
 
-def append_bronze(df: DataFrame, path: str) -> None:
-    df.write.mode("append").partitionBy("ingestion_date").parquet(path)
+INGEST_NO = "ingest_no"
+INGESTS = T.StructType(
+    [
+        T.StructField(INGEST_NO, T.LongType()),
+        T.StructField("writer", T.StringType()),
+        T.StructField("batch", T.LongType()),
+    ]
+)
+
+
+def ingests(spark: SparkSession, path: str) -> DataFrame:
+    """One row per finished ingest of a Bronze folder."""
+    try:
+        return spark.read.schema(INGESTS).parquet(f"{path.rstrip('/')}_ingests")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return no_rows(spark, INGESTS)
+
+
+def append_bronze(df: DataFrame, path: str, writer: str | None = None, batch: int | None = None) -> int:
+    """Add rows as the next numbered ingest of a Bronze folder; returns its number.
+
+    Batch loads and streams write the same way, one writer at a time. A number counts once it
+    is in the list of ingests, which is written last: what a failed ingest left is replaced by
+    the next one. ``writer`` and ``batch`` name a stream's micro-batch; one that was finished
+    before is left out.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    done = ingests(spark, path)
+    mine = (F.col("writer") == F.lit(writer)) & (F.col("batch") == F.lit(batch))
+    last, again = done.agg(F.max(INGEST_NO), F.max(F.when(mine, F.col(INGEST_NO)))).first()
+    if writer is not None and again is not None:
+        return again
+    number = 0 if last is None else last + 1
+    df.write.mode("overwrite").partitionBy("ingestion_date").parquet(f"{path}/{INGEST_NO}={number}")
+    row = spark.range(1).select(
+        F.lit(number).cast("bigint").alias(INGEST_NO),
+        F.lit(writer).cast("string").alias("writer"),
+        F.lit(batch).cast("bigint").alias("batch"),
+    )
+    row.write.mode("append").parquet(f"{path}_ingests")
+    return number
 
 
 def read_bronze(
     spark: SparkSession, path: str, schema: T.StructType | None = BRONZE, merge: bool = False
 ) -> DataFrame:
-    """Bronze rows. A declared schema reads columns that older files lack as NULL;
-    ``merge`` collects the columns from the files instead."""
+    """Bronze rows of finished ingests, with the ingest's number.
+
+    A declared schema reads columns that older files lack as NULL; ``merge`` collects the
+    columns from the files instead.
+    """
+    last = ingests(spark, path).agg(F.max(INGEST_NO)).first()[0]
+    reader = spark.read
     if merge:
-        return spark.read.option("mergeSchema", True).parquet(path)
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+        reader = reader.option("mergeSchema", True)
+    elif schema is not None:
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField(INGEST_NO, T.LongType())]))
+    return reader.parquet(path).filter(F.col(INGEST_NO) <= (-1 if last is None else last))
 
 
 def replace(df: DataFrame, path: str) -> None:

@@ -168,7 +168,7 @@ class VersionedTable:
         """
         if writer is not None and self._has_batch(writer, batch):
             return self.last_version()
-        ts = as_ts(ts)
+        ts = self._not_before_last(as_ts(ts))
         last, base = self._heads()
         version = last + 1
         before, incoming = self._read(base, last), conform(source, self.schema)
@@ -187,6 +187,8 @@ class VersionedTable:
             self.null_keys,
         )
         if gone is not None:
+            # A key with a new image is not deleted by the same commit.
+            gone = gone.select(*self.keys).join(incoming.select(*self.keys), self.keys, "left_anti")
             rows = rows.unionByName(deletions(before, gone, self.keys))
         counts = Observation()
         (
@@ -217,6 +219,12 @@ class VersionedTable:
         row.write.mode("append").parquet(f"{self.path}/commits")
         return version
 
+    def _not_before_last(self, ts: Column) -> Column:
+        """Commit times never fall: an older one is lifted to that of the last commit, so that
+        every version can be found by a time."""
+        newest = self.history().agg(F.max(COMMIT_TS)).first()[0]
+        return ts if newest is None else F.greatest(ts, F.lit(newest))
+
     def _stage(self, source: DataFrame) -> DataFrame:
         """Source rows written once: read several times below, and of known size to the
         planner, which broadcasts them when they are few."""

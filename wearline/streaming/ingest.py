@@ -2,21 +2,33 @@
 
 from __future__ import annotations
 
+import csv
 import json
 from collections.abc import Callable, Sequence
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wearline.operators.quality import silver_rows, split_valid
+from wearline.operators.quality import quarantine_rows, silver_rows, split_valid
 from wearline.operators.upsert import latest_per_key
-from wearline.schemas import SILVER_INPUT, snake_case
-from wearline.sources.files import text_schema, with_arrival
+from wearline.schemas import HEADERS, RAW, SILVER_INPUT, snake_case
+from wearline.session import no_rows, pin
+from wearline.sources.files import (
+    append_bronze,
+    header_lines,
+    text_lines,
+    text_schema,
+    with_arrival,
+)
 from wearline.sources.tables import VersionedTable
 
 
+TEXT_RAW = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW])
+
+
 def stored_schema(
     spark: SparkSession, location: str, extra: Sequence[str] = ()
 ) -> T.StructType:
@@ -44,34 +56,67 @@ def stored_schema(
     return grown
 
 
-def stream_raw(
-    spark: SparkSession,
-    landing: str,
-    schema: T.StructType | None = None,
-    run_ts: Column | None = None,
-    files_per_batch: int | None = None,
-) -> DataFrame:
-    """Stream of the CSV files that arrive in ``landing``, as text, with arrival columns."""
-    reader = spark.readStream.schema(schema or text_schema()).option("header", True)
+def stream_files(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
+    """Stream of the CSV files that arrive in ``landing``, as lines with their file.
+
+    A micro-batch is turned into rows by ``rows_of``, which reads each file by its own header.
+    """
+    reader = spark.readStream
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    rows = reader.csv(landing).withColumn("source_file", F.col("_metadata.file_path"))
-    now = F.current_timestamp() if run_ts is None else run_ts
-    return with_arrival(snake_case(rows), now)
+    return text_lines(reader.text(landing))
 
 
-def drain_to_bronze(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Append everything that has arrived, then stop. The checkpoint remembers the files."""
-    (
-        stream.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .option("path", path)
-        .partitionBy("ingestion_date")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+def rows_of(batch: DataFrame, sep: str = ",") -> DataFrame:
+    """Rows of the files of a micro-batch, as text, their columns found by header.
+
+    Files may have their columns in any order, lack some (read as NULL, so that the gate
+    refuses the rows) or have more (kept). A header that repeats a column or knows none is an
+    error: such a file cannot be told from one without a header. Files with equal headers are
+    read together; the driver gets one row per new file.
+    """
+    spark = batch.sparkSession
+    groups: dict[str, list[str]] = {}
+    for row in header_lines(batch).collect():
+        groups.setdefault(row.header.lstrip("\ufeff").rstrip("\r"), []).append(row.source_file)
+    found = None
+    for header, paths in groups.items():
+        names = [n.strip() for n in next(csv.reader([header], delimiter=sep))]
+        if len({HEADERS.get(n, n) for n in names}) < len(names) or not set(names) & set(HEADERS):
+            raise ValueError(f"cannot read {paths[0]}: its header is {header!r}")
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        rows = spark.read.schema(schema).options(header=True, sep=sep, enforceSchema=True).csv(sorted(paths))
+        rows = snake_case(rows.withColumn("source_file", F.col("_metadata.file_path")))
+        found = rows if found is None else found.unionByName(rows, allowMissingColumns=True)
+    if found is None:
+        found = no_rows(spark, T.StructType([*TEXT_RAW.fields, T.StructField("source_file", T.StringType())]))
+    lacking = [n for n in TEXT_RAW.names if n not in found.columns]
+    return found.withColumns({n: F.lit(None).cast("string") for n in lacking})
+
+
+def drain_to_bronze(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    run_ts: Column | None = None,
+    kept: str | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
+    """Append everything that has arrived as numbered ingests, then stop.
+
+    The checkpoint remembers the files. Columns not seen before are added to the schema kept
+    at ``kept``, and ``prepare`` gives the rows their final form.
+    """
+
+    def land(batch: DataFrame, number: int) -> None:
+        now = F.lit(datetime.now(timezone.utc)) if run_ts is None else run_ts
+        rows = with_arrival(rows_of(batch), now)
+        if kept is not None:
+            known = {*TEXT_RAW.names, "source_file", "ingestion_ts", "log_ts", "ingestion_date"}
+            stored_schema(batch.sparkSession, kept, [c for c in rows.columns if c not in known])
+        append_bronze(rows if prepare is None else prepare(rows), path, f"stream:{checkpoint}", number)
+
+    _drain(stream, checkpoint, land)
 
 
 def drain_to_table(
@@ -81,19 +126,28 @@ def drain_to_table(
     ts: Column,
     checkpoint: str,
     writer: str,
+    quarantine: VersionedTable | None = None,
 ) -> None:
     """Upsert every micro-batch. ``prepare`` makes table rows, one per key.
 
-    The batch number goes into the commit, so that a batch replayed after a failure is
-    not merged again.
+    Rows that are not valid go to ``quarantine``. The batch number goes into the commits, so
+    that a batch replayed after a failure is not merged again.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        table.commit(prepare(batch), ts, assume_unique=True, writer=writer, batch=number)
+        rows = pin(with_arrival(rows_of(batch), ts), "batch")
+        table.commit(prepare(rows), ts, assume_unique=True, writer=writer, batch=number)
+        if quarantine is not None:
+            refused = quarantine_rows(split_valid(rows)[1], ts)
+            quarantine.commit(refused, ts, ["_quarantine_ts"], assume_unique=True, writer=writer, batch=number)
+
+    _drain(stream, checkpoint, merge)
 
+
+def _drain(stream: DataFrame, checkpoint: str, take: Callable[[DataFrame, int], None]) -> None:
     (
         stream.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(merge)
+        .foreachBatch(take)
         .trigger(availableNow=True)
         .start()
         .awaitTermination()
@@ -101,7 +155,10 @@ def drain_to_table(
 
 
 def newest_silver(batch: DataFrame, run_ts: Column, order: Sequence[str] = ("log_ts",)) -> DataFrame:
-    """Valid rows of a raw micro-batch, the newest per machine, as Silver rows."""
+    """Valid rows of a raw micro-batch, the newest per machine, as Silver rows.
+
+    The rest goes to the quarantine of ``drain_to_table``.
+    """
     also = [c for c in order if c not in SILVER_INPUT.names]
     valid, _ = split_valid(batch, also=also)
     return silver_rows(latest_per_key(valid, ["udi"], list(order)), run_ts)
