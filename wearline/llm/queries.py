@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import archives, files, kdtree, latent, phrases, preference, repair, secrets, sentencepiece_table, simhash, suffixes
 from .common import table
+from .oracles import ORACLES
 
 
 def op1_latent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,4 +107,6 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_fmindex": op10_fmindex,
 }
-ORACLES: dict[str, str] = {}
+
+
+__all__ = ["ORACLES", "QUERIES"]

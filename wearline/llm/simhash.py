@@ -41,6 +41,7 @@ from .common import components, pieces, raw_bytes, texts
 WIDE, WIDE_RADIUS, WIDE_WIDTH = 8, 88, 5
 BANDS, BAND_ROWS = 16, 4
 BLOCK = 4096
+STEP = 64
 FEW = 48
 RADIUS = 2
 WIDTH = 3
@@ -366,31 +367,25 @@ def _compared(queries: np.ndarray, values: np.ndarray, radius: int) -> tuple[np.
 def _forest(wide: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what all links within the radius connect, one less than rows at most."""
     root = np.arange(len(wide))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    found = []
+    found_a, found_b = [], []
     for part in range(0, len(wide), BLOCK):
         block = wide[part : part + BLOCK]
-        for first in range(0, part + len(block), 512):
-            own = wide[first : min(first + 512, part + len(block))]
+        for first in range(0, part + len(block), STEP):
+            own = wide[first : min(first + STEP, part + len(block))]
             q, v = within(own, block, radius) if len(block) > FEW else _compared(own, block, radius)
-            q, v = q + first, v + part
-            fresh = root[q] != root[v]
-            for i, j in zip(q[fresh].tolist(), v[fresh].tolist()):
-                x, y = find(i), find(j)
-                if x != y:
-                    root[max(x, y)] = min(x, y)
-                    found.append((i, j))
-            # Point all rows at their roots, so that links inside a tree are skipped at once.
-            while True:
-                up = root[root]
-                if (up == root).all():
-                    break
-                root[:] = up
-    links = np.array(found, np.int64).reshape(-1, 2)
-    return links[:, 0], links[:, 1]
+            fresh = root[q + first] != root[v + part]
+            q, v = q[fresh], v[fresh]
+            # A row at a time: what it links at once becomes one tree under the least row.
+            cuts = _starts(q) if len(q) else np.zeros(1, np.int64)
+            for x, y in zip(cuts, cuts[1:]):
+                i, near = int(q[x]) + first, v[x:y] + part
+                trees, at = np.unique(root[near], return_index=True)
+                other = trees != root[i]
+                if other.any():
+                    found_a.append(np.full(other.sum(), i))
+                    found_b.append(near[at[other]])
+                    joined = np.append(trees[other], root[i])
+                    root[np.isin(root, joined)] = joined.min()
+    if not found_a:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(found_a), np.concatenate(found_b)
