@@ -33,9 +33,10 @@ CUT = 0.3
 MAX_LABELS = 20_000
 PAIRS_PER_ROW = 8
 SYMBOLS = b"#$%&*|!@^~<>{}[]\\=+_"
+# Numbers and punctuation say nothing about quality: a short text may be mostly a phone number.
 FEATURES = [
-    "upper", "symbols", "digits", "marks", "no_letters", "word_length", "distinct_words",
-    "repeated_neighbours", "distinct_lines", "capital_words", "length",
+    "upper", "symbols", "word_length", "distinct_words", "repeated_neighbours", "distinct_lines",
+    "capital_words", "length",
 ]
 
 _CLASS = np.zeros(256, np.uint8)
@@ -53,7 +54,7 @@ def measure(text: bytes, counts: np.ndarray) -> list[float]:
     """The features of one text; ``counts`` are its bytes by class."""
     n = len(text)
     if n == 0:
-        return [0.0] * 5 + [0.0, 1.0, 0.0, 1.0, 0.0, 0.0]
+        return [0.0, 0.0, 0.0, 1.0, 0.0, 1.0, 0.0, 0.0]
     words = text.split()
     lines = [x for x in text.split(b"\n") if x]
     w = max(len(words), 1)
@@ -61,9 +62,6 @@ def measure(text: bytes, counts: np.ndarray) -> list[float]:
     return [
         counts[1] / max(letters, 1),
         counts[4] / n,
-        counts[3] / n,
-        counts[5] / n,
-        1 - letters / max(n - counts[6], 1),
         min((n - counts[6]) / w, 40) / 10,
         (len(set(words)) / w) ** 0.5,
         sum(map(eq, words, words[1:])) / w,
