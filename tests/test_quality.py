@@ -13,7 +13,7 @@ from wearline.operators.quality import (
     split_valid,
 )
 from wearline.schemas import RAW, SILVER_INPUT, conform, failure_columns, require_columns
-from wearline.session import as_ts
+from wearline.session import as_ts, is_one_machine
 
 NAMES = [
     "udi",
@@ -159,3 +159,8 @@ def test_failure_columns(spark):
 def test_custom_rule(spark):
     row = audit(rows(spark, VALID), rules=[Rule("hot", "air_temperature_k > 299")]).first()
     assert row.hot == 1 and row.quality_status == "FAIL"
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    assert is_one_machine("local") and is_one_machine("local[4]")
+    assert not is_one_machine("local-cluster[2,1,1024]") and not is_one_machine("spark://host:7077")

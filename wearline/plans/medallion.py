@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -100,7 +101,7 @@ class Lakehouse:
         self.silver = keyed("silver", SILVER, ["udi"], null_keys=True)
         self.quarantine = keyed("quarantine", QUARANTINE, ["raw_payload", "error_reason"])
         self.features = keyed("features", FEATURES, ["udi"], ["event_date"], null_keys=True)
-        self.daily = keyed("daily", DAILY, GROUP_KEYS)
+        self.daily = keyed("daily", DAILY, GROUP_KEYS, ["event_date"])
         self.predictions = keyed("predictions", PREDICTIONS, PREDICTION_KEYS)
         self.control = keyed("control", CONTROL, ["pipeline_name"])
 
@@ -187,13 +188,15 @@ class Lakehouse:
         groups = pin(
             gold.affected_groups(feed, self.config.stale), path=f"{self.root}/work/groups"
         )
-        first, last = groups.agg(F.min("event_date"), F.max("event_date")).first()
-        if first is None:
+        # One row per day reaches the driver, whatever the number of groups.
+        days = [row[0] for row in groups.select("event_date").distinct().collect()]
+        if not days:
             return
-        days = F.col("event_date").between(F.lit(first), F.lit(last))
-        refreshed = gold.refresh_groups(self.features.read().filter(days), groups)
+        touched = self.features.read().filter(F.col("event_date").isin(days))
+        refreshed = gold.refresh_groups(touched, groups)
         gone = None
         if self.config.stale == "recompute":
+            refreshed = pin(refreshed, path=f"{self.root}/work/refreshed")
             gone = gold.emptied_groups(groups, refreshed)
         self.daily.commit(gold.daily_rows(refreshed, run_ts), run_ts, assume_unique=True, gone=gone)
 
@@ -240,9 +243,12 @@ class Lakehouse:
         return True
 
     def _clustered_version(self, name: str) -> int:
-        path = f"{self.root}/clustered/{name}_copies"
-        no_rows(self.spark, _COPIES).write.mode("ignore").parquet(path)
-        copies = self.spark.read.schema(_COPIES).parquet(path)
+        try:
+            copies = self.spark.read.schema(_COPIES).parquet(f"{self.root}/clustered/{name}_copies")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return -1
         return copies.agg(F.coalesce(F.max("version"), F.lit(-1))).first()[0]
 
     def read_clustered(self, name: str) -> DataFrame:

@@ -325,9 +325,10 @@ def affected_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _refreshed(spark: SparkSession, sf_dir: str, stale: str) -> DataFrame:
     """Daily aggregates of the early versions, then refreshed by the late ones."""
-    feed = machine_feed(spark, sf_dir, HALF - 1)
-    before = machine_features(spark, sf_dir, -1, HALF - 1)
-    newer = machine_features(spark, sf_dir, HALF - 1)
+    log = pin(machine_log(spark, sf_dir), "log")
+    feed = changes.changes(log, HALF)
+    before = gold.feature_rows(changes.changes_between(log, -1, HALF - 1), as_ts(DAY1)).select(*FEATURE_COLUMNS)
+    newer = gold.feature_rows(feed, as_ts(DAY1)).select(*FEATURE_COLUMNS)
     after = upsert(before, newer, ["udi"], assume_unique=True, null_keys=False)
     groups = pin(gold.affected_groups(feed, stale), "groups")
     fresh = pin(gold.refresh_groups(after, groups), "refreshed")
@@ -658,14 +659,17 @@ def audit_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = features(spark, sf_dir)
-    made = predicted(rows).select("udi", *audit.PREDICTED)
-    pairs = {name: (column, f"pred_{name}") for name, column in failure_columns(rows).items()}
-    return rounded(learn.f1_scores(rows.join(made, "udi"), pairs), ["f1"])
+    labels = failure_columns(rows)
+    made = gold.rule_predictions(rows, as_ts(DAY1), also=list(labels.values()))
+    pairs = {name: (column, f"pred_{name}") for name, column in labels.items()}
+    return rounded(learn.f1_scores(made, pairs), ["f1"])
 
 
 # The given flags follow no measure, so the trees of the queries are taught those of the rules,
 # which they can learn. One fit serves all queries of a session over one directory.
 _MODELS: dict[tuple[str, str], str] = {}
+# Labelled rows that the queries' models learn from at most; all rows are scored.
+MODEL_ROWS = 50_000
 
 
 def taught(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -681,7 +685,7 @@ def _model(spark: SparkSession, sf_dir: str) -> PipelineModel:
     if place not in _MODELS:
         train, _ = learn.stratified_split(taught(spark, sf_dir), "machine_failure", "udi")
         path = scratch(spark, "model")
-        learn.save(learn.fit(train), path)
+        learn.save(learn.fit(learn.bounded(train, "udi", MODEL_ROWS)), path)
         _MODELS[place] = path
     return learn.load(_MODELS[place])
 

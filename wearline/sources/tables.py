@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +27,7 @@ from wearline.operators.changes import (
     deletions,
 )
 from wearline.schemas import conform
-from wearline.session import Moment, as_ts, no_rows
+from wearline.session import Moment, as_ts, no_rows, pin
 
 COMMITS = T.StructType(
     [
@@ -73,13 +74,17 @@ class VersionedTable:
                 T.StructField(VERSION, T.LongType()),
             ]
         )
-        no_rows(spark, COMMITS).write.mode("ignore").parquet(f"{self.path}/commits")
 
     # -- reading ---------------------------------------------------------------
 
     def history(self) -> DataFrame:
-        """One row per commit."""
-        return self.spark.read.schema(COMMITS).parquet(f"{self.path}/commits")
+        """One row per commit; none where nothing was ever committed."""
+        try:
+            return self.spark.read.schema(COMMITS).parquet(f"{self.path}/commits")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return no_rows(self.spark, COMMITS)
 
     def snapshot_version(self) -> int:
         """Version of the newest snapshot, -1 when there is none."""
@@ -110,11 +115,11 @@ class VersionedTable:
         return self._changes(start, last if end is None else min(end, last))
 
     def _changes(self, start: int, end: int) -> DataFrame:
-        folders = [f"{self.path}/changes/{VERSION}={v}" for v in range(max(start, 0), end + 1)]
-        if not folders:
+        start = max(start, 0)
+        if end < start:
             return no_rows(self.spark, self._log_schema)
-        reader = self.spark.read.schema(self._log_schema)
-        return reader.option("basePath", f"{self.path}/changes").parquet(*folders)
+        rows = self.spark.read.schema(self._log_schema).parquet(f"{self.path}/changes")
+        return rows.filter(F.col(VERSION).between(start, end))
 
     def read(self, version: int | None = None) -> DataFrame:
         """Table as of ``version`` (the newest by default).
@@ -189,7 +194,8 @@ class VersionedTable:
         if gone is not None:
             # A key with a new image is not deleted by the same commit.
             gone = gone.select(*self.keys).join(incoming.select(*self.keys), self.keys, "left_anti")
-            rows = rows.unionByName(deletions(before, gone, self.keys))
+            gone = pin(gone, "gone")
+            rows = rows.unionByName(deletions(before.filter(self._key_range(gone)), gone, self.keys))
         counts = Observation()
         (
             rows.withColumn(COMMIT_TS, ts)
@@ -233,13 +239,16 @@ class VersionedTable:
         return self.spark.read.schema(self.schema).parquet(path)
 
     def _key_range(self, source: DataFrame) -> Column:
-        """Range of the first key in ``source``; snapshots are sorted by key, so the scan
-        of the target skips the files outside it."""
-        key = self.keys[0]
-        lo, hi = source.agg(F.min(key), F.max(key)).first()
-        if lo is None:
+        """Ranges of the first key and of the partition columns among the keys in ``source``:
+        snapshots are sorted by key, so the scan of the target skips the files outside them."""
+        columns = list(dict.fromkeys([self.keys[0], *[c for c in self.partition_by if c in self.keys]]))
+        ends = source.agg(*[f(c) for c in columns for f in (F.min, F.max)]).first()
+        if None in ends:
             return F.lit(False)
-        return F.col(key).between(F.lit(lo), F.lit(hi))
+        test = F.lit(True)
+        for n, c in enumerate(columns):
+            test = test & F.col(c).between(F.lit(ends[2 * n]), F.lit(ends[2 * n + 1]))
+        return test
 
     def _snapshot_is_due(self, version: int, base: int, counts: dict[str, int]) -> bool:
         if version - base >= self.snapshot_every:
