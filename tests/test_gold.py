@@ -7,7 +7,7 @@ from wearline.operators import audit, gold, learn, serving
 from wearline.operators.changes import CHANGE, META, VERSION, log_of_versions
 from wearline.operators.layout import clustered
 from wearline.operators.upsert import upsert
-from wearline.plans.queries import features, machine_features, rounded
+from wearline.plans.queries import features, machine_features, prediction_log, rounded
 from wearline.schemas import FAILURES, GROUP_KEYS, MEASURES
 from wearline.session import as_ts, pin, scratch
 from wearline.sources.driver_tables import line_log, machine_log
@@ -163,3 +163,27 @@ def test_models_learn_and_survive_saving(spark):
 def test_line_log_versions(spark, small):
     log = line_log(spark, small)
     assert log.filter(F.col(CHANGE) == "insert").count() == log.select("l_orderkey", "l_linenumber").distinct().count()
+
+
+def test_reports_come_in_their_order(spark, small):
+    log = machine_log(spark, small)
+    rows = audit.change_history(log, audit.SILVER_HISTORY).collect()
+    keys = [(r[VERSION], r.udi, r[CHANGE]) for r in rows]
+    assert keys == sorted(keys) and len(keys) > 100
+    times = [r.gold_commit_ts for r in audit.newest_first(audit.audit_pairs(log, prediction_log(spark, small))).collect()]
+    assert times == sorted(times, reverse=True) and len(set(times)) > 5
+
+
+def test_current_prediction_of_each_image(spark):
+    measures = [f"0D {m}" for m in MEASURES]
+    silver = spark.range(3).selectExpr(
+        "CAST(1 AS INT) udi", "'P' product_id", *measures, "'insert' _change_type",
+        "CAST(id AS BIGINT) _commit_version", "timestamp_seconds(id * 10) _commit_timestamp",
+    )
+    flags = [f"0 {c}" for c in audit.PREDICTED]
+    made = spark.createDataFrame([(0, 3), (1, 7), (2, 20)], "v long, s long").selectExpr(
+        "CAST(1 AS INT) udi", "'P' product_id", *flags, "'m' model_name", "'v' model_version",
+        "'insert' _change_type", "v _commit_version", "timestamp_seconds(s) _commit_timestamp",
+    )
+    got = audit.current_predictions(silver, made).orderBy("silver_version").collect()
+    assert [(r.silver_version, r.gold_version) for r in got] == [(0, 0), (1, None), (2, 2)]

@@ -30,8 +30,8 @@ TYPES = (
     "udi int, product_id string, machine_type string, log_ts string, air_temperature_k double, "
     "process_temperature_k double, rotational_speed_rpm int, torque_nm double, tool_wear_min int"
 )
-VALID = (1, "M1001", "M", "2026-04-02T00:00:00", 300.0, 310.0, 1500, 40.0, 50)
-INVALID = (None, "M1002", "L", "2026-04-02T00:00:00", 500.0, 100.0, 0, -1.0, -10)
+VALID = (7, "L2040", "L", "2026-05-11T06:30:00", 297.5, 308.2, 1420, 36.5, 112)
+INVALID = (None, "H2041", "H", "2026-05-11T06:30:00", 612.0, 95.5, 0, -3.5, -2)
 COUNTS = ["null_key_rows", *[r.name for r in QUALITY_RULES]]
 
 
@@ -157,7 +157,7 @@ def test_failure_columns(spark):
 
 
 def test_custom_rule(spark):
-    row = audit(rows(spark, VALID), rules=[Rule("hot", "air_temperature_k > 299")]).first()
+    row = audit(rows(spark, VALID), rules=[Rule("hot", "air_temperature_k > 297")]).first()
     assert row.hot == 1 and row.quality_status == "FAIL"
 
 

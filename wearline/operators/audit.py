@@ -19,16 +19,22 @@ from wearline.schemas import FAILURES, MEASURES
 PREDICTED = [f"pred_{f}" for f in FAILURES]
 SILVER_HISTORY = [
     *META,
-    *["udi", "product_id", "machine_type"],
+    "udi",
+    "product_id",
+    "machine_type",
     *MEASURES,
     "machine_failure",
     *FAILURES,
 ]
 PREDICTION_HISTORY = [
     *META,
-    *["udi", "product_id", "prediction_ts"],
+    "udi",
+    "product_id",
+    "prediction_ts",
     *PREDICTED,
-    *["model_name", "model_version", "prediction_score"],
+    "model_name",
+    "model_version",
+    "prediction_score",
 ]
 
 

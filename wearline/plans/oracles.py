@@ -12,6 +12,7 @@ FEATURES = (
     f"udi, product_id, machine_type, event_date, event_hour, {MEASURE_LIST}, "
     f"machine_failure, {LABELS}"
 )
+# The baseline's identity, its thresholds, and the columns of the daily table.
 IDENTITY = "'baseline_rule_engine' AS model_name, 'v0' AS model_version"
 PRED_LIST = ", ".join(f"pred_{f}" for f in FAILURES)
 ANY_PRED = " OR ".join(f"pred_{f} = 1" for f in FAILURES)
@@ -235,13 +236,28 @@ def _dates_as_text(sql: str, *columns: str) -> str:
 
 _DATED = {
     "event_date": [
-        *["q_truncate_reload", "q_loaded_features", "q_silver_projection"],
-        *["q_daily_agg", "q_features_of_feed"],
-        *["q_affected_groups", "q_daily_incremental", "q_daily_recompute_moved"],
-        *["q_changed_machines", "q_latest_per_key", "q_upsert_1key", "q_change_feed"],
-        *["q_changes_from", "q_changes_between", "q_changes_above_mark", "q_as_of_version"],
-        *["q_as_of_timestamp", "q_failed_as_of_version", "q_state_before_first_failure"],
-        *["q_flow_daily", "q_flow_daily_moved", "q_flow_clustered"],
+        "q_truncate_reload",
+        "q_loaded_features",
+        "q_silver_projection",
+        "q_daily_agg",
+        "q_features_of_feed",
+        "q_affected_groups",
+        "q_daily_incremental",
+        "q_daily_recompute_moved",
+        "q_changed_machines",
+        "q_latest_per_key",
+        "q_upsert_1key",
+        "q_change_feed",
+        "q_changes_from",
+        "q_changes_between",
+        "q_changes_above_mark",
+        "q_as_of_version",
+        "q_as_of_timestamp",
+        "q_failed_as_of_version",
+        "q_state_before_first_failure",
+        "q_flow_daily",
+        "q_flow_daily_moved",
+        "q_flow_clustered",
     ],
     "ingestion_date": ["q_bronze_append"],
 }

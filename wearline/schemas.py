@@ -57,6 +57,7 @@ SILVER = T.StructType(
     SILVER_INPUT.fields
     + _schema(("event_date", DATE), ("event_hour", INT), ("_silver_loaded_ts", TS)).fields
 )
+# Columns and types of the tables.
 QUARANTINE = _schema(("raw_payload", STRING), ("error_reason", STRING), ("_quarantine_ts", TS))
 AUDIT = _schema(
     ("audit_ts", TS),
