@@ -105,6 +105,37 @@ def test_similar_copies_of_five_word_shingles(docs_of):
     assert got == want
 
 
+def changed_at(words, places, word):
+    return [word() if i in places else w for i, w in enumerate(words)]
+
+
+@pytest.mark.parametrize("room", [simhash.ROOM, 2000])
+def test_similar_copies_are_decided_by_the_shingles(docs_of, monkeypatch, room):
+    monkeypatch.setattr(simhash, "ROOM", room)
+    draw = random.Random(9)
+    word = lambda: "".join(draw.choice("abcdefghijklmnop") for _ in range(6))
+    texts = {}
+    # 364 words are 360 shingles; m words changed far apart give (360 - 5 m) / (360 + 5 m).
+    for pair in range(60):
+        words, m = [word() for _ in range(364)], 8 if pair < 40 else draw.choice([9, 10, 12])
+        texts[2 * pair] = words
+        texts[2 * pair + 1] = changed_at(words, {10 + 20 * i for i in range(m)}, word)
+    # A passage that one of two texts repeats.
+    for pair in range(100, 110):
+        words = [word() for _ in range(204)]
+        texts[2 * pair] = words
+        texts[2 * pair + 1] = words + words[:14] * 20
+    # Texts that all share half of their words are one cluster of candidates, but no copies.
+    shared = [word() for _ in range(200)]
+    for i in range(30):
+        texts[300 + i] = shared + [word() for _ in range(80)]
+    sets = {k: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for k, w in texts.items()}
+    near = [(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    assert len(near) == 50
+    got = {r.doc_id: r.component_id for r in simhash.similar_copies(docs_of([(k, " ".join(w)) for k, w in texts.items()])).collect()}
+    assert got == classes(texts, near)
+
+
 def brute(vectors, queries, k):
     out = []
     for q, x in queries:
