@@ -212,6 +212,21 @@ def test_benchmark_items_and_paraphrases(spark, docs_of):
     assert latent.find_items(docs_of(rows), benchmark.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", [130, 300])
+def test_a_long_benchmark_item(spark, docs_of, size):
+    draw = random.Random(size)
+    filler = lambda n: " ".join("".join(draw.choice("bcdfgh") + draw.choice("aeiou") for _ in range(4)) for _ in range(n))
+    item = filler(size)
+    changed = item.split()
+    changed[20::25] = [filler(1) for _ in changed[20::25]]
+    rows = [(i, filler(150)) for i in range(60)] + [(103, " ".join(item.split()[: size // 2]))]
+    rows += [(100, f"{filler(90)} {item} {filler(70)}"), (101, item), (102, f"{filler(17)} {' '.join(changed)}")]
+    benchmark = spark.createDataFrame([(1, item), (2, filler(20))], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in latent.find_items(docs_of(rows), benchmark).collect()}
+    assert set(got) == {(100, 1), (101, 1), (102, 1)}
+    assert got[100, 1].lcs == got[101, 1].lcs == got[100, 1].answer == 1
+
+
 def test_common_subsequence():
     draw = random.Random(7)
     for _ in range(200):

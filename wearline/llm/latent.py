@@ -4,7 +4,8 @@ Texts are words in lower case, cut at blanks and punctuation. The vocabulary is
 the benchmark (of a block of about ``ITEMS`` items, so that its tables have a fixed bound),
 without terms that occur in more than ``COMMON`` of the documents and in more than ``FEW_ITEMS``
 items; a term of few items stays, however many documents have copied it. Passages are windows of
-``PASSAGE`` words that begin every ``STRIDE`` words; each is a TF-IDF vector.
+``PASSAGE`` words that begin every ``STRIDE`` words; each is a TF-IDF vector. An item of more than
+``PASSAGE`` words is cut into such windows too and has a vector for each.
 
 1. One pass counts the documents of each term.
 2. The leading directions of the passages are found by a randomised SVD: a random start is
@@ -14,7 +15,8 @@ items; a term of few items stays, however many documents have copied it. Passage
    lies in the space.
 3. One pass compares every passage with every item by cosine in that space. Where it reaches
    ``COSINE``, the longest common subsequence of the item and the words around the passage is
-   taken. An item is found if it covers ``LCS`` of the item's words and half of the answer (the
+   taken; for an item of more than ``PASSAGE`` words these reach as many words further to both
+   sides as the item has. An item is found if it covers ``LCS`` of the item's words and half of the answer (the
    words of the item's last sentence, the last ``ANSWER`` at most) is there, or if it covers
    ``LCS_ALONE``.
 
@@ -61,12 +63,16 @@ def terms_of(vocabulary: dict[bytes, int], words: Sequence[bytes]) -> np.ndarray
 
 @dataclass(frozen=True)
 class Items:
-    """A block of the benchmark: keys and words, the vocabulary, and each item's terms."""
+    """A block of the benchmark: keys and words, the vocabulary, and each item's terms.
+
+    ``parts`` are the (item, first word, end) that have a vector of their own.
+    """
 
     keys: list
     words: list[list[bytes]]
     answers: list[list[bytes]]
     vocabulary: dict[bytes, int]
+    parts: list[tuple[int, int, int]]
 
     @classmethod
     def of(cls, rows: list[tuple]) -> Items:
@@ -80,13 +86,17 @@ class Items:
                 last = words_of(parts[-1]) if parts else []
                 answers.append((last or found)[-ANSWER:])
         vocabulary = {w: i for i, w in enumerate(sorted({w for x in words for w in x}))}
-        return cls(keys, words, answers, vocabulary)
+        parts = []
+        for i, x in enumerate(words):
+            last = max(0, len(x) - PASSAGE)
+            parts += [(i, at, at + PASSAGE) for at in [*range(0, last, STRIDE), last]]
+        return cls(keys, words, answers, vocabulary, parts)
 
     def rows(self, weight: np.ndarray) -> np.ndarray:
-        """TF-IDF rows of unit length (or zero), one an item."""
-        out = np.zeros((len(self.words), len(weight)), np.float32)
-        for i, words in enumerate(self.words):
-            np.add.at(out[i], [self.vocabulary[w] for w in words], 1)
+        """TF-IDF rows of unit length (or zero), one a part of an item."""
+        out = np.zeros((len(self.parts), len(weight)), np.float32)
+        for i, (item, first, end) in enumerate(self.parts):
+            np.add.at(out[i], [self.vocabulary[w] for w in self.words[item][first:end]], 1)
         return _unit(out * weight)
 
 
@@ -241,10 +251,11 @@ class Search:
         words = [words_of(t) for t in texts]
         best: dict[tuple[int, int], tuple] = {}
         for text, passage, item, cosine in self._candidates(words):
-            start = max(0, passage * STRIDE - STRIDE // 2)
-            around = words[text][start : passage * STRIDE + PASSAGE + STRIDE // 2]
             masks, answer = self.masks[item]
             size = len(self.items.words[item])
+            slack = STRIDE // 2 + (size if size > PASSAGE else 0)
+            start = max(0, passage * STRIDE - slack)
+            around = words[text][start : passage * STRIDE + PASSAGE + slack]
             share = common_subsequence(masks, size, around) / size
             if share < LCS:
                 continue
@@ -270,18 +281,19 @@ class Search:
         return self._masks
 
     @property
-    def latent(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def latent(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         if not hasattr(self, "_latent"):
             rows = self.items.rows(self.weight)
-            plain = np.flatnonzero(np.linalg.norm(rows, axis=1) == 0)
+            of = np.array([p[0] for p in self.items.parts], np.int64)
+            plain = np.setdiff1d(of, of[np.linalg.norm(rows, axis=1) > 0])
             object.__setattr__(
-                self, "_latent", (_unit(rows @ self.space), plain, self.space * self.weight[:, None].astype(np.float32))
+                self, "_latent", (_unit(rows @ self.space), of, plain, self.space * self.weight[:, None].astype(np.float32))
             )
         return self._latent
 
     def _candidates(self, words: list[list[bytes]]) -> Iterator[tuple[int, int, int, float]]:
         """(text, passage, item, cosine) of all texts' passages that come near an item."""
-        latent, plain, space = self.latent
+        latent, of, plain, space = self.latent
         per_stride = PASSAGE // STRIDE
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         passages = np.maximum(1, -(-(sizes - (PASSAGE - STRIDE)) // STRIDE))
@@ -316,28 +328,43 @@ class Search:
             for k in range(1, per_stride):
                 rows = rows + sums[place[own + k]]
             cosines = _unit(rows) @ latent.T
-            hit, item = np.nonzero(cosines >= COSINE)
-            yield from zip(
-                texts_of[hit].tolist(), (own - base[texts_of])[hit].tolist(), item.tolist(), cosines[hit, item].tolist()
-            )
+            hit, row = np.nonzero(cosines >= COSINE)
+            cosine, item = cosines[hit, row], of[row]
+            # Of the parts of an item that a passage comes near, the nearest.
+            order = np.lexsort((-cosine, item, hit))
+            hit, item, cosine = hit[order], item[order], cosine[order]
+            new = np.append(True, (hit[1:] != hit[:-1]) | (item[1:] != item[:-1]))[: len(hit)]
+            hit, item, cosine = hit[new], item[new], cosine[new]
+            yield from zip(texts_of[hit].tolist(), (own - base[texts_of])[hit].tolist(), item.tolist(), cosine.tolist())
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """``key``, ``item``, ``cosine``, ``lcs``, ``answer``, ``first_word``: one row for each
     document and each benchmark item found in it."""
     source = texts(docs, key, text)
-    wanted = benchmark.filter(F.col(item_text).isNotNull())
-    blocks = max(1, -(-wanted.count() // ITEMS))
+    kind, item_kind = source.schema[key].dataType.simpleString(), benchmark.schema[item].dataType.simpleString()
+    schema = f"{key} {kind}, {item} {item_kind}, cosine double, lcs double, answer double, first_word long"
     found = None
+    for search in _searches(source, benchmark, text, item, item_text):
+        one = source.mapInArrow(_found_by(search, key, text, item), schema)
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def _searches(source: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str) -> Iterator[Search]:
+    """A search for each block of the benchmark, of about ``ITEMS`` vectors."""
+    wanted = benchmark.filter(F.col(item_text).isNotNull())
+    # An item of some 500 bytes has one vector, a longer one about one a stride.
+    further = F.ceil((F.octet_length(item_text) - 8 * PASSAGE) / (6 * STRIDE))
+    vectors = wanted.agg(F.sum(1 + F.greatest(further, F.lit(0)))).first()[0] or 0
+    blocks = max(1, -(-int(vectors) // ITEMS))
     for block in range(blocks):
         part = wanted.filter(F.pmod(F.xxhash64(item, item_text), F.lit(blocks)) == block)
         rows = sorted((r[0], r[1]) for r in part.select(item, item_text).collect())
-        one = _find_block(source, Items.of(rows), key, text, item, benchmark.schema[item].dataType.simpleString())
-        found = one if found is None else found.unionByName(one)
-    return found
+        yield _search(source, Items.of(rows), text)
 
 
-def _find_block(docs: DataFrame, items: Items, key: str, text: str, item: str, item_kind: str) -> DataFrame:
+def _search(docs: DataFrame, items: Items, text: str) -> Search:
     counts, total = _documents_of_terms(docs, items, text)
     in_items = np.zeros(len(counts))
     for words in items.words:
@@ -349,13 +376,15 @@ def _find_block(docs: DataFrame, items: Items, key: str, text: str, item: str, i
         space = directions(_occurrences(docs, items, weight, text), items, weight)
     else:
         space = np.zeros((len(weight), 1), np.float32)
-    search = Search(items, weight, space)
+    return Search(items, weight, space)
+
 
+def _found_by(search: Search, key: str, text: str, item: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, text):
             keys = piece.column(key).to_pylist()
             column = piece.column(text).cast(pa.large_binary()).to_pylist()
-            out = [(keys[t], items.keys[i], c, s, a, f) for t, i, c, s, a, f in search.matches(column)]
+            out = [(keys[t], search.items.keys[i], c, s, a, f) for t, i, c, s, a, f in search.matches(column)]
             if out:
                 columns = list(zip(*out))
                 kinds = [piece.schema.field(key).type, None, *[pa.float64()] * 3, pa.int64()]
@@ -364,6 +393,4 @@ def _find_block(docs: DataFrame, items: Items, key: str, text: str, item: str, i
                     [key, item, "cosine", "lcs", "answer", "first_word"],
                 )
 
-    kind = docs.schema[key].dataType.simpleString()
-    schema = f"{key} {kind}, {item} {item_kind}, cosine double, lcs double, answer double, first_word long"
-    return docs.mapInArrow(run, schema)
+    return run
