@@ -129,6 +129,22 @@ def test_pipeline_keeps_clean_texts_and_drops_the_rest(spark, tmp_path):
     assert set(texts) <= set(left["tokens"]) and left["tokens"][7].n_tokens > 100
 
 
+def test_decontamination_judges_rows_not_ids(spark, tmp_path, docs_of):
+    draw = random.Random(5)
+    filler = lambda n: " ".join("".join(draw.choice("bcdfgh") + draw.choice("aeiou") for _ in range(3)) for _ in range(n))
+    item = filler(30)
+    rows = [(i, filler(100)) for i in range(40)] + [(None, filler(80)), (None, f"{filler(40)} {item}"), (None, None)]
+    rows += [(50, filler(80)), (50, f"{item} {filler(40)}"), (50, filler(60))]
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = docs_of(rows)
+    kept = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    order = lambda r: (r[0] is not None, r[0] or 0, r[1] or "")
+    want = [r for r in rows if item not in (r[1] or "")]
+    assert len(want) == len(rows) - 2
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=order) == sorted(want, key=order)
+
+
 def test_pipeline_of_no_documents(spark, small, docs_of):
     kept = spark.read.parquet(f"{small}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:

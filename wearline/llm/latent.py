@@ -33,6 +33,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -351,6 +352,30 @@ def find_items(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     return found
 
 
+def without_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``docs`` in whose text no benchmark item is found, each row by its own text."""
+    source = docs.select(F.coalesce(F.col(text), F.lit("")).alias(text))
+    kept = docs
+    for search in _searches(source, benchmark, text, item, item_text):
+        kept = kept.mapInArrow(_rows_without(search, text), docs.schema)
+    return kept
+
+
+def _rows_without(search: Search, text: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            filled = pc.fill_null(batch.column(text), "")
+            whole = pa.RecordBatch.from_arrays([*batch.columns, filled], [*map(str, range(batch.num_columns)), "filled"])
+            for piece in pieces([whole], "filled"):
+                column = piece.column("filled").cast(pa.large_binary()).to_pylist()
+                clean = np.ones(len(column), bool)
+                clean[[m[0] for m in search.matches(column)]] = False
+                rows = piece.filter(pa.array(clean))
+                yield pa.RecordBatch.from_arrays(rows.columns[:-1], schema=batch.schema)
+
+    return run
+
+
 def _searches(source: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str) -> Iterator[Search]:
     """A search for each block of the benchmark, of about ``ITEMS`` vectors."""
     wanted = benchmark.filter(F.col(item_text).isNotNull())
