@@ -111,6 +111,13 @@ def test_token_files_hold_the_library_ids(spark, docs_of):
     assert shards(spark, docs_of([]))[1].count() == 0
 
 
+def test_long_runs_of_white_space_have_the_library_ids():
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = repair.ByteEncoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, {"<|endoftext|>": 50256})
+    for text in (" " * 1_200_000, "a" + "\n" * 1_200_000 + "b<|endoftext|>", "a " * 20 + " " * 1_200_000 + "é"):
+        assert encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_grammar_is_smaller_and_random_access_is_exact():
     draw = np.random.default_rng(4)
     motifs = draw.integers(3, 40, (5, 6))
