@@ -130,3 +130,24 @@ def test_backward_search_counts_occurrences():
         assert (high - low).tolist() == want
         places = index.order[low[0] : high[0]]
         assert all((text[p : p + size] == text[at[0] : at[0] + size]).all() for p in places)
+
+
+@pytest.mark.parametrize("places", [64, 100, 1 << 10])
+def test_anchors_of_slices_are_those_of_the_whole(monkeypatch, places):
+    draw = np.random.default_rng(places)
+    sizes = np.array([0, 700, 49, 50, 0, 3, 900, 1500, 51])
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    symbols = draw.integers(0, 1 << 63, int(starts[-1]), dtype=np.uint64)
+    symbols[800:1300] = 7
+    whole = windows.anchors(symbols, starts, 50, 16)
+    monkeypatch.setattr(windows, "PLACES", places)
+    cut = windows.anchors(symbols, starts, 50, 16)
+    for name in ("at", "row", "hash", "first", "last"):
+        assert (getattr(cut, name) == getattr(whole, name)).all()
+
+
+def test_a_piece_of_more_symbols_than_a_place_holds():
+    n = (1 << 24) + 100
+    symbols = np.random.default_rng(1).integers(0, 1 << 63, n, dtype=np.uint64)
+    found = windows.anchors(symbols, np.array([0, n]), 50, 16)
+    assert found.first[0] == 0 and found.last[-1] == n - 50 and (found.first[1:] == found.last[:-1] + 1).all()

@@ -42,6 +42,8 @@ from .common import partitions_for, pieces, texts
 BLOCK_BYTES = 6 << 20
 CHUNK_BYTES = 12 << 20
 PIECE = 1 << 19
+#: Symbols whose places are packed with a hash, 2^24 at most; longer pieces are cut into slices.
+PLACES = 1 << 22
 NO_KEY = -(1 << 63)
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -123,13 +125,29 @@ class Anchors:
 
 
 def anchors(symbols: np.ndarray, starts: np.ndarray, window: int, gram: int) -> Anchors:
+    """The anchors of all windows, in slices that overlap by a window less one symbol; a run of
+    windows that goes on behind a slice's edge is one anchor again."""
+    n, step = len(symbols), PLACES - window + 1
+    if n <= PLACES:
+        return _anchors(symbols, starts, window, gram)
+    parts = []
+    for base in range(0, n - window + 1, step):
+        inner = np.clip(starts - base, 0, min(PLACES, n - base))
+        found = _anchors(symbols[base : base + PLACES], inner, window, gram)
+        row = np.searchsorted(starts, found.first + base, side="right") - 1
+        parts.append(Anchors(found.at + base, row, found.hash, found.first + base, found.last + base))
+    at, row, hashes, first, last = (np.concatenate([getattr(p, f) for p in parts]) for f in ("at", "row", "hash", "first", "last"))
+    new = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else np.empty(0, np.int64)
+    ends = np.append(new[1:], len(at)) - 1 if len(at) else new
+    return Anchors(at[new], row[new], hashes[new], first[new], last[ends])
+
+
+def _anchors(symbols: np.ndarray, starts: np.ndarray, window: int, gram: int) -> Anchors:
     n, reach = len(symbols), window - gram + 1
     if n < window:
         empty = np.empty(0, np.int64)
         return Anchors(empty, empty, empty.astype(np.uint64), empty, empty)
     hashes = grams(symbols, gram)
-    if n >= 1 << 24:
-        raise ValueError("a piece has more symbols than a place can hold")
     low = np.uint64((1 << 24) - 1)
     least = (hashes & ~low) | np.arange(n, dtype=np.uint64)
     span = 1
