@@ -150,6 +150,19 @@ def test_archives_round_trip(spark):
     assert archives.read_archives(archives.write_archives(pages.limit(0), files.folder(spark, "warc"))).count() == 0
 
 
+def test_archives_of_missing_and_repeated_keys(spark):
+    rows = [(None, "a"), (3, "a"), (None, "a"), (2, "a"), (2, "a"), (2, "b"), (1, "b"), (3, "c"), (3, "c"), (None, "d"), (None, "d"), (None, None), (7, "e"), (7, "f")]
+    pages = spark.createDataFrame([(k, "u", t) for k, t in rows], "page_id long, url string, html string")
+    got = archives.read_archives(archives.write_archives(pages, files.folder(spark, "warc"))).collect()
+    want = []
+    for key, html in rows:
+        to = min((k for k, h in rows if h == html and k is not None), default=None)
+        response = to is None or key == to
+        want.append((key, len(html or ""), "response" if response else "revisit", None if response else to, (html or "").encode() if response else None))
+    found = [(r.page_id, r.payload_bytes, r.record_type, r.refers_to, None if r.payload is None else bytes(r.payload)) for r in got]
+    assert sorted(found, key=str) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("zip64", [False, True])
 def test_zip_as_the_standard_library(zip64):
     data = archives.pack([("a.txt", b"one"), ("dir/b", b"two" * 100)], zip64)

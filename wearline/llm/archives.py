@@ -9,7 +9,10 @@ reads the index, and then fetches single records by their byte range; nothing is
 Of rows with equal payloads of at least ``least_bytes`` bytes the one with the smallest key is
 the response; the others are written as revisits without a payload, and the reader takes
 length and digest from their headers. Rows below that size are responses all. Payloads count as
-equal if SHA-256 and length are. NULL payloads count as empty, NULL URLs as empty.
+equal if SHA-256 and length are. NULL payloads count as empty, NULL URLs as empty. Each row is
+judged by its own payload: rows that share the smallest key are responses all. A NULL key is
+written as ``NO_KEY`` and read as NULL; it is never the smallest, so its row is a revisit of a row
+with a key, and a response if no row of that payload has one, since a revisit needs a name.
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ from . import files
 from .common import pieces
 
 ARCHIVE_BYTES = 16 << 20
+NO_KEY = "-"
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 
 # Fixed values of the ZIP format: signatures, and the marks of values kept in ZIP64 fields.
@@ -202,24 +206,31 @@ def write_archives(pages: DataFrame, uri: str, key: str = "page_id", url: str =
     The payloads travel once, to the archives: who is a revisit is settled on digests alone.
     """
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
-    digests = pin(pages.select(key, F.sha2(body, 256).alias("same"), F.octet_length(body).alias("n")), "digests")
-    first = digests.filter(F.col("n") >= least_bytes).groupBy("same", "n").agg(F.min(key).alias("first"), F.count("*").alias("rows"))
-    # Only digests with copies matter; rows of a hot one are spread over salted copies.
-    shared = first.filter("rows > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
+    same = [F.sha2(body, 256).alias("same"), F.octet_length(body).alias("n")]
+    # The rows of a hot payload are spread over salted copies, those without a key by their URL.
+    salt = F.pmod(F.hash(key, url), F.lit(16)).alias("salt")
+    digests = pin(pages.select(F.col(key).alias("k"), *same, salt), "digests")
+    first = digests.filter(F.col("n") >= least_bytes).groupBy("same", "n").agg(F.min("k").alias("first"), F.count("*").alias("rows"))
+    # Only digests with copies matter.
+    shared = first.filter("rows > 1 AND first IS NOT NULL").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
     revisits = (
-        digests.withColumn("salt", F.pmod(F.hash(key), F.lit(16)))
-        .join(shared, ["same", "n", "salt"])
-        .filter(F.col(key) != F.col("first"))
-        .select(key, F.col("first").alias("refers_to"))
+        digests.join(shared, ["same", "n", "salt"])
+        .filter("k IS NULL OR k <> first")
+        .select("k", "same", "n", "salt", F.col("first").alias("refers_to"))
+        .distinct()
     )
-    rows = pages.select(key, F.coalesce(F.col(url), F.lit("")).alias(url), body.alias(payload)).join(revisits, key, "left")
+    given = pages.select(F.col(key).alias("k"), F.coalesce(F.col(url), F.lit("")).alias("u"), body.alias("p"), *same, salt)
+    a, b = given.alias("a"), revisits.alias("b")
+    equal = F.expr("a.k <=> b.k AND a.same = b.same AND a.n = b.n AND a.salt = b.salt")
+    rows = a.join(b, equal, "left").selectExpr("a.k", "a.u", "a.p", "b.refers_to")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, index = bytearray(), []
-        for piece in pieces(batches, payload, archive_bytes):
-            columns = (piece.column(c).to_pylist() for c in (key, url, payload, "refers_to"))
+        for piece in pieces(batches, "p", archive_bytes):
+            columns = (piece.column(c).to_pylist() for c in ("k", "u", "p", "refers_to"))
             for k, u, p, to in zip(*columns):
-                packed = _gzip(record(str(k), u, p, None if to is None else str(to)))
+                k = NO_KEY if k is None else str(k)
+                packed = _gzip(record(k, u, p, None if to is None else str(to)))
                 index.append(f"{k} {len(data)} {len(packed)}\n")
                 data += packed
                 if len(data) >= archive_bytes:
@@ -252,7 +263,7 @@ def read_archives(manifest: DataFrame, key: str = "page_id") -> DataFrame:
                 with files.open_at(uri) as source:
                     rows = []
                     for k, headers, payload in Archive(source).records():
-                        rows.append(_row(int(k), headers, payload))
+                        rows.append(_row(None if k == NO_KEY else int(k), headers, payload))
                         if len(rows) >= 256:
                             yield _batch(rows, key)
                             rows = []
@@ -263,7 +274,7 @@ def read_archives(manifest: DataFrame, key: str = "page_id") -> DataFrame:
     return manifest.select("uri").repartition(tasks).mapInArrow(run, schema)
 
 
-def _row(key: int, headers: dict[str, str], payload: bytes) -> tuple:
+def _row(key: int | None, headers: dict[str, str], payload: bytes) -> tuple:
     kind, to = headers["WARC-Type"], headers.get("WARC-Refers-To")
     length, digest = int(headers["X-Payload-Length"]), headers["WARC-Payload-Digest"].removeprefix("sha1:")
     if kind == "response" and (len(payload) != length or sha1_base32(payload) != digest):
