@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from wearline.session import pin
 
 PIECE_BYTES = 4 << 20
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +41,18 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str, max_bytes: int = PIECE_
             start = stop
 
 
+def segments(text: bytes, size: int = PIECE_BYTES) -> Iterator[bytes]:
+    """Cut a text at blanks into parts of about ``size`` bytes."""
+    start = 0
+    while len(text) - start > size:
+        blank = _BLANK.search(text, start + size)
+        if blank is None:
+            break
+        yield text[start : blank.start()]
+        start = blank.end()
+    yield text[start:] if start else text
+
+
 def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column without NULLs, and the row offsets into them."""
     if isinstance(column, pa.ChunkedArray):
@@ -69,6 +83,23 @@ def partitions_for(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def tree_merge(parts: DataFrame, merge: Callable[[Iterator], str | None]) -> str | None:
+    """One value from the texts of a one-column frame, merged by tasks level by level; the
+    driver gets one text. ``merge`` gives the text of an iterator of texts, None for none."""
+    name = parts.columns[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = merge(v for batch in batches for v in batch.column(0).to_pylist())
+        if found is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([found], pa.string())], [name])
+
+    tasks = partitions_for(parts)
+    while tasks > 1:
+        tasks = -(-tasks // 8)
+        parts = parts.repartition(tasks).mapInArrow(run, f"`{name}` string")
+    return merge(row[0] for row in parts.collect())
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Smallest reachable node of every node that ``edges`` (``a``, ``b``) link.
 

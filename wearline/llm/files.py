@@ -8,7 +8,9 @@ harm. The folder may be on any store that pyarrow reaches.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
+import pyarrow as pa
 import pyarrow.fs as fs
 from pyspark.sql import SparkSession
 
@@ -35,6 +37,26 @@ def write(uri: str, data: bytes | bytearray, suffix: str) -> str:
     return f"{uri}/{name}"
 
 
+def write_parts(uri: str, parts: Iterable[bytes], suffix: str) -> str:
+    """As ``write``, of parts that are made while it writes."""
+    store, path = _at(uri)
+    store.create_dir(path, recursive=True)
+    name = f"{uuid.uuid4().hex}{suffix}"
+    with store.open_output_stream(f"{path}/{name}") as out:
+        for part in parts:
+            out.write(part)
+    return f"{uri}/{name}"
+
+
+def mapped(uri: str) -> pa.Buffer:
+    """The file's bytes: mapped into memory where the store is a mounted one, else read."""
+    store, path = _at(uri)
+    if isinstance(store, fs.LocalFileSystem):
+        return pa.memory_map(path).read_buffer()
+    with store.open_input_file(path) as source:
+        return source.read_buffer()
+
+
 def open_at(uri: str):
     """The file for reading at any place."""
     store, path = _at(uri)

@@ -6,7 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, files, kdtree, latent, phrases, preference, repair, secrets, sentencepiece_table, simhash, suffixes
+from . import (
+    archives,
+    centroids,
+    files,
+    importance,
+    kdtree,
+    kneser_ney,
+    latent,
+    phrases,
+    preference,
+    repair,
+    secrets,
+    sentencepiece_table,
+    simhash,
+    suffixes,
+)
 from .common import table
 from .oracles import ORACLES
 
@@ -21,15 +36,19 @@ def op2_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.score(docs, strength)
 
 
-def _scaled(x):
-    """floor(64 x); kept as a double, so that infinite components stay what they are."""
-    y = x.cast("double") * 64
-    return F.when(F.abs(y) < 2.0**62, F.floor(y).cast("double")).otherwise(y)
+def _scaled(by: int):
+    """floor(by * x); kept as a double, so that infinite components stay what they are."""
+
+    def scale(x):
+        y = x.cast("double") * by
+        return F.when(F.abs(y) < 2.0**62, F.floor(y).cast("double")).otherwise(y)
+
+    return scale
 
 
 def op3_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select(
-        "vec_id", F.transform("embedding", _scaled).alias("vector")
+        "vec_id", F.transform("embedding", _scaled(64)).alias("vector")
     )
     found = kdtree.top_k(vectors, vectors.filter("vec_id % 20 = 0"), 20)
     return found.withColumn("score", F.col("score").try_cast("long"))
@@ -91,6 +110,26 @@ def op10_fmindex(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.transform("embedding", _scaled(256)).alias("vector")
+    )
+    return centroids.cluster(vectors, 40, 5, "2", 64)
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return importance.resample(docs, target, 5, 20, "42").drop("n_words")
+
+
+def op13_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a key are learned from."""
+    rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(rest == 2, F.lit(False)).alias("held_out"))
+    model = kneser_ney.learn(docs.filter("NOT held_out"))
+    return model.score(docs).withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+
+
 def _of_kind(kind: str):
     return F.filter("spans", lambda s: s["kind"] == kind)
 
@@ -106,6 +145,9 @@ QUERIES = {
     "op8_archives": op8_archives,
     "op9_secrets": op9_secrets,
     "op10_fmindex": op10_fmindex,
+    "op11_threshold": op11_threshold,
+    "op12_importance": op12_importance,
+    "op13_kneser_ney": op13_kneser_ney,
 }
 
 
