@@ -39,7 +39,7 @@ def test_query_agrees_with_sql(spark, small, name):
 
 def test_all_operators_are_registered():
     found = {n.split("_")[0] for n in entry.queries() if n.startswith("op")}
-    assert found == {f"op{i}" for i in range(1, 11)} and "pipeline" in entry.queries()
+    assert found == {f"op{i}" for i in range(1, 14)} and "pipeline" in entry.queries()
 
 
 def test_fingerprint_query(spark, small, documents):
