@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import random
-from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -87,53 +86,51 @@ def test_no_links(spark):
     assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_similar_copies_of_five_word_shingles(docs_of):
-    draw = random.Random(8)
-    word = lambda: "".join(draw.choice("abcdefghijklmnop") for _ in range(6))
-    rows, want = [], {}
-    for group in range(12):
-        words = [word() for _ in range(260)]
-        for copy in range(5):
-            own = list(words)
-            for _ in range(copy):
-                own[draw.randrange(260)] = word()
-            rows.append((group * 10 + copy, " ".join(own)))
-            want[group * 10 + copy] = group * 10
-    rows += [(500, ""), (501, None), (502, "a b"), (503, "A  b")]
-    want |= {500: 500, 501: 500, 502: 502, 503: 502}
-    got = {r.doc_id: r.component_id for r in simhash.similar_copies(docs_of(rows)).collect()}
-    assert got == want
-
-
-def changed_at(words, places, word):
-    return [word() if i in places else w for i, w in enumerate(words)]
-
-
-@pytest.mark.parametrize("room", [simhash.ROOM, 2000])
-def test_similar_copies_are_decided_by_the_shingles(docs_of, monkeypatch, room):
-    monkeypatch.setattr(simhash, "ROOM", room)
-    draw = random.Random(9)
-    word = lambda: "".join(draw.choice("abcdefghijklmnop") for _ in range(6))
-    texts = {}
-    # 364 words are 360 shingles; m words changed far apart give (360 - 5 m) / (360 + 5 m).
-    for pair in range(60):
-        words, m = [word() for _ in range(364)], 8 if pair < 40 else draw.choice([9, 10, 12])
-        texts[2 * pair] = words
-        texts[2 * pair + 1] = changed_at(words, {10 + 20 * i for i in range(m)}, word)
-    # A passage that one of two texts repeats.
-    for pair in range(100, 110):
-        words = [word() for _ in range(204)]
-        texts[2 * pair] = words
-        texts[2 * pair + 1] = words + words[:14] * 20
-    # Texts that all share half of their words are one cluster of candidates, but no copies.
-    shared = [word() for _ in range(200)]
-    for i in range(30):
-        texts[300 + i] = shared + [word() for _ in range(80)]
-    sets = {k: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for k, w in texts.items()}
-    near = [(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
-    assert len(near) == 50
-    got = {r.doc_id: r.component_id for r in simhash.similar_copies(docs_of([(k, " ".join(w)) for k, w in texts.items()])).collect()}
-    assert got == classes(texts, near)
+def near_classes(rows):
+    """The rows' numbers by the class of their fingerprints."""
+    prints = [plain_print(t) for _, t in rows]
+    near = [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 2]
+    return classes(range(len(rows)), near)
+
+
+def test_one_row_of_each_class_stays(spark, docs_of):
+    draw = random.Random(14)
+    base = [" ".join(draw.choice("abcdefgh") * draw.randint(1, 3) for _ in range(150)) for _ in range(6)]
+    rows = []
+    for i in range(60):
+        words = draw.choice(base).split()
+        for _ in range(draw.choice([0, 1, 1, 2])):
+            words[draw.randrange(len(words))] = "CHANGED"
+        rows.append((i, " ".join(words)))
+    # Repeated keys with other texts, rows without a key, repeated rows, rows without words.
+    rows += [(5, base[0]), (5, "own text of five"), (1, "own text of five"), (None, base[1]), (None, "alone and nameless")]
+    rows += [(None, "alone and nameless"), (200, ""), (201, None), (None, " "), (77, "same row"), (77, "same row")]
+    found = near_classes(rows)
+    docs = docs_of(rows).withColumnsRenamed({"id": "row", "score": "at", "salt": "t"}).withColumn("_text", F.lit("x")).repartition(5)
+    got = simhash.without_copies(docs)
+    assert got.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in got.collect()]
+    assert len(got) == len(set(found.values()))
+    left = set()
+    for key, text in got:
+        mine = {found[i] for i, r in enumerate(rows) if r == (key, text)}
+        assert len(mine) == 1 and not mine & left
+        left |= mine
+        keys = [rows[i][0] for i in found if found[i] in mine and rows[i][0] is not None]
+        assert key == (min(keys) if keys else None)
+
+
+def test_near_copies_of_no_rows(docs_of):
+    assert simhash.near_copies(docs_of([])).count() == 0
+    assert simhash.without_copies(docs_of([])).count() == 0
+
+
+def test_rows_of_a_large_class_are_not_moved(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT", 4)
+    rows = spark.createDataFrame([(i, 1 if i % 3 == 0 else i) for i in range(300)], "k long, print long")
+    sizes = rows.groupBy("print").agg(F.count("*").alias("n"), F.min("k").alias("first"))
+    got = {(r.k, r.first) for r in common.spread_join(rows, sizes, "print").collect()}
+    assert got == {(i, 0 if i % 3 == 0 or i == 1 else i) for i in range(300)}
 
 
 def brute(vectors, queries, k):
@@ -144,16 +141,30 @@ def brute(vectors, queries, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("scale", [1, 3, 10**9])
-def test_search_against_brute_force(spark, scale):
+@pytest.mark.parametrize("scale,leaf", [(1, 512), (3, 8), (10**9, 32)])
+def test_search_against_brute_force(spark, scale, leaf):
     draw = np.random.default_rng(3)
     rows = [(int(i), [float(int(x) * scale) for x in draw.integers(-3, 4, 6)]) for i in range(700)]
     df = spark.createDataFrame(rows, "vec_id long, vector array<double>")
     queries = [r for r in rows if r[0] % 20 == 0]
-    got = kdtree.top_k(df, df.filter("vec_id % 20 = 0"), 20, shard_rows=200, query_rows=16).collect()
+    got = kdtree.top_k(df, df.filter("vec_id % 20 = 0"), 20, shard_rows=200, query_rows=16, leaf=leaf).collect()
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == brute(rows, queries, 20)
 
 
+def test_search_with_repeated_keys_and_large_values(spark):
+    rows = [(0, [1.0, 2.0]), (0, [2.0, -1.0]), (0, [1.0, 2.0]), (1, [5.0, 5.0]), (1, [5.0, 5.0]), (2, [-1.0, 0.0]), (20, [1.0, 1.0])]
+    for large in (1.0, 1e21, 1e300):
+        given = [(i, [x * large for x in v]) for i, v in rows]
+        df = spark.createDataFrame(given, "vec_id long, vector array<double>").withColumns({"id": F.lit("x"), "size": F.lit("y"), "v": F.lit("z")})
+        got = kdtree.top_k(df, df.filter("vec_id % 20 = 0"), 3, shard_rows=2, query_rows=2).collect()
+        want = []
+        for q, x in given:
+            if q % 20 == 0:
+                scores = sorted((-sum(int(a) * int(b) for a, b in zip(x, y)), i) for i, y in given if i != q)
+                want += [(q, r + 1, i, -s if -(10**38) < s < 10**38 else None) for r, (s, i) in enumerate(scores[:3])]
+        assert sorted(((r.query_id, r.rank, r.vec_id, r.score) for r in got), key=str) == sorted(want, key=str)
+
+
 def test_vectors_that_take_no_part(spark):
     bad = [(1, None), (2, [1.0, None]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, [])]
     good = [(0, [1.0, 2.0]), (20, [3.0, -1.0]), (21, [1.0]), (40, [2.0])]
@@ -166,10 +177,11 @@ def test_vectors_that_take_no_part(spark):
 
 def test_box_bounds_are_never_too_low():
     draw = np.random.default_rng(9)
-    tree = kdtree.Tree.build(np.arange(1000), draw.integers(-50, 50, (1000, 5)).astype(float))
+    tree = kdtree.Tree.build(np.arange(5000), draw.integers(-50, 50, (5000, 5)).astype(float))
+    tree = kdtree.Tree.unpack(tree.pack(), 5, True)
     q = draw.integers(-50, 50, 5).astype(float)
-    reach = np.maximum(q, 0) @ tree.high.T + np.minimum(q, 0) @ tree.low.T
+    reach = tree.reach(q[None])[0]
+    assert len(reach) > 15 and tree.leaves_from == len(reach) // 2
     for node, (a, b) in enumerate(tree.bounds):
         if b > a:
             assert reach[node] >= (tree.rows[a:b] @ q).max()
-    assert Fraction(len(tree.bounds), 2) > 1

@@ -11,15 +11,16 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from tests.check import differences, duck
-from wearline.llm import secrets
+from wearline.llm import latent, secrets
 from wearline.llm.oracles import ORACLES
 
-from .test_pairs import plain_print
+from .test_pairs import near_classes, plain_print
 from .test_texts import spans_by_re
 
 
@@ -97,7 +98,7 @@ def test_pipeline_keeps_clean_texts_and_drops_the_rest(spark, tmp_path):
     texts |= {80 + i: f"{prose(90)} key = {i}; a = b_{i} {prose(60)}" for i in range(10)}
     item = sentence(30)
     near = texts[5].split()
-    near[40] = "changed"
+    near[-1] = "changed"
     extra = {
         100: texts[3],
         101: " ".join(near),
@@ -122,7 +123,10 @@ def test_pipeline_keeps_clean_texts_and_drops_the_rest(spark, tmp_path):
         left[name] = {r.doc_id: r for r in kept.collect()}
         kept = spark.createDataFrame(list(left[name].values()), kept.schema)
     assert not set(junk) & set(left["quality"]) and {*texts, 100, 101, 102, 103} <= set(left["quality"])
-    assert set(left["quality"]) - set(left["near_copies"]) == {100, 101} | ({105} & set(left["quality"]))
+    rows = sorted((k, r.text) for k, r in left["quality"].items())
+    first = near_classes(rows)
+    assert set(left["near_copies"]) == {rows[i][0] for i in first.values()}
+    assert 100 not in left["near_copies"] and {*texts, 102, 103} <= set(left["near_copies"])
     assert set(left["near_copies"]) - set(left["decontamination"]) == {102}
     assert set(left["secrets"]) == set(left["tokens"]) == set(left["decontamination"])
     assert "[assign+hex]" in left["secrets"][103].text and left["secrets"][7].text == texts[7]
@@ -145,6 +149,40 @@ def test_decontamination_judges_rows_not_ids(spark, tmp_path, docs_of):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=order) == sorted(want, key=order)
 
 
+def test_benchmark_items_without_a_key_or_repeated(spark, docs_of):
+    draw = random.Random(6)
+    filler = lambda n: " ".join("".join(draw.choice("bcdfgh") + draw.choice("aeiou") for _ in range(3)) for _ in range(n))
+    items = [(None, filler(30)), (3, filler(30)), (3, filler(25)), (None, None), (4, "")]
+    items += [items[1], items[0]]
+    benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("cosine", F.lit("x"))
+    rows = [(i, filler(100)) for i in range(30)] + [(50 + i, f"{filler(20)} {t} {filler(20)}") for i, (_, t) in enumerate(items[:3])]
+    got = sorted(((r.doc_id, r.item_id) for r in latent.find_items(docs_of(rows), benchmark).collect()), key=str)
+    assert got == [(50, None), (51, 3), (52, 3)]
+    kept = latent.without_items(docs_of(rows), benchmark)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(30))
+
+
+def test_benchmark_query_finds_what_a_plain_search_does(spark, small, documents):
+    """Every passage against every item: words in order, then the answer, as the operator asks."""
+    items = duckdb.sql(f"SELECT item_id, text FROM '{small}/benchmark.parquet'").fetchall()
+    known = latent.Items.of(items)
+    masks = [{w: sum(1 << i for i, x in enumerate(words) if x == w) for w in words} for words in known.words]
+    want = set()
+    for key, text in documents.items():
+        words = latent.words_of((text or "").encode())
+        for start in range(0, max(1, len(words) - latent.STRIDE), latent.STRIDE):
+            around = words[max(0, start - latent.STRIDE // 2) : start + latent.PASSAGE + latent.STRIDE // 2]
+            there = set(around)
+            for item, mask, own, answer in zip(known.keys, masks, known.words, known.answers):
+                if sum(w in there for w in own) < latent.LCS * len(own):
+                    continue
+                share = latent.common_subsequence(mask, len(own), around) / len(own)
+                if share >= latent.LCS_ALONE or share >= latent.LCS and sum(w in there for w in answer) >= len(answer) / 2:
+                    want.add((key, item))
+    got = {(r.doc_id, r.item_id) for r in entry.queries()["op1_latent"](spark, small).collect()}
+    assert got <= want and len(got) >= 0.9 * len(want) and want
+
+
 def test_pipeline_of_no_documents(spark, small, docs_of):
     kept = spark.read.parquet(f"{small}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:

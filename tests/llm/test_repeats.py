@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from wearline.llm import fmindex, phrases, suffixes, windows
@@ -82,6 +83,62 @@ def test_phrases_against_brute_force(docs_of, seed):
     assert order(got) == order(want)
 
 
+def surrounded(seed: int):
+    """Stock phrases in most rows, all with other words around them, some of these repeated."""
+    draw = random.Random(seed)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(draw.randint(2, 6)))
+    short, long = "all rights are reserved by the owner", " ".join(word() for _ in range(30))
+    around = [" ".join(word() for _ in range(12)) for _ in range(40)]
+    pick = lambda: draw.choice([draw.choice(around), " ".join(word() for _ in range(12))])
+    rows = [(i, f"{pick()} {draw.choice([short, short, long])} {pick()}") for i in range(150)]
+    # Many rows without a key, copies among them, and one text under one key again and again.
+    rows += [(None, f"{pick()} {short} {pick()}") for _ in range(60)] + [(None, rows[0][1])] * 30 + [(40, rows[1][1])] * 30
+    return rows
+
+
+@pytest.mark.parametrize("many", [4, 40])
+def test_frequent_grams_and_keys_are_spread(docs_of, many):
+    rows = surrounded(many)
+    want, words = [], []
+    for key, s, gone in covered(rows, list, 50):
+        want.append((key, len(s), bytes(b for b, g in zip(s, gone) if not g)))
+    for key, s, gone in covered(rows, bytes.split, 13):
+        words.append((key, len(s), b" ".join(w for w, g in zip(s, gone) if not g).decode()))
+    docs = docs_of(rows).withColumnsRenamed({"id": "k", "score": "same", "salt": "times"}).repartition(4)
+    got = windows.remove_repeats(docs, suffixes.FINDER, many=many).collect()
+    assert order((r.doc_id, r.n_bytes, bytes(r.kept)) for r in got) == order(want)
+    got = windows.remove_repeats(docs, phrases.FINDER, many=many).collect()
+    assert order((r.doc_id, r.n_words, r.kept) for r in got) == order(words)
+
+
+def test_windows_of_a_frequent_gram_are_dealt_out_one_by_one(monkeypatch):
+    text = (b"x" * 60 + b"0123456789abcdefghijklmnopqrstuvwxyz" * 4 + b"y" * 60) * 5
+    codes, starts, _ = suffixes.symbols(pa.array([text]))
+    a = windows.anchors(codes, starts, 50, 16)
+    idents = windows._ident(a.hash, 7).astype(np.int64)
+    hot = int(max(idents, key=lambda g: len({text[w : w + 50] for i in np.flatnonzero(idents == g) for w in range(a.first[i], a.last[i] + 1)})))
+    monkeypatch.setattr(windows, "_frequent", lambda _: (np.array([hot]), np.array([3])))
+    b = windows._parted(a, codes, suffixes.FINDER, 7, "")
+    mine = idents == hot
+    of_window = lambda x: {w: (int(p), int(h)) for p, f, l, h in zip(x.at, x.first, x.last, x.hash) for w in range(f, l + 1)}
+    before, after = of_window(a), of_window(b)
+    assert before.keys() == after.keys() and all(before[w][0] == after[w][0] for w in before)
+    changed = {w for w in before if before[w][1] != after[w][1]}
+    assert changed == {w for f, l, m in zip(a.first, a.last, mine) if m for w in range(f, l + 1)}
+    # Equal windows stay together.
+    by_text = {}
+    for w in changed:
+        assert by_text.setdefault(text[w : w + 50], after[w][1]) == after[w][1]
+    assert len({after[w][1] for w in changed}) > 1
+
+
+def test_an_index_takes_whole_grams(monkeypatch):
+    monkeypatch.setattr(windows, "ROOM", 4)
+    values = np.array([1, 1, 2, 3, 3, 3, 3, 3, 3, 4, 5])
+    parts = [values[s].tolist() for s in windows._groups(values)]
+    assert parts == [[1, 1, 2], [3] * 6, [4, 5]] and list(windows._groups(values[:0])) == []
+
+
 def test_spans_are_the_removed_bytes(docs_of):
     shared = "abcdefghij" * 8
     rows = [(1, shared), (2, "é" + shared + "-" + shared), (3, "x" * 49)]

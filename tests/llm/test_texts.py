@@ -6,6 +6,7 @@ import hashlib
 import io
 import random
 import re
+import time
 import zipfile
 import zlib
 
@@ -57,6 +58,31 @@ def test_minimal_automaton():
     assert len(automaton.compile_rules([("(ab|cb)", "")], anchored=True).moves) == 4
 
 
+def test_scan_takes_time_in_proportion_to_its_spans():
+    scanner = secrets.Scanner()
+    one = b"token = 'abcdefghijkl%05d'\n"
+
+    def seconds(rows):
+        data = np.frombuffer(b"".join(one % i for i in range(rows)), np.uint8)
+        offsets = np.arange(rows + 1) * (len(data) // rows)
+        start = time.perf_counter()
+        assert sum(1 for _ in scanner.spans(data, offsets)) == rows
+        return time.perf_counter() - start
+
+    seconds(200)
+    few, many = min(seconds(2_000) for _ in range(3)), seconds(20_000)
+    assert many < 30 * few
+
+
+def test_redaction_with_clashing_names_and_null_texts(spark):
+    rows = [(1, "token: abcdefghijkl", "a", "b"), (1, None, None, "b"), (None, "", "a", None), (None, "plain", "a", "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _scanned string, scanned string")
+    got = secrets.redact(df)
+    assert got.columns == df.columns
+    want = [(1, "[assign]", "a", "b"), *rows[1:]]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
 def test_redaction(docs_of):
     rows = [(1, "é token = abcdefabcdef0123 end"), (2, None), (3, "nothing")]
     df = docs_of(rows)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import cached_property
 from re import _constants as sre
 from re import _parser
 
@@ -109,6 +110,13 @@ class Automaton:
     accepts: np.ndarray
     resets: np.ndarray
 
+    @cached_property
+    def dead(self) -> int:
+        """The state that no match leaves, or -1."""
+        own = np.arange(len(self.moves))
+        stuck = (self.moves == own[:, None]).all(axis=1) & (self.accepts == 0)
+        return int(np.flatnonzero(stuck)[0]) if stuck.any() else -1
+
 
 def compile_rules(patterns: list[tuple[str, str]], anchored: bool = False, backward: bool = False) -> Automaton:
     """One automaton for all ``(pattern, flags)``.
@@ -226,7 +234,7 @@ def scan(automaton: Automaton, data: np.ndarray, lanes: int = 4096) -> tuple[np.
 def longest(automaton: Automaton, data: bytes, start: int, step: int = 1) -> int:
     """Where the longest match of an anchored automaton that begins at ``start`` ends, else -1."""
     state, best, kind, moves, accepts = 0, -1, automaton.kind, automaton.moves, automaton.accepts
-    dead = _dead(automaton)
+    dead = automaton.dead
     at = start
     while 0 <= at < len(data):
         state = moves[state, kind[data[at]]]
@@ -238,13 +246,6 @@ def longest(automaton: Automaton, data: bytes, start: int, step: int = 1) -> int
     return best
 
 
-def _dead(automaton: Automaton) -> int:
-    """The state that no match leaves, or -1."""
-    own = np.arange(len(automaton.moves))
-    stuck = (automaton.moves == own[:, None]).all(axis=1) & (automaton.accepts == 0)
-    return int(np.flatnonzero(stuck)[0]) if stuck.any() else -1
-
-
 def reference(pattern: str, flags: str) -> re.Pattern:
     """The same rule for the standard library, for tests."""
     return re.compile(pattern.encode("ascii"), re.IGNORECASE if "i" in flags else 0)

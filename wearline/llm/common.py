@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from wearline.session import pin
 
 PIECE_BYTES = 4 << 20
+HOT = 4_096
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
@@ -100,7 +101,21 @@ def tree_merge(parts: DataFrame, merge: Callable[[Iterator], str | None]) -> str
     return merge(row[0] for row in parts.collect())
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def spread_join(rows: DataFrame, classes: DataFrame, on: str | list[str], count: str = "n") -> DataFrame:
+    """Inner join of many rows to one row per ``on``, whose ``count`` is the number of its rows.
+
+    Classes with more than one of ``HOT`` of all rows, so less than ``HOT`` classes, are
+    broadcast, and their rows stay where they are. Only the rows of the others are moved.
+    """
+    total = classes.agg(F.sum(count)).scalar()
+    hot = F.col(count) * HOT > total
+    large = classes.filter(hot).drop(count)
+    small = classes.filter(~hot).drop(count)
+    few = rows.join(F.broadcast(large.select(on)), on, "left_anti").join(small, on)
+    return rows.join(F.broadcast(large), on).unionByName(few)
+
+
+def components(edges: DataFrame) -> DataFrame:
     """Smallest reachable node of every node that ``edges`` (``a``, ``b``) link.
 
     Alternates two steps until nothing moves: each node hands the smallest node around it to
@@ -113,7 +128,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     )
     pairs = pin(pairs.distinct(), "links")
     previous = None
-    for _ in range(max_rounds):
+    while True:
         pairs = pin(_small_star(_large_star(pairs)), "links")
         # A star forest is the fixed point: sums over it change while any step moves a link.
         state = pairs.agg(
@@ -122,8 +137,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if state == previous:
             break
         previous = state
-    else:
-        raise RuntimeError("links did not settle")
     roots = pairs.select(F.col("b").alias("node")).distinct()
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))

@@ -7,12 +7,14 @@ harm. The folder may be on any store that pyarrow reaches.
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as fs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from wearline.session import scratch
 
@@ -61,3 +63,41 @@ def open_at(uri: str):
     """The file for reading at any place."""
     store, path = _at(uri)
     return store.open_input_file(path)
+
+
+def pack(arrays: dict[str, np.ndarray]) -> bytes:
+    """Arrays one after the other, each from a multiple of eight bytes on, behind their list."""
+    parts, listed, at = [], [], 0
+    for name, a in arrays.items():
+        listed.append([name, a.dtype.str, at, a.size])
+        body = a.tobytes()
+        body += bytes(-len(body) % 8)
+        parts.append(body)
+        at += len(body)
+    head = json.dumps(listed).encode()
+    head += b" " * (-len(head) % 8)
+    return b"".join([len(head).to_bytes(8, "little"), head, *parts])
+
+
+def unpack(body) -> dict[str, np.ndarray]:
+    view = memoryview(body)
+    size = int.from_bytes(view[:8], "little")
+    listed = json.loads(bytes(view[8 : 8 + size]))
+    return {n: np.frombuffer(view, np.dtype(t), count, 8 + size + at) for n, t, at, count in listed}
+
+
+def listed(lines: DataFrame, uri: str) -> str:
+    """A file below ``uri`` with the texts of a one-column frame, a line each; written by one task
+    as it reads them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = (f"{line}\n".encode() for batch in batches for line in batch.column(0).to_pylist())
+        yield pa.RecordBatch.from_pydict({"uri": [write_parts(uri, parts, ".list")]})
+
+    found = lines.repartition(1).mapInArrow(run, "uri string").first()
+    return found[0] if found else ""
+
+
+def lines(uri: str) -> list[str]:
+    """What ``listed`` wrote."""
+    return memoryview(mapped(uri)).tobytes().decode().splitlines() if uri else []

@@ -21,7 +21,8 @@ items; a term of few items stays, however many documents have copied it. Passage
    ``LCS_ALONE``.
 
 Nothing of a document's size or of all documents reaches the driver. NULL texts count as empty;
-items without words are never found; items whose words are all common are compared by word
+items without words are never found. An item is a key (which may be NULL) and a text: equal ones count
+once, those that share the key only are found each on its own; items whose words are all common are compared by word
 order with every passage, since they have no direction in the space.
 """
 
@@ -385,7 +386,8 @@ def _searches(source: DataFrame, benchmark: DataFrame, text: str, item: str, ite
     blocks = max(1, -(-int(vectors) // ITEMS))
     for block in range(blocks):
         part = wanted.filter(F.pmod(F.xxhash64(item, item_text), F.lit(blocks)) == block)
-        rows = sorted((r[0], r[1]) for r in part.select(item, item_text).collect())
+        rows = [tuple(r) for r in part.select(item, item_text).distinct().collect()]
+        rows.sort(key=lambda r: (r[0] is None, r[0] if r[0] is not None else 0, r[1]))
         yield _search(source, Items.of(rows), text)
 
 

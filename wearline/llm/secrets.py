@@ -12,15 +12,14 @@ NULL texts count as empty and give no spans. Offsets are code points, ends exclu
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from . import automaton as fa
 from .common import pieces, raw_bytes, texts
@@ -88,12 +87,15 @@ class Scanner:
         places, bits = fa.scan(self.combined, padded)
         if not len(places):
             return
+        # Places ascend, so those of a row lie together.
         row_of = np.searchsorted(begins, places, side="right") - 1
-        for row in np.unique(row_of):
-            here = row_of == row
+        cuts = np.flatnonzero(np.append(True, row_of[1:] != row_of[:-1])).tolist()
+        for first, stop in zip(cuts, [*cuts[1:], len(places)]):
+            row = row_of[first]
+            here, kinds = places[first:stop] - begins[row] + 1, bits[first:stop]
             text = data[offsets[row] : offsets[row + 1]].tobytes()
             for k, rule in enumerate(self.rules):
-                ends = places[here & (bits >> k & 1 == 1)] - begins[row] + 1
+                ends = here[kinds >> k & 1 == 1]
                 for start, end in self._matches(k, rule, text, ends):
                     yield int(row), k, start, end
 
@@ -168,27 +170,28 @@ def find_secrets(docs: DataFrame, rules: list[Rule] = RULES, key: str = "doc_id"
 def redact(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text") -> DataFrame:
     """``docs`` with every span of every rule replaced by the kinds in it, as in ``[hex]``;
     spans that touch or overlap are replaced together. A NULL text stays NULL."""
-    names = docs.columns
-    source = docs.select("*", F.coalesce(F.col(text), F.lit("")).alias("_scanned"))
+    place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(rules)
-        for piece in pieces(batches, "_scanned"):
-            data, offsets = raw_bytes(piece.column("_scanned"))
-            found: dict[int, list] = {}
-            for row, k, start, end in scanner.spans(data, offsets):
-                found.setdefault(row, []).append((start, end, rules[k].kind))
-            column = piece.column(text)
-            if found:
-                changed = column.to_pylist()
-                for row, spans in found.items():
-                    changed[row] = _without(data[offsets[row] : offsets[row + 1]].tobytes(), spans)
-                column = pa.array(changed, column.type)
-            yield pa.RecordBatch.from_arrays(
-                [column if n == text else piece.column(n) for n in names], names
-            )
-
-    return source.mapInArrow(run, docs.schema)
+        for batch in batches:
+            # Beside the columns, which go by their places, the text without NULLs.
+            scanned = pc.fill_null(batch.column(place), "")
+            whole = pa.RecordBatch.from_arrays([*batch.columns, scanned], [*map(str, range(batch.num_columns)), "scanned"])
+            for piece in pieces([whole], "scanned"):
+                data, offsets = raw_bytes(piece.column("scanned"))
+                found: dict[int, list] = {}
+                for row, k, start, end in scanner.spans(data, offsets):
+                    found.setdefault(row, []).append((start, end, rules[k].kind))
+                columns = piece.columns[:-1]
+                if found:
+                    changed = columns[place].to_pylist()
+                    for row, spans in found.items():
+                        changed[row] = _without(data[offsets[row] : offsets[row + 1]].tobytes(), spans)
+                    columns[place] = pa.array(changed, columns[place].type)
+                yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def _without(text: bytes, spans: list[tuple[int, int, str]]) -> str:

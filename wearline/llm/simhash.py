@@ -13,12 +13,6 @@ block is left as soon as all its distances exceed the radius. A key with more th
 is dealt out again by pairs of blocks, so that no task holds more than two blocks, and only
 links are written. Copies share a fingerprint and are not expanded.
 
-``similar_copies`` is for texts whose sets of shingles have a Jaccard similarity of ``SHARE`` or
-more, where 64 bits and two parts of them say too little. Wide fingerprints of ``WIDE`` words of
-64 bits, taken over the distinct shingles, are dealt out by bands of minimal shingle hashes and
-compared by the same bit-sliced counters; they only choose candidates. What they connect comes
-together again with its shingle hashes, and a link counts if these reach ``SHARE`` exactly.
-
 NULL texts count as empty. A NULL key is no candidate for a component's smallest key; a
 component of such rows only has a NULL id.
 """
@@ -30,23 +24,17 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wearline.session import pin
 
-from .common import components, pieces, raw_bytes, texts
+from .common import components, pieces, spread_join, texts
 
-# Wide fingerprints: at a Jaccard similarity of 0.8 the angle of two texts is 27.3 degrees, so
-# 15.2 % of the bits differ, 78 +- 8 of 512; of 4 and 5 shingles it is 96 +- 9, the most there is.
-WIDE, WIDE_RADIUS, WIDE_WIDTH = 8, 140, 5
-SHARE = (4, 5)
-ROOM = 4 << 20
-BANDS, BAND_ROWS = 16, 4
 BLOCK = 4096
-STEP = 64
-FEW = 48
 RADIUS = 2
 WIDTH = 3
 SEED = 42
@@ -198,7 +186,7 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come sorted by unit: units are gathered until they fill a block.
-        for (values,), cuts in _units(batches, {"print": lambda c: c.to_numpy()}):
+        for values, cuts in _units(batches):
             a, b = _compare(values, cuts, radius)
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
@@ -207,24 +195,19 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return parts.mapInArrow(run, "a long, b long").distinct()
 
 
-def _units(batches: Iterator[pa.RecordBatch], columns: dict, least: int | None = None) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
-    """Whole units in arrival order: their values by column, and their starts with the end.
-
-    ``columns`` maps names to functions from an Arrow column to an array with a row each. Units
-    are gathered until they have ``least`` rows (``BLOCK`` if not given).
-    """
-    least = BLOCK if least is None else least
-    held, units = [], np.empty(0, np.int64)
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Whole units in arrival order, ``BLOCK`` fingerprints or more at a time: these, and the
+    units' starts with the end."""
+    held, units = np.empty(0, np.int64), np.empty(0, np.int64)
     for batch in batches:
         if not batch.num_rows:
             continue
-        new = [read(batch.column(name)) for name, read in columns.items()]
-        held = [np.concatenate([h, n]) for h, n in zip(held, new)] if held else new
+        held = np.concatenate([held, batch.column("print").to_numpy()])
         units = np.concatenate([units, batch.column("unit").to_numpy()])
         done = int(np.searchsorted(units, units[-1], side="left"))
-        if done >= least:
-            yield [h[:done] for h in held], _starts(units[:done])
-            held, units = [h[done:] for h in held], units[done:]
+        if done >= BLOCK:
+            yield held[:done], _starts(units[:done])
+            held, units = held[done:], units[done:]
     if len(units):
         yield held, _starts(units)
 
@@ -256,229 +239,42 @@ def _compare(values: np.ndarray, cuts: np.ndarray, radius: int) -> tuple[np.ndar
 def near_copies(docs: DataFrame, radius: int = RADIUS, width: int = WIDTH, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest key reachable."""
     prints = pin(fingerprints(docs, width, key, text), "prints")
-    first = prints.groupBy("print").agg(F.min(key).alias("first"))
+    first = prints.groupBy("print").agg(F.min(key).alias("first"), F.count("*").alias("n"))
     linked = components(links(prints, radius)).select(F.col("node").alias("print"), "component")
     reach = first.join(linked, "print", "left").withColumn("component", F.coalesce("component", "print"))
     least = reach.groupBy("component").agg(F.min("first").alias("component_id"))
-    # One row per distinct fingerprint; the rows of a hot one are spread over its salted copies.
-    classes = reach.join(least, "component").select("print", "component_id")
-    return _spread_join(prints, classes, "print").select(
+    # One row per distinct fingerprint.
+    classes = reach.join(least, "component").select("print", "component_id", "n")
+    return spread_join(prints, classes, "print").select(
         key, F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
-def _spread_join(rows: DataFrame, classes: DataFrame, on: str, salts: int = 16) -> DataFrame:
-    """Join of many rows to one row per ``on``, with the rows of a key over ``salts`` tasks."""
-    salted = rows.withColumn("salt", F.pmod(F.hash(*[c for c in rows.columns if c != on]), F.lit(salts)))
-    copies = classes.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    return salted.join(copies, [on, "salt"]).drop("salt")
-
-
-def _sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``same`` (digest of the words), ``raw`` (digest of the text), ``id``, ``wide``, ``bands``
-    and ``size`` (number of distinct shingles) of every row."""
-    source = texts(docs, key, text).select(F.col(key).alias("id"), F.col(text).alias("t"), _raw(text))
-    kind = source.schema["id"].dataType.simpleString()
-    mixes = np.random.default_rng(5).integers(1, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) | np.uint64(1)
-    turns = np.random.default_rng(6).integers(1, 1 << 63, WIDE, dtype=np.uint64) | np.uint64(1)
-    turns[0] = 1
+def without_copies(docs: DataFrame, radius: int = RADIUS, width: int = WIDTH, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near copies: of the rows whose fingerprints links connect, one
+    stays, that with the smallest key, NULL last; of rows that share the key any one."""
+    place = docs.columns.index(text)
+    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("print", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "t"):
-            column = piece.column("t").cast(pa.large_binary()).to_pylist()
-            hashes = [_shingle_set(t) for t in column]
-            flat = np.concatenate(hashes)
-            starts = np.cumsum([0, *map(len, hashes)])[:-1]
-            least = np.stack([np.minimum.reduceat(_mixed(flat * m), starts) for m in mixes], axis=1)
-            bands = np.zeros((len(column), BANDS), np.uint64)
-            for r in range(BAND_ROWS):
-                bands = _mixed(bands * mixes[0] + least[:, r::BAND_ROWS])
-            wide = np.array([[majority(_mixed(h * t)) for t in turns] for h in hashes], np.uint64)
-            digest = [xxhash.xxh3_128_digest(b" ".join(t.lower().split())) for t in column]
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32)), pa.array(bands.view(np.int64).ravel()))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    piece.column("id"),
-                    pa.array(digest, pa.binary()),
-                    piece.column("raw"),
-                    pa.array([w.tobytes() for w in wide], pa.binary()),
-                    lists,
-                    pa.array(list(map(len, hashes)), pa.int64()),
-                ],
-                ["id", "same", "raw", "wide", "bands", "size"],
-            )
-
-    return source.mapInArrow(run, f"id {kind}, same binary, raw string, wide binary, bands array<bigint>, size long")
-
-
-def _raw(text: str) -> Column:
-    return F.md5(F.col(text).cast("binary")).alias("raw")
-
-
-def _shingle_set(text: bytes) -> np.ndarray:
-    """The distinct shingle hashes; texts without words are copies of each other, so they have
-    one made-up shingle."""
-    found = np.unique(shingle_hashes(text, WIDE_WIDTH))
-    return found if len(found) else np.zeros(1, np.uint64)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(29))
-
-
-def similar_copies(docs: DataFrame, radius: int = WIDE_RADIUS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key`` and ``component_id`` of every row: texts whose five-word shingles have a Jaccard
-    similarity of ``SHARE`` or more are one component.
-
-    Texts with equal words take part once. A key with more than ``BLOCK`` texts, or ``ROOM``
-    shingles where these are at hand, is compared by pairs of blocks; of each comparison a
-    spanning forest of its links is written. Candidates of one cluster meet as a whole; those of
-    a cluster that exceeds a block meet by their bands.
-    """
-    sketches = pin(_sketches(docs, key, text), "sketches")
-    # Equal words give equal sketches, so any of them does.
-    any_of = [F.first(c).alias(c) for c in ("wide", "bands", "size")]
-    distinct = sketches.groupBy("same").agg(F.min("id").alias("least"), F.min("raw").alias("raw"), *any_of)
-    distinct = pin(distinct.withColumn("node", F.xxhash64("same")), "distinct")
-    by_band = F.transform("bands", lambda value, band: F.xxhash64(band, value))
-
-    dealt = distinct.select("node", "wide", F.lit(0).alias("size"), F.explode(by_band).alias("k"))
-    near = components(_forest_links(_paired_blocks(dealt), radius))
-    near = pin(near.select("node", F.col("component").alias("cluster")), "clusters")
-    sizes = near.join(distinct.select("node", "size"), "node").groupBy("cluster").agg(F.count("*").alias("n"), F.sum("size").alias("total"))
-    members = near.join(sizes, "cluster").join(distinct.select("node", "wide", "bands", "size", "raw"), "node")
-    members = pin(members, "members")
-    whole = (F.col("n") <= BLOCK) & (F.col("total") <= ROOM)
-    keys = F.when(whole, F.array(F.xxhash64(F.lit("cluster"), "cluster"))).otherwise(by_band)
-    units = _paired_blocks(members.select("node", "wide", "size", F.explode(keys).alias("k")))
-    units = units.join(_shingle_sets(docs, members, key, text), "node")
-    linked = components(_forest_links(units, radius, True)).withColumnRenamed("node", "n")
-
-    classes = distinct.select("node", "same", "least").join(linked, F.col("node") == F.col("n"), "left")
-    classes = classes.withColumn("component", F.coalesce("component", "node"))
-    least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = classes.join(least, "component").select("same", "component_id")
-    return _spread_join(sketches.select(F.col("id").alias(key), "same"), classes, "same").select(key, "component_id")
-
-
-def _paired_blocks(dealt: DataFrame) -> DataFrame:
-    """``node``, ``wide`` and ``unit`` for rows with a key ``k`` that others have too."""
-    sizes = dealt.groupBy("k").agg(F.count("*").alias("n"), F.sum("size").alias("total")).filter("n > 1")
-    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("total") / ROOM)).cast("int")
-    return (
-        dealt.join(sizes.select("k", blocks.alias("blocks")), "k")
-        .withColumn("own", F.pmod(F.hash("node"), F.col("blocks")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("node", "wide", F.xxhash64("k", F.least("own", "other"), F.greatest("own", "other")).alias("unit"))
-    )
-
-
-def _shingle_sets(docs: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame:
-    """``node`` and ``shingles``, the distinct hashes of one text of each node."""
-    # Copies of a text leave their task once, so that a hot one is no heap.
-    once = texts(docs, key, text).select(_raw(text), F.col(text).alias("t")).groupBy("raw").agg(F.first("t").alias("t"))
-    chosen = members.select("raw", "node").join(once, "raw").select("node", "t")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "t"):
-            found = [_shingle_set(t).tobytes() for t in piece.column("t").cast(pa.large_binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([piece.column("node"), pa.array(found, pa.binary())], ["node", "shingles"])
-
-    return chosen.mapInArrow(run, "node long, shingles binary")
-
+        for batch in batches:
+            for part in pieces([_with_text(batch, place)], "t"):
+                column = part.column("t").cast(pa.large_binary()).to_pylist()
+                found = np.array([fingerprint(t, width) for t in column], np.uint64)
+                row = pa.StructArray.from_arrays(part.columns[:-1], fields=list(batch.schema))
+                yield pa.RecordBatch.from_arrays([row, pa.array(found.view(np.int64))], ["row", "print"])
+
+    # Numbered as written, so that a row keeps its number.
+    rows = pin(docs.mapInArrow(run, schema).withColumn("at", F.monotonically_increasing_id()), "prints")
+    own = F.col("row")[key]
+    first = rows.groupBy("print").agg(F.min(F.struct(own.isNull().alias("none"), own.alias("key"), "at")).alias("first"))
+    linked = components(links(rows, radius)).select(F.col("node").alias("print"), "component")
+    reach = first.join(linked, "print", "left").withColumn("component", F.coalesce("component", "print"))
+    stay = reach.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.at").alias("at"))
+    return rows.join(stay, "at", "left_semi").select("row.*")
 
-def _forest_links(units: DataFrame, radius: int, exact: bool = False) -> DataFrame:
-    """Links (``a``, ``b``) that connect what is near in a unit; with ``exact`` what also has
-    enough ``shingles`` in common."""
-    columns = {
-        "node": lambda c: c.to_numpy(),
-        "wide": lambda c: raw_bytes(c)[0].view("<u8").reshape(-1, WIDE),
-    }
-    if exact:
-        columns["shingles"] = lambda c: np.array(c.to_pylist(), object)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (nodes, wide, *sets), cuts in _units(batches, columns, 1 if exact else None):
-            sizes = np.diff(cuts)
-            a, b = [], []
-            if not exact:
-                # Two texts on a key need no planes.
-                two = cuts[:-1][sizes == 2]
-                near = np.bitwise_count(wide[two] ^ wide[two + 1]).sum(axis=1) <= radius
-                a, b = [nodes[two[near]]], [nodes[two[near] + 1]]
-            many = sizes > (1 if exact else 2)
-            for start, size in zip(cuts[:-1][many], sizes[many]):
-                part = slice(start, start + size)
-                i, j = _forest(wide[part], radius, _Shingles(sets[0][part]) if exact else None)
-                a.append(nodes[start + i])
-                b.append(nodes[start + j])
-            if sum(map(len, a)):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
-
-    parts = units.repartition("unit").sortWithinPartitions("unit")
-    return parts.mapInArrow(run, "a long, b long").filter("a <> b").distinct()
-
-
-class _Shingles:
-    """The sets of a unit's rows, their hashes numbered from 0."""
-
-    def __init__(self, sets: np.ndarray):
-        self.sizes = np.fromiter(map(len, sets), np.int64, len(sets)) // 8
-        self.ends = np.cumsum(self.sizes)
-        values, self.numbers = np.unique(np.frombuffer(b"".join(sets), "<u8"), return_inverse=True)
-        self.own = np.zeros(len(values), bool)
-
-    def _of(self, row: int) -> np.ndarray:
-        return self.numbers[self.ends[row] - self.sizes[row] : self.ends[row]]
-
-    def copies(self, row: int, others: np.ndarray) -> np.ndarray:
-        """Those of ``others`` whose similarity with ``row`` is ``SHARE`` or more."""
-        least, of = SHARE
-        size = self.sizes[row]
-        sizes = self.sizes[others]
-        fit = np.minimum(sizes, size) * of >= np.maximum(sizes, size) * least
-        others, sizes = others[fit], sizes[fit]
-        if not len(others):
-            return others
-        self.own[self._of(row)] = True
-        held = self.own[np.concatenate([self._of(o) for o in others.tolist()])]
-        self.own[self._of(row)] = False
-        common = np.add.reduceat(held.astype(np.int64), np.cumsum(sizes) - sizes)
-        return others[common * of >= least * (size + sizes - common)]
-
-
-def _compared(queries: np.ndarray, values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """What ``within`` gives, for few rows: a word of planes would be mostly empty."""
-    apart = np.bitwise_count(queries[:, None, :] ^ values[None, :, :]).sum(axis=2, dtype=np.int64)
-    return np.nonzero(apart <= radius)
-
-
-def _forest(wide: np.ndarray, radius: int, shingles: _Shingles | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect what all links within the radius (and, with ``shingles``, of enough
-    similarity) connect, one less than rows at most."""
-    root = np.arange(len(wide))
-    found_a, found_b = [], []
-    for part in range(0, len(wide), BLOCK):
-        block = wide[part : part + BLOCK]
-        for first in range(0, part + len(block), STEP):
-            own = wide[first : min(first + STEP, part + len(block))]
-            q, v = within(own, block, radius) if len(block) > FEW else _compared(own, block, radius)
-            fresh = root[q + first] != root[v + part]
-            q, v = q[fresh], v[fresh]
-            # A row at a time: what it links at once becomes one tree under the least row.
-            cuts = _starts(q) if len(q) else np.zeros(1, np.int64)
-            for x, y in zip(cuts, cuts[1:]):
-                i, near = int(q[x]) + first, v[x:y] + part
-                near = near[root[near] != root[i]]
-                if shingles is not None:
-                    near = shingles.copies(i, near)
-                if len(near):
-                    trees, at = np.unique(root[near], return_index=True)
-                    found_a.append(np.full(len(trees), i))
-                    found_b.append(near[at])
-                    joined = np.append(trees, root[i])
-                    root[np.isin(root, joined)] = joined.min()
-    if not found_a:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(found_a), np.concatenate(found_b)
+def _with_text(batch: pa.RecordBatch, place: int) -> pa.RecordBatch:
+    """The columns under their places, and ``t``, the text without NULLs."""
+    names = [*map(str, range(batch.num_columns)), "t"]
+    return pa.RecordBatch.from_arrays([*batch.columns, pc.fill_null(batch.column(place), "")], names)

@@ -7,21 +7,27 @@ they do is found there by the operator's own index (``Finder.first``).
 1. Anchors. A window's anchor is its gram of ``gram`` symbols with the least hash (the first of
    equal ones). Equal windows have equal anchors at equal places, so only anchors have to meet.
    The windows of an anchor follow one another; their span is the anchor's context.
-2. Filter. Every task sends each gram's hash once for each block of documents to the hash's
-   bucket; grams that occur in two documents come back to the blocks. Grams that a task itself
-   sees in two documents come back at once, so that a gram found everywhere sends one entry
-   per task. The filter only leaves out grams of one document; it decides nothing else.
+2. Filter. Every task sends each gram's hash, with the order of its number there, once for each
+   block of documents to the hash's bucket; grams that occur in two documents come back to the
+   blocks. Grams that a task itself sees in two documents come back at once, so that a gram found
+   everywhere sends one entry per task. The filter only leaves out grams of one document. Grams
+   with more than ``MANY`` anchors are listed: their windows are dealt out one by one, by a hash of
+   the whole window, over as many parts as they need, so that a phrase found everywhere with
+   different surroundings is no heap; equal windows meet as before.
 3. Contexts. A block sends its distinct contexts around shared grams, with the least key, to
    the gram's bucket. There the index finds, for every window of every context, the least key
    that has it, and sends it back where it is smaller than the block's own.
 4. Removal. A block removes what the windows with a smaller key cover.
 
 Whole copies are found first, by their digests, and take part with their smallest key only.
-Documents travel twice, dealt out by a hash of the key into blocks of about ``BLOCK_BYTES``;
-blocks and buckets grow in number, not in size. Nothing is collected by the driver but two sums.
+Documents travel twice, dealt out by a hash of key and text into blocks of about ``BLOCK_BYTES``;
+blocks and buckets grow in number, not in size. Of rows that share key and text and are more than
+one of ``HOT`` of all, one takes part and its result counts for all of them. The index of a bucket
+takes ``ROOM`` contexts at a time. Nothing is collected by the driver but two sums.
 
 NULL texts count as empty; a NULL key counts as smaller than any other and comes back as NULL.
-Rows that share a key do not remove from each other.
+Rows that share a key do not remove from each other. A text is read whole by one task, which holds
+some 40 bytes for each byte (or 100 for each word) of its longest one.
 """
 
 from __future__ import annotations
@@ -29,6 +35,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +44,9 @@ from pyspark.sql import functions as F
 
 from wearline.session import pin
 
-from .common import partitions_for, pieces, texts
+from . import files
+from .common import HOT as HOT_ROWS
+from .common import partitions_for, pieces, spread_join, texts
 
 BLOCK_BYTES = 6 << 20
 CHUNK_BYTES = 12 << 20
@@ -45,6 +54,8 @@ PIECE = 1 << 19
 #: Symbols whose places are packed with a hash, 2^24 at most; longer pieces are cut into slices.
 PLACES = 1 << 22
 NO_KEY = -(1 << 63)
+#: Anchors of one gram that stay together, and contexts that an index holds.
+MANY, ROOM = 16_384, 32_768
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
@@ -189,9 +200,9 @@ def _batch(columns: dict[str, tuple]) -> pa.RecordBatch:
 
 
 # Replies to a block, by kind: a copy's key and digest; grams of a bucket (low halves); grams;
-# runs of windows in contexts of a bucket.
+# runs of windows in contexts of a bucket. Beside them frequent grams, with their number of parts.
 REPLY = "block long, kind int, number long, body binary"
-COPY, GRAMS, GRAM_IDS, FIRSTS = 0, 1, 2, 3
+COPY, GRAMS, GRAM_IDS, FIRSTS, HOT = 0, 1, 2, 3, 4
 
 
 CONTEXTS = "bucket long, block long, hashes binary, grams binary, spans binary, keys binary, rows binary"
@@ -211,43 +222,55 @@ def _replies(block, kind: int, number, body) -> pa.Table:
     return pa.Table.from_batches([_batch(columns)])
 
 
-def remove_repeats(docs: DataFrame, finder: Finder, key: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, finder: Finder, key: str = "doc_id", text: str = "text", many: int = MANY) -> DataFrame:
     """``key`` and the columns of ``finder.schema`` for every row of ``docs``."""
-    rows = texts(docs, key, text).withColumn("id", F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)))
+    kind = docs.schema[key].dataType.simpleString()
+    own = F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY))
     same = F.md5(F.col(text).cast("binary"))
-    digests = pin(rows.select("id", same.alias("same"), F.octet_length(text).alias("n")), "digests")
-    total = digests.agg(F.sum("n")).first()[0] or 0
+    rows = texts(docs, key, text).select(F.col(key).alias("k"), F.col(text).alias("text"), own.alias("id"), same.alias("same"))
+    pairs = rows.groupBy("id", "same", F.octet_length("text").alias("n")).agg(F.count("*").alias("times"))
+    pairs = pin(pairs, "digests")
+    total, count = (x or 0 for x in pairs.agg(F.sum(F.col("n") * F.col("times")), F.sum("times")).first())
     blocks = int(max(partitions_for(docs), -(-total // BLOCK_BYTES)))
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")
-    shared = digests.groupBy("same", "n").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    shared = shared.filter("first < last").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
+    block = F.pmod(F.xxhash64("id", "same"), F.lit(blocks)).alias("block")
+    shared = pairs.groupBy("same", "n").agg(F.min("id").alias("first"), F.count("*").alias("rows")).filter("rows > 1")
     copies = (
-        digests.withColumn("salt", F.pmod(F.hash("id"), F.lit(16)))
-        .join(shared, ["same", "n", "salt"])
+        spread_join(pairs, shared, ["same", "n"], "rows")
         .filter("id > first")
         .select(block, F.lit(COPY).alias("kind"), F.col("id").alias("number"), F.unhex("same").alias("body"))
     )
-
-    sent = rows.select("id", text, block).mapInArrow(
-        lambda batches: _send_grams(batches, finder, text, blocks), "bucket long, body binary"
+    # Less than HOT_ROWS pairs of key and text are so frequent.
+    often = pin(pairs.filter(F.col("times") * HOT_ROWS > count + HOT_ROWS).select("id", "same", "times"), "often")
+    alone = often.isEmpty()
+    if not alone:
+        one = rows.join(F.broadcast(often), ["id", "same"]).groupBy("id", "same").agg(*[F.first(c).alias(c) for c in ("k", "text")])
+        rest = rows.join(F.broadcast(often.drop("times")), ["id", "same"], "left_anti")
+        rows = rest.unionByName(pin(one, "once").select(*rest.columns))
+
+    sent = rows.select("id", "text", block).mapInArrow(
+        lambda batches: _send_grams(batches, finder, "text", blocks), "bucket long, body binary"
     )
-    known = pin(copies.unionByName(sent.groupBy("bucket").applyInArrow(_shared_grams, REPLY)), "known")
+    known = pin(copies.unionByName(sent.groupBy("bucket").applyInArrow(lambda t: _shared_grams(t, many), REPLY)), "known")
+    hot = known.filter(F.col("kind") == HOT).select(F.concat_ws(" ", F.col("number"), F.col("body").cast("string")))
+    hot = files.listed(hot, files.folder(docs.sparkSession, "hot"))
+    known = known.filter(F.col("kind") != HOT)
 
-    placed = rows.select(*dict.fromkeys([key, "id", text]), block)
+    placed = rows.select("k", "id", "same", "text", block)
     contexts = (
         placed.groupBy("block")
         .cogroup(known.groupBy("block"))
-        .applyInArrow(lambda a, b: _send_contexts(a, b, finder, text, blocks), CONTEXTS)
+        .applyInArrow(lambda a, b: _send_contexts(a, b, finder, blocks, hot), CONTEXTS)
     )
     firsts = contexts.groupBy("bucket").applyInArrow(lambda t: _first_keys(t, finder), REPLY)
-    kind = rows.schema[key].dataType.simpleString()
-    return (
+    found = (
         placed.groupBy("block")
         .cogroup(known.unionByName(pin(firsts, "firsts")).groupBy("block"))
-        .applyInArrow(
-            lambda a, b: _remove(a, b, finder, key, text, blocks), f"{key} {kind}, {finder.schema}"
-        )
+        .applyInArrow(lambda a, b: _remove(a, b, finder, blocks, hot), f"k {kind}, id long, same string, {finder.schema}")
     )
+    if not alone:
+        every = found.join(F.broadcast(often), ["id", "same"], "left")
+        found = every.withColumn("times", F.explode(F.sequence(F.lit(1), F.coalesce("times", F.lit(1))))).drop("times")
+    return found.drop("id", "same").withColumnRenamed("k", key)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.Table]:
@@ -283,8 +306,10 @@ def _send_grams(batches: Iterator[pa.RecordBatch], finder: Finder, text: str, bl
         entry, where = gram[cuts[:-1]], of_block[row[cuts[:-1]]].astype(np.uint32)
         bucket = (entry >> np.uint64(32)).astype(np.int64)
         low = entry.astype(np.uint32)
+        # The least power of two that is not below the number of anchors.
+        order = np.ceil(np.log2(np.diff(cuts))).astype(np.uint8)
         parts = _cuts(bucket)
-        bodies = [low[a:b].tobytes() + where[a:b].tobytes() for a, b in zip(parts, parts[1:])]
+        bodies = [low[a:b].tobytes() + where[a:b].tobytes() + order[a:b].tobytes() for a, b in zip(parts, parts[1:])]
         yield _batch({"bucket": (bucket[parts[:-1]], pa.int64()), "body": (bodies, pa.binary())})
         own = ids[row]
         several = np.minimum.reduceat(own, cuts[:-1]) < np.maximum.reduceat(own, cuts[:-1])
@@ -297,24 +322,32 @@ def _send_grams(batches: Iterator[pa.RecordBatch], finder: Finder, text: str, bl
         yield _batch({"bucket": (-1 - target[parts[:-1]], pa.int64()), "body": (bodies, pa.binary())})
 
 
-def _shared_grams(table: pa.Table) -> pa.Table:
+def _shared_grams(table: pa.Table, many: int) -> pa.Table:
     bucket = table["bucket"][0].as_py()
     bodies = table["body"].to_pylist()
     if bucket < 0:
         known = np.unique(np.concatenate([np.frombuffer(b, np.uint64) for b in bodies]))
         return _replies([-1 - bucket], GRAM_IDS, [0], [known.tobytes()])
-    gram = np.concatenate([np.frombuffer(b, np.uint32, len(b) // 8) for b in bodies])
-    block = np.concatenate([np.frombuffer(b, np.uint32, len(b) // 8, len(b) // 2) for b in bodies])
+    sizes = [len(b) // 9 for b in bodies]
+    gram = np.concatenate([np.frombuffer(b, np.uint32, n) for b, n in zip(bodies, sizes)])
+    block = np.concatenate([np.frombuffer(b, np.uint32, n, 4 * n) for b, n in zip(bodies, sizes)])
+    number = np.int64(1) << np.concatenate([np.frombuffer(b, np.uint8, n, 8 * n) for b, n in zip(bodies, sizes)]).astype(np.int64)
     order = np.argsort(gram, kind="stable")
     gram, block = gram[order], block[order].astype(np.int64)
     cuts = _cuts(gram)
+    number = np.add.reduceat(number[order], cuts[:-1])
+    hot = np.flatnonzero(number > many)
+    # An anchor has half of the reach of windows on average; more parts do no harm.
+    listed = [((bucket << 32) | int(g), str(-(-int(n) * 16 // many))) for g, n in zip(gram[cuts[hot]], number[hot])]
     shared = np.repeat(np.diff(cuts) > 1, np.diff(cuts))
     gram, block = gram[shared], block[shared]
     order = np.argsort(block, kind="stable")
     gram, block = gram[order], block[order]
     cuts = _cuts(block)
     bodies = [gram[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
-    return _replies(block[cuts[:-1]], GRAMS, np.full(len(bodies), bucket), bodies)
+    replies = _replies(block[cuts[:-1]], GRAMS, np.full(len(bodies), bucket), bodies)
+    frequent = _replies([-1] * len(listed), HOT, [x for x, _ in listed], [n.encode() for _, n in listed])
+    return pa.concat_tables([replies, frequent])
 
 
 @dataclass
@@ -334,7 +367,35 @@ class Block:
     rows: np.ndarray
 
 
-def _read_block(docs: pa.Table, replies: pa.Table, finder: Finder, text: str, blocks: int) -> Block:
+@lru_cache(4)
+def _frequent(listed: str) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent grams in ascending order, and their numbers of parts."""
+    found = np.array([line.split() for line in files.lines(listed)], np.int64).reshape(-1, 2)
+    return tuple(found[np.argsort(found[:, 0])].T)
+
+
+def _parted(a: Anchors, symbols: np.ndarray, finder: Finder, blocks: int, listed: str) -> Anchors:
+    """Anchors of frequent grams with one window each, under a hash of the gram and its part."""
+    grams_, parts = _frequent(listed)
+    if not len(grams_) or not len(a.at):
+        return a
+    ident = _ident(a.hash, blocks).astype(np.int64)
+    at = np.minimum(np.searchsorted(grams_, ident), len(grams_) - 1)
+    hot = grams_[at] == ident
+    if not hot.any():
+        return a
+    whole = grams(symbols, finder.window)
+    size = np.where(hot, a.last - a.first + 1, 1)
+    of = np.repeat(np.arange(len(size)), size)
+    window = a.first[of] + np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+    hashes = a.hash[of]
+    own = hot[of]
+    part = mixed(whole[window[own]] + _MIX) % parts[at[of[own]]].astype(np.uint64)
+    hashes[own] = mixed(hashes[own] + (part + np.uint64(1)) * _MIX)
+    return Anchors(a.at[of], a.row[of], hashes, np.where(own, window, a.first[of]), np.where(own, window, a.last[of]))
+
+
+def _read_block(docs: pa.Table, replies: pa.Table, finder: Finder, blocks: int, listed: str) -> Block:
     kinds, numbers, bodies = (replies[c].to_pylist() for c in ("kind", "number", "body"))
     copies = {(n, b) for k, n, b in zip(kinds, numbers, bodies) if k == COPY}
     copied = {n for n, _ in copies}
@@ -347,19 +408,19 @@ def _read_block(docs: pa.Table, replies: pa.Table, finder: Finder, text: str, bl
     known = np.unique(np.concatenate(known)) if known else np.empty(0, np.uint64)
     found = Block([], [], [], [], *[np.empty(0)] * 7)
     parts = []
-    for piece in pieces(docs.to_batches(), text, PIECE):
-        symbols, starts, own = finder.symbols(piece.column(text))
+    for piece in pieces(docs.to_batches(), "text", PIECE):
+        symbols, starts, own = finder.symbols(piece.column("text"))
         ids = piece.column("id").to_numpy()
         copy = np.zeros(len(ids), bool)
         for i in np.flatnonzero([x in copied for x in ids.tolist()]):
-            body = hashlib.md5(piece.column(text)[int(i)].as_py().encode()).digest()
+            body = hashlib.md5(piece.column("text")[int(i)].as_py().encode()).digest()
             copy[i] = (int(ids[i]), body) in copies
         a = anchors(symbols, starts, finder.window, finder.gram)
         ident = _ident(a.hash, blocks)
         at = np.searchsorted(known, ident)
         hit = at < len(known)
         hit[hit] = known[at[hit]] == ident[hit]
-        a = a.of(hit & ~copy[a.row])
+        a = _parted(a.of(hit & ~copy[a.row]), symbols, finder, blocks, listed)
         rows = finder.rows(own, a)
         low, high = a.at - a.last, a.at - a.first
         fold = mixed(a.hash + low.astype(np.uint64) * np.uint64(257) + high.astype(np.uint64))
@@ -387,11 +448,11 @@ def _read_block(docs: pa.Table, replies: pa.Table, finder: Finder, text: str, bl
     return found
 
 
-def _send_contexts(docs: pa.Table, replies: pa.Table, finder: Finder, text: str, blocks: int) -> pa.Table:
+def _send_contexts(docs: pa.Table, replies: pa.Table, finder: Finder, blocks: int, listed: str) -> pa.Table:
     if not docs.num_rows:
         return pa.schema(CONTEXT_FIELDS).empty_table()
     block = docs["block"][0].as_py()
-    b = _read_block(docs, replies, finder, text, blocks)
+    b = _read_block(docs, replies, finder, blocks, listed)
     cuts = _cuts(b.bucket)
     spans = list(zip(cuts, cuts[1:]))
     columns = [
@@ -408,6 +469,17 @@ def _send_contexts(docs: pa.Table, replies: pa.Table, finder: Finder, text: str,
     )
 
 
+def _groups(values: np.ndarray) -> Iterator[slice]:
+    """Slices of whole runs of equal neighbours, of up to ``ROOM`` values or one run."""
+    cuts = _cuts(values)
+    start = 0
+    while start < len(values):
+        fit = int(np.searchsorted(cuts, start + ROOM, side="right")) - 1
+        stop = int(max(cuts[fit], cuts[np.searchsorted(cuts, start, side="right")]))
+        yield slice(start, stop)
+        start = stop
+
+
 def _first_keys(table: pa.Table, finder: Finder) -> pa.Table:
     """Where contexts of a bucket hold windows that a smaller key has: per block, runs of
     (context, from offset, to offset, key)."""
@@ -430,9 +502,10 @@ def _first_keys(table: pa.Table, finder: Finder) -> pa.Table:
     per_gram = np.diff(_cuts(gram[one]))
     several = np.flatnonzero(np.repeat(per_gram > 1, per_gram))
     first = np.repeat(least[:, None], finder.reach, axis=1)
-    if len(several):
-        c, offset, key = finder.first(rows[one][several], low[one][several], high[one][several], least[several])
-        first[several[c], offset] = key
+    for own_ in _groups(gram[one][several]):
+        part = several[own_]
+        c, offset, key = finder.first(rows[one][part], low[one][part], high[one][part], least[part])
+        first[part[c], offset] = key
 
     offsets = np.arange(finder.reach)
     bodies, blocks = [], []
@@ -456,9 +529,9 @@ def _first_keys(table: pa.Table, finder: Finder) -> pa.Table:
     return _replies(blocks, FIRSTS, [table["bucket"][0].as_py()] * len(blocks), bodies)
 
 
-def _remove(docs: pa.Table, replies: pa.Table, finder: Finder, key: str, text: str, blocks: int) -> pa.Table:
+def _remove(docs: pa.Table, replies: pa.Table, finder: Finder, blocks: int, listed: str) -> pa.Table:
     out = []
-    b = _read_block(docs, replies, finder, text, blocks)
+    b = _read_block(docs, replies, finder, blocks, listed)
     first = np.repeat(b.least[:, None].astype(np.int64), finder.reach, axis=1)
     kinds, numbers, bodies = (replies[c].to_pylist() for c in ("kind", "number", "body"))
     for kind, bucket, body in zip(kinds, numbers, bodies):
@@ -479,9 +552,10 @@ def _remove(docs: pa.Table, replies: pa.Table, finder: Finder, key: str, text: s
         covered = np.cumsum(edges[:-1]) > 0
         lengths = np.diff(starts)
         covered |= np.repeat(copy & (lengths >= finder.window), lengths)
-        columns = {key: piece.column(key)} | finder.kept(own, starts, covered)
+        columns = {"k": piece.column("k"), "id": piece.column("id"), "same": piece.column("same")} | finder.kept(own, starts, covered)
         out.append(pa.RecordBatch.from_pydict(columns))
     if not out:
         columns = finder.kept(*finder.symbols(pa.array([""]))[:0:-1], np.empty(0, bool))
-        return pa.Table.from_pydict({key: pa.nulls(1, docs.schema.field(key).type)} | columns).slice(0, 0)
+        none = {c: pa.nulls(1, docs.schema.field(c).type) for c in ("k", "id", "same")}
+        return pa.Table.from_pydict(none | columns).slice(0, 0)
     return pa.Table.from_batches(out)
