@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from wearline.llm import latent, preference, secrets, sentencepiece_table, simhash
 from wearline.llm.common import table
@@ -24,14 +23,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near copies (shingles of five
-    words, similarity 0.8 or more); rows without an id stay. Of rows that share the id and the
-    text one stays."""
-    classes = simhash.similar_copies(docs)
-    stay = classes.filter("doc_id = component_id").select("doc_id").distinct()
-    known = docs.filter("doc_id IS NOT NULL").join(stay, "doc_id", "left_semi")
-    known = known.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
-    return known.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    """One document of each group of near copies: shingles of three words, fingerprints that
+    links of at most two differing bits connect."""
+    return simhash.without_copies(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
