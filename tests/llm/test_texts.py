@@ -13,6 +13,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import sentencepiece
 from tokenizers import Tokenizer
 
@@ -116,8 +117,8 @@ def test_a_small_table_gives_the_same_ids(monkeypatch):
 
 def shards(spark, docs, **more):
     uri = files.folder(spark, "ids")
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    made = repair.write_shards(docs, uri, path, public_tokenizers.PATTERN, {"<|endoftext|>": 50256}, 2, **more)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    made = repair.write_shards(docs, uri, path, public_tokenizers.PATTERN, 2, **more)
     return made, repair.read_shards(made, with_ids=True)
 
 
@@ -137,11 +138,83 @@ def test_token_files_hold_the_library_ids(spark, docs_of):
     assert shards(spark, docs_of([]))[1].count() == 0
 
 
-def test_long_runs_of_white_space_have_the_library_ids():
+def test_token_files_with_repeated_and_missing_keys(spark, docs_of):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    encode = repair.ByteEncoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, {"<|endoftext|>": 50256})
+    rows = [(None, "one two"), (None, "one two"), (None, None), (3, "x y"), (3, "a"), (3, "x y"), (-(1 << 63), "least"), (4, "z" * 100_000)]
+    docs = docs_of(rows).withColumnsRenamed({"id": "k", "score": "h", "salt": "t"})
+    got = shards(spark, docs, shard_tokens=3)[1].collect()
+    ids = {t: library.encode(t or "", add_special_tokens=False).ids + [2] for _, t in rows}
+    assert sorted(((r.doc_id, r.ids) for r in got), key=str) == sorted(((k, ids[t]) for k, t in rows), key=str)
+    got.sort(key=lambda r: r.start)
+    assert [r.start for r in got] == [sum(x.n_tokens for x in got[:i]) for i in range(len(got))]
+    keys = [r.doc_id for r in got]
+    assert keys == [None] * 3 + [-(1 << 63), 3, 3, 3, 4]
+    same = [r.ids for r in got if r.doc_id == 3]
+    assert same[0] != same[2] and same[1] in (same[0], same[2])
+
+
+def token_encoder():
+    return repair.Encoder(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+def test_long_runs_of_white_space_have_the_library_ids():
+    encode = token_encoder()
     for text in (" " * 1_200_000, "a" + "\n" * 1_200_000 + "b<|endoftext|>", "a " * 20 + " " * 1_200_000 + "é"):
-        assert encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+        assert encode(text).tolist() == encode.library.encode(text, add_special_tokens=False).ids
+
+
+def test_splitters_agree_on_every_character_that_is_not_left_to_the_library():
+    """The pattern knows letters, numbers, blanks, others, and some letters after an apostrophe."""
+    encode = token_encoder()
+    cut = encode.library.pre_tokenizer.pre_tokenize_str
+    split = regex.compile(public_tokenizers.PATTERN)
+    checked = 0
+    for code in range(0x110000):
+        c = chr(code)
+        if 0xD800 <= code < 0xE000 or repair._OTHER.search(c):
+            continue
+        text = f"a{c}a 1{c}1.{c}. {c} {c}{c}"
+        assert [m.span() for m in split.finditer(text)] == [x[1] for x in cut(text)], hex(code)
+        checked += 1
+    assert checked > 30_000
+
+
+def test_ids_of_odd_texts():
+    encode = token_encoder()
+    draw = random.Random(12)
+    some = [*"abzé'sdtlvrem019 \n\t\r.,#", "'ll", "'ve", "\x1c", "\x85", "\u00a0", "\u3000", "日", "한", "ß", "🙂", "ǅ", "½", "Ⅷ", "\u0600", "ޱ", "<|endoftext|>"]
+    for _ in range(400):
+        text = "".join(draw.choice(some) for _ in range(draw.randint(0, 60)))
+        assert encode(text).tolist() == encode.library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("pays", [2, 6])
+def test_no_pair_is_left_that_pays(pays):
+    draw = np.random.default_rng(pays)
+    parts = [draw.integers(3, 30, draw.integers(1, 40)) for _ in range(60)]
+    ids = np.concatenate([np.append(np.concatenate([parts[i] for i in draw.integers(0, 60, 20)] + [np.full(draw.integers(0, 50), 9)]), 2) for _ in range(80)])
+    symbols, rules = repair.compress(ids, 2, 100, pays)
+    ends = lambda x: x == 2 if x < 100 else ends(int(rules[x - 100][1]))
+    inner = np.array([not ends(x) for x in symbols[:-1].tolist()])
+    pairs = np.column_stack([symbols[:-1], symbols[1:]])[inner]
+    kinds, counts = np.unique(pairs, axis=0, return_counts=True)
+    # A run of one symbol counts more pairs than can be replaced.
+    assert (counts[kinds[:, 0] != kinds[:, 1]] < pays).all()
+    out, known = [], {}
+    expand = lambda x: [x] if x < 100 else known.setdefault(x, expand(int(rules[x - 100][0])) + expand(int(rules[x - 100][1])))
+    for x in symbols.tolist():
+        out += expand(x)
+    assert out == ids.tolist() and len(symbols) < len(ids) / 2
+    assert [len(expand(100 + i)) for i in range(len(rules))] == repair.lengths_of(rules, 100).tolist()
+
+
+@pytest.mark.parametrize("width,most", [(2, 1 << 18), (4, 1 << 20), (8, 1 << 24), (16, 1 << 32)])
+def test_symbols_of_all_widths(width, most):
+    symbols = np.random.default_rng(width).integers(0, most, 1003).astype(np.uint32)
+    shard = object.__new__(repair.Shard)
+    shard.source, shard.symbols_at, shard.n_symbols, shard.bits = io.BytesIO(repair.pack(symbols, width)), 0, 1003, width
+    for a, b in ((0, 1003), (5, 6), (7, 1000), (3, 3)):
+        assert (shard.symbols(a, b) == symbols[a:b]).all()
 
 
 def test_grammar_is_smaller_and_random_access_is_exact():
@@ -149,7 +222,7 @@ def test_grammar_is_smaller_and_random_access_is_exact():
     motifs = draw.integers(3, 40, (5, 6))
     docs = [np.append(np.tile(motifs[i % 5], draw.integers(1, 60)), 2) for i in range(200)]
     ids = np.concatenate(docs).astype(np.uint32)
-    shard = repair.Shard(io.BytesIO(repair.build(np.arange(200), np.array(list(map(len, docs))), ids, 2, 50257)))
+    shard = repair.Shard(io.BytesIO(repair.build(list(range(200)), np.array(list(map(len, docs))), ids, 2, 50257)))
     assert shard.n_symbols < len(ids) / 2 and shard.n_rules
     assert (shard.all() == ids).all()
     assert all((shard.document(i) == d).all() for i, d in enumerate(docs))
@@ -231,6 +304,28 @@ def test_quality_without_labels_or_texts(spark, docs_of):
     assert preference.score(docs_of([]), preference.NOTHING_LEARNED).count() == 0
 
 
+def test_strengths_are_those_of_a_plain_solver():
+    """The pair loss of the fit against that of plain gradient descent on the same pairs."""
+    draw = np.random.default_rng(21)
+    x = draw.standard_normal((300, len(preference.FEATURES)))
+    good = x[:, 0] - 2 * x[:, 1] + draw.standard_normal(300) > 0
+    strength = preference.fit(x, good)
+    z = (x - x.mean(0)) / x.std(0)
+    better, worse = np.flatnonzero(good), np.flatnonzero(~good)
+    n = preference.PAIRS_PER_ROW * max(len(better), len(worse))
+    pairs = z[better[np.arange(n) % len(better)]] - z[np.random.default_rng(7).choice(worse, n)]
+    loss = lambda w: np.logaddexp(0, -pairs @ w).mean() + 1e-3 / 2 * w @ w
+    w = np.zeros(z.shape[1])
+    for _ in range(3000):
+        w += 0.2 * (pairs.T @ (1 / (1 + np.exp(pairs @ w))) / n - 1e-3 * w)
+    assert abs(loss(strength.weights) - loss(w)) < 1e-6
+    assert np.abs(strength.weights - w).max() < 0.02
+    # The threshold: no other cut of the strengths gives less balanced error.
+    s = strength.of(x)
+    error = lambda t: (s[good] < t).mean() + (s[~good] >= t).mean()
+    assert error(strength.threshold) <= min(error(t) for t in s) + 1e-12
+
+
 def test_preferences_order_strengths():
     draw = np.random.default_rng(1)
     x = draw.standard_normal((400, len(preference.FEATURES)))

@@ -67,9 +67,8 @@ def op6_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = repair.write_shards(
         table(spark, sf_dir, "documents"),
         files.folder(spark, "ids"),
-        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.path("byte_bpe_50k.json"),
         public_tokenizers.PATTERN,
-        special={"<|endoftext|>": 50256},
         end_id=2,
     )
     return repair.read_shards(manifest)

@@ -1,34 +1,36 @@
 """Token ids in files that are compressed with a grammar of id pairs (Re-Pair).
 
 Texts are encoded in ascending key order and cut into shards of about ``SHARD_TOKENS`` ids. In a
-shard, frequent pairs of neighbouring symbols are replaced by new symbols, round after round,
-until a round saves less than ``LEAST_GAIN`` of the symbols. A round counts the pairs by slots of
-a hash table: each slot follows one of its pairs, whose occurrences are counted exactly, and the
-pairs with at least ``LEAST_COUNT`` of them become rules; where two of them overlap the more
-frequent one is taken. A pair never begins with the end id, so a document is a whole range of
-symbols. Rules are stored with the lengths of their expansions, which allows to fetch one
-document, or one place of it, without expanding what lies before.
-
-File: the fields of ``HEAD``, then keys (int64), symbol starts and id starts of the documents
-(uint32, one more than documents), rules (uint32 pairs), expansion lengths (uint32), symbols in
-18 bits: the low 16 bits of all, then the high 2 bits, four to a byte.
-
-NULL texts count as empty; an empty text is its end id alone.
+shard, the most frequent pairs of neighbouring symbols are replaced by new symbols, round after round,
+until no pair is left whose rule takes less room than it saves (``PAYS`` occurrences). A round takes the
+pairs from the highest count down to a part of it, so that frequent pairs come first; where two of them
+overlap the more frequent one is taken. Counts are exact, by sorting. A pair never begins with a symbol that ends a document, so a document is a whole range of symbols. Rules are stored with the lengths of their
+expansions, which allows to fetch one document, or one place of it, without expanding what lies before.
+
+File: the fields of ``HEAD``, then keys (int64), a byte for each key that is NULL, symbol starts and id
+starts of the documents (uint32, one more than documents), rules (uint32 pairs), expansion lengths
+(uint32), the low 16 bits of all symbols, then the others, as many bits each as the head says.
+
+Ids are those of the tokenizers library. It encodes each distinct piece between the cuts of its
+own splitter once per worker, and the ids are joined back by position. Texts with characters for which
+the splitter here is not known to be equal, or with special tokens, go to the library whole.
+
+NULL texts count as empty; an empty text is its end id alone. Rows without a key come first. Rows that
+share a key follow one another in the order of a hash of their texts, equal texts one after the other.
 """
 
 from __future__ import annotations
 
-import base64
 import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
-from pathlib import Path
+from functools import cached_property, lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import tiktoken
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,79 +42,117 @@ from . import files
 from .common import pieces, texts
 
 SHARD_TOKENS = 1 << 20
-LEAST_COUNT = 48
-LEAST_GAIN = 0.02
-ROUNDS = 8
-SLOTS = 1 << 18
-SYMBOLS = 1 << 18
-MAGIC = b"WLRP0001"
-HEAD = struct.Struct("<8s5Q")
-
-
-class ByteEncoder:
-    """Ids of a byte-level vocabulary, from its ranks file and its special tokens.
-
-    Gives the ids that the tokenizers library gives with the same vocabulary (tested), in a
-    fifth of its time; special tokens in a text are single ids, as there. Texts that tiktoken
-    refuses (about a million blanks or line ends in a row) are encoded by that library, with the
-    vocabulary's JSON file beside the ranks file.
-    """
+#: A rule takes 12 bytes and a replaced pair frees a symbol of 2.25 bytes or more.
+PAYS = 6
+#: A round takes pairs down to this part of the highest count.
+PART = 4
+SLOT_BITS = 18
+MAGIC = b"WLRP0002"
+HEAD = struct.Struct("<8s6Q")
+WIDTHS = [2, 4, 8, 16]
+
+# Characters for which the splitters agree, one by one (tested): Latin to Cyrillic, punctuation,
+# kana, Han, Hangul.
+_OTHER = regex.compile("[^\x00-\u0557\u2010-\u2027\u3000-\u303f\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]")
+
+
+class _Pieces(dict):
+    """Ids of pieces of text, encoded by the library while they stay in the table."""
+
+    LIMIT = 400_000
+
+    def __init__(self, library: Tokenizer):
+        super().__init__()
+        self.library = library
+
+    def __missing__(self, piece: str) -> list[int]:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        value = self[piece] = self.library.encode(piece, add_special_tokens=False).ids
+        return value
 
-    def __init__(self, ranks_file: str, pattern: str, special: dict[str, int]):
-        self.library_file = str(Path(ranks_file).with_suffix(".json"))
-        with open(ranks_file, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.encoding = tiktoken.Encoding("shared", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+
+class Encoder:
+    """Ids of the tokenizers library for a byte-level vocabulary that is split by ``pattern``."""
+
+    def __init__(self, library_file: str, pattern: str):
+        self.library = Tokenizer.from_file(library_file)
+        self.split = regex.compile(pattern).findall
+        self.pieces = _Pieces(self.library)
+        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
 
     def __call__(self, text: str) -> np.ndarray:
-        try:
-            return self.encoding.encode_to_numpy(text, allowed_special="all")
-        except ValueError:
+        if _OTHER.search(text) or (self.special is not None and self.special.search(text)):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.fromiter(chain.from_iterable(map(self.pieces.__getitem__, self.split(text))), np.uint32)
 
-    @cached_property
-    def library(self) -> Tokenizer:
-        return Tokenizer.from_file(self.library_file)
 
+@lru_cache(1)
+def encoder(library_file: str, pattern: str) -> Encoder:
+    """One for all tasks of a worker."""
+    return Encoder(library_file, pattern)
 
-def compress(ids: np.ndarray, end_id: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+
+def compress(ids: np.ndarray, end_id: int, base: int, pays: int = PAYS) -> tuple[np.ndarray, np.ndarray]:
     """Symbols, and rules (rows of two symbols); rule r stands for symbol ``base + r``."""
     s = ids.astype(np.int64)
     rules: list[np.ndarray] = []
-    made = 0
-    for _ in range(ROUNDS):
-        if len(s) < 2 * LEAST_COUNT:
-            break
-        left, right = s[:-1], s[1:]
-        pair = left << 20 | right
-        slot = (pair * 0x9E3779B1 >> 13) & (SLOTS - 1)
-        followed = np.zeros(SLOTS, np.int64)
-        followed[slot] = pair
-        mine = (followed[slot] == pair) & (left != end_id)
-        counts = np.bincount(slot[mine], minlength=SLOTS)
-        # The symbols are 18 bits wide: the most frequent pairs get the room that is left.
-        room = SYMBOLS - base - made
-        chosen = np.flatnonzero(counts >= LEAST_COUNT)
-        if len(chosen) > room:
-            chosen = np.sort(chosen[np.argsort(-counts[chosen], kind="stable")[:room]])
-        if not len(chosen):
-            break
-        weight = np.zeros(SLOTS, np.int64)
-        weight[chosen] = counts[chosen]
-        own = np.where(mine, weight[slot], 0)
-        before, after = np.append(0, own[:-1]), np.append(own[1:], 0)
-        at = np.flatnonzero((own > 0) & (own >= after) & (own > before))
-        if len(at) < LEAST_GAIN * len(s):
+    made, turns = 0, np.random.default_rng(7)
+    # Symbols that end a document are the first of no pair.
+    closing = np.zeros(base, bool)
+    closing[end_id] = True
+    # Places whose pair may still become a rule: a rare pair stays rare until it is changed, and
+    # then it is another one.
+    alive = np.append(~closing[s[:-1]], False) if len(s) else np.zeros(0, bool)
+    while True:
+        live = np.flatnonzero(alive)
+        pair = s[live] << 32 | s[live + 1]
+        known = np.sort(pair)
+        edges = np.flatnonzero(np.append(True, known[1:] != known[:-1])) if len(known) else live
+        counts = np.diff(np.append(edges, len(known)))
+        known = known[edges]
+        top = int(counts.max(initial=0))
+        if top < pays:
             break
-        used = np.unique(slot[at])
-        number = np.zeros(SLOTS, np.int64)
-        number[used] = np.arange(len(used)) + base + made
-        rules.append(np.column_stack([followed[used] >> 20, followed[used] & 0xFFFFF]))
+        # A table by a hash; of pairs that share a slot one is left to the next round.
+        turn = turns.integers(1, 1 << 63, dtype=np.uint64) | np.uint64(1)
+        slot = lambda pairs: (pairs.view(np.uint64) * turn >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        often = counts >= pays
+        held, weight = np.full(1 << SLOT_BITS, -1, np.int64), np.zeros(1 << SLOT_BITS, np.int64)
+        common = np.zeros(1 << SLOT_BITS, bool)
+        places = slot(known[often])
+        common[places] = True
+        chosen = counts >= max(pays, top // PART)
+        places = slot(known[chosen])
+        held[places] = known[chosen]
+        # Among equal counts a part of the hash decides, so that many places of a repeated passage
+        # are replaced at once.
+        weight[places] = counts[chosen] << SLOT_BITS | places
+        slots = slot(pair)
+        alive[live[~common[slots]]] = False
+        found = held[slots] == pair
+        at, own = live[found], weight[slots[found]]
+        near = np.zeros(len(s) + 1, np.int64)
+        near[at] = own
+        take = (own >= near[at - 1]) & (own >= near[at + 1])
+        # Of a run of one pair every other one.
+        place = np.arange(len(at))
+        new = np.append(True, (at[1:] != at[:-1] + 1) | (own[1:] != own[:-1]))
+        take &= (place - np.maximum.accumulate(np.where(new, place, 0))) % 2 == 0
+        at, pair = at[take], pair[found][take]
+        used, number = np.unique(pair, return_inverse=True)
+        rules.append(np.column_stack([used >> 32, used & 0xFFFFFFFF]))
+        s[at] = number + base + made
         made += len(used)
-        s[at] = number[slot[at]]
+        closing = np.append(closing, closing[used & 0xFFFFFFFF])
+        alive[at] = (at + 2 < len(s)) & ~closing[s[at]]
+        before = at[at > 0] - 1
+        alive[before] = ~closing[s[before]]
         keep = np.ones(len(s), bool)
         keep[at + 1] = False
-        s = s[keep]
+        # What stood before a replaced pair may have gone with the pair before that.
+        s, alive = s[keep], alive[keep]
     table = np.concatenate(rules) if rules else np.empty((0, 2), np.int64)
     return s.astype(np.uint32), table.astype(np.uint32)
 
@@ -125,16 +165,18 @@ def lengths_of(rules: np.ndarray, base: int) -> np.ndarray:
     return np.array(out, np.uint32)
 
 
-def pack(symbols: np.ndarray) -> bytes:
-    high = np.zeros(-(-len(symbols) // 4) * 4, np.uint8)
+def pack(symbols: np.ndarray, width: int) -> bytes:
+    """The low 16 bits of all symbols, then ``width`` further bits of each."""
+    each = 16 // width
+    high = np.zeros(-(-len(symbols) // each) * each, np.uint16)
     high[: len(symbols)] = symbols >> 16
-    high = high.reshape(-1, 4)
-    joined = high[:, 0] | high[:, 1] << 2 | high[:, 2] << 4 | high[:, 3] << 6
-    return (symbols & 0xFFFF).astype("<u2").tobytes() + joined.astype(np.uint8).tobytes()
+    shifts = np.arange(each, dtype=np.uint16) * np.uint16(width)
+    joined = np.bitwise_or.reduce(high.reshape(-1, each) << shifts, axis=1) if len(high) else high
+    return (symbols & 0xFFFF).astype("<u2").tobytes() + joined.astype("<u2").tobytes()
 
 
-def build(keys: np.ndarray, sizes: np.ndarray, ids: np.ndarray, end_id: int, base: int) -> bytes:
-    """A shard's file; ``sizes`` are the documents' id counts with the end id."""
+def build(keys: list, sizes: np.ndarray, ids: np.ndarray, end_id: int, base: int) -> bytes:
+    """A shard's file; ``keys`` may hold None, ``sizes`` are the documents' id counts with the end id."""
     symbols, rules = compress(ids, end_id, base)
     lengths = lengths_of(rules, base)
     id_starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.uint32)
@@ -142,15 +184,17 @@ def build(keys: np.ndarray, sizes: np.ndarray, ids: np.ndarray, end_id: int, bas
     ruled = symbols >= base
     width[ruled] = lengths[symbols[ruled] - base]
     symbol_starts = np.searchsorted(np.concatenate([[0], np.cumsum(width)]), id_starts).astype(np.uint32)
+    bits = next(w for w in WIDTHS if base + len(rules) <= 1 << (16 + w))
     return b"".join(
         [
-            HEAD.pack(MAGIC, len(keys), len(rules), len(symbols), len(ids), base),
-            keys.astype("<i8").tobytes(),
+            HEAD.pack(MAGIC, len(keys), len(rules), len(symbols), len(ids), base, bits),
+            np.array([0 if k is None else k for k in keys], "<i8").tobytes(),
+            np.array([k is None for k in keys], np.uint8).tobytes(),
             symbol_starts.astype("<u4").tobytes(),
             id_starts.astype("<u4").tobytes(),
             rules.astype("<u4").tobytes(),
             lengths.astype("<u4").tobytes(),
-            pack(symbols),
+            pack(symbols, bits),
         ]
     )
 
@@ -162,11 +206,13 @@ class Shard:
     source: object
 
     def __post_init__(self):
-        magic, self.documents, self.n_rules, self.n_symbols, self.n_ids, self.base = HEAD.unpack(self._read(0, HEAD.size))
+        magic, self.documents, self.n_rules, self.n_symbols, self.n_ids, self.base, self.bits = HEAD.unpack(self._read(0, HEAD.size))
         if magic != MAGIC:
             raise ValueError("not a file of token ids")
         n, at = self.documents, HEAD.size
-        self.keys = np.frombuffer(self._read(at, 8 * n), "<i8")
+        none = np.frombuffer(self._read(at + 8 * n, n), np.uint8).astype(bool)
+        self.keys = pa.array(np.frombuffer(self._read(at, 8 * n), "<i8"), mask=none)
+        at += n
         self.symbol_starts = np.frombuffer(self._read(at + 8 * n, 4 * n + 4), "<u4")
         self.id_starts = np.frombuffer(self._read(at + 12 * n + 4, 4 * n + 4), "<u4")
         at += 16 * n + 8
@@ -193,10 +239,12 @@ class Shard:
 
     def symbols(self, first: int, stop: int) -> np.ndarray:
         low = np.frombuffer(self._read(self.symbols_at + 2 * first, 2 * (stop - first)), "<u2").astype(np.uint32)
-        a, z = first // 4, -(-stop // 4)
-        high = np.frombuffer(self._read(self.symbols_at + 2 * self.n_symbols + a, z - a), np.uint8)
-        high = (high[:, None] >> np.array([0, 2, 4, 6], np.uint8) & 3).ravel()[first - 4 * a : stop - 4 * a]
-        return low | high.astype(np.uint32) << 16
+        each = 16 // self.bits
+        a, z = first // each, -(-stop // each)
+        high = np.frombuffer(self._read(self.symbols_at + 2 * (self.n_symbols + a), 2 * (z - a)), "<u2").astype(np.uint32)
+        shifts = np.arange(each, dtype=np.uint32) * np.uint32(self.bits)
+        high = (high[:, None] >> shifts & np.uint32((1 << self.bits) - 1)).ravel()[first - each * a : stop - each * a]
+        return low | high << np.uint32(16)
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         flat, starts = self.expansions
@@ -221,29 +269,28 @@ class Shard:
         return self.expand(self.symbols(0, self.n_symbols))
 
 
-def write_shards(docs: DataFrame, uri: str, ranks_file: str, pattern: str, special: dict[str, int], end_id: int, key: str = "doc_id", text: str = "text", shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+def write_shards(docs: DataFrame, uri: str, library_file: str, pattern: str, end_id: int, key: str = "doc_id", text: str = "text", shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Write the shards below ``uri``; returns their manifest in key order.
 
     (``uri``, ``documents``, ``tokens``, ``start``), ``start`` counting all ids of the shards
-    before. Keys are whole numbers; rows with a NULL key get the least one.
+    before. Keys are whole numbers.
     """
-    least = -(1 << 63)
-    rows = texts(docs, key, text).withColumn(key, F.coalesce(F.col(key).cast("long"), F.lit(least)))
-    rows = rows.repartitionByRange(key).sortWithinPartitions(key, text)
+    rows = texts(docs, key, text).select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"), F.xxhash64(text).alias("h"))
+    rows = rows.repartitionByRange("k", "h").sortWithinPartitions("k", "h", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = ByteEncoder(ranks_file, pattern, special)
-        base = max(encode.encoding.max_token_value, end_id) + 1
+        encode = encoder(library_file, pattern)
+        base = max(encode.library.get_vocab_size() - 1, end_id) + 1
         part, held, keys, count, number = TaskContext.get().partitionId(), [], [], 0, 0
 
         def stored() -> pa.RecordBatch:
             sizes = np.array([len(x) for x in held])
-            data = build(np.array(keys, np.int64), sizes, np.concatenate(held), end_id, base)
+            data = build(keys, sizes, np.concatenate(held), end_id, base)
             row = {"part": part, "number": number, "uri": files.write(uri, data, ".ids"), "documents": len(held), "tokens": count}
             return pa.RecordBatch.from_pylist([row])
 
-        for piece in pieces(batches, text):
-            for k, t in zip(piece.column(key).to_pylist(), piece.column(text).to_pylist()):
+        for piece in pieces(batches, "t"):
+            for k, t in zip(piece.column("k").to_pylist(), piece.column("t").to_pylist()):
                 ids = np.append(encode(t), np.uint32(end_id))
                 keys.append(k)
                 held.append(ids)
@@ -281,7 +328,7 @@ def read_shards(manifest: DataFrame, key: str = "doc_id", with_ids: bool = False
                 cuts = shard.id_starts.astype(np.int64)
                 raw = memoryview(ids.tobytes())
                 columns = {
-                    key: pa.array(shard.keys),
+                    key: shard.keys,
                     "start": pa.array(cuts[:-1] + start),
                     "n_tokens": pa.array(np.diff(cuts)),
                     "ids_crc32": pa.array([zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(cuts, cuts[1:])], pa.int64()),
