@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from wearline.operators import serving
+from wearline.operators.control import Marks
 from wearline.operators.quality import CAST_REASON, audit
 from wearline.plans.medallion import Config, Lakehouse
 from wearline.schemas import (
@@ -21,6 +23,7 @@ from wearline.schemas import (
     with_labels,
 )
 from wearline.session import as_ts, scratch
+from wearline.sources import files
 from wearline.sources.files import append_bronze, read_bronze, read_raw, separator_of
 from wearline.sources.tables import VersionedTable
 from wearline.streaming import ingest
@@ -188,6 +191,87 @@ def test_clustered_copy_with_later_changes_is_the_table(lake):
         assert sorted(map(str, copy.collect())) == sorted(map(str, table.collect()))
 
 
+def test_only_the_start_of_a_file_is_read_for_its_header(spark, tmp_path, monkeypatch):
+    taken = []
+    own = files._first_line
+
+    for n in range(5):
+        write_files(tmp_path, f"{n}.csv", *[line(i) for i in range(20_000)], header=HEADER if n else HEADER + ",more", bom=n == 1)
+    folder = write_files(tmp_path, "none.csv")
+    (tmp_path / "landing" / "empty.csv").write_bytes(b"")
+    heads = files.header_lines(spark, folder)
+    assert [h.lstrip("\ufeff") for p, h in heads] == [HEADER + ",more", *[HEADER] * 5]
+    # A task hands out one line and asks for no second batch.
+    batch = pa.RecordBatch.from_pydict({"value": ["h", "1", "2"], "source_file": ["f"] * 3, "start": [0] * 3})
+
+    def batches():
+        for _ in range(3):
+            taken.append(1)
+            yield batch
+
+    assert [b.to_pydict() for b in own(batches())] == [{"source_file": ["f"], "value": ["h"]}] and len(taken) == 1
+    # Files that share a partition are found all the same.
+    small = write_files(tmp_path / "small", "a.csv", line(1))
+    for n in range(6):
+        write_files(tmp_path / "small", f"b{n}.csv", line(n))
+    monkeypatch.setattr(type(spark.conf), "set", lambda *_: None)
+    assert len(files.header_lines(spark, small)) == 7
+
+
+def test_rows_by_header_are_one_plan(spark, tmp_path):
+    names, values = HEADER.split(","), line(7).split(",")
+    wanted = dict(zip(names, values))
+    for n in range(30):
+        order = sorted(names, key=lambda c: hash((n, c)))
+        extra = [f"x{n % 3}"]
+        write_files(tmp_path, f"{n:02}.csv", ",".join([*[wanted[c] for c in order], f'"a,{n}"']), "", "1,2", header=",".join(order + extra), bom=n % 2 == 0)
+    folder = write_files(tmp_path, "99.csv")
+    heads = files.header_lines(spark, folder)
+    rows = files.rows_by_header(spark, heads)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Union" not in plan
+    got = [r for r in rows.collect() if r.rnf is not None and r.udi is not None]
+    assert len(got) == 30 and all(r.asDict()[HEADERS[c]] == v for r in got for c, v in wanted.items())
+    assert sorted(r.x0 or r.x1 or r.x2 for r in got) == sorted(f"a,{n}" for n in range(30))
+    assert rows.count() == 60
+
+
+def test_gold_follows_a_stream_of_commits(spark, tmp_path):
+    house = Lakehouse(spark, Config(scratch(spark, "lake"), stale="recompute", cluster=False))
+    state = str(tmp_path / "checkpoint")
+    house.stream_gold(state, DAY1)
+    assert house.features.last_version() == -1
+    days = {}
+    for n, (day, lines) in enumerate([(DAY1, [line(1), line(2), line(3, wear="201")]), (DAY2, [line(2, torque="60"), line(4, product="P2")])]):
+        house.ingest(write_files(tmp_path / str(n), "a.csv", *lines), day)
+        house.to_silver(day)
+        house.stream_gold(state, day)
+        days = {(r.product_id, str(r.event_date)): r.total_registros for r in house.daily.read().collect()}
+    assert days == {("P1", "2026-04-02"): 2, ("P1", "2026-04-03"): 1, ("P2", "2026-04-03"): 1}
+    versions = lambda: [t.last_version() for t in (house.features, house.daily_state, house.daily, house.predictions)]
+    before = versions()
+    # The batch is not marked as done: it is handed over again.
+    for name in ("1", ".1.crc"):
+        (tmp_path / "checkpoint" / "commits" / name).unlink(missing_ok=True)
+    house.stream_gold(state, DAY2)
+    assert versions() == before == [1, 1, 1, 1] and house.mark("gold_from_silver_cdf") == 1
+    # A run that ended before the mark was moved is done again, and adds nothing twice.
+    house.control = Marks(spark, scratch(spark, "marks"))
+    house.to_gold(DAY2)
+    again = {(r.product_id, str(r.event_date)): r.total_registros for r in house.daily.read().collect()}
+    assert again == days and house.mark("gold_from_silver_cdf") == 1
+    assert {r.udi for r in house.predictions.read().collect()} == {1, 2, 3, 4}
+
+
+def test_a_state_that_fell_behind_takes_up_all_it_missed(spark, tmp_path):
+    house = Lakehouse(spark, Config(scratch(spark, "lake"), stale="recompute", cluster=False))
+    house.run(write_files(tmp_path / "a", "a.csv", line(1), line(2)), DAY1)
+    kept, house.daily_state = house.daily_state, VersionedTable(spark, scratch(spark, "state"), house.daily_state.schema, house.daily_state.keys, null_keys=False)
+    house.run(write_files(tmp_path / "b", "b.csv", line(1, torque="50"), line(2, torque="60")), DAY2)
+    rows = [(str(r.event_date), r.total_registros, r.avg_torque_nm) for r in house.daily.read().collect()]
+    assert rows == [("2026-04-03", 2, 55.0)] and kept.last_version() == 0
+
+
 def test_streamed_text_goes_through_the_gate(spark, tmp_path):
     house = Lakehouse(spark, Config(scratch(spark, "lake"), TEXT_BRONZE, cluster=False))
     landing = write_files(tmp_path, "a.csv", line(1), line(2, torque="n/a"), bom=False)

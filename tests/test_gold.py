@@ -4,11 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from wearline.operators import audit, gold, learn, serving
-from wearline.operators.changes import CHANGE, META, VERSION, log_of_versions
+from wearline.operators.changes import CHANGE, META, VERSION, as_of_version, changes_between, log_of_versions
 from wearline.operators.layout import clustered
 from wearline.operators.upsert import upsert
 from wearline.plans.queries import features, machine_features, prediction_log, rounded
-from wearline.schemas import FAILURES, GROUP_KEYS, MEASURES
+from wearline.schemas import FAILURES, GROUP_KEYS, MEASURES, with_labels
 from wearline.session import as_ts, pin, scratch
 from wearline.sources.driver_tables import line_log, machine_log
 
@@ -43,6 +43,30 @@ def test_incremental_with_moved_groups_equals_recompute(spark, small):
     assert rows_of(upsert(state, fresh, GROUP_KEYS)) == rows_of(gold.daily(after))
 
 
+def test_state_of_signed_changes_is_the_aggregate(spark, small):
+    """Measures missing, rows that move and leave, groups that empty, and nothing left behind."""
+    rows = pin(
+        with_labels(machine_log(spark, small))
+        .withColumn("torque_nm", F.expr("IF(reading % 3 = 0, NULL, torque_nm)"))
+        .withColumn("air_temperature_k", F.expr("IF(event_date = DATE'2024-01-02', NULL, air_temperature_k)"))
+    )
+    state = None
+    for low, high in ((-1, 4), (4, 5), (5, 29)):
+        delta = pin(gold.daily_changes(changes_between(rows, low, high)))
+        if state is None:
+            state = delta
+        else:
+            kept = state.join(delta, GROUP_KEYS, "left_anti")
+            state = pin(kept.unionByName(gold.merged_state(state, delta)))
+        now = as_of_version(rows, ["udi"], high, null_keys=False)
+        assert rows_of(gold.daily_of(state)) == rows_of(gold.daily(now)) != []
+    assert state.filter("n = 0").count() > 0
+    left = state.filter("n = 0").drop(*GROUP_KEYS)
+    assert all(not value for row in left.collect() for value in row)
+    plan = gold.merged_state(state, delta)._jdf.queryExecution().optimizedPlan().toString()
+    assert "udi" not in plan
+
+
 def test_feature_rows_take_the_newest_image(spark):
     base = {"udi": "int", "product_id": "string", "machine_type": "string", "event_date": "date"}
     columns = [*base, "event_hour", *MEASURES, "machine_failure", *FAILURES]

@@ -195,7 +195,7 @@ def test_many_rows_without_a_key_are_spread_over_files(spark):
         rows = spark.range(30_000, numPartitions=4).selectExpr(
             "IF(id % 3 = 0, NULL, CAST(id AS INT)) k", "concat('a', id) a", "CAST(id AS INT) b"
         )
-        table = VersionedTable(spark, scratch(spark, "t"), SCHEMA, ["k"])
+        table = VersionedTable(spark, scratch(spark, "t"), SCHEMA, ["k"], snapshot_rows=0)
         table.commit(rows, as_ts("2024-01-01"))
         table.commit(rows, as_ts("2024-01-02"))
     finally:
@@ -208,7 +208,7 @@ def test_many_rows_without_a_key_are_spread_over_files(spark):
 
 
 def test_snapshots_follow_the_rows_changed(spark):
-    table = VersionedTable(spark, scratch(spark, "t"), SCHEMA, ["k"], snapshot_share=0.2)
+    table = VersionedTable(spark, scratch(spark, "t"), SCHEMA, ["k"], snapshot_share=0.2, snapshot_rows=0)
     table.commit(frame(spark, [(k, "x", 0) for k in range(20)]), as_ts("2024-01-01"))
     for k in range(5):
         table.commit(frame(spark, [(k, "y", 1)]), as_ts("2024-01-02"))

@@ -37,6 +37,8 @@ def arguments() -> argparse.Namespace:
     stream = steps.add_parser("stream", help="drain arrived CSV files into Bronze")
     stream.add_argument("--landing", required=True)
     stream.add_argument("--checkpoint", required=True)
+    follow = steps.add_parser("follow", help="let Gold follow the new Silver commits as a stream")
+    follow.add_argument("--checkpoint", required=True)
     for step in (run, process, stream):
         step.add_argument("--text", action="store_true", help="Bronze keeps values as text")
 
@@ -69,6 +71,8 @@ def main() -> None:
         lake.process()
     elif args.step == "stream":
         lake.ingest_stream(args.landing, args.checkpoint)
+    elif args.step == "follow":
+        lake.stream_gold(args.checkpoint)
     elif args.step == "train":
         lake.train(args.model).show()
     elif args.step == "score":

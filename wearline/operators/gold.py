@@ -12,6 +12,7 @@ from wearline.operators.changes import AFTER, BEFORE, CHANGE, DELETE, INSERT, VE
 from wearline.operators.upsert import latest_per_key
 from wearline.schemas import (
     DAILY,
+    DAILY_STATE,
     FAILURES,
     FEATURES,
     GROUP_KEYS,
@@ -48,6 +49,53 @@ def daily(features: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
+#: Sums are decimals, so that what leaves a group takes away exactly what it had added.
+EXACT = "decimal(28,10)"
+
+
+def daily_changes(feed: DataFrame) -> DataFrame:
+    """What a feed of feature changes adds to the state of each group.
+
+    Old images count against their group and new ones for theirs, so a row that moves is taken
+    from one group and given to the other. The state of a group is the number of its rows, the
+    sum and the number of each measure, and the failure totals; all of them add up.
+    """
+    kinds = {INSERT: 1, AFTER: 1, BEFORE: -1, DELETE: -1}
+    sign = F.lit(0)
+    for kind, value in kinds.items():
+        sign = F.when(F.col(CHANGE) == kind, value).otherwise(sign)
+    rows = feed.withColumn("_sign", sign)
+    own = F.col("_sign")
+    return rows.groupBy(*GROUP_KEYS).agg(
+        F.sum(own).cast("bigint").alias("n"),
+        *[F.sum(F.col(m).cast(EXACT) * own.cast("decimal(1,0)")).cast("decimal(38,10)").alias(f"sum_{m}") for m in MEASURES],
+        *[F.sum(F.when(F.col(m).isNotNull(), own)).cast("bigint").alias(f"n_{m}") for m in MEASURES],
+        *[F.sum(F.col(f"{f}_label") * own).cast("bigint").alias(f"total_{f}") for f in FAILURES],
+    )
+
+
+def merged_state(state: DataFrame, delta: DataFrame) -> DataFrame:
+    """The new state of the groups in ``delta``; a group that is empty has 0 rows.
+
+    Only the states of these groups are read, no feature row. ``delta`` is pinned by the caller.
+    """
+    own = state.join(delta.select(*GROUP_KEYS), GROUP_KEYS, "left_semi").select(*DAILY_STATE.names)
+    both = own.unionByName(conform(delta, DAILY_STATE))
+    sums = [F.sum(F.coalesce(F.col(c), F.lit(0))).cast(DAILY_STATE[c].dataType).alias(c) for c in DAILY_STATE.names if c not in GROUP_KEYS]
+    return both.groupBy(*GROUP_KEYS).agg(*sums)
+
+
+def daily_of(state: DataFrame) -> DataFrame:
+    """The daily aggregates that a state stands for."""
+    mean = lambda m: F.col(f"sum_{m}").cast("double") / F.nullif(F.col(f"n_{m}"), F.lit(0))
+    return state.filter("n > 0").select(
+        *GROUP_KEYS,
+        F.col("n").alias("total_registros"),
+        *[mean(m).alias(f"avg_{m}") for m in MEASURES],
+        *[f"total_{f}" for f in FAILURES],
+    )
+
+
 def affected_groups(feed: DataFrame, stale: str = "keep") -> DataFrame:
     """Distinct groups that a Silver feed touches.
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from wearline.functions.rules import QUALITY_RULES
 from wearline.operators import gold, learn
 from wearline.operators.changes import VERSION, apply_changes, new_images
-from wearline.operators.control import GOLD_FLOW, advance_mark, first_mark, mark_of
+from wearline.operators.control import GOLD_FLOW, Marks, mark_of
 from wearline.operators.layout import clustered
 from wearline.operators.quality import (
     audit_rows,
@@ -22,12 +22,12 @@ from wearline.operators.quality import (
     split_valid,
     with_event_time,
 )
-from wearline.operators.upsert import insert_absent, latest_per_key
+from wearline.operators.upsert import latest_per_key
 from wearline.schemas import (
     AUDIT,
     BRONZE,
-    CONTROL,
     DAILY,
+    DAILY_STATE,
     FEATURES,
     GROUP_KEYS,
     PREDICTION_KEYS,
@@ -48,6 +48,7 @@ from wearline.sources.files import (
 )
 from wearline.sources.tables import VersionedTable
 from wearline.streaming import ingest
+from wearline.streaming.ingest import drain
 
 # Name of the flow that reads Bronze, and the clustering columns per table.
 SILVER_FLOW = "silver_from_bronze"
@@ -103,20 +104,14 @@ class Lakehouse:
         self.features = keyed("features", FEATURES, ["udi"], ["event_date"], null_keys=True)
         self.daily = keyed("daily", DAILY, GROUP_KEYS, ["event_date"])
         self.predictions = keyed("predictions", PREDICTIONS, PREDICTION_KEYS)
-        self.control = keyed("control", CONTROL, ["pipeline_name"])
+        self.daily_state = keyed("daily_state", DAILY_STATE, GROUP_KEYS, ["event_date"])
+        self.control = Marks(spark, f"{root}/control")
 
     # -- marks -----------------------------------------------------------------
 
     def mark(self, name: str) -> int:
         return mark_of(self.control.read(), name).first()[0]
 
-    def advance(self, name: str, processed: DataFrame, run_ts: Column) -> None:
-        """Move a flow's mark; a flow without one is given its first mark before."""
-        first = first_mark(self.spark, name, run_ts)
-        control = insert_absent(self.control.read(), first, ["pipeline_name"], null_keys=False)
-        mine = control.filter(F.col("pipeline_name") == name)
-        self.control.commit(advance_mark(mine, name, processed, run_ts), run_ts)
-
     # -- steps -----------------------------------------------------------------
 
     def ingest(self, source: str, run_ts: Moment = None) -> None:
@@ -157,7 +152,7 @@ class Lakehouse:
         self.quarantine.commit(
             quarantine_rows(rejected, run_ts), run_ts, ["_quarantine_ts"], assume_unique=True
         )
-        self.advance(SILVER_FLOW, done, run_ts)
+        self.control.advance(SILVER_FLOW, done, run_ts)
 
     def check_quality(self, run_ts: Moment = None) -> None:
         audit_rows(self.silver.read(), as_ts(run_ts)).write.mode("append").parquet(self.audits)
@@ -171,34 +166,64 @@ class Lakehouse:
         The range of versions is fixed at the start, so a Silver commit made meanwhile is
         neither half processed nor marked as done.
         """
-        run_ts = as_ts(run_ts)
-        low, high = self.mark(GOLD_FLOW), self.silver.last_version()
+        self._gold_up_to(self.silver.last_version(), as_ts(run_ts))
+
+    def stream_gold(self, checkpoint: str, run_ts: Moment = None) -> None:
+        """Let Gold follow the Silver commits that have come since the last drain, then stop.
+
+        The stream is of finished commits, so a commit that failed half-way is never seen; each
+        micro-batch reads the change folders of its versions only. The mark goes up with the
+        batch, and every table refuses a range that it has committed, so a batch that is
+        replayed, or a step of one that was cut short, changes nothing twice. Batch runs and
+        streams share the mark and may take turns.
+        """
+        if self.silver.last_version() < 0:
+            return
+
+        def follow(batch: DataFrame, _: int) -> None:
+            high = batch.agg(F.max(VERSION)).first()[0]
+            if high is not None:
+                self._gold_up_to(high, as_ts(run_ts))
+
+        drain(self.silver.commits_stream(), checkpoint, follow)
+
+    def _gold_up_to(self, high: int, run_ts: Column) -> None:
+        low = self.mark(GOLD_FLOW)
         if high <= low:
             return
         feed = self.silver.changes(low + 1, high)
-        version = self.features.commit(gold.feature_rows(feed, run_ts), run_ts, assume_unique=True)
-        self._refresh_daily(feed, run_ts)
+        stamp = {"writer": GOLD_FLOW, "batch": high}
+        version = self.features.commit(gold.feature_rows(feed, run_ts), run_ts, assume_unique=True, **stamp)
+        self._refresh_daily(feed, version, run_ts, stamp)
         # The features of the changed machines are the images just committed, so the feature
         # table is not read again to find them. Rows without a machine are not predicted.
         changed = new_images(self.features.changes(version, version)).filter(F.col("udi").isNotNull())
-        self.predictions.commit(gold.rule_predictions(changed, run_ts), run_ts, assume_unique=True)
-        self.advance(GOLD_FLOW, new_images(feed), run_ts)
+        self.predictions.commit(gold.rule_predictions(changed, run_ts), run_ts, assume_unique=True, **stamp)
+        self.control.advance(GOLD_FLOW, self.spark.range(1).select(F.lit(high).cast("bigint").alias(VERSION)), run_ts)
 
-    def _refresh_daily(self, feed: DataFrame, run_ts: Column) -> None:
-        groups = pin(
-            gold.affected_groups(feed, self.config.stale), path=f"{self.root}/work/groups"
-        )
-        # One row per day reaches the driver, whatever the number of groups.
-        days = [row[0] for row in groups.select("event_date").distinct().collect()]
-        if not days:
-            return
-        touched = self.features.read().filter(F.col("event_date").isin(days))
-        refreshed = gold.refresh_groups(touched, groups)
-        gone = None
-        if self.config.stale == "recompute":
-            refreshed = pin(refreshed, path=f"{self.root}/work/refreshed")
-            gone = gold.emptied_groups(groups, refreshed)
-        self.daily.commit(gold.daily_rows(refreshed, run_ts), run_ts, assume_unique=True, gone=gone)
+    def _refresh_daily(self, feed: DataFrame, version: int, run_ts: Column, stamp: dict) -> None:
+        """Daily aggregates of the affected groups, from the groups' state.
+
+        The state takes up the feature changes of the versions it has not seen, so it is made from
+        the whole log where there is none yet, and no feature row is read again after that.
+        """
+        seen = self.daily_state.last_batch(GOLD_FLOW)
+        if version > seen:
+            delta = pin(gold.daily_changes(self.features.changes(seen + 1, version)), path=f"{self.root}/work/delta")
+            merged = pin(gold.merged_state(self.daily_state.read(), delta), path=f"{self.root}/work/merged")
+            self.daily_state.commit(
+                merged.filter("n > 0"),
+                run_ts,
+                assume_unique=True,
+                gone=merged.filter("n = 0"),
+                writer=GOLD_FLOW,
+                batch=version,
+            )
+        groups = pin(gold.affected_groups(feed, self.config.stale), path=f"{self.root}/work/groups")
+        state = self.daily_state.read().join(groups, GROUP_KEYS, "left_semi")
+        refreshed = pin(gold.daily_of(state), path=f"{self.root}/work/refreshed")
+        gone = gold.emptied_groups(groups, refreshed) if self.config.stale == "recompute" else None
+        self.daily.commit(gold.daily_rows(refreshed, run_ts), run_ts, assume_unique=True, gone=gone, **stamp)
 
     def train(self, model_path: str, **settings) -> DataFrame:
         """Fit the five models on the feature table, save them, and return F1 per label."""
@@ -217,8 +242,9 @@ class Lakehouse:
 
     def register_views(self, prefix: str = "") -> list[str]:
         """Temporary views for SQL: each table, and ``<table>_changes`` for its feed."""
-        tables = ["silver", "quarantine", "features", "daily", "predictions", "control"]
-        names = []
+        tables = ["silver", "quarantine", "features", "daily", "predictions"]
+        self.control.read().createOrReplaceTempView(f"{prefix}control")
+        names = [f"{prefix}control"]
         for name in tables:
             table: VersionedTable = getattr(self, name)
             for view, rows in ((name, table.read()), (f"{name}_changes", table.changes())):

@@ -244,6 +244,8 @@ _DATED = {
         "q_affected_groups",
         "q_daily_incremental",
         "q_daily_recompute_moved",
+        "q_daily_state",
+        "q_stream_gold",
         "q_changed_machines",
         "q_latest_per_key",
         "q_upsert_1key",
@@ -305,6 +307,7 @@ _RESULTS = {
     "q_affected_groups": f"WITH {_MLOG} {_GROUPS}",
     "q_daily_incremental": _refreshed(_IMAGES),
     "q_daily_recompute_moved": f"WITH {_FEAT} SELECT {DAILY} FROM late {BY_GROUP}",
+    "q_daily_state": f"WITH {_FEAT} SELECT {DAILY} FROM late {BY_GROUP}",
     "q_changed_machines": f"WITH {_MLOG} SELECT reading, {FEATURES} FROM machines WHERE udi IN "
     f"(SELECT udi FROM log WHERE _commit_version > (SELECT MAX(_commit_version) FROM log) - 2 AND {_IMAGES})",
     "q_changed_order_lines": "SELECT l_returnflag, COUNT(*) AS n_lines, ROUND(SUM(l_quantity), 2) AS "
@@ -462,6 +465,8 @@ _RESULTS = {
     + ") a) SELECT runs.*, q.quarantined FROM runs, q",
 }
 
+_RESULTS["q_stream_gold"] = _RESULTS["q_flow_daily"]
+
 # Engines hand dates to a comparison in different forms, so they are compared as text.
 ORACLES = _RESULTS | {
     name: _dates_as_text(_RESULTS[name], column) for column, names in _DATED.items() for name in names

@@ -347,6 +347,18 @@ def daily_recompute_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _refreshed(spark, sf_dir, "recompute")
 
 
+def daily_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily table from a state that took up the early versions, then the late ones as signed
+    changes; rows move between groups with every version."""
+    log = pin(with_labels(machine_log(spark, sf_dir)), "log")
+    early_rows, late_rows = changes.changes_between(log, -1, HALF - 1), changes.changes(log, HALF)
+    state = pin(gold.daily_changes(early_rows), "state")
+    delta = pin(gold.daily_changes(late_rows), "delta")
+    merged = gold.merged_state(state, delta)
+    kept = state.join(delta, GROUP_KEYS, "left_anti")
+    return rounded(gold.daily_of(kept.unionByName(merged)))
+
+
 def changed_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = machine_log(spark, sf_dir)
     last = machine_versions(spark, sf_dir).agg(F.max("batch_no")).scalar()
@@ -769,7 +781,9 @@ def _flow(
     spark: SparkSession, sf_dir: str, stale: str = "keep", cluster: bool = False
 ) -> Lakehouse:
     """Two runs over the readings by machine: the early ones, then the late ones."""
-    lake = Lakehouse(spark, Config(scratch(spark, "lake"), stale=stale, cluster=cluster))
+    # Clustered copies are made of snapshots, so these are made at once.
+    every = 1 if cluster else 64
+    lake = Lakehouse(spark, Config(scratch(spark, "lake"), stale=stale, cluster=cluster, snapshot_every=every))
     rows = by_machine(sensors(spark, sf_dir))
     for portion, day in ((early(rows), DAY1), (late(rows), DAY2)):
         landing = scratch(spark, "landing")
@@ -782,6 +796,21 @@ def flow_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_flow(spark, sf_dir).daily.read()).drop("_gold_agg_loaded_ts")
 
 
+def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily table behind a stream of Silver commits: two drains of one checkpoint, each after a
+    Silver commit, and a third from the first commit on, which finds nothing left to do."""
+    lake = Lakehouse(spark, Config(scratch(spark, "lake"), cluster=False))
+    rows, state = by_machine(sensors(spark, sf_dir)), scratch(spark, "checkpoint")
+    for portion, day in ((early(rows), DAY1), (late(rows), DAY2)):
+        landing = scratch(spark, "landing")
+        land_csv(portion, landing)
+        lake.ingest(landing, as_ts(day))
+        lake.to_silver(as_ts(day))
+        lake.stream_gold(state, as_ts(day))
+    lake.stream_gold(scratch(spark, "checkpoint"), as_ts(DAY2))
+    return rounded(lake.daily.read()).drop("_gold_agg_loaded_ts")
+
+
 def flow_daily_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_flow(spark, sf_dir, "recompute").daily.read()).drop("_gold_agg_loaded_ts")
 
@@ -832,6 +861,7 @@ QUERIES = {
     "q_affected_groups": affected_groups,
     "q_daily_incremental": daily_incremental,
     "q_daily_recompute_moved": daily_recompute_moved,
+    "q_daily_state": daily_state,
     "q_changed_machines": changed_machines,
     "q_changed_order_lines": changed_order_lines,
     "q_health": health,
@@ -886,6 +916,7 @@ QUERIES = {
     "q_layout_skips_files": layout_skips_files,
     "q_flow_daily": flow_daily,
     "q_flow_daily_moved": flow_daily_moved,
+    "q_stream_gold": stream_gold,
     "q_flow_audit": flow_audit,
     "q_flow_clustered": flow_clustered,
     "q_flow_quality": flow_quality,

@@ -94,6 +94,16 @@ DAILY = _schema(
     *[(f"total_{f}", LONG) for f in FAILURES],
     ("_gold_agg_loaded_ts", TS),
 )
+# What daily aggregates are made from: all of it adds up over changes.
+DAILY_STATE = _schema(
+    ("product_id", STRING),
+    ("machine_type", STRING),
+    ("event_date", DATE),
+    ("n", LONG),
+    *[(f"sum_{m}", T.DecimalType(38, 10)) for m in MEASURES],
+    *[(f"n_{m}", LONG) for m in MEASURES],
+    *[(f"total_{f}", LONG) for f in FAILURES],
+)
 PREDICTION_KEYS = ["udi", "model_name", "model_version"]
 PREDICTIONS = _schema(
     ("udi", INT),

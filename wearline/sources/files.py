@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,34 +30,78 @@ def with_arrival(df: DataFrame, run_ts: Column) -> DataFrame:
     )
 
 
-def header_lines(lines: DataFrame) -> DataFrame:
-    """(``source_file``, ``header``): the first line of every file of a text scan.
+def header_lines(spark: SparkSession, paths: str | list[str]) -> list[tuple[str, str]]:
+    """(file, first line) of every file that has one, reading no more than the start of each.
 
-    ``lines`` holds ``value``, the file's path and the start of the split a line is from; only
-    the splits at a file's start count, in which a task sees the lines in their order.
+    Every file begins a partition of its own, and a task stops after its first lines, so the
+    reader never gets to the rest of a file. Files that lie together in a partition all the same
+    are read again on their own. The driver gets a row per file: callers hand over one file, or
+    as many as a micro-batch has at most.
     """
-    first = lines.filter("block_start = 0").withColumn("n", F.monotonically_increasing_id())
-    return first.groupBy("source_file").agg(F.min_by("value", "n").alias("header"))
-
-
-def text_lines(reader) -> DataFrame:
-    """A text scan (batch or stream) as ``header_lines`` takes it."""
-    return reader.select(
-        "value",
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-    )
+    apart = spark.newSession()
+    apart.conf.set("spark.sql.files.openCostInBytes", apart.conf.get("spark.sql.files.maxPartitionBytes"))
+    apart.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
+    left = {row[0] for row in spark.read.format("binaryFile").load(paths).select("_metadata.file_path").collect()}
+    found: dict[str, str] = {}
+    while left:
+        lines = apart.read.text(sorted(left)).select(
+            "value", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("start")
+        )
+        heads = lines.mapInArrow(_first_line, "source_file string, value string").collect()
+        if not heads:
+            # The rest has no line at all.
+            break
+        found |= {row.source_file: row.value for row in heads}
+        left -= found.keys()
+    return sorted(found.items())
+
+
+def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows and batch.column("start")[0].as_py() == 0:
+            yield batch.slice(0, 1).select(["source_file", "value"])
+        if batch.num_rows:
+            return
 
 
 def separator_of(spark: SparkSession, path: str) -> str:
     """The separator that splits the first line of all files into the raw header."""
-    heads = header_lines(text_lines(spark.read.text(path))).select("header").distinct().collect()
-    found = {_separator(row.header, path) for row in heads}
+    found = {_separator(header, path) for _, header in header_lines(spark, path)}
     if len(found) != 1:
         raise ValueError(f"cannot read {path}: its files have {len(found)} different separators")
     return found.pop()
 
 
+def rows_by_header(spark: SparkSession, headers: list[tuple[str, str]], sep: str = ",") -> DataFrame:
+    """Rows of CSV files, all as text, their columns found by each file's own header.
+
+    One scan and one plan for all files: the lines are split once, and the header of a line's file,
+    a broadcast map of names to places, says which part is which column. The plan grows with the
+    number of different columns only. Lines equal to their file's header are headers too.
+    """
+    names: dict[str, None] = {}
+    rows, width = [], 1
+    for path, header in headers:
+        line = header.lstrip("\ufeff").rstrip("\r")
+        own = [HEADERS.get(n.strip(), n.strip()) for n in next(csv.reader([line], delimiter=sep), [])]
+        if len(set(own)) < len(own) or not set(own) & set(HEADERS.values()):
+            raise ValueError(f"cannot read {path}: its header is {line!r}")
+        names |= dict.fromkeys(own)
+        width = max(width, len(own))
+        rows.append((path, header, {n: i for i, n in enumerate(own)}))
+    table = spark.createDataFrame(rows, "source_file string, header string, places map<string,int>")
+    lines = spark.read.text([path for path, _ in headers]).select("value", F.col("_metadata.file_path").alias("source_file"))
+    parts = ", ".join(f"c{i} string" for i in range(width))
+    split = F.from_csv(F.rtrim(F.col("value"), F.lit("\r")), parts, {"sep": sep})
+    known = lines.join(F.broadcast(table), "source_file").filter((F.col("value") != F.col("header")) & (F.trim("value") != ""))
+    fields = known.withColumn("fields", split).select(
+        "source_file", "places", F.array(*[F.col("fields")[f"c{i}"] for i in range(width)]).alias("fields")
+    )
+    # A column that a file lacks has no place, and a place beyond the line no value.
+    value = lambda n: F.get("fields", F.col("places")[n])
+    return fields.select(*[value(n).alias(n) for n in names], "source_file")
+
+
 def _separator(line: str | None, path: str) -> str:
     header = (line or "").lstrip("\ufeff").rstrip("\r")
     tried = []

@@ -25,6 +25,7 @@ from wearline.operators.changes import (
     apply_changes,
     change_rows,
     deletions,
+    new_images,
 )
 from wearline.schemas import conform
 from wearline.session import Moment, as_ts, no_rows, pin
@@ -48,7 +49,8 @@ class VersionedTable:
 
     ``null_keys=False`` promises that no row lacks a key. A snapshot is written once the
     changes since the last one reach ``snapshot_share`` of the table's rows, so rewriting the
-    table costs a fixed multiple of the rows changed, or after ``snapshot_every`` commits.
+    table costs a fixed multiple of the rows changed, but not before there are ``snapshot_rows``
+    of them; or after ``snapshot_every`` commits.
     """
 
     def __init__(
@@ -59,12 +61,14 @@ class VersionedTable:
         keys: Sequence[str],
         snapshot_every: int = 64,
         snapshot_share: float = 0.2,
+        snapshot_rows: int = 1_000_000,
         partition_by: Sequence[str] = (),
         null_keys: bool = True,
     ) -> None:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.keys = list(keys)
         self.snapshot_every, self.snapshot_share = snapshot_every, snapshot_share
+        self.snapshot_rows = snapshot_rows
         self.partition_by, self.null_keys = list(partition_by), null_keys
         self._log_schema = T.StructType(
             [
@@ -132,8 +136,11 @@ class VersionedTable:
         return self._read(base, last if version is None else version)
 
     def _read(self, base: int, version: int) -> DataFrame:
+        if version < 0:
+            return no_rows(self.spark, self.schema)
         if base < 0:
-            state = no_rows(self.spark, self.schema)
+            # The first commit holds inserts only, each key once.
+            base, state = 0, new_images(self._changes(0, 0)).select(*self.schema.names)
         else:
             state = self._read_state(base)
         if base == version:
@@ -169,12 +176,15 @@ class VersionedTable:
         """Upsert ``source`` and delete the keys in ``gone``; returns the new version.
 
         ``writer`` and ``batch`` name a stream's micro-batch: one that was committed
-        before is left out, so a replayed batch changes nothing.
+        before is left out, so a replayed batch changes nothing and gives its version again.
         """
-        if writer is not None and self._has_batch(writer, batch):
-            return self.last_version()
-        ts = self._not_before_last(as_ts(ts))
-        last, base = self._heads()
+        now = self._standing(writer, batch)
+        if now["again"] is not None:
+            return now["again"]
+        # Commit times never fall: an older one is lifted to that of the last commit, so that every
+        # version can be found by a time.
+        ts = as_ts(ts) if now["newest"] is None else F.greatest(as_ts(ts), F.lit(now["newest"]))
+        last, base = now["last"], now["base"]
         version = last + 1
         before, incoming = self._read(base, last), conform(source, self.schema)
         near = before
@@ -209,7 +219,7 @@ class VersionedTable:
             .parquet(f"{self.path}/changes/{VERSION}={version}")
         )
         n = counts.get
-        snapshot = self._snapshot_is_due(version, base, n)
+        snapshot = self._snapshot_is_due(version, now, n)
         if snapshot:
             self._snapshot(before, version)
         row = self.spark.range(1).select(
@@ -225,12 +235,6 @@ class VersionedTable:
         row.write.mode("append").parquet(f"{self.path}/commits")
         return version
 
-    def _not_before_last(self, ts: Column) -> Column:
-        """Commit times never fall: an older one is lifted to that of the last commit, so that
-        every version can be found by a time."""
-        newest = self.history().agg(F.max(COMMIT_TS)).first()[0]
-        return ts if newest is None else F.greatest(ts, F.lit(newest))
-
     def _stage(self, source: DataFrame) -> DataFrame:
         """Source rows written once: read several times below, and of known size to the
         planner, which broadcasts them when they are few."""
@@ -250,17 +254,28 @@ class VersionedTable:
             test = test & F.col(c).between(F.lit(ends[2 * n]), F.lit(ends[2 * n + 1]))
         return test
 
-    def _snapshot_is_due(self, version: int, base: int, counts: dict[str, int]) -> bool:
-        if version - base >= self.snapshot_every:
-            return True
-        since = F.when(F.col(VERSION) > base, F.col("rows_inserted") + F.col("rows_updated"))
-        row = self.history().agg(
-            F.coalesce(F.sum(since), F.lit(0)),
-            F.coalesce(F.sum(F.col("rows_inserted") - F.col("rows_deleted")), F.lit(0)),
+    def _standing(self, writer: str | None, batch: int | None) -> dict:
+        """What a commit has to know of those before it, from one look at the history."""
+        history = self.history()
+        base = history.agg(F.max(F.when(F.col("has_state"), F.col(VERSION)))).scalar()
+        since = F.when(F.col(VERSION) > F.coalesce(base, F.lit(-1)), F.col("rows_inserted") + F.col("rows_updated"))
+        mine = (F.col("writer") == F.lit(writer)) & (F.col("batch") == F.lit(batch))
+        row = history.agg(
+            F.coalesce(F.max(VERSION), F.lit(-1)).alias("last"),
+            F.coalesce(F.max(F.when(F.col("has_state"), F.col(VERSION))), F.lit(-1)).alias("base"),
+            F.max(COMMIT_TS).alias("newest"),
+            F.coalesce(F.sum(since), F.lit(0)).alias("changed"),
+            F.coalesce(F.sum(F.col("rows_inserted") - F.col("rows_deleted")), F.lit(0)).alias("held"),
+            F.max(F.when(mine, F.col(VERSION))).alias("again"),
         ).first()
-        changed = row[0] + counts["inserted"] + counts["updated"]
-        held = row[1] + counts["inserted"] - counts["deleted"]
-        return changed > self.snapshot_share * held
+        return row.asDict()
+
+    def _snapshot_is_due(self, version: int, now: dict, counts: dict[str, int]) -> bool:
+        if version - now["base"] >= self.snapshot_every:
+            return True
+        changed = now["changed"] + counts["inserted"] + counts["updated"]
+        held = now["held"] + counts["inserted"] - counts["deleted"]
+        return changed >= self.snapshot_rows and changed > self.snapshot_share * held
 
     def _snapshot(self, before: DataFrame, version: int) -> None:
         """Write the state after ``version``, sorted by key.
@@ -277,6 +292,11 @@ class VersionedTable:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(f"{self.path}/state/version={version}")
 
-    def _has_batch(self, writer: str, batch: int | None) -> bool:
-        seen = self.history().filter((F.col("writer") == writer) & (F.col("batch") == batch))
-        return not seen.isEmpty()
+    def last_batch(self, writer: str) -> int:
+        """The highest batch that ``writer`` has committed, -1 for none."""
+        mine = self.history().filter(F.col("writer") == writer)
+        return mine.agg(F.coalesce(F.max("batch"), F.lit(-1))).first()[0]
+
+    def commits_stream(self) -> DataFrame:
+        """The table's finished commits as a stream, a row each."""
+        return self.spark.readStream.schema(COMMITS).parquet(f"{self.path}/commits")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 import json
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
@@ -14,12 +13,12 @@ from pyspark.sql import types as T
 
 from wearline.operators.quality import quarantine_rows, silver_rows, split_valid
 from wearline.operators.upsert import latest_per_key
-from wearline.schemas import HEADERS, RAW, SILVER_INPUT, snake_case
+from wearline.schemas import RAW, SILVER_INPUT
 from wearline.session import no_rows, pin
 from wearline.sources.files import (
     append_bronze,
     header_lines,
-    text_lines,
+    rows_by_header,
     text_schema,
     with_arrival,
 )
@@ -56,15 +55,19 @@ def stored_schema(
     return grown
 
 
-def stream_files(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
-    """Stream of the CSV files that arrive in ``landing``, as lines with their file.
+# The columns of Spark's source of whole files. Only the names are read.
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+#: Files of a micro-batch at most, so that the driver never gets more headers than that.
+FILES_PER_BATCH = 1_000
+
+
+def stream_files(spark: SparkSession, landing: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """Stream of the CSV files that arrive in ``landing``: their names, not their contents.
 
     A micro-batch is turned into rows by ``rows_of``, which reads each file by its own header.
     """
-    reader = spark.readStream
-    if files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return text_lines(reader.text(landing))
+    reader = spark.readStream.format("binaryFile").schema(_FILES).option("maxFilesPerTrigger", files_per_batch)
+    return reader.load(landing).select(F.col("_metadata.file_path").alias("source_file"))
 
 
 def rows_of(batch: DataFrame, sep: str = ",") -> DataFrame:
@@ -72,23 +75,14 @@ def rows_of(batch: DataFrame, sep: str = ",") -> DataFrame:
 
     Files may have their columns in any order, lack some (read as NULL, so that the gate
     refuses the rows) or have more (kept). A header that repeats a column or knows none is an
-    error: such a file cannot be told from one without a header. Files with equal headers are
-    read together; the driver gets one row per new file.
+    error: such a file cannot be told from one without a header. The headers are read from the
+    files' starts, then all lines in one scan.
     """
     spark = batch.sparkSession
-    groups: dict[str, list[str]] = {}
-    for row in header_lines(batch).collect():
-        groups.setdefault(row.header.lstrip("\ufeff").rstrip("\r"), []).append(row.source_file)
-    found = None
-    for header, paths in groups.items():
-        names = [n.strip() for n in next(csv.reader([header], delimiter=sep))]
-        if len({HEADERS.get(n, n) for n in names}) < len(names) or not set(names) & set(HEADERS):
-            raise ValueError(f"cannot read {paths[0]}: its header is {header!r}")
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        rows = spark.read.schema(schema).options(header=True, sep=sep, enforceSchema=True).csv(sorted(paths))
-        rows = snake_case(rows.withColumn("source_file", F.col("_metadata.file_path")))
-        found = rows if found is None else found.unionByName(rows, allowMissingColumns=True)
-    if found is None:
+    paths = [row.source_file for row in batch.collect()]
+    if paths:
+        found = rows_by_header(spark, header_lines(spark, paths), sep)
+    else:
         found = no_rows(spark, T.StructType([*TEXT_RAW.fields, T.StructField("source_file", T.StringType())]))
     lacking = [n for n in TEXT_RAW.names if n not in found.columns]
     return found.withColumns({n: F.lit(None).cast("string") for n in lacking})
@@ -116,7 +110,7 @@ def drain_to_bronze(
             stored_schema(batch.sparkSession, kept, [c for c in rows.columns if c not in known])
         append_bronze(rows if prepare is None else prepare(rows), path, f"stream:{checkpoint}", number)
 
-    _drain(stream, checkpoint, land)
+    drain(stream, checkpoint, land)
 
 
 def drain_to_table(
@@ -141,10 +135,11 @@ def drain_to_table(
             refused = quarantine_rows(split_valid(rows)[1], ts)
             quarantine.commit(refused, ts, ["_quarantine_ts"], assume_unique=True, writer=writer, batch=number)
 
-    _drain(stream, checkpoint, merge)
+    drain(stream, checkpoint, merge)
 
 
-def _drain(stream: DataFrame, checkpoint: str, take: Callable[[DataFrame, int], None]) -> None:
+def drain(stream: DataFrame, checkpoint: str, take: Callable[[DataFrame, int], None]) -> None:
+    """Hand everything that has arrived to ``take`` in micro-batches, then stop."""
     (
         stream.writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(take)
