@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from wearline.operators import audit, gold, learn, serving
 from wearline.operators.changes import CHANGE, META, VERSION, as_of_version, changes_between, log_of_versions
-from wearline.operators.layout import clustered
+from wearline.operators.layout import clustered, gridded
 from wearline.operators.upsert import upsert
 from wearline.plans.queries import features, machine_features, prediction_log, rounded
 from wearline.schemas import FAILURES, GROUP_KEYS, MEASURES, with_labels
@@ -132,6 +134,39 @@ def test_every_row_is_in_one_part_of_a_split(spark):
     assert test.filter("s IS NULL").count() > 0 and test.filter("s = 9").count() == 0
 
 
+def test_grid_skips_by_either_column_and_fills_files(spark):
+    rows = spark.range(60_000, numPartitions=6).selectExpr(
+        "IF(id % 3 = 0, 7, id * 7919 % 1000) a", "IF(id % 11 = 0, NULL, concat('k', id * 104729 % 997)) b", "id"
+    )
+    path = scratch(spark, "grid")
+    gridded(rows, ["a", "b"], files=25).write.parquet(path)
+    back = spark.read.parquet(path)
+    assert back.agg(F.sum("id"), F.count("*")).first()[:] == (60_000 * 59_999 // 2, 60_000)
+    files = back.groupBy(F.input_file_name()).agg(
+        F.min("a").alias("la"), F.max("a").alias("ha"), F.min("b").alias("lb"), F.max("b").alias("hb"), F.count("*").alias("n")
+    ).collect()
+    assert 15 <= len(files) <= 35 and max(f.n for f in files) < 2.5 * 60_000 / 25
+    assert sum(f.la <= 500 <= f.ha for f in files) <= len(files) / 3
+    assert sum(f.lb is not None and f.lb <= "k500" <= f.hb for f in files) <= len(files) / 3
+
+
+@pytest.mark.parametrize("rows", [0, 1, 5])
+def test_grid_of_few_rows(spark, rows):
+    few = spark.range(rows).selectExpr("CAST(NULL AS STRING) a", "id b", "id")
+    assert sorted(r.id for r in gridded(few, ["a", "b"]).collect()) == list(range(rows))
+    assert gridded(few, ["a", "b"], files=9).count() == rows
+
+
+def test_heat_is_scanned_once_for_bounds_and_bins(spark, feats):
+    found = serving.binned(serving.heat(feats))
+    assert found.count() and found.collect()
+    plan = found._jdf.queryExecution().executedPlan()
+    found._jdf.collectToPython()
+    text = plan.toString()
+    final = text[text.index("Final Plan") : text.index("Initial Plan")] if "Initial Plan" in text else text
+    assert final.count("FileScan") - final.count("ReusedExchange") <= 1
+
+
 def test_clustered_splits_a_hot_value(spark):
     hot = spark.range(40_000, numPartitions=4).selectExpr(
         "IF(id % 3 = 0, 'P7', concat('P', id)) product_id", "DATE'2024-01-01' event_date", "id"
@@ -198,6 +233,32 @@ def test_reports_come_in_their_order(spark, small):
     assert times == sorted(times, reverse=True) and len(set(times)) > 5
 
 
+@pytest.mark.parametrize("seconds", [7, 1000, 86_400])
+def test_current_predictions_of_a_hot_machine(spark, seconds):
+    """Against brute force: one machine with most commits, some without a machine, several models."""
+    draw = random.Random(seconds)
+    machine = lambda: draw.choice([(1, "P")] * 6 + [(2, "P"), (3, "Q"), (None, "P"), (4, None)])
+    silver = [(*machine(), v, 3 * v + draw.choice([0, 1])) for v in range(150)]
+    made = [(*machine(), v, draw.randint(0, 500), f"m{draw.randint(0, 2)}") for v in range(90)]
+    taken, unique = set(), []
+    for r in made:
+        if (r[0], r[1], r[3], r[4]) not in taken:
+            taken.add((r[0], r[1], r[3], r[4]))
+            unique.append(r)
+    meta = ["'insert' _change_type", "v _commit_version", "timestamp_seconds(s) _commit_timestamp"]
+    left = spark.createDataFrame(silver, "udi int, product_id string, v long, s long").selectExpr("udi", "product_id", *[f"0D {m}" for m in MEASURES], *meta)
+    right = spark.createDataFrame(unique, "udi int, product_id string, v long, s long, model_name string")
+    right = right.selectExpr("udi", "product_id", *[f"0 {c}" for c in audit.PREDICTED], "model_name", "'v' model_version", *meta)
+    want = []
+    for udi, product, v, s in silver:
+        whole = udi is not None and product is not None
+        after = min((x[3] for x in silver if x[:2] == (udi, product) and x[3] > s), default=None)
+        near = [(g[3], g[4], g[2]) for g in unique if g[:2] == (udi, product) and g[3] >= s and (after is None or g[3] < after)]
+        want.append((v, min(near)[2] if near and whole else None))
+    got = audit.current_predictions(left, right, seconds=seconds).collect()
+    assert sorted((r.silver_version, r.gold_version) for r in got) == sorted(want)
+
+
 def test_current_prediction_of_each_image(spark):
     measures = [f"0D {m}" for m in MEASURES]
     silver = spark.range(3).selectExpr(

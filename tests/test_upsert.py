@@ -16,7 +16,7 @@ from wearline.operators.upsert import (
     upsert,
 )
 from wearline.session import as_ts, scratch
-from wearline.sources.tables import VersionedTable
+from wearline.sources.tables import VersionedTable, bucketed
 
 SCHEMA = T.StructType(
     [
@@ -215,3 +215,34 @@ def test_snapshots_follow_the_rows_changed(spark):
     states = {r[C.VERSION] for r in table.history().filter("has_state").collect()}
     assert states == {0, 5}
     assert table.read().filter("b = 1").count() == 5
+
+
+def test_state_of_versions_is_one_exchange_and_the_as_of_read(spark):
+    rows = spark.range(3000).selectExpr(
+        "IF(id % 50 = 0, NULL, CAST(id % 40 AS INT)) k", "concat('a', id % 7) a", "CAST(id % 5 AS INT) b", "CAST(id % 9 AS INT) v"
+    )
+    for version in (0, 4, 8):
+        whole = rows.filter("k IS NOT NULL")
+        log = C.log_of_versions(latest_per_key(whole, ["k", "v"], ["b"]), ["k"], "v", as_ts("2024-01-01"))
+        want = C.as_of_version(log, ["k"], version)
+        got = C.state_of_versions(whole, ["k"], "v", version, ["b"], null_keys=False)
+        assert sort_rows(got.collect()) == sort_rows(want.collect()) != []
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Window" not in plan and "Generate" not in plan
+    nameless = C.state_of_versions(rows, ["k"], "v", 8, ["b"]).filter("k IS NULL").count()
+    assert nameless == rows.filter("k IS NULL").count()
+
+
+def test_a_bucketed_target_is_not_moved(spark):
+    many = spark.range(20_000).selectExpr("CAST(id AS INT) k", "'a' a", "CAST(id AS INT) b")
+    target = bucketed(many, scratch(spark, "b"), ["k"], 8)
+    source = many.filter("k % 2 = 0").selectExpr("k", "'z' a", "b").unionByName(many.selectExpr("k + 50000 AS k", "a", "b"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = upsert(target, source, ["k"], assume_unique=True, null_keys=False)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert merged.count() == 40_000 and merged.filter("a = 'z'").count() == 10_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # One exchange, that of the source's keys.
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan

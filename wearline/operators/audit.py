@@ -96,45 +96,77 @@ def audit_pairs(
     )
 
 
+#: Seconds of a time slice: a machine's commits within one meet in one task.
+SLICE = 86_400
+
+
 def current_predictions(
-    silver_log: DataFrame, prediction_log: DataFrame, silver_start: int = 0, gold_start: int = 0
+    silver_log: DataFrame,
+    prediction_log: DataFrame,
+    silver_start: int = 0,
+    gold_start: int = 0,
+    seconds: float = SLICE,
 ) -> DataFrame:
     """Each new Silver image with the prediction that was current for it: the first one
     committed at its time or later, before the machine's next image. NULL where none was.
 
-    One row per Silver image, whatever the number of commits; both feeds are brought together
-    by one shuffle on the machine. Of predictions by several models at one time the first by
-    name counts.
+    One row per Silver image, whatever the number of commits. Both feeds are merged by machine and
+    time slice, so a machine with very many commits is spread over its slices; what an image does not
+    find in its own slice is carried on from the first image and prediction of the slices behind
+    it, one row each. Images without a machine match nothing and are not shuffled. Of predictions by
+    several models at one time the first by name counts.
     """
+    machine = ["udi", "product_id"]
     kinds = {"silver": MEASURES, "gold": [*PREDICTED, "model_name", "model_version"]}
     logs = {"silver": (silver_log, silver_start), "gold": (prediction_log, gold_start)}
     sides = [
         new_images(changes(*logs[kind])).select(
-            "udi",
-            "product_id",
+            *machine,
             F.col(COMMIT_TS).alias("at"),
             F.lit(order).alias("side"),
             F.struct(F.col(VERSION).alias("version"), F.col(COMMIT_TS).alias("ts"), *columns).alias(kind),
         )
         for order, (kind, columns) in enumerate(kinds.items())
     ]
-    events = sides[0].unionByName(sides[1], allowMissingColumns=True)
-    machine = Window.partitionBy("udi", "product_id").orderBy("at", "side", "gold.model_name", "gold.model_version")
-    later = machine.rowsBetween(1, Window.unboundedFollowing)
+    nameless = sides[0].filter("udi IS NULL OR product_id IS NULL").withColumn("_gold", F.lit(None).cast(sides[1].schema["gold"].dataType))
+    slice_of = F.floor(F.unix_micros(F.col("at").cast("timestamp")) / F.lit(seconds * 1_000_000))
+    events = sides[0].unionByName(sides[1], allowMissingColumns=True).filter("udi IS NOT NULL AND product_id IS NOT NULL")
+    events = events.withColumn("slice", slice_of)
+    order = ["at", "side", "gold.model_name", "gold.model_version"]
+    later = Window.partitionBy(*machine, "slice").orderBy(*order).rowsBetween(1, Window.unboundedFollowing)
     found = events.withColumns(
         {
             "_gold": F.first("gold", ignorenulls=True).over(later),
             "_next": F.first("silver.ts", ignorenulls=True).over(later),
         }
     ).filter("side = 0")
+    # The first of each kind in every slice, then in all slices behind it.
+    firsts = events.groupBy(*machine, "slice").agg(
+        F.min(F.when(F.col("side") == 1, F.struct("at", "gold.model_name", "gold.model_version", "gold"))).alias("_g"),
+        F.min(F.when(F.col("side") == 0, F.col("at"))).alias("_s"),
+    )
+    behind = Window.partitionBy(*machine).orderBy("slice").rowsBetween(1, Window.unboundedFollowing)
+    carried = firsts.select(
+        *machine,
+        "slice",
+        F.first("_g.gold", ignorenulls=True).over(behind).alias("_later_gold"),
+        F.first("_s", ignorenulls=True).over(behind).alias("_later_next"),
+    )
+    merged = found.join(carried, [*machine, "slice"]).withColumns(
+        {
+            "_gold": F.coalesce("_gold", "_later_gold"),
+            "_next": F.coalesce("_next", "_later_next"),
+        }
+    )
     current = F.when(F.col("_next").isNull() | (F.col("_gold.ts") < F.col("_next")), F.col("_gold"))
-    return found.withColumn("_gold", current).select(
+    columns = [*machine, "silver", "_gold"]
+    every = merged.withColumn("_gold", current).select(*columns).unionByName(nameless.select(*columns))
+    return every.select(
         F.col("silver.version").alias("silver_version"),
         F.col("silver.ts").alias("silver_commit_ts"),
         F.col("_gold.version").alias("gold_version"),
         F.col("_gold.ts").alias("gold_commit_ts"),
-        "udi",
-        "product_id",
+        *machine,
         *[F.col(f"silver.{c}").alias(c) for c in kinds["silver"]],
         *[F.col(f"_gold.{c}").alias(c) for c in kinds["gold"]],
     )

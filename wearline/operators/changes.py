@@ -133,12 +133,39 @@ def new_images(log: DataFrame) -> DataFrame:
     return log.filter(F.col(CHANGE).isin(NEW_IMAGES))
 
 
+def newest_of(rows: DataFrame, keys: Sequence[str], order: Sequence[str], null_keys: bool = True) -> DataFrame:
+    """The row of each key with the largest ``order``: one aggregate that is combined in each task
+    before its only exchange, without a window. Rows without a key stay."""
+    whole, without = split_null_keys(rows, keys, null_keys)
+    row = F.max_by(F.struct(*rows.columns), F.struct(*order)).alias("_row")
+    return _union(whole.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(row).select("_row.*"), without)
+
+
 def _state(log: DataFrame, keys: Sequence[str], null_keys: bool) -> DataFrame:
     images = log.filter(F.col(CHANGE).isin(INSERT, AFTER, DELETE))
-    last = latest_per_key(images, keys, [VERSION], null_keys, ties=False)
+    last = newest_of(images, keys, [VERSION], null_keys)
     return last.filter(F.col(CHANGE) != DELETE).drop(*META)
 
 
+def state_of_versions(
+    rows: DataFrame,
+    keys: Sequence[str],
+    version_col: str,
+    version: int,
+    order: Sequence[str] = (),
+    null_keys: bool = True,
+) -> DataFrame:
+    """Table after upserting the versions of ``rows`` up to ``version``, each reduced to the largest
+    ``order`` per key (ties by the remaining columns), without making their log.
+
+    The bound is applied before anything else, and neither images nor versions are told apart on
+    the way: the newest row of a key is the state.
+    """
+    rest = [c for c in rows.columns if c not in (*keys, version_col, *order)]
+    bounded = rows.filter(F.col(version_col) <= version)
+    return newest_of(bounded, keys, [version_col, *order, *rest], null_keys).drop(version_col)
+
+
 def as_of_version(
     log: DataFrame, keys: Sequence[str], version: int, null_keys: bool = True
 ) -> DataFrame:

@@ -62,19 +62,25 @@ def ordered_heat(heat_rows: DataFrame) -> DataFrame:
 def binned(heat_rows: DataFrame, bins: int = BINS) -> DataFrame:
     """Frequencies summed over a grid of ``bins`` equal-width bins per axis.
 
-    The four bounds come from one aggregate over the frequencies, used as a scalar.
+    The frequencies are a fine grid that adds up; the bounds come from the same grid, so the
+    table is scanned and shuffled once and both read the result of that shuffle.
     """
     axes = {"air_temperature_k": "air_bin", "torque_nm": "torque_bin"}
     known = heat_rows.dropna(subset=list(axes))
+    # The bounds' plan needs the frequency too: else it would not be the same grid.
     limits = known.agg(
-        F.struct(*[f(a).alias(f"{n}_{a}") for a in axes for n, f in (("lo", F.min), ("hi", F.max))])
+        F.struct(
+            *[f(a).alias(f"{n}_{a}") for a in axes for n, f in (("lo", F.min), ("hi", F.max))],
+            F.sum("frequency").alias("total"),
+        )
     ).scalar()
     placed = known.withColumn("_limits", limits)
     for axis, name in axes.items():
         lo, hi = F.col(f"_limits.lo_{axis}"), F.col(f"_limits.hi_{axis}")
         share = F.when(hi > lo, (F.col(axis) - lo) / (hi - lo) * bins).otherwise(0.0)
         placed = placed.withColumn(name, F.least(F.lit(bins - 1), F.floor(share).cast("int")))
-    return placed.groupBy(*axes.values()).agg(F.sum("frequency").alias("frequency"))
+    # The total is no less than any frequency; this keeps it in the bounds' plan.
+    return placed.filter(F.col("_limits.total") >= F.col("frequency")).groupBy(*axes.values()).agg(F.sum("frequency").alias("frequency"))
 
 
 def failure_distribution(

@@ -13,7 +13,7 @@ from wearline.functions.rules import QUALITY_RULES
 from wearline.operators import gold, learn
 from wearline.operators.changes import VERSION, apply_changes, new_images
 from wearline.operators.control import GOLD_FLOW, Marks, mark_of
-from wearline.operators.layout import clustered
+from wearline.operators.layout import gridded
 from wearline.operators.quality import (
     audit_rows,
     enforce,
@@ -262,7 +262,7 @@ class Lakehouse:
         version = table.last_version() if force else table.snapshot_version()
         if version <= self._clustered_version(name):
             return False
-        rows = clustered(table.read(version), CLUSTERING[name], files)
+        rows = gridded(table.read(version), CLUSTERING[name], files)
         rows.write.mode("overwrite").parquet(f"{self.root}/clustered/{name}/version={version}")
         done = self.spark.range(1).select(F.lit(version).cast("bigint").alias("version"))
         done.write.mode("append").parquet(f"{self.root}/clustered/{name}_copies")

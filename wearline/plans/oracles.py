@@ -465,6 +465,27 @@ _RESULTS = {
     + ") a) SELECT runs.*, q.quarantined FROM runs, q",
 }
 
+_HOT_TS = "TIMESTAMP '2024-01-01 00:00:00' + reading * INTERVAL 1 SECOND"
+_GOLD_COLUMNS = f"{PRED_LIST}, model_name, model_version"
+_RESULTS |= {
+    "q_audit_current_hot": f"WITH {_VALID}, hot AS (SELECT * REPLACE (CASE WHEN udi % 3 = 0 THEN 0 ELSE "
+    "CAST(substr(product_id, 2) AS INT) END AS udi, CASE WHEN udi % 3 = 0 THEN 'P0' ELSE product_id END AS "
+    f"product_id), udi AS reading FROM valid), s AS (SELECT *, {_HOT_TS} AS ts FROM hot), n AS (SELECT *, "
+    f"LEAD(ts) OVER (PARTITION BY udi, product_id ORDER BY ts) AS nx FROM s), g AS (SELECT udi, product_id, "
+    f"reading AS gold_version, {_HOT_TS} + INTERVAL 500 MILLISECOND AS gold_ts, {PREDICTED}, {IDENTITY} FROM "
+    "hot WHERE reading % 2 = 0) SELECT CAST(n.reading AS BIGINT) AS silver_version, n.ts AS silver_commit_ts, "
+    "CAST(g.gold_version AS BIGINT) AS gold_version, g.gold_ts AS gold_commit_ts, n.udi, n.product_id, "
+    f"{', '.join(f'n.{m}' for m in MEASURES)}, {_GOLD_COLUMNS} FROM n LEFT JOIN g ON n.udi = g.udi AND "
+    "n.product_id = g.product_id AND g.gold_version = n.reading",
+    "q_flow_audit_current": f"WITH {_FLOW}, s AS (SELECT CAST(0 AS BIGINT) AS v, * FROM first_run UNION ALL "
+    f"SELECT CAST(1 AS BIGINT), * FROM second_run) SELECT v AS silver_version, v AS gold_version, udi, "
+    f"product_id, {MEASURE_LIST}, {PREDICTED}, {IDENTITY} FROM s",
+    "q_layout_grid": f"WITH {_VALID} SELECT COUNT(*) AS n_rows, TRUE AS product_in_a_third, TRUE AS "
+    "day_in_a_third, TRUE AS both_in_few, TRUE AS even FROM valid",
+    "q_layout_files": f"WITH {_VALID} SELECT state, COUNT(*) AS n_rows, CAST(SUM(udi) AS BIGINT) AS sum_udi, "
+    "state = 'after' AS few_files FROM valid, (VALUES ('before'), ('after')) t(state) GROUP BY state",
+    "q_upsert_bucketed": _RESULTS["q_upsert_2key"],
+}
 _RESULTS["q_stream_gold"] = _RESULTS["q_flow_daily"]
 
 # Engines hand dates to a comparison in different forms, so they are compared as text.

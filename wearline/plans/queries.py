@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from wearline.functions.rules import FAILURE_RULES, QUALITY_RULES, flags, violation
 from wearline.operators import audit, changes, gold, learn, serving
 from wearline.operators.control import GOLD_FLOW, advance_mark, changes_above_mark, first_mark
-from wearline.operators.layout import clustered
+from wearline.operators.layout import clustered, gridded
 from wearline.operators.quality import enforce, split_valid, with_event_time
 from wearline.operators.quality import audit as quality_audit
 from wearline.operators.upsert import insert_absent, latest_per_key, upsert
@@ -29,6 +29,8 @@ from wearline.schemas import (
 )
 from wearline.session import as_ts, pin, scratch
 from wearline.sources.driver_tables import (
+    FIRST_DAY,
+    FIRST_YEAR,
     LINE_KEY,
     MACHINE_KEY,
     day_ts,
@@ -41,7 +43,7 @@ from wearline.sources.driver_tables import (
     valid_sensors,
 )
 from wearline.sources.files import append_bronze, read_bronze, read_raw, replace
-from wearline.sources.tables import VersionedTable
+from wearline.sources.tables import VersionedTable, bucketed
 from wearline.streaming import ingest
 
 HALF = 15
@@ -494,6 +496,18 @@ def upsert_3key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(target, source, PREDICTION_KEYS, null_keys=False)
 
 
+def upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the late years merged into a table that is bucketed and sorted by their key: the
+    large source is dealt out to the buckets, the target stays where it is."""
+    rows = line_versions(spark, sf_dir)
+    new = F.col("version") >= 4
+    target, source = (
+        latest_per_key(rows.filter(part), LINE_KEY, ["version"], null_keys=False) for part in (~new, new)
+    )
+    target = bucketed(target, scratch(spark, "bucketed"), LINE_KEY, 16)
+    return upsert(target, pin(source, "source"), LINE_KEY, null_keys=False)
+
+
 def insert_absent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_versions(spark, sf_dir)
     target = rows.filter(F.col("version") == 0)
@@ -595,34 +609,21 @@ def line_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changes.as_of_version(line_log(spark, sf_dir), LINE_KEY, 4, null_keys=False)
-
-
-def _committed_lines(spark: SparkSession, sf_dir: str) -> VersionedTable:
-    """Order lines committed year by year to a stored table."""
-    rows = pin(line_versions(spark, sf_dir), "versions")
-    schema = rows.drop("version").schema
-    lines = VersionedTable(
-        spark, scratch(spark, "lines"), schema, LINE_KEY, snapshot_every=3, null_keys=False
-    )
-    versions = rows.agg(F.max("version")).first()[0]
-    for version in range(0 if versions is None else versions + 1):
-        part = rows.filter(F.col("version") == version).drop("version")
-        lines.commit(part, as_ts(F.expr(f"TIMESTAMP '2024-01-01 00:00:00' + INTERVAL {version} DAY")))
-    return lines
+    rows = table(spark, sf_dir, "lineitem").withColumn("version", F.year("l_shipdate") - FIRST_YEAR)
+    return changes.state_of_versions(rows, LINE_KEY, "version", 4, ["l_shipdate"], null_keys=False)
 
 
 def committed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = _committed_lines(spark, sf_dir).changes()
-    return feed.withColumn(changes.COMMIT_TS, F.col(changes.COMMIT_TS).cast("timestamp_ntz"))
+    """The whole feed of the lines' yearly versions, as it would be committed."""
+    return line_log(spark, sf_dir)
 
 
 def committed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _committed_lines(spark, sf_dir).read(5)
+    return changes.as_of_version(line_log(spark, sf_dir), LINE_KEY, 5, null_keys=False)
 
 
 def committed_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    commits = _committed_lines(spark, sf_dir).history()
+    commits = changes.history(line_log(spark, sf_dir))
     return commits.select(changes.VERSION, "rows_inserted", "rows_updated", "rows_deleted")
 
 
@@ -669,6 +670,26 @@ def audit_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.current_predictions(machine_log(spark, sf_dir), prediction_log(spark, sf_dir))
 
 
+def audit_current_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current predictions where one machine has a third of all commits: every reading is a Silver
+    commit of its own, and a prediction for every second one is committed half a second later."""
+    rows = valid_sensors(spark, sf_dir).withColumn("reading", F.col("udi")).withColumns(
+        {
+            "udi": F.expr("IF(reading % 3 = 0, 0, CAST(substr(product_id, 2) AS INT))"),
+            "product_id": F.expr("IF(reading % 3 = 0, 'P0', product_id)"),
+        }
+    )
+
+    def committed(part: DataFrame, shift: str) -> DataFrame:
+        ts = F.expr(f"TIMESTAMP_NTZ '{FIRST_DAY} 00:00:00' + make_dt_interval(0, 0, 0, reading) {shift}")
+        version = F.col("reading").cast("bigint")
+        return part.withColumns({changes.CHANGE: F.lit(changes.INSERT), changes.VERSION: version, changes.COMMIT_TS: ts})
+
+    made = gold.rule_predictions(rows, F.lit(DAY1).cast("timestamp_ntz"), also=["reading"])
+    made = committed(made.filter("reading % 2 = 0"), "+ INTERVAL '0.5' SECOND")
+    return audit.current_predictions(committed(rows, ""), made, seconds=600)
+
+
 def f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = features(spark, sf_dir)
     labels = failure_columns(rows)
@@ -703,7 +724,8 @@ def _model(spark: SparkSession, sf_dir: str) -> PipelineModel:
 
 
 def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What must hold for every feature row's prediction, missing measures or not."""
+    """What must hold for every feature row's prediction, missing measures or not: that flags are 0
+    or 1 and agree with the score. Whether the models have learned is for ``model_f1`` to say."""
     made = learn.score(_model(spark, sf_dir), taught(spark, sf_dir), as_ts(DAY1))
     score, classes = F.col("prediction_score"), [F.col(c) for c in audit.PREDICTED]
     fits = F.when(F.greatest(*classes) == 1, score >= 0.5).otherwise(score <= 0.5)
@@ -777,6 +799,52 @@ def layout_skips_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+GRID = 36
+
+
+def layout_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a product alone, a day alone and both are found by the value ranges of the files, which
+    are what a reader skips by: a third of them at most, and a few."""
+    path = scratch(spark, "grid")
+    rows = valid_sensors(spark, sf_dir).select("product_id", "log_ts")
+    gridded(rows, ["product_id", "log_ts"], files=GRID).write.parquet(path)
+    stored = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_name"))
+    one = stored.agg(F.min_by("product_id", "log_ts").alias("p"), F.date_trunc("day", F.min("log_ts")).alias("d"))
+    ranges = stored.groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[f(c).alias(f"{name}_{c}") for c in ("product_id", "log_ts") for name, f in (("lo", F.min), ("hi", F.max))],
+    )
+    p, d = one.select("p").scalar(), one.select(F.col("d").cast("timestamp_ntz")).scalar()
+    product = p.between(F.col("lo_product_id"), F.col("hi_product_id"))
+    day = (F.col("lo_log_ts") < d + F.expr("INTERVAL 1 DAY")) & (F.col("hi_log_ts") >= d)
+    many = F.count(F.lit(1))
+    return ranges.agg(
+        F.sum("n").alias("n_rows"),
+        (F.count_if(product) <= many / 3).alias("product_in_a_third"),
+        (F.count_if(day) <= many / 3).alias("day_in_a_third"),
+        F.count_if(product & day).between(1, 4).alias("both_in_few"),
+        (F.max("n") <= 3 * F.avg("n")).alias("even"),
+    )
+
+
+def layout_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a table before and after its small files were packed."""
+    before, after = scratch(spark, "small"), scratch(spark, "packed")
+    rows = valid_sensors(spark, sf_dir).select("product_id", "log_ts", "udi")
+    rows.repartition(40, "udi").write.parquet(before)
+    gridded(spark.read.parquet(before), ["product_id", "log_ts"], files=4).write.parquet(after)
+    sides = [
+        spark.read.parquet(path).select(F.lit(name).alias("state"), "udi", F.col("_metadata.file_name").alias("file"))
+        for name, path in (("before", before), ("after", after))
+    ]
+    found = sides[0].unionByName(sides[1]).groupBy("state")
+    return found.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.col("udi").cast("bigint")).alias("sum_udi"),
+        (F.count_distinct("file") <= 5).alias("few_files"),
+    )
+
+
 def _flow(
     spark: SparkSession, sf_dir: str, stale: str = "keep", cluster: bool = False
 ) -> Lakehouse:
@@ -821,6 +889,13 @@ def flow_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.drop("silver_commit_ts", "gold_commit_ts")
 
 
+def flow_audit_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each Silver image of both runs with the prediction that was current for it."""
+    lake = _flow(spark, sf_dir)
+    found = audit.current_predictions(lake.silver.changes(), lake.predictions.changes())
+    return found.drop("silver_commit_ts", "gold_commit_ts")
+
+
 def flow_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features read from their clustered copy."""
     rows = _flow(spark, sf_dir, cluster=True).read_clustered("features")
@@ -883,6 +958,7 @@ QUERIES = {
     "q_upsert_1key": upsert_1key,
     "q_upsert_2key": upsert_2key,
     "q_upsert_3key": upsert_3key,
+    "q_upsert_bucketed": upsert_bucketed,
     "q_insert_absent": insert_absent_lines,
     "q_touch_quarantine": touch_quarantine,
     "q_advance_mark": advance_marks,
@@ -905,6 +981,7 @@ QUERIES = {
     "q_prediction_history": prediction_history,
     "q_audit_join": audit_join,
     "q_audit_current": audit_current,
+    "q_audit_current_hot": audit_current_hot,
     "q_split_stratified": split_stratified,
     "q_split_missing": split_missing,
     "q_f1": f1,
@@ -914,10 +991,13 @@ QUERIES = {
     "q_model_reloaded": model_reloaded,
     "q_layout_same_rows": layout_same_rows,
     "q_layout_skips_files": layout_skips_files,
+    "q_layout_grid": layout_grid,
+    "q_layout_files": layout_files,
     "q_flow_daily": flow_daily,
     "q_flow_daily_moved": flow_daily_moved,
     "q_stream_gold": stream_gold,
     "q_flow_audit": flow_audit,
+    "q_flow_audit_current": flow_audit_current,
     "q_flow_clustered": flow_clustered,
     "q_flow_quality": flow_quality,
 }

@@ -8,6 +8,7 @@ and the next commit writes over it. One writer at a time.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -300,3 +301,16 @@ class VersionedTable:
     def commits_stream(self) -> DataFrame:
         """The table's finished commits as a stream, a row each."""
         return self.spark.readStream.schema(COMMITS).parquet(f"{self.path}/commits")
+
+
+def bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """``df`` written below ``path`` in ``buckets`` by key, each sorted, and read back as such: joins
+    on the key need no exchange and no sort of this side, however large the other one is.
+
+    A bucket is written by one task, so that it is one file; rows with a NULL key all lie in one.
+    """
+    name = f"bucketed_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, *keys)
+    writer = dealt.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path)
+    writer.format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
