@@ -17,7 +17,7 @@ import regex
 import sentencepiece
 from tokenizers import Tokenizer
 
-from wearline.llm import archives, automaton, files, latent, preference, repair, secrets, sentencepiece_table
+from wearline.llm import archives, automaton, common, files, latent, preference, repair, secrets, sentencepiece_table
 
 ODD = ["", None, " ", "\n", "a", "é" * 50, "日本 語\t🙂", "x" * 5000, "<|endoftext|>a", "<s> </s>", "▁▁ a▁b", "\r\n", "a　b", "ﬁ  "]
 
@@ -249,7 +249,10 @@ def test_archives_round_trip(spark):
     assert archives.read_archives(archives.write_archives(pages.limit(0), files.folder(spark, "warc"))).count() == 0
 
 
-def test_archives_of_missing_and_repeated_keys(spark):
+@pytest.mark.parametrize("hot", [common.HOT, 3, 1])
+def test_archives_of_missing_and_repeated_keys(spark, monkeypatch, hot):
+    # Payloads that stay in place, that are moved by their digest, and both.
+    monkeypatch.setattr(common, "HOT", hot)
     rows = [(None, "a"), (3, "a"), (None, "a"), (2, "a"), (2, "a"), (2, "b"), (1, "b"), (3, "c"), (3, "c"), (None, "d"), (None, "d"), (None, None), (7, "e"), (7, "f")]
     pages = spark.createDataFrame([(k, "u", t) for k, t in rows], "page_id long, url string, html string")
     got = archives.read_archives(archives.write_archives(pages, files.folder(spark, "warc"))).collect()

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from wearline.session import pin
 
 from . import files
-from .common import pieces
+from .common import pieces, spread_join
 
 ARCHIVE_BYTES = 16 << 20
 NO_KEY = "-"
@@ -207,22 +207,14 @@ def write_archives(pages: DataFrame, uri: str, key: str = "page_id", url: str =
     """
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
     same = [F.sha2(body, 256).alias("same"), F.octet_length(body).alias("n")]
-    # The rows of a hot payload are spread over salted copies, those without a key by their URL.
-    salt = F.pmod(F.hash(key, url), F.lit(16)).alias("salt")
-    digests = pin(pages.select(F.col(key).alias("k"), *same, salt), "digests")
-    first = digests.filter(F.col("n") >= least_bytes).groupBy("same", "n").agg(F.min("k").alias("first"), F.count("*").alias("rows"))
-    # Only digests with copies matter.
-    shared = first.filter("rows > 1 AND first IS NOT NULL").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
-    revisits = (
-        digests.join(shared, ["same", "n", "salt"])
-        .filter("k IS NULL OR k <> first")
-        .select("k", "same", "n", "salt", F.col("first").alias("refers_to"))
-        .distinct()
-    )
-    given = pages.select(F.col(key).alias("k"), F.coalesce(F.col(url), F.lit("")).alias("u"), body.alias("p"), *same, salt)
-    a, b = given.alias("a"), revisits.alias("b")
-    equal = F.expr("a.k <=> b.k AND a.same = b.same AND a.n = b.n AND a.salt = b.salt")
-    rows = a.join(b, equal, "left").selectExpr("a.k", "a.u", "a.p", "b.refers_to")
+    digests = pages.select(F.col(key).alias("k"), *same).filter(F.col("n") >= least_bytes)
+    classes = digests.groupBy("same", "n").agg(F.min("k").alias("first"), F.count("*").alias("rows"))
+    # Only digests with copies matter; the rows of a hot payload stay where they are.
+    shared = pin(classes.filter("rows > 1 AND first IS NOT NULL"), "digests")
+    given = pages.select(F.col(key).alias("k"), F.coalesce(F.col(url), F.lit("")).alias("u"), body.alias("p"), *same)
+    rows = spread_join(given, shared, ["same", "n"], "rows", "left")
+    refers_to = F.when(F.col("k").isNull() | (F.col("k") != F.col("first")), F.col("first"))
+    rows = rows.select("k", "u", "p", refers_to.alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, index = bytearray(), []

@@ -101,8 +101,8 @@ def tree_merge(parts: DataFrame, merge: Callable[[Iterator], str | None]) -> str
     return merge(row[0] for row in parts.collect())
 
 
-def spread_join(rows: DataFrame, classes: DataFrame, on: str | list[str], count: str = "n") -> DataFrame:
-    """Inner join of many rows to one row per ``on``, whose ``count`` is the number of its rows.
+def spread_join(rows: DataFrame, classes: DataFrame, on: str | list[str], count: str = "n", how: str = "inner") -> DataFrame:
+    """Join (inner or left) of many rows to one row per ``on``, whose ``count`` is the number of its rows.
 
     Classes with more than one of ``HOT`` of all rows, so less than ``HOT`` classes, are
     broadcast, and their rows stay where they are. Only the rows of the others are moved.
@@ -111,7 +111,7 @@ def spread_join(rows: DataFrame, classes: DataFrame, on: str | list[str], count:
     hot = F.col(count) * HOT > total
     large = classes.filter(hot).drop(count)
     small = classes.filter(~hot).drop(count)
-    few = rows.join(F.broadcast(large.select(on)), on, "left_anti").join(small, on)
+    few = rows.join(F.broadcast(large.select(on)), on, "left_anti").join(small, on, how)
     return rows.join(F.broadcast(large), on).unionByName(few)
 
 
