@@ -12,7 +12,8 @@ starts of the documents (uint32, one more than documents), rules (uint32 pairs),
 (uint32), the low 16 bits of all symbols, then the others, as many bits each as the head says.
 
 Ids are those of the tokenizers library. It encodes each distinct piece between the cuts of its
-own splitter once per worker, and the ids are joined back by position. Texts with characters for which
+own splitter once per worker (its model does, on the piece's bytes in the vocabulary's alphabet), and
+the ids are joined back by position. Texts with characters for which
 the splitter here is not known to be equal, or with special tokens, go to the library whole.
 
 NULL texts count as empty; an empty text is its end id alone. Rows without a key come first. Rows that
@@ -26,7 +27,6 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -56,19 +56,28 @@ WIDTHS = [2, 4, 8, 16]
 _OTHER = regex.compile("[^\x00-\u0557\u2010-\u2027\u3000-\u303f\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]")
 
 
+def _alphabet() -> dict[int, str]:
+    """The characters that stand for bytes in a byte-level vocabulary: a visible one for itself,
+    the others from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class _Pieces(dict):
-    """Ids of pieces of text, encoded by the library while they stay in the table."""
+    """Ids of pieces of text as bytes, made by the library's model while they stay in the table."""
 
-    LIMIT = 400_000
+    LIMIT = 800_000
 
     def __init__(self, library: Tokenizer):
         super().__init__()
-        self.library = library
+        self.tokenize, self.letters = library.model.tokenize, _alphabet()
 
-    def __missing__(self, piece: str) -> list[int]:
+    def __missing__(self, piece: str) -> bytes:
         if len(self) >= self.LIMIT:
             self.clear()
-        value = self[piece] = self.library.encode(piece, add_special_tokens=False).ids
+        found = self.tokenize(piece.encode().decode("latin-1").translate(self.letters))
+        value = self[piece] = struct.pack(f"<{len(found)}I", *[t.id for t in found])
         return value
 
 
@@ -85,7 +94,7 @@ class Encoder:
     def __call__(self, text: str) -> np.ndarray:
         if _OTHER.search(text) or (self.special is not None and self.special.search(text)):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-        return np.fromiter(chain.from_iterable(map(self.pieces.__getitem__, self.split(text))), np.uint32)
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.split(text))), "<u4")
 
 
 @lru_cache(1)
