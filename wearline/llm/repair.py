@@ -11,9 +11,9 @@ File: the fields of ``HEAD``, then keys (int64), a byte for each key that is NUL
 starts of the documents (uint32, one more than documents), rules (uint32 pairs), expansion lengths
 (uint32), the low 16 bits of all symbols, then the others, as many bits each as the head says.
 
-Ids are those of the tokenizers library. It encodes each distinct piece between the cuts of its
-own splitter once per worker (its model does, on the piece's bytes in the vocabulary's alphabet), and
-the ids are joined back by position. Texts with characters for which
+Ids are those of the tokenizers library. Texts are cut before each blank that begins a word. A distinct word
+is encoded once per worker (the library's model does, on the bytes of each piece of its own splitter in the
+vocabulary's alphabet), and the ids are joined back by position. Texts with characters for which
 the splitter here is not known to be equal, or with special tokens, go to the library whole.
 
 NULL texts count as empty; an empty text is its end id alone. Rows without a key come first. Rows that
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
@@ -44,7 +45,8 @@ from .common import pieces, texts
 SHARD_TOKENS = 1 << 20
 #: A rule takes 12 bytes and a replaced pair frees a symbol of 2.25 bytes or more.
 PAYS = 6
-#: A round takes pairs down to this part of the highest count.
+#: A round takes pairs down to this part of the highest count, and to half of what the round before did: few
+#: places of frequent pairs may be left, those that others overlap, and rounds for them alone would take long.
 PART = 4
 SLOT_BITS = 18
 MAGIC = b"WLRP0002"
@@ -54,6 +56,8 @@ WIDTHS = [2, 4, 8, 16]
 # Characters for which the splitters agree, one by one (tested): Latin to Cyrillic, punctuation,
 # kana, Han, Hangul.
 _OTHER = regex.compile("[^\x00-\u0557\u2010-\u2027\u3000-\u303f\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]")
+# Blanks that begin a word.
+_CUT = regex.compile(r" (?=\S)")
 
 
 def _alphabet() -> dict[int, str]:
@@ -64,37 +68,86 @@ def _alphabet() -> dict[int, str]:
     return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class _Pieces(dict):
-    """Ids of pieces of text as bytes, made by the library's model while they stay in the table."""
+class _NoWord(Exception):
+    """A blank stands before white space or the end."""
 
-    LIMIT = 800_000
 
-    def __init__(self, library: Tokenizer):
+class _Words(dict):
+    """Ids of a blank and a word as bytes, made by the library's model while they stay in the table."""
+
+    LIMIT = 1_000_000
+
+    def __init__(self, library: Tokenizer, pattern: str):
         super().__init__()
         self.tokenize, self.letters = library.model.tokenize, _alphabet()
-
-    def __missing__(self, piece: str) -> bytes:
+        self.blank = self.letters[ord(" ")]
+        # Words are kept here; a second table in the model only costs time.
+        library.model._resize_cache(0)
+        self.split = regex.compile(pattern).findall
+        self.others: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        if not word or word[0].isspace():
+            raise _NoWord
+        # Letters are one piece, and one other character behind them is another.
+        if word.isalpha():
+            value = self._ids(self.blank + word) if word.isascii() else self._made(" " + word)
+        elif word[:-1].isalpha():
+            value = self[word[:-1]] + self._piece(word[-1])
+        else:
+            found = self.split(" " + word)
+            value = self._made(found[0]) if len(found) == 1 else b"".join(map(self._piece, found))
         if len(self) >= self.LIMIT:
             self.clear()
-        found = self.tokenize(piece.encode().decode("latin-1").translate(self.letters))
-        value = self[piece] = struct.pack(f"<{len(found)}I", *[t.id for t in found])
+        self[word] = value
+        return value
+
+    def start(self, word: str) -> bytes:
+        """Ids of a word that no blank precedes."""
+        return b"".join(map(self._piece, self.split(word)))
+
+    def _piece(self, piece: str) -> bytes:
+        if piece[0] == " " and not piece.isspace():
+            return self[piece[1:]]
+        value = self.others.get(piece)
+        if value is None:
+            if len(self.others) >= self.LIMIT // 4:
+                self.others.clear()
+            value = self.others[piece] = self._made(piece)
         return value
 
+    def _made(self, piece: str) -> bytes:
+        return self._ids(piece.encode().decode("latin-1").translate(self.letters))
+
+    def _ids(self, letters: str) -> bytes:
+        return array("I", [t.id for t in self.tokenize(letters)]).tobytes()
+
 
 class Encoder:
-    """Ids of the tokenizers library for a byte-level vocabulary that is split by ``pattern``."""
+    """Ids of the tokenizers library for a byte-level vocabulary that is split by ``pattern``.
+
+    The pattern must begin a piece at each blank that stands before another character than white space,
+    whatever lies around, keep letters together with the blank before them, and not join a character that is
+    no letter to these: texts are cut there first.
+    """
 
     def __init__(self, library_file: str, pattern: str):
         self.library = Tokenizer.from_file(library_file)
-        self.split = regex.compile(pattern).findall
-        self.pieces = _Pieces(self.library)
+        self.words = _Words(Tokenizer.from_file(library_file), pattern)
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
 
     def __call__(self, text: str) -> np.ndarray:
         if _OTHER.search(text) or (self.special is not None and self.special.search(text)):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-        return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.split(text))), "<u4")
+        try:
+            ids = self._joined(text.split(" "))
+        except _NoWord:
+            ids = self._joined(_CUT.split(text))
+        return np.frombuffer(ids, np.uint32)
+
+    def _joined(self, parts: list[str]) -> bytes:
+        return self.words.start(parts[0]) + b"".join(map(self.words.__getitem__, parts[1:]))
 
 
 @lru_cache(1)
@@ -107,7 +160,7 @@ def compress(ids: np.ndarray, end_id: int, base: int, pays: int = PAYS) -> tuple
     """Symbols, and rules (rows of two symbols); rule r stands for symbol ``base + r``."""
     s = ids.astype(np.int64)
     rules: list[np.ndarray] = []
-    made, turns = 0, np.random.default_rng(7)
+    made, last, turns = 0, len(ids), np.random.default_rng(7)
     # Symbols that end a document are the first of no pair.
     closing = np.zeros(base, bool)
     closing[end_id] = True
@@ -132,7 +185,8 @@ def compress(ids: np.ndarray, end_id: int, base: int, pays: int = PAYS) -> tuple
         common = np.zeros(1 << SLOT_BITS, bool)
         places = slot(known[often])
         common[places] = True
-        chosen = counts >= max(pays, top // PART)
+        last = max(pays, min(top // PART, last // 2))
+        chosen = counts >= last
         places = slot(known[chosen])
         held[places] = known[chosen]
         # Among equal counts a part of the hash decides, so that many places of a repeated passage
