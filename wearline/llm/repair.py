@@ -4,7 +4,7 @@ Texts are encoded in ascending key order and cut into shards of about ``SHARD_TO
 shard, the most frequent pairs of neighbouring symbols are replaced by new symbols, round after round,
 until no pair is left whose rule takes less room than it saves (``PAYS`` occurrences). A round takes the
 pairs from the highest count down to a part of it, so that frequent pairs come first; where two of them
-overlap the more frequent one is taken. Counts are exact, by sorting. A pair never begins with a symbol that ends a document, so a document is a whole range of symbols. Rules are stored with the lengths of their
+overlap the more frequent one is taken. Counts are exact. A pair never begins with a symbol that ends a document, so a document is a whole range of symbols. Rules are stored with the lengths of their
 expansions, which allows to fetch one document, or one place of it, without expanding what lies before.
 
 File: the fields of ``HEAD``, then keys (int64), a byte for each key that is NULL, symbol starts and id
@@ -138,7 +138,7 @@ class Encoder:
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
 
     def __call__(self, text: str) -> np.ndarray:
-        if _OTHER.search(text) or (self.special is not None and self.special.search(text)):
+        if not text.isascii() and _OTHER.search(text) or (self.special is not None and self.special.search(text)):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
         try:
             ids = self._joined(text.split(" "))
@@ -158,7 +158,7 @@ def encoder(library_file: str, pattern: str) -> Encoder:
 
 def compress(ids: np.ndarray, end_id: int, base: int, pays: int = PAYS) -> tuple[np.ndarray, np.ndarray]:
     """Symbols, and rules (rows of two symbols); rule r stands for symbol ``base + r``."""
-    s = ids.astype(np.int64)
+    s = ids.astype(np.uint32)
     rules: list[np.ndarray] = []
     made, last, turns = 0, len(ids), np.random.default_rng(7)
     # Symbols that end a document are the first of no pair.
@@ -167,57 +167,59 @@ def compress(ids: np.ndarray, end_id: int, base: int, pays: int = PAYS) -> tuple
     # Places whose pair may still become a rule: a rare pair stays rare until it is changed, and
     # then it is another one.
     alive = np.append(~closing[s[:-1]], False) if len(s) else np.zeros(0, bool)
+    held, order = np.zeros(1 << SLOT_BITS, np.uint64), np.arange(1 << SLOT_BITS)
     while True:
         live = np.flatnonzero(alive)
-        pair = s[live] << 32 | s[live + 1]
-        known = np.sort(pair)
-        edges = np.flatnonzero(np.append(True, known[1:] != known[:-1])) if len(known) else live
-        counts = np.diff(np.append(edges, len(known)))
-        known = known[edges]
-        top = int(counts.max(initial=0))
-        if top < pays:
-            break
-        # A table by a hash; of pairs that share a slot one is left to the next round.
+        pair = s[live].astype(np.uint64)
+        pair <<= np.uint64(32)
+        pair |= s[live + 1]
+        # A table by a hash: a slot has the count of one pair, that of its last place. Others of the slot are
+        # left to the next round, or are too rare.
         turn = turns.integers(1, 1 << 63, dtype=np.uint64) | np.uint64(1)
-        slot = lambda pairs: (pairs.view(np.uint64) * turn >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-        often = counts >= pays
-        held, weight = np.full(1 << SLOT_BITS, -1, np.int64), np.zeros(1 << SLOT_BITS, np.int64)
-        common = np.zeros(1 << SLOT_BITS, bool)
-        places = slot(known[often])
-        common[places] = True
-        last = max(pays, min(top // PART, last // 2))
-        chosen = counts >= last
-        places = slot(known[chosen])
-        held[places] = known[chosen]
+        slots = (pair * turn >> np.uint64(64 - SLOT_BITS)).view(np.int64)
+        stays = np.flatnonzero(np.bincount(slots, minlength=1 << SLOT_BITS)[slots] >= pays)
+        live, pair, slots = live[stays], pair[stays], slots[stays]
+        alive[:] = False
+        alive[live] = True
+        if not len(live):
+            break
+        held[slots] = pair
+        own = np.flatnonzero(held[slots] == pair)
+        counts = np.bincount(slots[own], minlength=1 << SLOT_BITS)
+        last = max(pays, min(int(counts.max()) // PART, last // 2))
         # Among equal counts a part of the hash decides, so that many places of a repeated passage
         # are replaced at once.
-        weight[places] = counts[chosen] << SLOT_BITS | places
-        slots = slot(pair)
-        alive[live[~common[slots]]] = False
-        found = held[slots] == pair
+        weight = np.where(counts >= last, counts << SLOT_BITS | order, 0)
+        found = own[weight[slots[own]] > 0]
         at, own = live[found], weight[slots[found]]
-        near = np.zeros(len(s) + 1, np.int64)
-        near[at] = own
-        take = (own >= near[at - 1]) & (own >= near[at + 1])
-        # Of a run of one pair every other one.
+        # Of two pairs that overlap the one that weighs more; of a run of one pair every other one.
+        beside = at[1:] == at[:-1] + 1
+        take = np.ones(len(at), bool)
+        take[1:] &= ~beside | (own[1:] >= own[:-1])
+        take[:-1] &= ~beside | (own[:-1] >= own[1:])
         place = np.arange(len(at))
-        new = np.append(True, (at[1:] != at[:-1] + 1) | (own[1:] != own[:-1]))
+        new = np.append(True, ~beside | (own[1:] != own[:-1]))
         take &= (place - np.maximum.accumulate(np.where(new, place, 0))) % 2 == 0
-        at, pair = at[take], pair[found][take]
-        used, number = np.unique(pair, return_inverse=True)
-        rules.append(np.column_stack([used >> 32, used & 0xFFFFFFFF]))
-        s[at] = number + base + made
+        at, slots = at[take], slots[found[take]]
+        taken, number = np.zeros(1 << SLOT_BITS, bool), np.zeros(1 << SLOT_BITS, np.uint32)
+        taken[slots] = True
+        used = np.flatnonzero(taken)
+        number[used] = np.arange(base + made, base + made + len(used), dtype=np.uint32)
+        used = held[used]
+        rules.append(np.column_stack([used >> np.uint64(32), used & np.uint64(0xFFFFFFFF)]))
+        s[at] = number[slots]
         made += len(used)
-        closing = np.append(closing, closing[used & 0xFFFFFFFF])
+        closing = np.append(closing, closing[rules[-1][:, 1].astype(np.int64)])
         alive[at] = (at + 2 < len(s)) & ~closing[s[at]]
         before = at[at > 0] - 1
         alive[before] = ~closing[s[before]]
         keep = np.ones(len(s), bool)
         keep[at + 1] = False
         # What stood before a replaced pair may have gone with the pair before that.
+        keep = np.flatnonzero(keep)
         s, alive = s[keep], alive[keep]
     table = np.concatenate(rules) if rules else np.empty((0, 2), np.int64)
-    return s.astype(np.uint32), table.astype(np.uint32)
+    return s, table.astype(np.uint32)
 
 
 def lengths_of(rules: np.ndarray, base: int) -> np.ndarray:
