@@ -22,7 +22,6 @@ share a key follow one another in the order of a hash of their texts, equal text
 
 from __future__ import annotations
 
-import gc
 import struct
 import zlib
 from array import array
@@ -296,10 +295,11 @@ class Shard:
     @cached_property
     def expansions(self) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rules one after the other, and where each begins; plain ids come first."""
-        base, parts, one = self.base, [], struct.Struct("<I").pack
-        for a, b in self.rules.tolist():
-            parts.append((parts[a - base] if a >= base else one(a)) + (parts[b - base] if b >= base else one(b)))
-        flat = np.frombuffer(b"".join(parts), "<u4")
+        base = self.base
+        parts = {}
+        for r, (a, b) in enumerate(self.rules.tolist()):
+            parts[r] = (parts[a - base] if a >= base else (a,)) + (parts[b - base] if b >= base else (b,))
+        flat = np.fromiter((i for r in range(self.n_rules) for i in parts[r]), np.uint32)
         return flat, np.concatenate([[0], np.cumsum(self.lengths, dtype=np.int64)])
 
     def symbols(self, first: int, stop: int) -> np.ndarray:
@@ -354,24 +354,17 @@ def write_shards(docs: DataFrame, uri: str, library_file: str, pattern: str, end
             row = {"part": part, "number": number, "uri": files.write(uri, data, ".ids"), "documents": len(held), "tokens": count}
             return pa.RecordBatch.from_pylist([row])
 
-        # The library's tokens form no cycles; looking for some goes through the table of words each time.
-        collects = gc.isenabled()
-        gc.disable()
-        try:
-            for piece in pieces(batches, "t"):
-                for k, t in zip(piece.column("k").to_pylist(), piece.column("t").to_pylist()):
-                    ids = np.append(encode(t), np.uint32(end_id))
-                    keys.append(k)
-                    held.append(ids)
-                    count += len(ids)
-                    if count >= shard_tokens:
-                        yield stored()
-                        held, keys, count, number = [], [], 0, number + 1
-            if held:
-                yield stored()
-        finally:
-            if collects:
-                gc.enable()
+        for piece in pieces(batches, "t"):
+            for k, t in zip(piece.column("k").to_pylist(), piece.column("t").to_pylist()):
+                ids = np.append(encode(t), np.uint32(end_id))
+                keys.append(k)
+                held.append(ids)
+                count += len(ids)
+                if count >= shard_tokens:
+                    yield stored()
+                    held, keys, count, number = [], [], 0, number + 1
+        if held:
+            yield stored()
 
     made = pin(rows.mapInArrow(run, "part long, number long, uri string, documents long, tokens long"), "shards")
     # Starts in two steps: of the tasks' parts, a row each, and within each part.
