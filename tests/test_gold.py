@@ -219,6 +219,33 @@ def test_models_learn_and_survive_saving(spark):
     assert scored.filter("udi % 10 <> 9 AND pred_twf <> IF(udi % 50 > 5, 1, 0)").count() == 0
 
 
+def sensor_rows(spark, n, parts):
+    return spark.range(n, numPartitions=parts).selectExpr(
+        "CAST(id AS INT) udi",
+        "concat('P', id) product_id",
+        "300.0D + id % 7 air_temperature_k",
+        "310.0D + id % 11 process_temperature_k",
+        "CAST(1200 + id % 13 AS INT) rotational_speed_rpm",
+        "CAST(id % 50 AS DOUBLE) torque_nm",
+        "CAST(id % 100 AS INT) tool_wear_min",
+        *[f"IF(id % 50 > {10 * i + 5}, 1, 0) {f}_label" for i, f in enumerate(FAILURES)],
+    )
+
+
+def test_models_are_fitted_in_tasks_by_rows(spark, monkeypatch):
+    seen = []
+    whole = learn.GBTClassifier.fit
+
+    def fit(trees, data):
+        seen.append((data.rdd.getNumPartitions(), data.count()))
+        return whole(trees, data)
+
+    monkeypatch.setattr(learn.GBTClassifier, "fit", fit)
+    learn.fit(sensor_rows(spark, 400, 40), rounds=1, depth=1)
+    assert seen == [(1, 400)] * len(FAILURES)
+    assert learn.training_rows(sensor_rows(spark, 2 * learn.ROWS_PER_TASK + 1, 1)).rdd.getNumPartitions() == 3
+
+
 def test_line_log_versions(spark, small):
     log = line_log(spark, small)
     assert log.filter(F.col(CHANGE) == "insert").count() == log.select("l_orderkey", "l_linenumber").distinct().count()
