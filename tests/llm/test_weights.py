@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wearline.llm import centroids, importance, kneser_ney
+from wearline.llm import centroids, importance, kneser_ney, queries
 from wearline.llm.common import segments
 
 # -- clusters ----------------------------------------------------------------------
@@ -231,6 +231,19 @@ def test_model_scores(docs_of, order, bucket_bytes):
         assert r.held_out == (None if key is None else key >= 300)
 
 
+def test_query_scores_by_grams_of_five_words(spark, tmp_path):
+    draw = random.Random(7)
+    words = [f"w{i}" for i in range(9)]
+    rows = [(i, prose(draw, words, draw.randint(0, 40))) for i in range(60)] + [(60, None), (None, "w1 w2"), (61, "new w1 w2 w3 w4 w5")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    plain = PlainModel([t for k, t in rows if k is None or zlib.crc32(str(k).encode()) % 7 != 2], 5)
+    got = queries.op13_kneser_ney(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and sum(r.held_out for r in got) > 3
+    for r in got:
+        assert r.score == pytest.approx(plain.score(dict(rows)[r.doc_id]), rel=1e-9)
+        assert r.train_tokens == plain.raw.total()
+
+
 def test_probabilities_add_up_to_one(docs_of):
     draw = random.Random(1)
     words = [f"w{i}" for i in range(12)]

@@ -44,7 +44,9 @@ from . import files
 from .common import WordHashes, partitions_for, pieces, segments
 from .windows import mixed
 
-ORDER = 2
+#: The customary order of such models.
+ORDER = 5
+# Of text for a bucket and of tokens at a time with n-grams of two words; of longer ones as many less.
 BUCKET_BYTES = 16 << 20
 CHUNK = 2 << 20
 END, BEGIN = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"\n", b"\n\n"))
@@ -209,7 +211,7 @@ def _add_words(table: pa.Table) -> pa.Table:
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch], order: int, places: Places) -> Iterator[pa.RecordBatch]:
-    for _, tokens, sizes in _chunks(batches, "text", order - 1):
+    for _, tokens, sizes in _chunks(batches, "text", order - 1, CHUNK * 2 // order):
         grams = _grams(tokens, _ends(sizes, order - 1), order)
         _, first, counts = np.unique(joined(grams), return_index=True, return_counts=True)
         yield _records(grams[first], {"count": counts}, places)
@@ -376,7 +378,7 @@ class Model:
         pads = self.order - 1
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for held, tokens, sizes in _chunks(batches, "text", pads, CHUNK // 2):
+            for held, tokens, sizes in _chunks(batches, "text", pads, CHUNK // self.order):
                 logs, plain, raw = self.logs(tokens, _ends(sizes, pads))
                 starts = np.cumsum(sizes) - sizes
                 model, base, known = (np.add.reduceat(x, starts) for x in (logs, plain, (raw > 0).astype(np.int64)))
@@ -400,7 +402,7 @@ def learn(docs: DataFrame, order: int = ORDER, text: str = "text", bucket_bytes:
     spark = docs.sparkSession
     source = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = int(max(partitions_for(docs), -(-size // bucket_bytes)))
+    buckets = int(max(partitions_for(docs), -(-size * order // (2 * bucket_bytes))))
     words = source.mapInArrow(lambda b: _count_words(b, buckets), RECORD)
     words = pin(words.groupBy("bucket").applyInArrow(_add_words, f"{RECORD}, words long, tokens long"), "words")
     known, tokens = (x or 0 for x in words.agg(F.sum("words"), F.sum("tokens")).first())
