@@ -246,6 +246,15 @@ def test_models_are_fitted_in_tasks_by_rows(spark, monkeypatch):
     assert learn.training_rows(sensor_rows(spark, 2 * learn.ROWS_PER_TASK + 1, 1)).rdd.getNumPartitions() == 3
 
 
+def test_scoring_is_spread_and_on_dense_vectors(spark):
+    model = learn.fit(sensor_rows(spark, 400, 2), rounds=1, depth=1)
+    rows = sensor_rows(spark, 400_000, 1)
+    scored = learn.score(model, rows, as_ts("2024-01-01"))
+    parts = scored.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in parts) == 400_000 and max(r["count"] for r in parts) < 200_000
+    assert type(model.transform(rows).first()["_features"]).__name__ == "DenseVector"
+
+
 def test_line_log_versions(spark, small):
     log = line_log(spark, small)
     assert log.filter(F.col(CHANGE) == "insert").count() == log.select("l_orderkey", "l_linenumber").distinct().count()
