@@ -208,6 +208,16 @@ def test_no_pair_is_left_that_pays(pays):
     assert [len(expand(100 + i)) for i in range(len(rules))] == repair.lengths_of(rules, 100).tolist()
 
 
+def test_grammar_counts_few_places_again(monkeypatch):
+    draw = np.random.default_rng(8)
+    parts = [draw.integers(3, 200, draw.integers(1, 6)) for _ in range(3000)]
+    ids = np.concatenate([np.append(np.concatenate([parts[i] for i in draw.zipf(1.3, 40) % 3000]), 2) for _ in range(2000)])
+    count, seen = np.bincount, []
+    monkeypatch.setattr(np, "bincount", lambda x, **more: seen.append(len(x)) or count(x, **more))
+    symbols, rules = repair.compress(ids, 2, 1000)
+    assert len(rules) and sum(seen) < 6 * len(ids)
+
+
 @pytest.mark.parametrize("width,most", [(2, 1 << 18), (4, 1 << 20), (8, 1 << 24), (16, 1 << 32)])
 def test_symbols_of_all_widths(width, most):
     symbols = np.random.default_rng(width).integers(0, most, 1003).astype(np.uint32)

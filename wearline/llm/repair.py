@@ -25,9 +25,11 @@ from __future__ import annotations
 import struct
 import zlib
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,10 +47,10 @@ from .common import pieces, texts
 SHARD_TOKENS = 1 << 20
 #: A rule takes 12 bytes and a replaced pair frees a symbol of 2.25 bytes or more.
 PAYS = 6
-#: A round takes pairs down to this part of the highest count, and to half of what the round before did: few
+#: A round takes pairs down to this part of the highest count, and to a third of what the round before did: few
 #: places of frequent pairs may be left, those that others overlap, and rounds for them alone would take long.
-PART = 4
-SLOT_BITS = 18
+PART = 8
+SLOT_BITS = 17
 MAGIC = b"WLRP0002"
 HEAD = struct.Struct("<8s6Q")
 WIDTHS = [2, 4, 8, 16]
@@ -60,12 +62,13 @@ _OTHER = regex.compile("[^\x00-\u0557\u2010-\u2027\u3000-\u303f\u3041-\u3096\u30
 _CUT = regex.compile(r" (?=\S)")
 
 
-def _alphabet() -> dict[int, str]:
+def _alphabet() -> str:
     """The characters that stand for bytes in a byte-level vocabulary: a visible one for itself,
     the others from 256 on."""
     seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in seen]
-    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(rest)}
+    letters = {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(rest)}
+    return "".join(letters[b] for b in range(256))
 
 
 class _NoWord(Exception):
@@ -117,7 +120,7 @@ class _Words(dict):
         return value
 
     def _made(self, piece: str) -> bytes:
-        return self._ids(piece.encode().decode("latin-1").translate(self.letters))
+        return self._ids(charmap_decode(piece.encode(), "strict", self.letters)[0])
 
     def _ids(self, letters: str) -> bytes:
         return array("I", [t.id for t in self.tokenize(letters)]).tobytes()
@@ -167,41 +170,61 @@ def compress(ids: np.ndarray, end_id: int, base: int, pays: int = PAYS) -> tuple
     # Places whose pair may still become a rule: a rare pair stays rare until it is changed, and
     # then it is another one.
     alive = np.append(~closing[s[:-1]], False) if len(s) else np.zeros(0, bool)
-    held, order = np.zeros(1 << SLOT_BITS, np.uint64), np.arange(1 << SLOT_BITS)
     while True:
-        live = np.flatnonzero(alive)
-        pair = s[live].astype(np.uint64)
-        pair <<= np.uint64(32)
-        pair |= s[live + 1]
-        # A table by a hash: a slot has the count of one pair, that of its last place. Others of the slot are
-        # left to the next round, or are too rare.
-        turn = turns.integers(1, 1 << 63, dtype=np.uint64) | np.uint64(1)
-        slots = (pair * turn >> np.uint64(64 - SLOT_BITS)).view(np.int64)
-        stays = np.flatnonzero(np.bincount(slots, minlength=1 << SLOT_BITS)[slots] >= pays)
-        live, pair, slots = live[stays], pair[stays], slots[stays]
-        alive[:] = False
-        alive[live] = True
-        if not len(live):
+        left = int(np.count_nonzero(alive))
+        if not left:
             break
+        # While most places take part all of them are gone through, which needs no lists of places.
+        dense = 2 * left > len(s)
+        if dense:
+            first, second = s[:-1], s[1:]
+        else:
+            live = np.flatnonzero(alive)
+            first, second = s[live], s[live + 1]
+        pair = np.empty(len(first), np.uint64)
+        halves = pair.view("<u4").reshape(-1, 2)
+        halves[:, 0], halves[:, 1] = second, first
+        # A table by a hash: a slot has the count of one pair, that of its last place. Others of the slot are
+        # left to a next round. Slot 0 is for places that take no part; a pair that falls there waits, too.
+        bits = min(SLOT_BITS, left.bit_length() + 1)
+        size = 1 << bits
+        slots = pair * (turns.integers(1, 1 << 63, dtype=np.uint64) | np.uint64(1))
+        slots >>= np.uint64(64 - bits)
+        slots = slots.view(np.int64)
+        if dense:
+            slots *= alive[:-1]
+        held = np.zeros(size, np.uint64)
         held[slots] = pair
-        own = np.flatnonzero(held[slots] == pair)
-        counts = np.bincount(slots[own], minlength=1 << SLOT_BITS)
-        last = max(pays, min(int(counts.max()) // PART, last // 2))
-        # Among equal counts a part of the hash decides, so that many places of a repeated passage
-        # are replaced at once.
-        weight = np.where(counts >= last, counts << SLOT_BITS | order, 0)
-        found = own[weight[slots[own]] > 0]
-        at, own = live[found], weight[slots[found]]
+        slots *= held.take(slots, mode="clip") == pair
+        counts = np.bincount(slots, minlength=size)
+        counts[0] = 0
+        last = max(pays, min(int(counts.max()) // PART, last // 3))
+        # Pairs weigh what their place by count is, rare ones -1, others nothing. Among equal counts a part of the
+        # hash decides, so that many places of a repeated passage are replaced at once.
+        weight = np.where((counts > 0) & (counts < pays), np.int32(-1), np.int32(0))
+        chosen = np.flatnonzero(counts >= last)
+        weight[chosen[np.argsort(counts[chosen], kind="stable")]] = np.arange(1, len(chosen) + 1)
+        own = weight.take(slots, mode="clip")
+        if dense:
+            alive[:-1] &= own >= 0
+        else:
+            alive[live[own < 0]] = False
         # Of two pairs that overlap the one that weighs more; of a run of one pair every other one.
-        beside = at[1:] == at[:-1] + 1
-        take = np.ones(len(at), bool)
-        take[1:] &= ~beside | (own[1:] >= own[:-1])
-        take[:-1] &= ~beside | (own[:-1] >= own[1:])
+        take = own > 0
+        more, less = own[1:] >= own[:-1], own[:-1] >= own[1:]
+        if not dense:
+            apart = live[1:] != live[:-1] + 1
+            more |= apart
+            less |= apart
+        take[1:] &= more
+        take[:-1] &= less
+        found = np.flatnonzero(take)
+        at = found if dense else live[found]
         place = np.arange(len(at))
-        new = np.append(True, ~beside | (own[1:] != own[:-1]))
-        take &= (place - np.maximum.accumulate(np.where(new, place, 0))) % 2 == 0
+        new = np.append(True, at[1:] != at[:-1] + 1)[: len(at)]
+        take = (place - np.maximum.accumulate(np.where(new, place, 0))) % 2 == 0
         at, slots = at[take], slots[found[take]]
-        taken, number = np.zeros(1 << SLOT_BITS, bool), np.zeros(1 << SLOT_BITS, np.uint32)
+        taken, number = np.zeros(size, bool), np.zeros(size, np.uint32)
         taken[slots] = True
         used = np.flatnonzero(taken)
         number[used] = np.arange(base + made, base + made + len(used), dtype=np.uint32)
@@ -217,7 +240,7 @@ def compress(ids: np.ndarray, end_id: int, base: int, pays: int = PAYS) -> tuple
         keep[at + 1] = False
         # What stood before a replaced pair may have gone with the pair before that.
         keep = np.flatnonzero(keep)
-        s, alive = s[keep], alive[keep]
+        s, alive = s.take(keep, mode="clip"), alive.take(keep, mode="clip")
     table = np.concatenate(rules) if rules else np.empty((0, 2), np.int64)
     return s, table.astype(np.uint32)
 
@@ -233,10 +256,11 @@ def lengths_of(rules: np.ndarray, base: int) -> np.ndarray:
 def pack(symbols: np.ndarray, width: int) -> bytes:
     """The low 16 bits of all symbols, then ``width`` further bits of each."""
     each = 16 // width
-    high = np.zeros(-(-len(symbols) // each) * each, np.uint16)
-    high[: len(symbols)] = symbols >> 16
-    shifts = np.arange(each, dtype=np.uint16) * np.uint16(width)
-    joined = np.bitwise_or.reduce(high.reshape(-1, each) << shifts, axis=1) if len(high) else high
+    high = np.zeros((-(-len(symbols) // each), each), np.uint16)
+    high.ravel()[: len(symbols)] = symbols >> 16
+    joined = np.zeros(len(high), np.uint16)
+    for i, column in enumerate(high.T):
+        joined |= column << np.uint16(i * width)
     return (symbols & 0xFFFF).astype("<u2").tobytes() + joined.astype("<u2").tobytes()
 
 
@@ -245,9 +269,7 @@ def build(keys: list, sizes: np.ndarray, ids: np.ndarray, end_id: int, base: int
     symbols, rules = compress(ids, end_id, base)
     lengths = lengths_of(rules, base)
     id_starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.uint32)
-    width = np.ones(len(symbols), np.int64)
-    ruled = symbols >= base
-    width[ruled] = lengths[symbols[ruled] - base]
+    width = np.concatenate([np.ones(base, np.int64), lengths]).take(symbols)
     symbol_starts = np.searchsorted(np.concatenate([[0], np.cumsum(width)]), id_starts).astype(np.uint32)
     bits = next(w for w in WIDTHS if base + len(rules) <= 1 << (16 + w))
     return b"".join(
@@ -293,14 +315,15 @@ class Shard:
         return data
 
     @cached_property
-    def expansions(self) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all rules one after the other, and where each begins; plain ids come first."""
+    def expansions(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all symbols one after the other, plain ids first, and where each begins and how many it has."""
         base = self.base
-        parts = {}
-        for r, (a, b) in enumerate(self.rules.tolist()):
-            parts[r] = (parts[a - base] if a >= base else (a,)) + (parts[b - base] if b >= base else (b,))
-        flat = np.fromiter((i for r in range(self.n_rules) for i in parts[r]), np.uint32)
-        return flat, np.concatenate([[0], np.cumsum(self.lengths, dtype=np.int64)])
+        parts: list[tuple] = []
+        for a, b in self.rules.tolist():
+            parts.append((parts[a - base] if a >= base else (a,)) + (parts[b - base] if b >= base else (b,)))
+        flat = np.fromiter(chain(range(base), chain.from_iterable(parts)), np.uint32)
+        width = np.concatenate([np.ones(base, np.int64), self.lengths])
+        return flat, np.cumsum(width) - width, width
 
     def symbols(self, first: int, stop: int) -> np.ndarray:
         low = np.frombuffer(self._read(self.symbols_at + 2 * first, 2 * (stop - first)), "<u2").astype(np.uint32)
@@ -312,19 +335,13 @@ class Shard:
         return low | high << np.uint32(16)
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        flat, starts = self.expansions
-        ruled = symbols >= self.base
-        if not ruled.any():
-            return symbols
-        r = symbols[ruled].astype(np.int64) - self.base
-        width = np.ones(len(symbols), np.int64)
-        width[ruled] = self.lengths[r]
-        out = np.repeat(symbols, width)
+        flat, starts, widths = self.expansions
+        width = widths.take(symbols)
         ends = np.cumsum(width)
-        size = width[ruled]
-        inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        out[np.repeat(ends[ruled] - size, size) + inside] = flat[np.repeat(starts[r], size) + inside]
-        return out
+        # From where an id stands to where it is listed.
+        at = np.repeat(starts.take(symbols) - ends + width, width)
+        at += np.arange(len(at))
+        return flat.take(at)
 
     def document(self, i: int) -> np.ndarray:
         """The ids of document ``i``, from its own symbols only."""
