@@ -184,8 +184,7 @@ def compress(ids: np.ndarray, end_id: int, base: int, pays: int = PAYS) -> tuple
         pair = np.empty(len(first), np.uint64)
         halves = pair.view("<u4").reshape(-1, 2)
         halves[:, 0], halves[:, 1] = second, first
-        # A table by a hash: a slot has the count of one pair, that of its last place. Others of the slot are
-        # left to a next round. Slot 0 is for places that take no part; a pair that falls there waits, too.
+        # A table by a hash. Slot 0 is for places that take no part; a pair that falls there waits for the next round.
         bits = min(SLOT_BITS, left.bit_length() + 1)
         size = 1 << bits
         slots = pair * (turns.integers(1, 1 << 63, dtype=np.uint64) | np.uint64(1))
@@ -193,33 +192,38 @@ def compress(ids: np.ndarray, end_id: int, base: int, pays: int = PAYS) -> tuple
         slots = slots.view(np.int64)
         if dense:
             slots *= alive[:-1]
+        counts = np.bincount(slots, minlength=size)
+        counts[0] = pays
+        rare = (counts < pays).take(slots, mode="clip")
+        if dense:
+            alive[:-1] &= ~rare
+        else:
+            alive[live[rare]] = False
+        counts[0] = 0
+        last = max(pays, min(int(counts.max()) // PART, last // 3))
+        # Only slots with so many places are looked at: each has the count of one pair, that of its last place.
+        # Others of the slot are left to a next round.
+        found = np.flatnonzero((counts >= last).take(slots, mode="clip"))
+        pair, slots = pair[found], slots[found]
+        at = found if dense else live[found]
         held = np.zeros(size, np.uint64)
         held[slots] = pair
         slots *= held.take(slots, mode="clip") == pair
         counts = np.bincount(slots, minlength=size)
         counts[0] = 0
-        last = max(pays, min(int(counts.max()) // PART, last // 3))
-        # Pairs weigh what their place by count is, rare ones -1, others nothing. Among equal counts a part of the
-        # hash decides, so that many places of a repeated passage are replaced at once.
-        weight = np.where((counts > 0) & (counts < pays), np.int32(-1), np.int32(0))
+        # Pairs weigh what their place by count is. Among equal counts a part of the hash decides, so that many
+        # places of a repeated passage are replaced at once.
+        weight = np.zeros(size, np.int32)
         chosen = np.flatnonzero(counts >= last)
         weight[chosen[np.argsort(counts[chosen], kind="stable")]] = np.arange(1, len(chosen) + 1)
         own = weight.take(slots, mode="clip")
-        if dense:
-            alive[:-1] &= own >= 0
-        else:
-            alive[live[own < 0]] = False
         # Of two pairs that overlap the one that weighs more; of a run of one pair every other one.
+        apart = at[1:] != at[:-1] + 1
         take = own > 0
-        more, less = own[1:] >= own[:-1], own[:-1] >= own[1:]
-        if not dense:
-            apart = live[1:] != live[:-1] + 1
-            more |= apart
-            less |= apart
-        take[1:] &= more
-        take[:-1] &= less
+        take[1:] &= apart | (own[1:] >= own[:-1])
+        take[:-1] &= apart | (own[:-1] >= own[1:])
         found = np.flatnonzero(take)
-        at = found if dense else live[found]
+        at = at[found]
         place = np.arange(len(at))
         new = np.append(True, at[1:] != at[:-1] + 1)[: len(at)]
         take = (place - np.maximum.accumulate(np.where(new, place, 0))) % 2 == 0
@@ -239,8 +243,10 @@ def compress(ids: np.ndarray, end_id: int, base: int, pays: int = PAYS) -> tuple
         keep = np.ones(len(s), bool)
         keep[at + 1] = False
         # What stood before a replaced pair may have gone with the pair before that.
-        keep = np.flatnonzero(keep)
-        s, alive = s.take(keep, mode="clip"), alive.take(keep, mode="clip")
+        # Of many gaps a list is quicker, of few the mask.
+        if 50 * len(at) > len(s):
+            keep = np.flatnonzero(keep)
+        s, alive = s[keep], alive[keep]
     table = np.concatenate(rules) if rules else np.empty((0, 2), np.int64)
     return s, table.astype(np.uint32)
 
