@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wearline.llm import centroids, importance, kneser_ney, queries
+from wearline.llm import centroids, importance, kneser_ney, kneser_ney_rows, queries
 from wearline.llm.common import segments
 
 # -- clusters ----------------------------------------------------------------------
@@ -244,6 +244,53 @@ def test_query_scores_by_grams_of_five_words(spark, tmp_path):
         assert r.train_tokens == plain.raw.total()
 
 
+def check_rows(docs_of, rows, order, bucket_bytes):
+    flagged = docs_of(rows).withColumn("held_out", F.col("doc_id") >= 300)
+    got = kneser_ney_rows.learn_and_score(flagged, order=order, bucket_bytes=bucket_bytes).collect()
+    plain = PlainModel([t for k, t in rows if k is None or k < 300], order)
+    low = plain.raw.total() + len(plain.raw) + 1
+    want = [(k, None if k is None else k >= 300, plain_tokens(t, 0), t) for k, t in rows]
+    want = [(k, f, len(w), sum(x in plain.raw for x in w), t) for k, f, w, t in want]
+    name = lambda r: tuple(map(str, r[:4]))
+    assert sorted(map(name, got)) == sorted(map(name, want))
+    texts = defaultdict(list)
+    for w in want:
+        texts[name(w)].append(w[4])
+    for r in got:
+        scores = {t: plain.score(t) for t in texts[name(r)]}
+        assert any(r.score == pytest.approx(s, rel=1e-9) for s in scores.values())
+        assert any(r.base_score == pytest.approx(sum(math.log10((plain.raw[w] + 1) / low) for w in plain_tokens(t, 0)), rel=1e-12) for t in scores)
+        assert r.train_tokens == plain.raw.total() and r.perplexity == pytest.approx(10 ** (-r.score / r.n_tokens))
+
+
+@pytest.mark.parametrize("order,bucket_bytes", [(2, 1 << 24), (2, 100), (5, 1 << 24), (5, 100), (5, 1500)])
+def test_rows_scored_where_their_grams_meet(docs_of, order, bucket_bytes):
+    """Small buckets split the contexts of all sizes."""
+    draw = random.Random(order + bucket_bytes)
+    words = ["The", "the", "of", "é", "a,b", "Y" * 70, "y" * 70, "z" * 64 + "a", "z" * 64 + "b", *[f"w{i}" for i in range(30)]]
+    rows = [(i, prose(draw, words[: draw.choice([3, 9, 39])], draw.randint(0, 60))) for i in range(80)]
+    rows += [(i, "the of the of the " * 9) for i in range(100, 110)] + [(120, "é Ü x\x0bx\x1fx\xa0x"), (121, " \n\t "), (122, ""), (123, None)]
+    rows += [(None, "the of new"), (None, "the of new"), (3, rows[3][1]), (204, "  x y")]
+    rows += [(300, "never met words"), (301, "the never of the of the of"), (302, None), (303, "unknown " * 30), *[(i, rows[i - 310][1] or "") for i in range(310, 330)]]
+    check_rows(docs_of, rows, order, bucket_bytes)
+
+
+def test_rows_scored_by_a_model_of_no_texts(docs_of):
+    check_rows(docs_of, [(300, "a b"), (301, None)], 5, 1 << 24)
+    flagged = docs_of([]).withColumn("held_out", F.lit(True))
+    assert kneser_ney_rows.learn_and_score(flagged).count() == 0
+
+
+def test_tokens_are_kept_in_few_bytes():
+    draw = np.random.default_rng(5)
+    ids = np.minimum(draw.zipf(1.2, 30_000), 1_000_000).astype(np.uint32)
+    arrays = {f"w{k}": np.roll(ids, k) for k in range(5)} | {"none": np.empty(0, np.int64), "large": np.array([1 << 63, 5], np.uint64)}
+    body = kneser_ney_rows.squeezed(arrays)
+    assert len(body) < 10 * len(ids)
+    back = kneser_ney_rows.loosened(body)
+    assert list(back) == list(arrays) and all((back[n] == a).all() for n, a in arrays.items())
+
+
 def test_probabilities_add_up_to_one(docs_of):
     draw = random.Random(1)
     words = [f"w{i}" for i in range(12)]

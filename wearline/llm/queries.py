@@ -12,7 +12,7 @@ from . import (
     files,
     importance,
     kdtree,
-    kneser_ney,
+    kneser_ney_rows,
     latent,
     phrases,
     preference,
@@ -125,8 +125,7 @@ def op13_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows without a key are learned from."""
     rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(rest == 2, F.lit(False)).alias("held_out"))
-    model = kneser_ney.learn(docs.filter("NOT held_out"))
-    return model.score(docs).withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+    return kneser_ney_rows.learn_and_score(docs)
 
 
 def _of_kind(kind: str):
