@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from wearline.operators import audit, gold, learn, serving
 from wearline.operators.changes import CHANGE, META, VERSION, as_of_version, changes_between, log_of_versions
 from wearline.operators.layout import clustered, gridded
 from wearline.operators.upsert import upsert
+from wearline.plans import queries
 from wearline.plans.queries import features, machine_features, prediction_log, rounded
 from wearline.schemas import FAILURES, GROUP_KEYS, MEASURES, with_labels
 from wearline.session import as_ts, pin, scratch
@@ -246,6 +248,28 @@ def test_models_are_fitted_in_tasks_by_rows(spark, monkeypatch):
     assert learn.training_rows(sensor_rows(spark, 2 * learn.ROWS_PER_TASK + 1, 1)).rdd.getNumPartitions() == 3
 
 
+def test_models_of_queries_learn_from_all_train_rows(spark, tmp_path, monkeypatch):
+    spark.range(70_000).selectExpr(
+        "id event_id",
+        "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) ts",
+        "id % 1500 user_id",
+        "element_at(array('click', 'view', 'purchase', 'signup'), CAST(id % 4 AS INT) + 1) event_type",
+        "CAST(id * 31 % 997 AS DOUBLE) / 10 value",
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    seen = []
+    whole = learn.GBTClassifier.fit
+
+    def fit(trees, data):
+        seen.append(data.count())
+        return whole(trees, data)
+
+    monkeypatch.setattr(learn.GBTClassifier, "fit", fit)
+    monkeypatch.setattr(learn, "fit", partial(learn.fit, rounds=1, depth=1))
+    queries._model(spark, str(tmp_path))
+    train, _ = learn.stratified_split(queries.taught(spark, str(tmp_path)), "machine_failure", "udi")
+    assert train.count() > 55_000 and seen == [train.count()] * len(FAILURES)
+
+
 def test_scoring_is_spread_and_on_dense_vectors(spark):
     model = learn.fit(sensor_rows(spark, 400, 2), rounds=1, depth=1)
     rows = sensor_rows(spark, 400_000, 1)
