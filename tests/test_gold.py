@@ -248,6 +248,17 @@ def test_models_are_fitted_in_tasks_by_rows(spark, monkeypatch):
     assert learn.training_rows(sensor_rows(spark, 2 * learn.ROWS_PER_TASK + 1, 1)).rdd.getNumPartitions() == 3
 
 
+def test_training_tasks_do_not_exceed_those_that_run_at_once(spark, monkeypatch):
+    monkeypatch.setattr(learn, "ROWS_PER_TASK", 10)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        rows = learn.training_rows(sensor_rows(spark, 400, 40))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert (rows.rdd.getNumPartitions(), rows.count()) == (spark.sparkContext.defaultParallelism, 400)
+
+
 def test_models_of_queries_learn_from_all_train_rows(spark, tmp_path, monkeypatch):
     spark.range(70_000).selectExpr(
         "id event_id",
